@@ -112,6 +112,15 @@ gold_grid_balance AS (
   FROM silver_demand d
   FULL JOIN silver_generation g USING (period, respondent)
   FULL JOIN silver_interchange i USING (period, respondent)),
+sparse_balance AS (
+  SELECT period, respondent,
+         coalesce(d.respondent_name, g.respondent_name, i.respondent_name)
+           AS respondent_name,
+         demand_mwh, net_generation_mwh, total_interchange_mwh,
+         net_generation_mwh - demand_mwh AS generation_minus_demand_mwh
+  FROM sparse_pivot d
+  FULL JOIN silver_generation g USING (period, respondent)
+  FULL JOIN silver_interchange i USING (period, respondent)),
 latest AS (
   SELECT * FROM gold_grid_balance
   QUALIFY row_number() OVER (PARTITION BY respondent ORDER BY period DESC) = 1),
@@ -156,6 +165,13 @@ _STAMP = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
 _DATE = "strftime({0}, '%Y-%m-%d')"
 
 
+def _rounded(value: str, digits: int = 6) -> str:
+    """Round as a decimal; see ``records`` for the reason."""
+    return (
+        f"CAST(round(CAST({value} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    )
+
+
 def _select(columns: str, digits: int = 6) -> str:
     """Column list: ``ts:`` and ``day:`` print times, ``num:`` rounds."""
     out = []
@@ -166,7 +182,7 @@ def _select(columns: str, digits: int = 6) -> str:
             "ts": _STAMP,
             "hour": _HOUR,
             "day": _DATE,
-            "num": f"round({{0}}, {digits})",
+            "num": _rounded("{0}", digits),
         }[kind].format(name)
         out.append(f"{expression} AS {name}")
     return ", ".join(out)
@@ -217,7 +233,7 @@ def _check(
     return (
         f"SELECT '{table}' AS table_name, {position} AS position, "
         f"'{check}' AS check_name, '{column}' AS column_name, "
-        f"CAST({failures} AS BIGINT) AS failures, round({minimum}, 6) AS min_value, "
+        f"CAST({failures} AS BIGINT) AS failures, {_rounded(minimum)} AS min_value, "
         f"'{severity}' AS severity FROM {source or table}"
     )
 
@@ -364,9 +380,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "latest_row_per_region": f"""{_EVENTS}
             SELECT respondent, {_STAMP.format("period")} AS latest_period,
-                   respondent_name, round(demand_mwh, 6) AS latest_demand_mwh,
-                   round(net_generation_mwh, 6) AS latest_net_generation_mwh,
-                   round(total_interchange_mwh, 6) AS latest_total_interchange_mwh
+                   respondent_name, {_rounded("demand_mwh")} AS latest_demand_mwh,
+                   {_rounded("net_generation_mwh")} AS latest_net_generation_mwh,
+                   {_rounded("total_interchange_mwh")} AS latest_total_interchange_mwh
             FROM latest""",
         "checkpoint": f"""{_EVENTS}
             SELECT {_STAMP.format("max(period)")} AS latest_period FROM readings""",
@@ -432,7 +448,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dq_duplicate_grain": f"""{_EVENTS}
             SELECT {_STAMP.format("period")} AS period, respondent,
-                   round(value, 6) AS net_generation_mwh
+                   {_rounded("value")} AS net_generation_mwh
             FROM readings WHERE type = 'NG'
             QUALIFY count(*) OVER (PARTITION BY period, respondent) > 1""",
         "name_conflicts": f"{_EVENTS} {_CONFLICTS} SELECT * FROM conflicts",
@@ -445,13 +461,13 @@ def oracle_sql() -> dict[str, str]:
                   ORDER BY peak_demand_mwh DESC NULLS FIRST, date, respondent LIMIT 20)""",
         "forecast_accuracy": f"""{_EVENTS}
             SELECT respondent,
-                   round(sum(mape_pct * observation_count)
-                         / nullif(sum(observation_count), 0), 6) AS avg_mape_pct,
+                   {_rounded("sum(mape_pct * observation_count) "
+                             "/ nullif(sum(observation_count), 0)")} AS avg_mape_pct,
                    CAST(sum(observation_count) AS BIGINT) AS observations
             FROM gold_forecast_performance WHERE mape_pct IS NOT NULL
             GROUP BY respondent ORDER BY avg_mape_pct ASC NULLS LAST, respondent""",
         "forecast_bias": f"""{_EVENTS}
-            SELECT respondent, round(avg(forecast_bias_mwh), 6) AS avg_bias_mwh
+            SELECT respondent, {_rounded("avg(forecast_bias_mwh)")} AS avg_bias_mwh
             FROM gold_forecast_performance GROUP BY respondent
             ORDER BY avg_bias_mwh DESC NULLS FIRST, respondent""",
         "recent_balance": f"""{_EVENTS}
@@ -481,6 +497,6 @@ def oracle_sql() -> dict[str, str]:
         "lineitem_forecast_performance": _volume(
             "gold_forecast_performance", _PERFORMANCE
         ),
-        "lineitem_grid_balance": _volume("gold_grid_balance", _BALANCE),
+        "lineitem_grid_balance": _volume("sparse_balance", _BALANCE),
         "lineitem_regional_summary": _volume("gold_regional_summary", _SUMMARY),
     }

@@ -40,8 +40,16 @@ CHUNK_DAYS = 5
 
 
 def records(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Sink records with doubles rounded as decimals.
+
+    Sums of doubles differ in their last bits from engine to engine. The cast
+    drops those bits, so that a half is a half in both before it is rounded.
+    """
+    exact = f"decimal(38,{digits + 4})"
     rounded = {
-        name: F.round(name, digits) for name, kind in df.dtypes if kind == "double"
+        name: F.round(F.col(name).cast(exact), digits).cast("double")
+        for name, kind in df.dtypes
+        if kind == "double"
     }
     return to_records(df).withColumns(rounded)
 
@@ -69,8 +77,8 @@ class Readings:
     def interchange(self) -> DataFrame:
         return silver.transform_interchange(self.bronze())
 
-    def domains(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.demand(), self.generation(), self.interchange()
+    def domains(self, densify: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.demand(densify), self.generation(), self.interchange()
 
     def daily(self) -> DataFrame:
         return gold.transform_demand_daily(self.demand())
@@ -78,22 +86,20 @@ class Readings:
     def performance(self) -> DataFrame:
         return gold.transform_forecast_performance(self.demand())
 
-    def balance(self) -> DataFrame:
-        return gold.transform_grid_balance(*self.domains())
+    def balance(self, densify: bool = True) -> DataFrame:
+        return gold.transform_grid_balance(*self.domains(densify))
 
     def summary(self) -> DataFrame:
         return gold.transform_regional_summary(*self.domains(), self.performance())
 
 
-def _events(build: Callable[[Readings], DataFrame], digits: int = 6) -> Query:
-    return lambda spark, sf_dir: records(
-        build(Readings(event_readings(spark, sf_dir))), digits
-    )
+def _events(build: Callable[[Readings], DataFrame]) -> Query:
+    return lambda spark, sf_dir: records(build(Readings(event_readings(spark, sf_dir))))
 
 
-def _lineitem(build: Callable[[Readings], DataFrame], digits: int = 4) -> Query:
+def _lineitem(build: Callable[[Readings], DataFrame]) -> Query:
     return lambda spark, sf_dir: records(
-        build(Readings(lineitem_readings(spark, sf_dir))), digits
+        build(Readings(lineitem_readings(spark, sf_dir))), digits=4
     )
 
 
@@ -326,6 +332,8 @@ def queries() -> dict[str, Query]:
         "export_meta": _events(export_metadata),
         "lineitem_demand_daily": _lineitem(lambda r: r.text(r.daily())),
         "lineitem_forecast_performance": _lineitem(lambda r: r.text(r.performance())),
-        "lineitem_grid_balance": _lineitem(lambda r: r.text(r.balance())),
+        "lineitem_grid_balance": _lineitem(
+            lambda r: r.text(r.balance(densify=False))
+        ),
         "lineitem_regional_summary": _lineitem(lambda r: r.text(r.summary())),
     }

@@ -37,8 +37,8 @@ def compare(spark, con, name, sf_dir):
     if sorted(columns) != sorted(frame.columns):
         return [f"columns {frame.columns} against {columns}"]
     if actual != expected:
-        extra = [r for r in actual if r not in set(expected)][:3]
-        lost = [r for r in expected if r not in set(actual)][:3]
+        extra = sorted(set(actual) - set(expected))[:3]
+        lost = sorted(set(expected) - set(actual))[:3]
         return [f"{len(actual)} rows against {len(expected)}", f"extra {extra}", f"lost {lost}"]
     return [] if actual else ["no rows"]
 
