@@ -16,14 +16,10 @@ REQUIRED_READING_COLUMNS = ("period", "respondent", "type", "value")
 _TEXT_COLUMNS = {"respondent", "respondent_name"}
 
 
-def require_columns(df: DataFrame, required: Iterable[str], label: str) -> None:
-    """Fail on absent columns; looks at the schema only."""
-    missing = [name for name in required if name not in df.columns]
-    if missing:
-        raise ValueError(
-            f"{label} is missing required column(s) {missing}; "
-            f"it has {sorted(df.columns)}"
-        )
+def _missing_columns(label: str, missing: list[str], found: Iterable[str]) -> ValueError:
+    return ValueError(
+        f"{label}: missing required column(s) {missing}; found {sorted(found)}"
+    )
 
 
 def with_name_column(df: DataFrame) -> DataFrame:
@@ -34,24 +30,30 @@ def with_name_column(df: DataFrame) -> DataFrame:
 
 
 def normalize_readings(df: DataFrame) -> DataFrame:
-    """Source names to ours, period to timestamp, value to finite double.
+    """P6 (P1-P5): source names to ours, period to timestamp, value to finite double.
 
     Other columns pass through, ``ordinal`` (row order) among them.
     """
-    df = df.withColumnsRenamed(SOURCE_RENAMES)
-    require_columns(df, REQUIRED_READING_COLUMNS, "Raw readings")
-    df = with_name_column(df)
     types = {field.name: field.dataType for field in df.schema}
-    return df.withColumns(
-        {
-            "period": parse_timestamp(F.col("period"), types["period"]),
-            "value": parse_number(F.col("value"), types["value"]),
-        }
-    )
+    names = {name: SOURCE_RENAMES.get(name, name) for name in types}
+    missing = [c for c in REQUIRED_READING_COLUMNS if c not in names.values()]
+    if missing:
+        raise _missing_columns("Raw readings", missing, names.values())
+    columns = []
+    for name, target in names.items():
+        column = F.col(f"`{name}`")
+        if target == "period":
+            column = parse_timestamp(column, types[name])
+        elif target == "value":
+            column = parse_number(column, types[name])
+        columns.append(column.alias(target))
+    if "respondent_name" not in names.values():
+        columns.append(F.lit(None).cast("string").alias("respondent_name"))
+    return df.select(*columns)
 
 
 def normalize_silver(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Contract check, name column, typed period.
+    """Contract check (P2), name column, typed period.
 
     Only a frame that holds rows must honour the contract: an empty one gets
     the columns it lacks as typed nulls. The emptiness test runs a job, and
@@ -60,7 +62,7 @@ def normalize_silver(df: DataFrame, required: Sequence[str]) -> DataFrame:
     missing = [name for name in required if name not in df.columns]
     if missing:
         if not df.isEmpty():
-            require_columns(df, required, "Silver frame")
+            raise _missing_columns("Silver frame", missing, df.columns)
         for name in missing:
             kind = "timestamp" if name == "period" else "double"
             kind = "string" if name in _TEXT_COLUMNS else kind

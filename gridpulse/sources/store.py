@@ -54,10 +54,18 @@ class Staging:
         counted.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), observation.get
 
+    def _file_system(self) -> tuple:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def close(self) -> None:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        configuration = self.spark._jsc.hadoopConfiguration()
-        jvm_path.getFileSystem(configuration).delete(jvm_path, True)
+        path, file_system = self._file_system()
+        file_system.delete(path, True)
+
+    def close_at_exit(self) -> None:
+        """Leave the files to frames that are read later in this session."""
+        path, file_system = self._file_system()
+        file_system.deleteOnExit(path)
 
     def __enter__(self) -> Staging:
         return self
