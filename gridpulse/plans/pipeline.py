@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -128,7 +129,7 @@ def ingest_window(
             normalize_readings(source(start, end)),
             F.count_if(null_key).alias("null_keys"),
         )
-        if not found.get("row_count"):
+        if not found["row_count"]:
             logger.info("No readings between %s and %s", start, end)
             return {"rows_extracted": 0, **dict.fromkeys(_SILVER_RESULTS, 0)}
         if found["null_keys"]:
@@ -139,21 +140,31 @@ def ingest_window(
         coded, names = encode_names(readings)
         names, _ = staging.write("names", names)
         silver = {
-            table: _staged(staging, table, decode_names(frame, names))
+            table: _output(staging, table, decode_names(frame, names))
             for table, frame in build_silver(coded, densify).items()
         }
-        gold = run_gold(store, staging, *silver.values())
+        gold = run_gold(store, staging, *[output.frame for output in silver.values()])
 
         order = ["ordinal"] if "ordinal" in readings.columns else ["value"]
         store.upsert(schemas.BRONZE_READINGS, _bronze_rows(readings), *order)
         counts = {"rows_extracted": found["row_count"]}
-        for table, frame in {**silver, **gold}.items():
-            counts[_COUNT_NAMES[table.name]] = store.upsert_staged(table, frame)
+        for table, output in {**silver, **gold}.items():
+            rows = store.upsert_staged(table, output.frame, output.row_count)
+            counts[_COUNT_NAMES[table.name]] = rows
         return counts
 
 
-def _staged(staging: Staging, table: Table, frame: DataFrame) -> DataFrame:
-    return validate(staging.write(table.name, frame)[0], table)
+@dataclass(frozen=True)
+class Output:
+    """A staged, validated and counted table of a run."""
+
+    frame: DataFrame
+    row_count: int
+
+
+def _output(staging: Staging, table: Table, frame: DataFrame) -> Output:
+    staged, found = staging.write(table.name, frame)
+    return Output(validate(staged, table), found["row_count"])
 
 
 def _bronze_rows(readings: DataFrame) -> DataFrame:
@@ -168,7 +179,7 @@ def run_gold(
     demand: DataFrame,
     generation: DataFrame,
     interchange: DataFrame,
-) -> dict[Table, DataFrame]:
+) -> dict[Table, Output]:
     """L2: the Gold rows the Silver window touches, staged and validated.
 
     Daily tables see the completed first day; the hourly balance and the
@@ -182,12 +193,12 @@ def run_gold(
 
     by_day, day_names = encode_names(complete_first_day(demand, stored_demand))
     day_names, _ = staging.write("day_names", day_names)
-    daily = _staged(
+    daily = _output(
         staging,
         schemas.GOLD_DEMAND_DAILY,
         decode_names(transform_demand_daily(by_day), day_names),
     )
-    performance = _staged(
+    performance = _output(
         staging,
         schemas.GOLD_FORECAST_PERFORMANCE,
         decode_names(transform_forecast_performance(by_day), day_names),
@@ -200,11 +211,11 @@ def run_gold(
     sides, _ = staging.write("sides", hourly_sides(*coded))
     conflicts = decode_names(conflicts_of(sides), names, "demand_name")
     warn_name_conflicts(decode_names(conflicts, names, "other_name"))
-    balance = _staged(
+    balance = _output(
         staging, schemas.GOLD_GRID_BALANCE, decode_names(balance_of(sides), names)
     )
-    history = recent_performance(performance, store.read_recent_performance)
-    summary = _staged(
+    history = recent_performance(performance.frame, store.read_recent_performance)
+    summary = _output(
         staging,
         schemas.GOLD_REGIONAL_SUMMARY,
         decode_names(summary_of(sides, history), names),

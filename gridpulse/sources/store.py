@@ -52,7 +52,8 @@ class Staging:
         counted = df.observe(observation, F.count(F.lit(1)).alias("row_count"), *metrics)
         path = f"{self.root}/{name}"
         counted.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), observation.get
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        return staged, {"row_count": 0, **observation.get}
 
     def _file_system(self) -> tuple:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
@@ -157,22 +158,21 @@ class TableStore:
         if order:
             incoming = keep_last(incoming, table.key, *order)
         with Staging(self.spark) as staging:
-            staged, _ = staging.write(table.name, incoming.select(*table.columns))
-            return self.upsert_staged(table, staged)
+            staged, found = staging.write(table.name, incoming.select(*table.columns))
+            return self.upsert_staged(table, staged, found["row_count"])
 
-    def upsert_staged(self, table: Table, incoming: DataFrame) -> int:
-        """``upsert`` of a staged frame that is unique by key.
+    def upsert_staged(self, table: Table, incoming: DataFrame, row_count: int) -> int:
+        """``upsert`` of a staged frame that is unique by key and counted.
 
         Only the partitions the incoming rows touch are read and rewritten.
         ``transformed_at`` is set at insert and kept at update.
         """
+        if not row_count:
+            return 0
         split = table.partition_column
         incoming = null_non_finite(incoming.select(*table.columns)).withColumn(
             split, table.partition_by()
         )
-        row_count = incoming.count()
-        if not row_count:
-            return 0
         key = list(dict.fromkeys([split, *table.key]))
         stored = self._touched(table, incoming.select(split).distinct())
         if table.audited:

@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions=4,
         spark__ui__enabled="false",
+        # Frames here are tiny: compiling a stage costs more than running it.
+        spark__sql__codegen__wholeStage="false",
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
     )
