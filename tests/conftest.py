@@ -12,11 +12,9 @@ from gridpulse.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "gridpulse-tests",
-        "local[8]",
-        spark__sql__shuffle__partitions=4,
+        "local[4]",
+        spark__sql__shuffle__partitions=2,
         spark__ui__enabled="false",
-        # Frames here are tiny: compiling a stage costs more than running it.
-        spark__sql__codegen__wholeStage="false",
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
     )

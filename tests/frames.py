@@ -13,7 +13,7 @@ def readings(spark, *rows):
         label = name[0] if name else f"{respondent} Region"
         text = None if value is None else str(value)
         full.append((period, respondent, label, kind, text, ordinal))
-    return spark.createDataFrame(full, READING)
+    return spark.createDataFrame(full, READING).coalesce(1)
 
 
 def demand(spark, *rows):

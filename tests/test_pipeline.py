@@ -1,4 +1,5 @@
 import logging
+import shutil
 from datetime import datetime, timezone
 
 import pytest
@@ -50,9 +51,23 @@ def store(spark, tmp_path):
     return TableStore(spark, str(tmp_path / "db"))
 
 
-def test_window_fills_every_table_and_replay_changes_nothing(spark, store):
-    source = frame_source(month(spark))
-    counts = ingest_window(store, source)
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """Three whole days ingested once: the store, its counts and contents."""
+    store = TableStore(spark, str(tmp_path_factory.mktemp("loaded") / "db"))
+    counts = ingest_window(store, frame_source(month(spark)))
+    return store, counts, contents(store)
+
+
+@pytest.fixture
+def copy(spark, loaded, tmp_path):
+    """A copy of the loaded store that a test may change."""
+    shutil.copytree(loaded[0].root, tmp_path / "copy")
+    return TableStore(spark, str(tmp_path / "copy"))
+
+
+def test_window_fills_every_table(loaded):
+    _, counts, tables = loaded
     assert counts == {
         "rows_extracted": 576,
         "demand_rows": 144,
@@ -63,15 +78,23 @@ def test_window_fills_every_table_and_replay_changes_nothing(spark, store):
         "gold_grid_balance_rows": 144,
         "gold_regional_summary_rows": 2,
     }
-    first = contents(store)
-    assert len(first["bronze_readings"]) == 576
-    assert ingest_window(store, source) == counts
-    assert contents(store) == first
-    assert first["gold_regional_summary"][0][:5] == (
+    assert len(tables["bronze_readings"]) == 576
+    assert tables["gold_regional_summary"][0][:5] == (
         "CAL", "CAL Region", "2024-01-03T23", 323.0, 290.7
     )
 
 
+def test_replay_changes_nothing_and_leaves_no_files(
+    spark, loaded, copy, tmp_path, monkeypatch
+):
+    monkeypatch.setattr(
+        "gridpulse.sources.store.shared_scratch", lambda spark: str(tmp_path / "scratch")
+    )
+    assert ingest_window(copy, frame_source(month(spark))) == loaded[1]
+    assert contents(copy) == loaded[2]
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
 def test_empty_window_writes_nothing(spark, store):
     counts = ingest_window(store, frame_source(month(spark)), "2030-01-01T00")
     assert counts == {
@@ -92,82 +115,60 @@ def test_late_failure_leaves_the_store_as_it_was(spark, store):
         ingest_window(store, lambda s, e: readings(spark, ("bad", "CAL", "D", 1)))
 
 
-def test_staged_files_are_removed(spark, store, tmp_path, monkeypatch):
-    monkeypatch.setattr(
-        "gridpulse.sources.store.shared_scratch", lambda spark: str(tmp_path / "scratch")
-    )
-    ingest_window(store, frame_source(month(spark, days=(1,))))
-    assert list((tmp_path / "scratch").iterdir()) == []
-
-
 def test_incremental_run_needs_bronze(spark, store):
     with pytest.raises(RuntimeError, match="run_backfill"):
         run_pipeline(store, frame_source(month(spark)))
 
 
-def test_incremental_run_reads_the_trailing_window(spark, store):
+def test_incremental_run_reads_the_trailing_window(loaded, monkeypatch):
     asked = []
-
-    def source(start, end):
-        asked.append((start, end))
-        return frame_source(month(spark))(start, end)
-
-    ingest_window(store, frame_source(month(spark)))
+    monkeypatch.setattr(
+        "gridpulse.plans.pipeline.ingest_window",
+        lambda store, source, start, end, densify: asked.append((start, end)),
+    )
     now = datetime(2024, 1, 4, 0, 15, tzinfo=timezone.utc)
-    run_pipeline(store, source, now=now)
+    run_pipeline(loaded[0], None, now=now)
     later = datetime(2024, 6, 1, tzinfo=timezone.utc)
-    run_pipeline(store, source, max_window_hours=24, now=later)
+    run_pipeline(loaded[0], None, max_window_hours=24, now=later)
     assert asked == [("2024-01-01T23", None), ("2024-01-01T23", "2024-01-02T23")]
 
 
-def test_partial_first_day_is_completed_from_the_store(spark, store):
+def test_incremental_run_completes_the_partial_first_day(spark, loaded, copy):
     """A window from mid-day gives the same tables as the whole days."""
-    ingest_window(store, frame_source(month(spark)))
-    whole = contents(store)
-    ingest_window(store, frame_source(month(spark)), "2024-01-02T12")
-    assert contents(store) == whole
+    now = datetime(2024, 1, 4, 0, 15, tzinfo=timezone.utc)
+    counts = run_pipeline(copy, frame_source(month(spark)), lookback_hours=36, now=now)
+    assert counts["rows_extracted"] == 37 * 8
+    assert contents(copy) == loaded[2]
 
 
-def test_revision_reaches_gold(spark, store):
-    ingest_window(store, frame_source(month(spark)))
-    ingest_window(
-        store, frame_source(month(spark, scale=2.0)), "2024-01-03T12", "2024-01-03T23"
-    )
-    (row,) = store.read(schemas.GOLD_DEMAND_DAILY).filter(
+def test_revision_and_absent_region(spark, copy):
+    """Gold follows a revised half day; a region the window lacks keeps its row."""
+    revised = month(spark, regions=("CAL",), scale=2.0)
+    ingest_window(copy, frame_source(revised), "2024-01-03T12", "2024-01-03T22")
+    (row,) = copy.read(schemas.GOLD_DEMAND_DAILY).filter(
         "date = '2024-01-03' AND respondent = 'CAL'"
     ).collect()
-    values = [300.0 + h for h in range(12)] + [2 * (300.0 + h) for h in range(12, 24)]
-    assert row.observation_count == 24
-    assert row.avg_demand_mwh == pytest.approx(sum(values) / 24)
-    assert (row.peak_demand_mwh, row.min_demand_mwh) == (646.0, 300.0)
-
-
-def test_regions_absent_from_the_window_keep_their_summary(spark, store):
-    ingest_window(store, frame_source(month(spark)))
-    ingest_window(store, frame_source(month(spark, days=(4,), regions=("CAL",))))
-    got = table(
-        store.read(schemas.GOLD_REGIONAL_SUMMARY), "respondent", "latest_period"
-    )
-    assert got == [("CAL", "2024-01-04T23"), ("NY", "2024-01-03T23")]
-
-
-def test_kpis_include_stored_days_before_the_window(spark, store):
-    whole = TableStore(spark, store.root + "-whole")
-    ingest_window(whole, frame_source(month(spark)))
-    for day in (1, 2, 3):
-        ingest_window(store, frame_source(month(spark, days=(day,))))
-    assert contents(store) == contents(whole)
+    values = [300.0 + h for h in range(12)] + [2 * (300.0 + h) for h in range(12, 23)]
+    assert row.observation_count == 23
+    assert row.avg_demand_mwh == pytest.approx(sum(values) / 23)
+    assert (row.peak_demand_mwh, row.min_demand_mwh) == (644.0, 300.0)
+    summary = copy.read(schemas.GOLD_REGIONAL_SUMMARY)
+    assert table(summary, "respondent", "latest_period", "latest_demand_mwh") == [
+        ("CAL", "2024-01-03T22", 644.0),
+        ("NY", "2024-01-03T23", 323.0),
+    ]
 
 
-@pytest.mark.parametrize("chunk_days", [None, 1])
-def test_backfill_gives_the_same_tables_in_one_job_or_in_chunks(spark, store, chunk_days):
-    whole = TableStore(spark, store.root + "-whole")
-    ingest_window(whole, frame_source(month(spark)))
+@pytest.mark.parametrize("chunk_days", [None, 2])
+def test_backfill_gives_the_same_tables_in_one_job_or_in_chunks(
+    spark, loaded, store, chunk_days
+):
+    """The second chunk begins mid-day and needs the KPIs of the first."""
     found = run_backfill(
         store, frame_source(month(spark)), "2024-01-01T00", "2024-01-03T23", chunk_days
     )
     assert found == 576
-    assert contents(store) == contents(whole)
+    assert contents(store) == loaded[2]
 
 
 def test_backfill_bounds_are_checked(spark, store):
@@ -175,14 +176,17 @@ def test_backfill_bounds_are_checked(spark, store):
         run_backfill(store, frame_source(month(spark)), "2024-02-01T00", "2024-01-01T00")
 
 
-def test_ragged_batch_follows_the_grid_or_the_reports(spark, store):
+def test_ragged_batch_follows_the_grid_or_the_reports(spark, store, caplog):
     raw = readings(
         spark,
         ("2024-01-01T00", "CAL", "D", 1),
+        ("2024-01-01T00", "CAL", "NG", 1, "Other Name"),
         ("2024-01-01T00", "NY", "D", 2),
         ("2024-01-01T05", "CAL", "D", 3),
     )
-    ingest_window(store, frame_source(raw))
+    with caplog.at_level(logging.WARNING):
+        ingest_window(store, frame_source(raw))
+    assert "CAL Region" in caplog.text and "Other Name" in caplog.text
     summary = store.read(schemas.GOLD_REGIONAL_SUMMARY)
     assert table(summary, "respondent", "latest_period", "latest_demand_mwh") == [
         ("CAL", "2024-01-01T05", 3.0),
@@ -197,19 +201,6 @@ def test_ragged_batch_follows_the_grid_or_the_reports(spark, store):
     ]
 
 
-def test_name_conflict_is_logged_by_name(spark, store, caplog):
-    raw = readings(
-        spark,
-        ("2024-01-01T00", "CAL", "D", 1, "California"),
-        ("2024-01-01T00", "CAL", "NG", 2, "Other Name"),
-    )
-    with caplog.at_level(logging.WARNING):
-        ingest_window(store, frame_source(raw))
-    assert "California" in caplog.text and "Other Name" in caplog.text
-    got = table(store.read(schemas.GOLD_GRID_BALANCE), "respondent_name")
-    assert got == [("California",)]
-
-
 def silver(spark, *rows):
     return normalize_silver(demand(spark, *rows), ["period", "respondent"])
 
