@@ -7,8 +7,8 @@ repeat endlessly, so plans hash them at the edge, carry the code through every
 operator in the ``respondent_name`` column, and look the text up at the end.
 
 The lookup is keyed by region and code, so two names can only be confused when
-one region has both and their 64-bit hashes are equal; that region's rows would
-then double and fail the grain check instead of being stored.
+one region has both and their 64-bit hashes are equal. ``require_distinct_codes``
+tests a lookup for that, at the cost of one pass over its few rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.errors import DataQualityError
+from gridpulse.operators.dedupe import duplicate_keys
 from gridpulse.operators.normalize import with_name_column
 
 
@@ -49,3 +51,10 @@ def decode_names(
         .withColumnRenamed("_text", column)
         .select(*df.columns)
     )
+
+
+def require_distinct_codes(lookup: DataFrame) -> DataFrame:
+    """Fail if a region has two names with one code, which would double rows."""
+    if not duplicate_keys(lookup, ["respondent", "name_code"]).isEmpty():
+        raise DataQualityError("Two names of one region have the same code")
+    return lookup

@@ -24,9 +24,20 @@ from gridpulse.operators.gold import (
     transform_demand_daily,
     transform_forecast_performance,
 )
-from gridpulse.operators.names import decode_names, encode_names
+from gridpulse.operators.names import (
+    decode_names,
+    encode_names,
+    require_distinct_codes,
+)
 from gridpulse.operators.normalize import normalize_readings
-from gridpulse.operators.quality import validate, warn_name_conflicts
+from gridpulse.operators.quality import (
+    RULES,
+    check_columns,
+    enforce_observed,
+    row_metrics,
+    validate,
+    warn_name_conflicts,
+)
 from gridpulse.operators.silver import (
     transform_demand,
     transform_generation,
@@ -66,6 +77,8 @@ _COUNT_NAMES = {
     schemas.GOLD_REGIONAL_SUMMARY.name: "gold_regional_summary_rows",
 }
 
+_FILTERED_TABLES = (schemas.SILVER_GENERATION, schemas.SILVER_INTERCHANGE)
+
 _SILVER_RESULTS = ("demand_rows", "generation_rows", "interchange_rows")
 
 
@@ -138,7 +151,7 @@ def ingest_window(
                 "null 'period' or 'respondent'"
             )
         coded, names = encode_names(readings)
-        names, _ = staging.write("names", names)
+        names = _lookup(staging, "names", names)
         silver = {
             table: _output(staging, table, decode_names(frame, names))
             for table, frame in build_silver(coded, densify).items()
@@ -163,8 +176,23 @@ class Output:
 
 
 def _output(staging: Staging, table: Table, frame: DataFrame) -> Output:
-    staged, found = staging.write(table.name, frame)
-    return Output(validate(staged, table), found["row_count"])
+    """Stage and check a table (V7).
+
+    Generation and interchange are filtered from the readings and may repeat a
+    key, so their grain is counted. Every other table comes out of an aggregate
+    by its key and is checked while it is written.
+    """
+    rules = RULES[table.name]
+    check_columns(frame, table.name, table.columns)
+    staged, found = staging.write(table.name, frame, *row_metrics(rules))
+    enforce_observed(found, rules)
+    if table in _FILTERED_TABLES:
+        validate(staged, table)
+    return Output(staged, found["row_count"])
+
+
+def _lookup(staging: Staging, name: str, names: DataFrame) -> DataFrame:
+    return require_distinct_codes(staging.write(name, names)[0])
 
 
 def _bronze_rows(readings: DataFrame) -> DataFrame:
@@ -192,7 +220,7 @@ def run_gold(
         return store.read_periods(schemas.SILVER_DEMAND, start, end)
 
     by_day, day_names = encode_names(complete_first_day(demand, stored_demand))
-    day_names, _ = staging.write("day_names", day_names)
+    day_names = _lookup(staging, "day_names", day_names)
     daily = _output(
         staging,
         schemas.GOLD_DEMAND_DAILY,
@@ -207,7 +235,7 @@ def run_gold(
     coded, lookups = zip(
         *[encode_names(frame) for frame in (demand, generation, interchange)]
     )
-    names, _ = staging.write("hour_names", reduce(DataFrame.union, lookups).distinct())
+    names = _lookup(staging, "hour_names", reduce(DataFrame.union, lookups).distinct())
     sides, _ = staging.write("sides", hourly_sides(*coded))
     conflicts = decode_names(conflicts_of(sides), names, "demand_name")
     warn_name_conflicts(decode_names(conflicts, names, "other_name"))
