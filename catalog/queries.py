@@ -27,6 +27,7 @@ from gridpulse.operators.names import decode_names, encode_names
 from gridpulse.operators.normalize import normalize_readings
 from gridpulse.plans.pipeline import complete_first_day, recent_performance
 from gridpulse.sources.export import DATASETS, export_meta, export_rows, to_records
+from gridpulse.sources.store import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +60,14 @@ class Readings:
 
     def __init__(self, raw: DataFrame):
         self.raw, self.names = encode_names(normalize_readings(raw))
+        self._written_demand: DataFrame | None = None
+
+    def write_demand(self) -> Readings:
+        """Write the hourly demand once, for queries that read it repeatedly."""
+        staging = Staging(self.raw.sparkSession)
+        self._written_demand, _ = staging.write("silver_demand", self.demand())
+        staging.close_at_exit()
+        return self
 
     def text(self, df: DataFrame, column: str = "respondent_name") -> DataFrame:
         return decode_names(df, self.names, column)
@@ -69,6 +78,8 @@ class Readings:
         return keep_last(self.raw, schemas.READING_KEY, "ordinal")
 
     def demand(self, densify: bool = True) -> DataFrame:
+        if densify and self._written_demand is not None:
+            return self._written_demand
         return silver.transform_demand(self.raw, densify)
 
     def generation(self) -> DataFrame:
@@ -90,6 +101,8 @@ class Readings:
         return gold.transform_grid_balance(*self.domains(densify))
 
     def summary(self) -> DataFrame:
+        if self._written_demand is None:
+            self.write_demand()
         return gold.transform_regional_summary(*self.domains(), self.performance())
 
 
@@ -144,7 +157,7 @@ def silver_range_read(r: Readings) -> DataFrame:
 
 
 def first_day_completion(r: Readings) -> DataFrame:
-    demand = r.demand()
+    demand = r.write_demand().demand()
 
     def stored(start: object, end: object) -> DataFrame:
         return demand.filter((F.col("period") >= start) & (F.col("period") < end))
@@ -155,7 +168,7 @@ def first_day_completion(r: Readings) -> DataFrame:
 def recent_performance_read(r: Readings) -> DataFrame:
     """The stored performance is the one before the window; the window's own
     days are fresh and replace it."""
-    performance = r.performance()
+    performance = r.write_demand().performance()
     split = F.lit(WINDOW_START[:10]).cast("date")
     fresh = performance.filter(F.col("date") >= split)
 
@@ -267,6 +280,7 @@ def _meta(name: str, build: Callable[[Readings], DataFrame]):
 
 
 def export_metadata(r: Readings) -> DataFrame:
+    r.write_demand()
     parts = [
         _meta("regional_summary", Readings.summary)(r),
         _meta("demand_daily", Readings.daily)(r),
@@ -295,7 +309,7 @@ def queries() -> dict[str, Query]:
         "gold_grid_balance": _events(lambda r: r.text(r.balance())),
         "gold_regional_summary": _events(lambda r: r.text(r.summary())),
         "recent_forecast_kpis": _events(
-            lambda r: gold.recent_forecast_kpis(r.performance())
+            lambda r: gold.recent_forecast_kpis(r.write_demand().performance())
         ),
         "latest_row_per_region": _events(latest_row_per_region),
         "checkpoint": _events(checkpoint),
