@@ -411,6 +411,8 @@ def oracle_sql() -> dict[str, str]:
                             "num:forecast_bias_mwh observation_count")}
             FROM gold_forecast_performance p
             WHERE p.date >= (SELECT max(date) FROM gold_forecast_performance) - 6""",
+        "stored_forecast_performance": _rows("gold_forecast_performance", _PERFORMANCE),
+        "stored_regional_summary": _rows("gold_regional_summary", _SUMMARY),
         "dq_demand": _report(
             "silver_demand", _HOURLY_KEY, warn_negative=("demand_mwh",)
         ),

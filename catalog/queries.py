@@ -25,9 +25,16 @@ from gridpulse.operators.dedupe import (
 )
 from gridpulse.operators.names import decode_names, encode_names
 from gridpulse.operators.normalize import normalize_readings
-from gridpulse.plans.pipeline import complete_first_day, recent_performance
+from gridpulse.plans.pipeline import (
+    Source,
+    complete_first_day,
+    frame_source,
+    recent_performance,
+    run_backfill,
+    run_pipeline,
+)
 from gridpulse.sources.export import DATASETS, export_meta, export_rows, to_records
-from gridpulse.sources.store import Staging
+from gridpulse.sources.store import Staging, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +45,9 @@ EXPORT_DAYS = 14
 WINDOW_START = "2024-01-10T12"
 REVISION_FROM = "2024-01-16T00"
 CHUNK_DAYS = 5
+HISTORY_START = "2024-01-01T00"
+HISTORY_END = "2024-01-30T23"
+HISTORY_CHUNK_DAYS = 15
 
 
 def records(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -271,6 +281,41 @@ def export_demand_daily(r: Readings) -> DataFrame:
     )
 
 
+def _stored(load: Callable[[TableStore, Source], object], table: schemas.Table) -> Query:
+    """A table as runs over a store leave it.
+
+    Generation and interchange must be unique to be stored, so the source gives
+    the last reading per key for them; demand keeps its duplicates.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = normalize_readings(event_readings(spark, sf_dir))
+        unique = F.col("type").isin(schemas.GENERATION, schemas.INTERCHANGE)
+        source = frame_source(
+            rows.filter(~unique).unionByName(
+                keep_last(rows.filter(unique), schemas.READING_KEY, "ordinal")
+            )
+        )
+        scratch = Staging(spark)
+        store = TableStore(spark, f"{scratch.root}/tables")
+        load(store, source)
+        scratch.close_at_exit()
+        return records(store.read(table))
+
+    return query
+
+
+def load_in_chunks(store: TableStore, source: Source) -> None:
+    """The whole history in two commits, the second beginning mid-day."""
+    run_backfill(store, source, HISTORY_START, HISTORY_END, HISTORY_CHUNK_DAYS)
+
+
+def load_then_catch_up(store: TableStore, source: Source) -> None:
+    """History up to the revision date, then one run to the present."""
+    run_backfill(store, source, HISTORY_START, REVISION_FROM)
+    run_pipeline(store, source, max_window_hours=31 * 24, now=NOW)
+
+
 def _meta(name: str, build: Callable[[Readings], DataFrame]):
     def query(r: Readings) -> DataFrame:
         rows = export_rows(build(r), DATASETS[name], EXPORT_NOW, EXPORT_DAYS)
@@ -318,6 +363,12 @@ def queries() -> dict[str, Query]:
         "backfill_window_counts": _events(backfill_window_counts),
         "first_day_completion": _events(first_day_completion),
         "recent_performance_read": _events(recent_performance_read),
+        "stored_forecast_performance": _stored(
+            load_in_chunks, schemas.GOLD_FORECAST_PERFORMANCE
+        ),
+        "stored_regional_summary": _stored(
+            load_then_catch_up, schemas.GOLD_REGIONAL_SUMMARY
+        ),
         "dq_demand": _events(_report(Readings.demand, "silver_demand")),
         "dq_generation": _events(raw_generation_quality),
         "dq_gold_daily": _events(_report(Readings.daily, "gold_demand_daily")),
