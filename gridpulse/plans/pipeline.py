@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +133,8 @@ def ingest_window(
 
     The raw batch is staged once and read by every table. All outputs are
     staged and validated before the first one is written, so a structural
-    failure leaves the store as it was.
+    failure leaves the store as it was. Bronze is written last: it holds the
+    checkpoint, so a run that dies while writing is repeated over its window.
     """
     prepare_session(store.spark)
     with Staging(store.spark) as staging:
@@ -152,19 +154,35 @@ def ingest_window(
             )
         coded, names = encode_names(readings)
         names = _lookup(staging, "names", names)
-        silver = {
-            table: _output(staging, table, decode_names(frame, names))
-            for table, frame in build_silver(coded, densify).items()
-        }
+        silver = _together(
+            {
+                table: partial(_output, staging, table, decode_names(frame, names))
+                for table, frame in build_silver(coded, densify).items()
+            }
+        )
         gold = run_gold(store, staging, *[output.frame for output in silver.values()])
-
+        outputs = {**silver, **gold}
+        _together(
+            {
+                table: partial(store.upsert_staged, table, output.frame, output.row_count)
+                for table, output in outputs.items()
+            }
+        )
         order = ["ordinal"] if "ordinal" in readings.columns else ["value"]
         store.upsert(schemas.BRONZE_READINGS, _bronze_rows(readings), *order)
-        counts = {"rows_extracted": found["row_count"]}
-        for table, output in {**silver, **gold}.items():
-            rows = store.upsert_staged(table, output.frame, output.row_count)
-            counts[_COUNT_NAMES[table.name]] = rows
-        return counts
+        return {
+            "rows_extracted": found["row_count"],
+            **{_COUNT_NAMES[t.name]: output.row_count for t, output in outputs.items()},
+        }
+
+
+def _together(jobs: dict) -> dict:
+    """Run independent Spark jobs from as many threads, so that the cluster
+    works on the next one while the last tasks of another finish. The first
+    failure, in the given order, is raised after all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
 
 
 @dataclass(frozen=True)
@@ -219,41 +237,48 @@ def run_gold(
     def stored_demand(start: object, end: object) -> DataFrame:
         return store.read_periods(schemas.SILVER_DEMAND, start, end)
 
-    by_day, day_names = encode_names(complete_first_day(demand, stored_demand))
-    day_names = _lookup(staging, "day_names", day_names)
-    daily = _output(
-        staging,
-        schemas.GOLD_DEMAND_DAILY,
-        decode_names(transform_demand_daily(by_day), day_names),
-    )
-    performance = _output(
-        staging,
-        schemas.GOLD_FORECAST_PERFORMANCE,
-        decode_names(transform_forecast_performance(by_day), day_names),
-    )
-
+    by_day, day_lookup = encode_names(complete_first_day(demand, stored_demand))
     coded, lookups = zip(
         *[encode_names(frame) for frame in (demand, generation, interchange)]
     )
-    names = _lookup(staging, "hour_names", reduce(DataFrame.union, lookups).distinct())
-    sides, _ = staging.write("sides", hourly_sides(*coded))
-    conflicts = decode_names(conflicts_of(sides), names, "demand_name")
-    warn_name_conflicts(decode_names(conflicts, names, "other_name"))
-    balance = _output(
-        staging, schemas.GOLD_GRID_BALANCE, decode_names(balance_of(sides), names)
+    hour_lookup = reduce(DataFrame.union, lookups).distinct()
+    staged = _together(
+        {
+            "day_names": partial(_lookup, staging, "day_names", day_lookup),
+            "hour_names": partial(_lookup, staging, "hour_names", hour_lookup),
+            "sides": lambda: staging.write("sides", hourly_sides(*coded))[0],
+        }
     )
-    history = recent_performance(performance.frame, store.read_recent_performance)
-    summary = _output(
-        staging,
-        schemas.GOLD_REGIONAL_SUMMARY,
-        decode_names(summary_of(sides, history), names),
+    day_names, names, sides = staged.values()
+
+    def output(table: Table, frame: DataFrame, lookup: DataFrame) -> Callable:
+        return partial(_output, staging, table, decode_names(frame, lookup))
+
+    conflicts = decode_names(conflicts_of(sides), names, "demand_name")
+    conflicts = decode_names(conflicts, names, "other_name")
+    gold = _together(
+        {
+            schemas.GOLD_DEMAND_DAILY: output(
+                schemas.GOLD_DEMAND_DAILY, transform_demand_daily(by_day), day_names
+            ),
+            schemas.GOLD_FORECAST_PERFORMANCE: output(
+                schemas.GOLD_FORECAST_PERFORMANCE,
+                transform_forecast_performance(by_day),
+                day_names,
+            ),
+            schemas.GOLD_GRID_BALANCE: output(
+                schemas.GOLD_GRID_BALANCE, balance_of(sides), names
+            ),
+            "conflicts": lambda: warn_name_conflicts(conflicts),
+        }
     )
-    return {
-        schemas.GOLD_DEMAND_DAILY: daily,
-        schemas.GOLD_FORECAST_PERFORMANCE: performance,
-        schemas.GOLD_GRID_BALANCE: balance,
-        schemas.GOLD_REGIONAL_SUMMARY: summary,
-    }
+    del gold["conflicts"]
+    performance = gold[schemas.GOLD_FORECAST_PERFORMANCE].frame
+    history = recent_performance(performance, store.read_recent_performance)
+    gold[schemas.GOLD_REGIONAL_SUMMARY] = output(
+        schemas.GOLD_REGIONAL_SUMMARY, summary_of(sides, history), names
+    )()
+    return gold
 
 
 def run_pipeline(
