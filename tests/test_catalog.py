@@ -31,4 +31,6 @@ def test_entry(spark):
 @needs_data
 @pytest.mark.parametrize("name", spark_entry.queries())
 def test_query_matches_sql(spark, duck, name):
-    assert not compare(spark, duck, name, SF_DIR)
+    # The smallest tables have no region-day with more than 24 readings.
+    empty = name == "coverage_check"
+    assert not compare(spark, duck, name, SF_DIR, allow_empty=empty)

@@ -4,9 +4,13 @@ import pytest
 from frames import readings, table
 
 from gridpulse import DataQualityError, schemas
-from gridpulse.operators.names import decode_names, encode_names
+from gridpulse.operators.names import (
+    decode_names,
+    encode_names,
+    require_distinct_codes,
+)
 from gridpulse.operators.normalize import normalize_readings
-from gridpulse.operators.quality import enforce, RULES, validate
+from gridpulse.operators.quality import RULES, enforce, enforce_observed, validate
 from gridpulse.operators.silver import (
     transform_demand,
     transform_generation,
@@ -138,6 +142,50 @@ def test_names_as_codes_give_the_same_rows_and_a_hash_aggregate(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_two_names_with_one_code_are_refused(spark):
+    schema = "respondent string, respondent_name string, name_code bigint"
+    fine = spark.createDataFrame([("CAL", "A", 1), ("CAL", "B", 2), ("NY", "A", 1)], schema)
+    assert require_distinct_codes(fine) is fine
+    clash = spark.createDataFrame([("CAL", "A", 1), ("CAL", "B", 1)], schema)
+    with pytest.raises(DataQualityError, match="same code"):
+        require_distinct_codes(clash)
+
+
+def test_a_third_of_all_rows_on_one_key_against_plain_python(spark):
+    """The hot hour and region, in many tasks, with nulls and three names."""
+    rows, first = [], {}
+    for i in range(3000):
+        key = (HOUR, "HOT") if i % 3 == 0 else (f"2024-01-01T{i % 24:02d}", f"R{i % 7}")
+        kind = "D" if i % 2 else "DF"
+        value = None if i < 300 or i % 5 == 0 else float((i * 37) % 1000)
+        name = None if i % 4 else f"Name {i % 3}"
+        rows.append((*key, kind, value, name))
+        seen = first.setdefault(key, {})
+        for field, item in ((kind, value), ("name", name)):
+            if item is not None:
+                seen.setdefault(field, item)
+    raw = normalize_readings(readings(spark, *rows)).repartition(8)
+    expected = sorted(
+        ((*key, s.get("name"), s.get("D"), s.get("DF")) for key, s in first.items()),
+        key=repr,
+    )
+    coded, lookup = encode_names(raw)
+    for result in (
+        transform_demand(raw, densify=False),
+        decode_names(transform_demand(coded, densify=False), lookup),
+    ):
+        assert table(result.drop("forecast_error_mwh", "forecast_error_pct")) == expected
+
+
+def test_observed_checks_raise_in_order():
+    rules = RULES["gold_demand_daily"]
+    enforce_observed({}, rules)
+    with pytest.raises(DataQualityError, match="2 row.*null 'respondent'"):
+        enforce_observed({"failures_1": 2, "failures_2": 1}, rules)
+    with pytest.raises(DataQualityError, match="negative 'demand_stddev_mwh'.*-1.5"):
+        enforce_observed({"failures_2": 1, "min_2": -1.5}, rules)
+
+
 def test_generation_and_interchange_keep_sign_null_and_duplicates(spark):
     raw = readings(
         spark,
