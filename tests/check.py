@@ -39,7 +39,8 @@ def compare(spark, con, name, sf_dir, allow_empty=False):
     if actual != expected:
         extra = sorted(set(actual) - set(expected))[:3]
         lost = sorted(set(expected) - set(actual))[:3]
-        return [f"{len(actual)} rows against {len(expected)}", f"extra {extra}", f"lost {lost}"]
+        sizes = f"{len(actual)} rows against {len(expected)}"
+        return [sizes, f"extra {extra}", f"lost {lost}"]
     return [] if actual or allow_empty else ["no rows"]
 
 
