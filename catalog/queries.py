@@ -247,16 +247,16 @@ def duplicate_grain(r: Readings) -> DataFrame:
 def renamed_regions(r: Readings) -> DataFrame:
     """Generation calls its even hours by another name than demand does."""
     demand, generation, interchange = r.domains()
-    return gold.name_conflicts(
-        r.text(demand),
+    upper = F.when(F.hour("period") % 2 == 0, F.upper("respondent_name"))
+    renamed, new_names = encode_names(
         r.text(generation).withColumn(
-            "respondent_name",
-            F.when(F.hour("period") % 2 == 0, F.upper("respondent_name")).otherwise(
-                F.col("respondent_name")
-            ),
-        ),
-        r.text(interchange),
+            "respondent_name", F.coalesce(upper, "respondent_name")
+        )
     )
+    names = r.names.union(new_names).distinct()
+    conflicts = gold.name_conflicts(demand, renamed, interchange)
+    conflicts = decode_names(conflicts, names, "demand_name")
+    return decode_names(conflicts, names, "other_name")
 
 
 def conflict_counts(r: Readings) -> DataFrame:
