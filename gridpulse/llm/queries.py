@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridpulse.llm.neardup import near_duplicates
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 
 
@@ -13,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -24,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op2_near_duplicates,
             op7_quality_rules,
         )
     }
