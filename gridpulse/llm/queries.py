@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridpulse.llm.fingerprints import compare_with_successor
 from gridpulse.llm.neardup import near_duplicates
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 
@@ -26,11 +27,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, trees).select("doc_id", *STATISTICS.names, "base_failed", "kept")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and what they share."""
+    return compare_with_successor(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op2_near_duplicates,
             op7_quality_rules,
+            op10_fingerprints,
         )
     }
