@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridpulse.llm.arrow import in_fold
 from gridpulse.llm.fingerprints import compare_with_successor
+from gridpulse.llm.langid import identify_language, learn_profiles
 from gridpulse.llm.neardup import near_duplicates
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 
@@ -20,6 +23,14 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document; a fifth is held out."""
+    docs = _table(spark, sf_dir, "documents")
+    profiles = learn_profiles(docs, folds=5, held_out=0)
+    found = identify_language(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", (in_fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op2_near_duplicates,
+            op6_language_id,
             op7_quality_rules,
             op10_fingerprints,
         )
