@@ -12,6 +12,7 @@ from gridpulse.llm.fingerprints import compare_with_successor
 from gridpulse.llm.langid import identify_language, learn_profiles
 from gridpulse.llm.neardup import near_duplicates
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
+from gridpulse.llm.toxicity import score_toxicity, train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,14 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document; a quarter is held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    found = score_toxicity(docs, model)
+    return found.select("doc_id", (in_fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document; a fifth is held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -48,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op2_near_duplicates,
+            op5_toxicity,
             op6_language_id,
             op7_quality_rules,
             op10_fingerprints,
