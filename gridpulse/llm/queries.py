@@ -11,6 +11,7 @@ from gridpulse.llm.arrow import in_fold
 from gridpulse.llm.fingerprints import compare_with_successor
 from gridpulse.llm.langid import identify_language, learn_profiles
 from gridpulse.llm.neardup import near_duplicates
+from gridpulse.llm.quality import score_quality, train_quality
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 from gridpulse.llm.toxicity import score_toxicity, train_toxicity
 
@@ -47,6 +48,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, trees).select("doc_id", *STATISTICS.names, "base_failed", "kept")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; a third is held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = train_quality(docs, _table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    found = score_quality(docs, network)
+    return found.select("doc_id", (in_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and what they share."""
     return compare_with_successor(_table(spark, sf_dir, "documents"))
@@ -60,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_toxicity,
             op6_language_id,
             op7_quality_rules,
+            op8_quality_classifier,
             op10_fingerprints,
         )
     }
