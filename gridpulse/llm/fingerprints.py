@@ -120,7 +120,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def in_descending_runs(docs: DataFrame, key: str) -> DataFrame:
-    """Rows dealt to sorted runs by descending ``key``, with ``run`` and ``follows``.
+    """Rows dealt to sorted runs by descending ``key`` (long), with ``run`` and ``follows``.
 
     Each run ends with a copy, marked ``follows``, of the first row of the next
     run; the last run's is the first row of all. So a row's successor is always
@@ -133,12 +133,12 @@ def in_descending_runs(docs: DataFrame, key: str) -> DataFrame:
     first = sorted({*(found["b"] or ()), found["m"]} - {None})  # the first key of each run, ascending
     n = len(first)
     x = F.col(key)
-    literals = [F.lit(v).cast(docs.schema[key].dataType) for v in first]
+    literals = [f"{v}L" for v in first]
     # Runs count from the largest key; a run holds the keys up to its first.
     below = F.coalesce(count_below(literals, x), F.lit(0)) if n else F.lit(0)
     own = F.greatest(F.lit(n - 1) - below, F.lit(0))
     # ``below`` is also the place of an equal boundary.
-    is_first = F.coalesce(F.element_at(F.array(*literals), F.least(below + 1, F.lit(n))) == x, F.lit(False)) if n else F.lit(False)
+    is_first = F.coalesce(F.element_at(F.expr(f"array({', '.join(literals)})"), F.least(below + 1, F.lit(n))) == x, F.lit(False)) if n else F.lit(False)
     before = F.pmod(own - 1, F.lit(max(n, 1)))
     places = F.array(
         F.struct(own.alias("run"), F.lit(False).alias("follows")),

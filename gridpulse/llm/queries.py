@@ -13,6 +13,7 @@ from gridpulse.llm.langid import identify_language, learn_profiles
 from gridpulse.llm.neardup import near_duplicates
 from gridpulse.llm.quality import score_quality, train_quality
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
+from gridpulse.llm.sharding import shard_by_bytes
 from gridpulse.llm.toxicity import score_toxicity, train_toxicity
 
 
@@ -20,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot."""
+    return shard_by_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of near copies."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -65,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_sharding,
             op2_near_duplicates,
             op5_toxicity,
             op6_language_id,
