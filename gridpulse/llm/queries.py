@@ -15,6 +15,7 @@ from gridpulse.llm.quality import score_quality, train_quality
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 from gridpulse.llm.sharding import shard_by_bytes
 from gridpulse.llm.toxicity import score_toxicity, train_toxicity
+from gridpulse.llm.urls import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (in_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict."""
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and what they share."""
     return compare_with_successor(_table(spark, sf_dir, "documents"))
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_language_id,
             op7_quality_rules,
             op8_quality_classifier,
+            op9_url_filters,
             op10_fingerprints,
         )
     }
