@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from gridpulse.llm.arrow import in_fold
 from gridpulse.llm.fingerprints import compare_with_successor
 from gridpulse.llm.langid import identify_language, learn_profiles
+from gridpulse.llm.mixing import mix_sources, source_rates
 from gridpulse.llm.neardup import near_duplicates
+from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import score_quality, train_quality
 from gridpulse.llm.rules import STATISTICS, judge_quality, train_rules
 from gridpulse.llm.sharding import shard_by_bytes
@@ -32,6 +34,17 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, repeated to their sources' target weights and shuffled."""
+    docs = _table(spark, sf_dir, "documents")
+    return mix_sources(docs, source_rates(docs))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in batches of their length buckets."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document; a quarter is held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,6 +92,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_sharding,
             op2_near_duplicates,
+            op3_mixing,
+            op4_packing,
             op5_toxicity,
             op6_language_id,
             op7_quality_rules,
