@@ -91,16 +91,13 @@ def mix_sources(
         parts.alias("_parts"),
         poisson_table(F.col("rate") / parts).alias("_sums"),
     )
-    drawn = F.aggregate(
-        F.sequence(F.lit(0), F.col("_parts") - 1),
-        F.lit(0),
-        lambda n, part: n + F.size(F.filter("_sums", lambda s: s < hashed_uniform(F.lit(seed), F.col(key), part))),
-    )
+    # One number for each part, then the inverse of the distribution at each.
+    draws = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda part: hashed_uniform(F.lit(seed), F.col(key), part))
+    drawn = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_sums", lambda s: s < u)))
     repeated = (
         docs.join(tables, F.col(source).eqNullSafe(F.col("_of_source")))
         .withColumn("_n", drawn)
-        .filter("_n > 0")
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias(copy))
+        .select(*docs.columns, F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))).alias(copy))
         .withColumn(order, F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(copy).cast("string"))))
     )
     return repeated.repartition(order).sortWithinPartitions(order)

@@ -2,6 +2,121 @@
 
 from __future__ import annotations
 
+from gridpulse.llm import mixing, urls
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+MIXING = f"""
+WITH RECURSIVE sized AS (
+  SELECT source, sum(greatest(coalesce(strlen(text), 0), 1)) AS bytes FROM documents GROUP BY source
+), weighted AS (
+  SELECT source, bytes, pow(bytes::DOUBLE, {mixing.EXPONENT}) AS weight FROM sized
+), rates AS (
+  SELECT source, weight / (SELECT sum(weight) FROM weighted) * (SELECT sum(bytes) FROM sized)::DOUBLE / bytes AS rate
+  FROM weighted
+), steps(source, rate, k, p, s) AS (
+  SELECT source, rate, 0, exp(-rate), exp(-rate) FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, p * rate / (k + 1), s + p * rate / (k + 1) FROM steps
+  WHERE k < ceil(rate + 12 * sqrt(rate) + 30)
+), drawn AS (
+  SELECT *, (('0x' || substr(md5('{mixing.SEED}:' || doc_id || ':0'), 1, 13))::BIGINT + 0.5) / {mixing._UNIT}::DOUBLE AS u
+  FROM documents
+), counted AS (
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(t.s) AS n
+  FROM drawn d LEFT JOIN steps t ON t.source IS NOT DISTINCT FROM d.source AND t.s < d.u
+  GROUP BY ALL
+), copies AS (
+  SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1))::INTEGER AS copy FROM counted
+)
+SELECT *, md5('{mixing.SEED}:' || doc_id || ':' || copy) AS shuffle_key FROM copies
+"""
+
+
+def _model(order: int) -> str:
+    """The n-grams of one order, smoothed by the order below."""
+    context = f"left(right(gram, {order}), {order - 1})"
+    if order == 1:
+        lower, join = f"1.0 / {urls.ALPHABET}", ""
+        sides = {side: lower for side in "ab"}
+    else:
+        sides = {side: f"l.p{side}" for side in "ab"}
+        join = f"JOIN order_{order - 1} l ON l.gram = right(g.gram, {order - 1})"
+    p = {
+        side: f"(g.{side} + {urls.SMOOTHING}::DOUBLE * {sides[side]}) / (c.{side} + {urls.SMOOTHING}::DOUBLE)" for side in "ab"
+    }
+    return f"""
+, order_{order} AS (
+  SELECT g.gram, {p["a"]} AS pa, {p["b"]} AS pb
+  FROM (SELECT right(gram, {order}) AS gram, sum(a) AS a, sum(b) AS b FROM counts GROUP BY 1) g
+  JOIN (SELECT {context} AS context, sum(a) AS a, sum(b) AS b FROM counts GROUP BY 1) c
+    ON c.context = left(g.gram, {order - 1})
+  {join}
+  WHERE g.a + g.b >= (SELECT m FROM least_count)
+)"""
+
+
+def _rule_cases() -> tuple[str, str]:
+    longest_first = sorted(urls.RULES, key=lambda r: -len(r.name))
+    fits = [
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN "
+        for r in longest_first
+    ]
+    names = " ".join(f"{f}'{r.name}'" for f, r in zip(fits, longest_first))
+    verdicts = " ".join(f"{f}'{r.verdict}'" for f, r in zip(fits, longest_first))
+    return f"CASE {names} END", f"CASE {verdicts} END"
+
+
+_NAMES, _VERDICTS = _rule_cases()
+_ORDERS = range(1, urls.ORDER + 1)
+_LLR = "coalesce(" + ", ".join(f"round(ln(m{k}.pa / m{k}.pb) * {urls.MICRO})::BIGINT" for k in reversed(_ORDERS)) + ", 0)"
+
+URLS = f"""
+WITH rest AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+), ruled AS (
+  SELECT *, {_NAMES} AS rule, {_VERDICTS} AS ruled FROM parts
+), urls AS (
+  SELECT DISTINCT url, ruled AS verdict, left(md5(url), 1) IN {urls.HELD_OUT} AS held_out FROM ruled WHERE url <> ''
+), padded AS (
+  SELECT *, repeat(chr(1), {urls.ORDER - 1}) || translate(url, '{_UPPER}', '{_LOWER}') || chr(2) AS padded FROM urls
+), positions AS (
+  SELECT url, verdict, held_out, substr(padded, i, {urls.ORDER}) AS gram
+  FROM padded, unnest(range(1, length(url) + 2)) AS t(i)
+), counts AS (
+  SELECT gram, sum((verdict = 'allow')::INTEGER) AS a, sum((verdict = 'block')::INTEGER) AS b
+  FROM positions WHERE verdict IS NOT NULL AND NOT held_out GROUP BY gram
+), least_count AS (
+  SELECT greatest({urls.MIN_GRAMS}, ceil(sum(a + b) / {urls.MAX_GRAMS}::DOUBLE)) AS m FROM counts
+)
+{"".join(_model(k) for k in _ORDERS)}
+, totals AS (
+  SELECT url, sum({_LLR}) AS total, count(*) AS n FROM positions p
+  {" ".join(f"LEFT JOIN order_{k} m{k} ON m{k}.gram = right(p.gram, {k})" for k in _ORDERS)}
+  GROUP BY url
+), scores AS (
+  SELECT url, greatest(-{urls.BINS}, least({urls.BINS}, floor(total / (n * {urls.BIN}::DOUBLE)))) AS bin FROM totals
+), bins AS (
+  SELECT bin, sum((verdict = 'allow')::INTEGER) AS a, sum((verdict = 'block')::INTEGER) AS b
+  FROM urls JOIN scores USING (url) WHERE verdict IS NOT NULL AND held_out GROUP BY bin
+), ranked AS (
+  SELECT bin, sum(a) OVER () AS all_a, sum(b) OVER () AS all_b,
+    coalesce(sum(a) OVER below, 0) AS a_below, coalesce(sum(b) OVER below, 0) AS b_below
+  FROM bins WINDOW below AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), threshold AS (
+  SELECT coalesce((SELECT bin FROM ranked WHERE all_a > 0 AND all_b > 0
+    ORDER BY (all_a - a_below) * all_b + b_below * all_a DESC, bin LIMIT 1), 0) AS bin
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(ruled, CASE WHEN s.bin >= (SELECT bin FROM threshold) THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled LEFT JOIN scores s USING (url)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": MIXING, "op9_url_filters": URLS}
