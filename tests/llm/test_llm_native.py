@@ -1,0 +1,187 @@
+"""Operators 1, 3, 4 and 9."""
+
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from check import compare, connect
+from pyspark.sql import functions as F
+
+from gridpulse.llm.membership import split_by_ids
+from gridpulse.llm.mixing import mix_sources, poisson_table, source_rates
+from gridpulse.llm.packing import optimal_buckets, pack
+from gridpulse.llm.ranges import count_below
+from gridpulse.llm.sharding import shard_by_bytes
+from gridpulse.llm.urls import Rule, filter_urls
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def native(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [],
+        [(1, None), (None, None), (2, ""), (2, ""), (5, "a")],
+        [(i, "same" * 10) for i in range(500)] + [(1000 + i, "x" * i) for i in range(100)],
+        [(i, f"text {i % 150} " * (i % 7 + 1)) for i in range(900)],
+    ],
+)
+def test_shards_hold_all_rows_and_equal_bytes(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = shard_by_bytes(docs)
+    assert native(result)
+    got = result.collect()
+
+    def crc(text):
+        return zlib.crc32((text or "").encode())
+
+    want = sorted([(i, len((t or "").encode()) + 1, crc(t)) for i, t in rows], key=repr)
+    assert sorted([(r["doc_id"], r["size"], r["text_crc32"]) for r in got], key=repr) == want
+    shards = defaultdict(list)
+    for r in got:
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < 16
+        shards[r["shard"]].append(r)
+    for members in shards.values():
+        assert sorted(r["slot"] for r in members) == list(range(len(members)))
+    if len(rows) > 100:
+        due = sum(r["size"] for r in got) / 16
+        slack = max(r["size"] for r in got) + due / 16
+        assert all(abs(sum(r["size"] for r in m) - due) <= slack for m in shards.values())
+
+
+def test_small_groups_are_not_cut(spark):
+    rng = random.Random(0)
+    rows = [(i, f"t{rng.randrange(1200)} " * 9) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    of_text = defaultdict(set)
+    for r in shard_by_bytes(docs).collect():
+        of_text[text[r["doc_id"]]].add(r["shard"])
+    assert all(len(shards) == 1 for shards in of_text.values())
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 10, 50])
+def test_count_below(spark, n):
+    values = [3 * k for k in range(n)]
+    df = spark.range(-2, 3 * n + 2)
+    literals = [f"{v}L" for v in values]
+    rows = df.select("id", count_below(literals, F.col("id")).alias("a"), count_below(literals, F.col("id"), True).alias("b"))
+    for r in rows.collect():
+        assert r["a"] == sum(v < r["id"] for v in values) and r["b"] == sum(v <= r["id"] for v in values)
+
+
+def test_id_filter_loses_nothing(spark):
+    df = spark.range(5000).selectExpr("id", "'x' AS bit_place").union(spark.createDataFrame([(None, "n")], "id long, b string"))
+    ids = spark.range(0, 5000, 7).selectExpr("id AS node")
+    for bits in (64, 1 << 16):
+        maybe, others = split_by_ids(df, "id", ids, bits)
+        m, o = ([r["id"] for r in part.collect()] for part in (maybe, others))
+        assert set(range(0, 5000, 7)) <= set(m) and len(m) + len(o) == 5001 and not set(m) & set(o)
+        assert None in o and maybe.columns == df.columns
+
+
+def test_mixing_meets_the_weights_and_repeats_itself(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "repeat('x', 10) AS text", "if(id % 3 = 0, 'a', if(id % 3 = 1, 'b', null)) AS source")
+    rates = source_rates(docs, weights={"a": 3.0, "b": 1.0})
+    assert {r["source"]: round(r["rate"], 6) for r in rates.collect()} == {"a": 2.25, "b": 0.75, None: 0.0}
+    result = mix_sources(docs, rates)
+    assert native(result)
+    counts = {r["source"]: r["count"] for r in result.groupBy("source").count().collect()}
+    assert set(counts) == {"a", "b"} and abs(counts["a"] - 4500) < 300 and abs(counts["b"] - 1500) < 150
+    first = sorted(tuple(r) for r in result.collect())
+    assert first == sorted(tuple(r) for r in mix_sources(docs.repartition(7), rates).collect())
+    per_doc = defaultdict(list)
+    for r in first:
+        per_doc[r[0]].append(r[3])
+    assert all(sorted(c) == list(range(1, len(c) + 1)) for c in per_doc.values())
+    order = [r["doc_id"] for r in result.collect()]
+    assert order != sorted(order)
+
+
+def test_mixing_large_rates_clashes_and_empty(spark):
+    docs = spark.createDataFrame([(1, "a", "s", 9), (2, None, None, 9)], "doc_id long, text string, source string, copy int")
+    result = mix_sources(docs, source_rates(docs, epochs=3000.0))
+    counts = {r["doc_id"]: r["count"] for r in result.groupBy("doc_id").count().collect()}
+    assert all(abs(n - 3000) < 400 for n in counts.values()) and len(counts) == 2
+    assert result.columns == [*docs.columns, "_copy", "shuffle_key"]
+    assert mix_sources(docs.limit(0), source_rates(docs.limit(0))).count() == 0
+    table = spark.range(1).select(poisson_table(F.lit(2.0)).alias("t")).first()["t"]
+    assert table[0] == pytest.approx(np.exp(-2)) and table[-1] == pytest.approx(1.0)
+
+
+def test_buckets_are_optimal():
+    rng = random.Random(1)
+    for _ in range(60):
+        lengths = sorted(rng.choices(range(40), k=rng.randint(1, 12)))
+        own, k = sorted(set(lengths)), rng.randint(1, 5)
+
+        def padding(borders):
+            return sum(next(b for b in borders if b >= n) - n for n in lengths)
+
+        best = min(padding([*c, own[-1]]) for r in range(min(k, len(own))) for c in itertools.combinations(own[:-1], r))
+        counts = [lengths.count(n) for n in own]
+        got = optimal_buckets(np.array(counts), np.array([n * c for n, c in zip(own, counts)]), np.array(own), k)
+        assert best == got.padding == padding(got.longest) and len(got.longest) <= k
+
+
+def test_batches_are_full_and_hold_every_row(spark):
+    rng = random.Random(9)
+    rows = [(i, "w " * (30 if i % 3 == 0 else rng.randrange(400))) for i in range(1200)]
+    rows += [(None, None), (5, ""), (5, ""), (6, "long " * 90000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("BATCH", F.lit("own"))
+    out = pack(docs, batch_tokens=3000, buckets=4).drop("text").collect()
+    assert len(out) == len(rows) and all(r["BATCH"] == "own" for r in out)
+    groups = defaultdict(lambda: defaultdict(list))
+    for r in out:
+        assert r["n_tokens"] + r["padding"] == r["bucket_tokens"] and r["padding"] >= 0
+        groups[r["bucket"], r["bucket_tokens"]][r["_batch"]].append(r["slot"])
+    for (_, tokens), batches in groups.items():
+        capacity = max(1, 3000 // max(tokens, 1))
+        assert sorted(batches) == list(range(len(batches)))
+        assert all(sorted(s) == list(range(len(s))) for s in batches.values())
+        assert all(len(batches[b]) == capacity for b in range(len(batches) - 1))
+    assert pack(docs.limit(0)).count() == 0
+
+
+def test_url_rules_and_edges(spark):
+    rows = [(1, None), (2, ""), (3, "nope"), (4, "HTTP://WWW.A.NET/x"), (5, "http://a.net"), (6, "http://a.net?x=/"), (7, "x://b://example.net/en/1"),
+            (8, "http://example.net/en/"), (9, "http://org/fr/"), (10, "http://q.example.com/de/é?/fr"), (11, "http://notnet/"), (11, "http://notnet/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("own"))
+    result = filter_urls(pages)
+    assert native(result)
+    got = {r["page_id"]: tuple(r)[1:] for r in result.collect()}
+    assert got[1] == got[2] == ("", "", None, "block") and got[3][:3] == ("", "", None)
+    assert got[4] == ("www.a.net", "/x", "net/", "block")
+    assert got[5][:3] == ("a.net", "", None) and got[6][:3] == ("a.net", "", None)
+    assert got[7][:3] == ("b:", "//example.net/en/1", None)
+    assert got[8] == ("example.net", "/en/", "example.net/en/", "allow")
+    assert got[9] == ("org", "/fr/", "org/fr/", "allow")
+    assert got[10] == ("q.example.com", "/de/é", "example.com/de/", "block")
+    assert got[11][2] is None and result.count() == 12
+    assert filter_urls(pages.limit(0)).count() == 0
+
+
+def test_url_models_tell_kinds_of_hosts_apart(spark):
+    rng = random.Random(0)
+    rows = []
+    for i in range(900):
+        good = i % 2
+        name = "".join(rng.choice("aeiou" if good else "xzqkv") for _ in range(8))
+        rows.append((i, f"http://{name}.{('good' if good else 'bad') if i % 3 else 'free'}/{rng.randrange(99)}"))
+    rules = [Rule("allow", "good", "/"), Rule("block", "bad", "/")]
+    got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).filter("rule is null").collect()
+    right = [(r["verdict"] == "allow") == bool(r["page_id"] % 2) for r in got]
+    assert len(right) == 300 and np.mean(right) > 0.98
+
+
+@pytest.mark.parametrize("name", ["op3_mixing", "op9_url_filters"])
+def test_query_matches_sql(spark, name):
+    assert not compare(spark, connect(SF_DIR), name, SF_DIR)
