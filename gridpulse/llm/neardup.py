@@ -8,14 +8,15 @@ How no link is lost and nothing grows with the square of a group:
 
 * Documents with equal sets form a class. One of them stands for it, so a group
   of exact copies of any size is one node.
-* A band that only two classes share names one pair. Larger band groups are cut
-  into blocks of at most ``BLOCK`` members, and each pair of blocks is compared
-  by signatures in one task of bounded size. A pair is taken up only in the
-  first band it shares, and only if its signatures let a link be thinkable.
-* Pairs are verified in rounds: first each member's few most similar ones, then
-  the rest, but from then on only pairs that no chain of verified links joins
-  already. So a dense group costs a few pairs a member, and rounds go on until
-  no pair is left out.
+* A band that only two classes share names one pair. Bands that the same classes
+  share are one band group. Larger groups are cut into blocks of ``BLOCK`` members,
+  so that a task holds the full sets of two blocks at most.
+* Inside a block, pairs are taken by falling similarity of their signatures, in
+  the first band they share and only if their signatures let a link be thinkable.
+  A pair is compared by its full sets unless links found before join it already,
+  so a block yields fewer links than it has members, however dense it is. Pairs
+  of members of two blocks follow in a second round, for groups of several blocks
+  that the first round's links have not joined into one component.
 
 With 32 bands of 6 registers, a pair at similarity 0.85 shares no band with
 probability 3e-7, and less above; ``SLACK`` standard deviations make the
@@ -49,8 +50,6 @@ BANDS = 32
 ROWS = 6
 SLACK = 5.0
 BLOCK = 2048
-# Ranks of a member's partners that one round verifies; the last takes all.
-WINDOWS = ((0, 8), (8, 64), (64, 1 << 62))
 
 _SKETCH = (
     T.StructType()
@@ -91,19 +90,16 @@ def _sketch(column: pa.Array) -> list[pa.Array]:
 
 
 def _sets(column: pa.Array) -> list[pa.Array]:
-    """Each document's shingle set as bytes, and its digest."""
+    """Each document's shingle set as bytes."""
     sets: list[bytes] = []
-    digests = []
     for _, _, data, at in blocks(column):
         values, offsets = shingle_sets(data, at)
         sets += [values[offsets[d] : offsets[d + 1]].tobytes() for d in range(len(at) - 1)]
-        digests.append(set_digests(values, offsets)[0])
-    return [pa.array(sets, pa.binary()), as_long(np.concatenate(digests) if digests else np.zeros(0, np.uint64))]
+    return [pa.array(sets, pa.binary())]
 
 
-def similar_sets(a: bytes, b: bytes, percent: int) -> bool:
+def similar_sets(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, of two sorted sets."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     if len(x) > len(y):
         x, y = y, x
     if not len(x) or percent * len(y) > 100 * len(x):
@@ -120,24 +116,24 @@ def _thinkable(percent: int) -> float:
     return least + (1 - least) / 256
 
 
-def block_pairs(
+def block_links(
     band: int,
     node: np.ndarray,
-    size: np.ndarray,
     root: np.ndarray,
+    sets: list[np.ndarray],
     signature: np.ndarray,
     split: int,
-    window: tuple[int, int],
     percent: int,
-) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs of one block, or of its first ``split`` members with the others.
+) -> list[tuple[int, int]]:
+    """Verified links that join what a block's pairs join: a forest.
 
-    Returns the pairs whose rank for either member is in the window and that
-    have different roots, and whether any such pair ranks beyond it.
+    ``split`` is 0 for a block of its own, else the first ``split`` members are
+    paired with the others. Members with equal ``root`` are joined already.
     """
     rows = np.arange(split or len(node))
     columns = np.arange(split, len(node))
-    similar = np.full((len(rows), len(columns)), -1.0, np.float32)
+    size = np.array([len(s) for s in sets])
+    similar = np.empty((len(rows), len(columns)), np.float32)
     step = max(1, (1 << 24) // max(1, len(columns) * signature.shape[1]))
     for s in range(0, len(rows), step):
         equal = signature[rows[s : s + step], None, :] == signature[None, columns, :]
@@ -151,87 +147,74 @@ def block_pairs(
     if not split:
         similar[np.tril_indices(len(rows))] = -1
     i, j = np.nonzero(similar >= 0)
-    if not len(i):
-        return node[:0], node[:0], False
-    score = similar[i, j]
-    i, j = rows[i], columns[j]
-
-    def ranks(own: np.ndarray, other: np.ndarray) -> np.ndarray:
-        order = np.lexsort((node[other], -score, own))
-        _, first = np.unique(own[order], return_index=True)
-        place = np.zeros(len(order), np.int64)
-        place[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-        return place
-
-    if split:
-        rank = np.minimum(ranks(i, j), ranks(j, i))
+    order = np.argsort(-similar[i, j], kind="stable")
+    own = np.unique(root, return_inverse=True)[1].tolist()  # each member's component number
+    parent = list(range(max(own, default=-1) + 1))
+
+    def find(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    links = []
+    for a, b in zip(rows[i[order]].tolist(), columns[j[order]].tolist()):
+        p, q = find(own[a]), find(own[b])
+        if p != q and similar_sets(sets[a], sets[b], percent):
+            parent[max(p, q)] = min(p, q)
+            links.append((int(node[a]), int(node[b])))
+    return links
+
+
+def _compare(members: DataFrame, percent: int, across: bool) -> DataFrame:
+    """Links (a, b) inside the blocks of band groups, or ``across`` their blocks.
+
+    ``members`` has bucket, n, band, node, root, set and signature.
+    """
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node", "bucket"), count).cast("int")
+    placed = members.withColumn("blocks", count).withColumn("own", own)
+    if across:
+        others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("own"))
+        placed = placed.withColumn("other", F.explode(others))
     else:
-        own, other = np.r_[i, j], np.r_[j, i]
-        score = np.r_[score, score]
-        both = ranks(own, other)
-        rank = np.minimum(both[: len(i)], both[len(i) :])
-    apart = root[i] != root[j]
-    taken = apart & (rank >= window[0]) & (rank < window[1])
-    return node[i[taken]], node[j[taken]], bool((apart & (rank >= window[1])).any())
-
-
-def _compare(members: DataFrame, window: tuple[int, int], percent: int) -> DataFrame:
-    """Candidate pairs of band groups; ``more`` marks a group with pairs to come."""
-    blocks_of = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "bucket"), blocks_of).cast("int")
-    placed = (
-        members.withColumn("blocks", blocks_of)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own",
-            "band",
-            "node",
-            "n_shingles",
-            "root",
-            "signature",
-        )
+        placed = placed.withColumn("other", F.col("own"))
+    placed = placed.select(
+        "bucket",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        "own",
+        "band",
+        "node",
+        "root",
+        "set",
+        "signature",
     )
     keys = ["bucket", "low", "high"]
     dealt = placed.repartition(*keys).sortWithinPartitions(*keys, "own", "node")
 
-    def pairs_of(group: pa.Table):
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    def links_of(group: pa.Table) -> list[tuple[int, int]]:
         own = group["own"].to_numpy()
+        split = int((own == group["low"][0].as_py()).sum()) if across else 0
+        if len(own) < 2 or split == len(own):
+            return []
         signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8)
-        split = int((own == low).sum()) if low != high else 0
-        if low != high and split == len(own):
-            return None
-        return block_pairs(
+        return block_links(
             group["band"][0].as_py(),
             group["node"].to_numpy(),
-            group["n_shingles"].to_numpy(),
             group["root"].to_numpy(),
+            [np.frombuffer(s, np.uint64) for s in group["set"].to_pylist()],
             signature.reshape(len(own), -1),
             split,
-            window,
             percent,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, keys):
-            found = pairs_of(group) if len(group) > 1 else None
-            if found is None:
-                continue
-            a, b, more = found
-            if more:  # a row without a pair
-                a, b = np.r_[a, 0], np.r_[b, 0]
-            flag = np.zeros(len(a), bool)
-            flag[len(a) - more :] = more
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(flag)],
-                names=["a", "b", "more"],
-            )
-
-    return dealt.mapInArrow(run, "a long, b long, more boolean")
+            links = np.array(links_of(group), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -274,7 +257,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             x, y = batch.column("set_of_a"), batch.column("set_of_b")
             linked = [
-                similar_sets(x[i].as_buffer(), y[i].as_buffer(), percent) for i in range(batch.num_rows)
+                similar_sets(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64), percent)
+                for i in range(batch.num_rows)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
@@ -310,19 +294,19 @@ def near_duplicates(
     rows = shared.write(sketched.select("node", "n_shingles", "set_a", "set_b"), "rows")
     shared.drop(sketched)
 
-    # Band groups with more than one class.
+    # Band groups of more than one class, and of equal groups the first band's.
     banded = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    members_of = [F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x")]
     groups = shared.write(
         banded.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
-        .filter("n > 1"),
+        .agg(*members_of, F.min("band").alias("band"))
+        .filter("n > 1")
+        .groupBy("n", "a", "b", "x")
+        .agg(F.min_by("bucket", "band").alias("bucket")),
         "groups",
     )
-    couples = groups.filter("n = 2 and a <> b").select("a", "b").distinct()
-    members = shared.write(
-        banded.join(groups.filter("n > 2").select("bucket", "n"), "bucket"), "members"
-    )
-    signed = classes.select("node", "n_shingles", "signature")
+    couples = shared.write(groups.filter("n = 2 and a <> b").select("a", "b").distinct(), "couples")
+    members = shared.write(banded.join(groups.filter("n > 2").select("bucket", "n"), "bucket"), "members")
 
     # The sets of all classes that any candidate pair can name, made once.
     named = shared.write(
@@ -330,30 +314,23 @@ def near_duplicates(
         "named",
     )
     maybe, _ = split_by_ids(texts, "node", named)
-    set_fields = T.StructType().add("set", "binary").add("set_a", "long")
     sets = shared.write(
-        with_kernel(maybe.join(named, "node", "left_semi"), "text", set_fields, _sets).select("node", "set"),
+        with_kernel(maybe.join(named, "node", "left_semi"), "text", T.StructType().add("set", "binary"), _sets)
+        .select("node", "set")
+        .join(classes.select("node", "signature"), "node"),
         "sets",
     )
 
-    roots = edges = None
-    for window in WINDOWS:
-        if roots is None:
-            open_members = members.withColumn("root", F.col("node"))
-        else:
-            # Groups that lie in one component have nothing left to find.
-            labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            apart = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-            open_members = labelled.join(apart.select("bucket"), "bucket", "left_semi")
-        found = shared.write(_compare(open_members.join(signed, "node"), window, percent), "pairs")
-        pairs = found.filter("not more").select("a", "b").distinct()
-        if roots is None:
-            pairs = pairs.unionByName(couples).distinct()
-        linked = shared.write(_verify(pairs, sets, percent), "links")
-        edges = linked if edges is None else edges.unionByName(linked)
-        roots = components(edges, shared)
-        if found.filter("more").isEmpty():
-            break
+    inside = members.withColumn("root", F.col("node")).join(sets, "node")
+    links = shared.write(_compare(inside, percent, across=False).unionByName(_verify(couples, sets, percent)), "links")
+    roots = components(links, shared)
+    several = members.filter(F.col("n") > BLOCK)
+    if not several.isEmpty():
+        labelled = several.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        across = labelled.join(apart.select("bucket"), "bucket", "left_semi").join(sets, "node")
+        links = links.unionByName(shared.write(_compare(across, percent, across=True), "links-across"))
+        roots = components(links, shared)
 
     answer = (
         rows.join(classes.select("set_a", "set_b", F.col("node").alias("of_class")), ["set_a", "set_b"], "left")
