@@ -16,26 +16,31 @@ scores are the share of label 1, or 0 without any example.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse.llm.arrow import labelled_sample, with_kernel
-from gridpulse.llm.tokens import SpanHasher, blocks
+from gridpulse.llm.stages import Shared
+from gridpulse.llm.tokens import SpanHasher, blocks, mix, shingle_sets
 
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4_096
 MIN_DOCUMENTS = 3
-# Log-likelihood ratio that a term's dependence on the label must reach.
+# Log-likelihood ratio that a term's dependence on the label must reach, and the
+# factor by which the term must change the odds of the label.
 MIN_G2 = 15.0
+MIN_ODDS_RATIO = 4.0
 NEIGHBOURS = 16
 BLOCK = 64
+FIRST_BLOCKS = 4
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
 CALIBRATION_EXAMPLES = 4_000
@@ -116,48 +121,56 @@ class BlockMaxIndex:
     ids: np.ndarray
     label: np.ndarray
     best: np.ndarray  # terms x blocks
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # of each block, by term
+    postings: list[tuple[np.ndarray, np.ndarray]]  # of each term: places of examples, weights
+
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Cosines with the examples of the chosen blocks; 0 for the others."""
+        scores = np.zeros(len(self.ids))
+        for term, weight in zip(terms.tolist(), weights.tolist()):
+            places, own = self.postings[term]
+            hit = chosen[places // BLOCK]
+            scores[places[hit]] += weight * own[hit]
+        return scores
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the ``k`` nearest examples, ties by place."""
-        if not self.postings:
+        """Places and cosines of the ``k`` nearest examples, ties by place.
+
+        The blocks with the highest bounds come first; of the others only those
+        whose bound reaches the k-th cosine found can hold a nearer example.
+        """
+        if not len(self.ids):
             return np.zeros(0, np.int64), np.zeros(0)
         bound = weights @ self.best[terms]
-        places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        pairs = list(zip(terms.tolist(), weights.tolist()))
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(places) == k and bound[b] < cosines[-1] - 1e-9):
-                break
-            scores = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for term, weight in pairs:
-                found = self.postings[b].get(term)
-                if found is not None:
-                    scores[found[0]] += weight * found[1]
-            own = np.flatnonzero(scores > 0)
-            own = own[own + b * BLOCK != without]
-            places = np.r_[places, own + b * BLOCK]
-            cosines = np.r_[cosines, scores[own]]
-            order = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[order], cosines[order]
-        return places, cosines
+        first = np.zeros(len(bound), bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        scores = self._scores(terms, weights, first)
+
+        def least_of_nearest() -> float:
+            if without >= 0:
+                scores[without] = 0.0
+            return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+
+        rest = ~first & (bound > 0) & (bound >= least_of_nearest() - 1e-9)
+        if rest.any():
+            scores += self._scores(terms, weights, rest)
+        places = np.flatnonzero((scores > 0) & (scores >= least_of_nearest()))
+        places = places[np.lexsort((places, -scores[places]))[:k]]
+        return places, scores[places]
 
 
 def build_index(ids: list[int], label: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
     """Blocks of examples that share their heaviest term, for tight bounds."""
     heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
     order = sorted(range(len(ids)), key=lambda i: (label[i], heaviest[i], ids[i]))
-    count = -(-len(order) // BLOCK)
-    best = np.zeros((terms, count))
-    postings: list[dict] = []
-    for b in range(count):
-        gathered: dict[int, tuple[list, list]] = {}
-        for place, i in enumerate(order[b * BLOCK : (b + 1) * BLOCK]):
-            for term, weight in zip(vectors[i][0].tolist(), vectors[i][1].tolist()):
-                where, what = gathered.setdefault(term, ([], []))
-                where.append(place)
-                what.append(weight)
-                best[term, b] = max(best[term, b], weight)
-        postings.append({t: (np.array(p), np.array(w)) for t, (p, w) in gathered.items()})
+    best = np.zeros((terms, -(-len(order) // BLOCK)))
+    gathered: list[tuple[list, list]] = [([], []) for _ in range(terms)]
+    for place, i in enumerate(order):
+        own, weights = vectors[i]
+        np.maximum.at(best, (own, place // BLOCK), weights)
+        for term, weight in zip(own.tolist(), weights.tolist()):
+            gathered[term][0].append(place)
+            gathered[term][1].append(weight)
+    postings = [(np.array(places, np.int64), np.array(weights)) for places, weights in gathered]
     return BlockMaxIndex(np.array([ids[i] for i in order]), np.array([label[i] for i in order], float), best, postings)
 
 
@@ -191,6 +204,34 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float,
     return max(float(a), 0.0), float(b)
 
 
+def one_of_each_family(sample: DataFrame) -> DataFrame:
+    """The sample with one document of each group of near copies.
+
+    Copies of one toxic text would make all its words look toxic. Documents with
+    the same least shingle hash form a family, as similar ones mostly do; the one
+    with the least id stays, and texts without words stay all.
+    """
+
+    def kernel(column: pa.Array) -> list[pa.Array]:
+        keys = []
+        for _, _, data, at in blocks(column):
+            values, offsets = shingle_sets(data, at)
+            full = np.diff(offsets) > 0
+            least = np.minimum.reduceat(mix(values), offsets[:-1][full]) if full.any() else values
+            of_row = np.zeros(len(at) - 1, np.uint64)
+            of_row[full] = least
+            keys.append(pa.array(of_row.view(np.int64), mask=~full))
+        return [pa.concat_arrays(keys) if keys else pa.array([], pa.int64())]
+
+    marked = with_kernel(sample, "text", T.StructType().add("family", "long"), kernel)
+    rank = Window.partitionBy("family").orderBy("doc_id")
+    return (
+        marked.withColumn("place", F.row_number().over(rank))
+        .filter("family is null or place = 1")
+        .select(*sample.columns)
+    )
+
+
 def select_terms(sample: DataFrame, label: str, totals: dict[int, int]) -> np.ndarray:
     """Hashes of the terms whose use depends most on the label."""
 
@@ -227,7 +268,9 @@ def select_terms(sample: DataFrame, label: str, totals: dict[int, int]) -> np.nd
         + cell(ones - n1, (1 - share) * ones)
         + cell(whole - ones - n + n1, (1 - share) * (whole - ones))
     )
-    rows = counted.withColumn("g2", g2).filter(F.col("g2") >= MIN_G2).orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect()
+    odds = F.log(((n1 + 0.5) * (whole - ones - n + n1 + 0.5)) / ((n - n1 + 0.5) * (ones - n1 + 0.5)))
+    strong = (F.col("g2") >= MIN_G2) & (F.abs(odds) >= math.log(MIN_ODDS_RATIO))
+    rows = counted.withColumn("g2", g2).filter(strong).orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect()
     return np.sort(np.array([row["term"] for row in rows], np.int64).view(np.uint64))
 
 
@@ -267,7 +310,9 @@ def train_toxicity(
     Only documents whose crc32(doc_id as text) mod ``folds`` is not ``held_out``
     teach; the driver gets their term weights, never texts.
     """
+    shared = Shared(docs.sparkSession, "toxicity")
     sample = labelled_sample(docs, labels.withColumn(label, (F.col(label) > 0).cast("int")), label, max_examples, folds, held_out)
+    sample = shared.write(one_of_each_family(sample), "examples")
     totals = {row[label]: row["count"] for row in sample.groupBy(label).count().collect()}
     both = len(totals) > 1
     terms = select_terms(sample, label, totals) if both else np.zeros(0, np.uint64)
