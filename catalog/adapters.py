@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.columns import HOUR_FORMAT
 from gridpulse.session import prepare_session
-from gridpulse.sources.store import Staging
+
+PAGE_NUMBER = r"page=(\d+)"
 
 # Metric code per event type; other events become ``XX``.
 EVENT_METRICS = {"view": "D", "click": "DF", "purchase": "NG", "signup": "TI"}
@@ -51,14 +52,21 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(respondent, respondent_name) of ``lineitem_readings``."""
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("respondent"),
+        F.col("n_name").alias("respondent_name"),
+    )
+
+
 def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as readings: four metrics per hour and supplier nation.
 
     The terms have four decimals at most and are summed as whole
     ten-thousandths, so the sums do not depend on row order and the buffers
     stay eight bytes wide. The metrics are spread over rows only after the
-    aggregation, and the result is staged: every branch of a query reads the
-    readings, and none repeats the join and the aggregation behind them.
+    aggregation.
     """
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -91,15 +99,31 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             for m in terms
         ]
     )
-    staging = Staging(spark)
-    staged, _ = staging.write(
-        "lineitem_readings",
-        cells.select(
-            "period",
-            F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("respondent"),
-            F.col("n_name").alias("respondent_name"),
-            F.inline(readings),
-        ),
+    return cells.select(
+        "period",
+        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("respondent"),
+        F.col("n_name").alias("respondent_name"),
+        F.inline(readings),
+    )
+
+
+def land_pages(readings: DataFrame, folder: str, rows_per_page: int) -> None:
+    """Readings as JSON pages below ``folder``, dealt to two folders in turn.
+
+    A page holds consecutive rows by ``ordinal``; its number is in its path,
+    where ``PAGE_NUMBER`` finds it.
+    """
+    page = F.floor(F.col("ordinal") / rows_per_page)
+    fields = [F.col(f"`{name}`") for name in readings.columns if name != "ordinal"]
+    rows = F.collect_list(F.struct("ordinal", F.struct(*fields).alias("row")))
+    pages = readings.groupBy(page.alias("number")).agg(F.sort_array(rows).alias("rows"))
+    data = F.transform("rows", lambda item: item["row"])
+    (
+        pages.select(
+            F.to_json(F.struct(F.struct(data.alias("data")).alias("response"))).alias("value"),
+            F.pmod("number", F.lit(2)).alias("landed"),
+            F.lpad(F.col("number").cast("string"), 12, "0").alias("page"),
+        )
+        .write.partitionBy("landed", "page")
+        .text(folder)
     )
-    staging.close_at_exit()
-    return staged

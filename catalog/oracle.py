@@ -328,8 +328,109 @@ def _export_meta() -> str:
     return f"{_EVENTS} " + " UNION ALL ".join(parts)
 
 
+# What a region that stops early leaves, with a grid for each backfill window.
+_RAGGED = """
+, ragged AS (
+  SELECT *, CAST(floor((epoch(period) - (SELECT epoch(first_hour) FROM bounds)) / (169 * 3600)) AS INTEGER) AS win
+  FROM demand_rows WHERE respondent <> 'R3' OR period < TIMESTAMP '2024-01-12 07:00:00'),
+ragged_demand AS (
+  SELECT period, respondent, p.respondent_name, p.demand_mwh, p.forecast_demand_mwh,
+         p.demand_mwh - p.forecast_demand_mwh AS forecast_error_mwh,
+         CASE WHEN p.demand_mwh > 0
+              THEN (p.demand_mwh - p.forecast_demand_mwh) / p.demand_mwh * 100 END
+           AS forecast_error_pct
+  FROM (SELECT DISTINCT win, period FROM ragged)
+  JOIN (SELECT DISTINCT win, respondent FROM ragged) USING (win)
+  LEFT JOIN (SELECT * FROM sparse_pivot JOIN
+               (SELECT DISTINCT period, respondent FROM ragged) USING (period, respondent)) p
+    USING (period, respondent))
+"""
+
+# Tables rebuilt from the last reading per key, with a grid for each date.
+_STREAMED = """
+, landed AS (
+  SELECT CAST(period AS DATE) AS day, period, respondent,
+         max(respondent_name) FILTER (type IN ('D', 'DF')) AS demand_name,
+         max(value) FILTER (type = 'D') AS demand_mwh,
+         max(value) FILTER (type = 'DF') AS forecast_demand_mwh,
+         max(respondent_name) FILTER (type = 'NG') AS generation_name,
+         max(value) FILTER (type = 'NG') AS net_generation_mwh,
+         max(respondent_name) FILTER (type = 'TI') AS interchange_name,
+         max(value) FILTER (type = 'TI') AS total_interchange_mwh,
+         bool_or(type IN ('D', 'DF')) AS has_demand
+  FROM bronze WHERE type <> 'XX' GROUP BY ALL),
+day_grid AS (
+  SELECT day, period, respondent
+  FROM (SELECT DISTINCT day, period FROM landed WHERE has_demand)
+  JOIN (SELECT DISTINCT day, respondent FROM landed WHERE has_demand) USING (day)),
+dense AS (
+  SELECT coalesce(l.day, g.day) AS day, period, respondent, demand_mwh,
+         forecast_demand_mwh, net_generation_mwh, total_interchange_mwh,
+         coalesce(demand_name, generation_name, interchange_name) AS respondent_name,
+         g.period IS NOT NULL AS in_demand
+  FROM landed l FULL JOIN day_grid g USING (period, respondent)),
+day_performance AS (
+  SELECT day, respondent, count(demand_mwh - forecast_demand_mwh) AS n,
+         avg(demand_mwh - forecast_demand_mwh) AS bias,
+         100 * avg(CASE WHEN demand_mwh <> 0
+                        THEN abs(demand_mwh - forecast_demand_mwh) / abs(demand_mwh) END) AS mape
+  FROM dense WHERE in_demand GROUP BY day, respondent),
+day_kpis AS (
+  SELECT respondent,
+         sum(mape * n) FILTER (mape IS NOT NULL AND n > 0)
+           / nullif(sum(n) FILTER (mape IS NOT NULL AND n > 0), 0) AS recent_forecast_mape_pct,
+         sum(bias * n) FILTER (bias IS NOT NULL AND n > 0)
+           / nullif(sum(n) FILTER (bias IS NOT NULL AND n > 0), 0) AS recent_forecast_bias_mwh
+  FROM day_performance
+  WHERE day >= (SELECT max(day) FROM day_performance) - 6 GROUP BY respondent),
+streamed AS (
+  SELECT respondent, respondent_name, period AS latest_period,
+         demand_mwh AS latest_demand_mwh, forecast_demand_mwh AS latest_forecast_demand_mwh,
+         net_generation_mwh AS latest_net_generation_mwh,
+         total_interchange_mwh AS latest_total_interchange_mwh,
+         recent_forecast_mape_pct, recent_forecast_bias_mwh
+  FROM (SELECT * FROM dense
+        QUALIFY row_number() OVER (PARTITION BY respondent ORDER BY period DESC) = 1)
+  LEFT JOIN day_kpis USING (respondent))
+"""
+
+_TABLE_NAMES = (
+    "silver_demand",
+    "silver_generation",
+    "silver_interchange",
+    "gold_demand_daily",
+    "gold_forecast_performance_daily",
+    "gold_grid_balance_hourly",
+    "gold_regional_summary",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "stored_ragged_backfill": f"{_EVENTS} {_RAGGED} SELECT {_select(_DEMAND)} FROM ragged_demand",
+        "landed_pages": _rows("bronze", "ts:period respondent respondent_name type num:value"),
+        "streamed_summary": f"{_EVENTS} {_STREAMED} SELECT {_select(_SUMMARY)} FROM streamed",
+        "export_json": _rows("gold_demand_daily", _DAILY, "WHERE gold_demand_daily.date >= DATE '2024-01-18'"),
+        "contract_breaks": f"""{_EVENTS}
+            SELECT 'readings' AS table_name, t.name AS column_name, t.problem,
+                   (SELECT count(*) FROM readings) AS row_count
+            FROM (VALUES ('type_name', 'lacking'), ('value_units', 'lacking'),
+                         ('ordinal', 'not agreed')) t(name, problem)
+            UNION ALL
+            SELECT 'untyped_readings', t.name, t.problem,
+                   (SELECT count(*) FROM readings WHERE value IS NOT NULL)
+            FROM (VALUES ('type', 'lacking'), ('ordinal', 'not agreed'),
+                         ('respondent_name', 'not agreed')) t(name, problem)""",
+        "unnamed_demand": f"""{_EVENTS}
+            SELECT {_select("ts:period respondent")}, CAST(NULL AS VARCHAR) AS respondent_name,
+                   {_select("num:demand_mwh num:forecast_demand_mwh num:forecast_error_mwh num:forecast_error_pct")}
+            FROM silver_demand""",
+        "empty_input": f"{_EVENTS} "
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM readings WHERE value > 1e300"
+            for name in _TABLE_NAMES
+        ),
+        "demand_in_order": _rows("silver_demand", _DEMAND, "ORDER BY silver_demand.period, respondent"),
         "normalize_readings": _rows(
             "readings", "ordinal ts:period respondent respondent_name type num:value"
         ),

@@ -7,13 +7,22 @@ rounded, so that both engines print them alike.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from catalog.adapters import event_readings, lineitem_readings
+from pyspark.sql import types as T
+
+from catalog.adapters import (
+    PAGE_NUMBER,
+    event_readings,
+    land_pages,
+    lineitem_readings,
+    nation_names,
+)
 from gridpulse import schemas
 from gridpulse.functions.columns import format_period
 from gridpulse.operators import analytics, gold, quality, silver, windows
@@ -24,30 +33,43 @@ from gridpulse.operators.dedupe import (
     merge_rows,
 )
 from gridpulse.operators.names import decode_names, encode_names
-from gridpulse.operators.normalize import normalize_readings
+from gridpulse.operators.normalize import (
+    REQUIRED_READING_COLUMNS,
+    normalize_readings,
+    order_by_key,
+)
 from gridpulse.plans.pipeline import (
-    Source,
     complete_first_day,
     frame_source,
     recent_performance,
     run_backfill,
     run_pipeline,
 )
-from gridpulse.sources.export import DATASETS, export_meta, export_rows, to_records
+from gridpulse.sources.export import (
+    DATASETS,
+    export,
+    export_meta,
+    export_rows,
+    to_records,
+)
+from gridpulse.sources.pages import read_pages
 from gridpulse.sources.store import Staging, TableStore
+from gridpulse.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the registered runs; the readings end at 2024-01-30T23.
+# Parameters of the registered runs.
 NOW = datetime(2024, 2, 10)
 EXPORT_NOW = datetime(2024, 2, 1)
 EXPORT_DAYS = 14
 WINDOW_START = "2024-01-10T12"
 REVISION_FROM = "2024-01-16T00"
 CHUNK_DAYS = 5
-HISTORY_START = "2024-01-01T00"
-HISTORY_END = "2024-01-30T23"
 HISTORY_CHUNK_DAYS = 15
+RAGGED_REGION = "R3"
+RAGGED_UNTIL = "2024-01-12T07"
+RAGGED_CHUNK_DAYS = 7
+ROWS_PER_PAGE = 500
 
 
 def records(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -66,18 +88,25 @@ def records(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 class Readings:
-    """Normalised readings with coded names, and what is built on them."""
+    """Normalised readings with coded names, and what is built on them.
 
-    def __init__(self, raw: DataFrame):
-        self.raw, self.names = encode_names(normalize_readings(raw))
-        self._written_demand: DataFrame | None = None
+    Frames that a query reads more than once are cached from their first use;
+    the caches go with the query's result.
+    """
+
+    def __init__(self, raw: DataFrame, names: DataFrame | None = None):
+        self.raw, lookup = encode_names(normalize_readings(raw))
+        self.names = lookup if names is None else encode_names(names)[1]
+        self.kept: list[DataFrame] = []
+        self._sides: dict[bool, DataFrame] = {}
 
-    def write_demand(self) -> Readings:
-        """Write the hourly demand once, for queries that read it repeatedly."""
-        staging = Staging(self.raw.sparkSession)
-        self._written_demand, _ = staging.write("silver_demand", self.demand())
-        staging.close_at_exit()
-        return self
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df.persist())
+        return self.kept[-1]
+
+    def release(self) -> None:
+        while self.kept:
+            self.kept.pop().unpersist()
 
     def text(self, df: DataFrame, column: str = "respondent_name") -> DataFrame:
         return decode_names(df, self.names, column)
@@ -87,10 +116,18 @@ class Readings:
             return self.raw
         return keep_last(self.raw, schemas.READING_KEY, "ordinal")
 
+    def feed(self) -> DataFrame:
+        """Generation and interchange must not repeat a key, so the last reading
+        stands for them; demand keeps its duplicates."""
+        return _without_repeats(self.raw) if "ordinal" in self.raw.columns else self.raw
+
+    def sides(self, densify: bool = True) -> DataFrame:
+        if densify not in self._sides:
+            self._sides[densify] = silver.sides_of_readings(self.feed(), densify, keep=self.keep)
+        return self._sides[densify]
+
     def demand(self, densify: bool = True) -> DataFrame:
-        if densify and self._written_demand is not None:
-            return self._written_demand
-        return silver.transform_demand(self.raw, densify)
+        return silver.transform_demand(self.raw, densify, keep=self.keep)
 
     def generation(self) -> DataFrame:
         return silver.transform_generation(self.bronze())
@@ -98,9 +135,6 @@ class Readings:
     def interchange(self) -> DataFrame:
         return silver.transform_interchange(self.bronze())
 
-    def domains(self, densify: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.demand(densify), self.generation(), self.interchange()
-
     def daily(self) -> DataFrame:
         return gold.transform_demand_daily(self.demand())
 
@@ -108,21 +142,33 @@ class Readings:
         return gold.transform_forecast_performance(self.demand())
 
     def balance(self, densify: bool = True) -> DataFrame:
-        return gold.transform_grid_balance(*self.domains(densify))
+        return gold.balance_of(self.sides(densify))
 
     def summary(self) -> DataFrame:
-        if self._written_demand is None:
-            self.write_demand()
-        return gold.transform_regional_summary(*self.domains(), self.performance())
+        sides = self.keep(self.sides())
+        performance = self.keep(gold.transform_forecast_performance(silver.demand_of(sides)))
+        return gold.summary_of(sides, performance)
+
+
+def _without_repeats(rows: DataFrame) -> DataFrame:
+    unique = F.col("type").isin(schemas.GENERATION, schemas.INTERCHANGE)
+    last = keep_last(rows.filter(unique), schemas.READING_KEY, "ordinal")
+    return rows.filter(~unique).unionByName(last)
+
+
+def _built(readings: Readings, build: Callable[[Readings], DataFrame], digits: int) -> DataFrame:
+    result = records(build(readings), digits)
+    weakref.finalize(result, readings.release).atexit = False
+    return result
 
 
 def _events(build: Callable[[Readings], DataFrame]) -> Query:
-    return lambda spark, sf_dir: records(build(Readings(event_readings(spark, sf_dir))))
+    return lambda spark, sf_dir: _built(Readings(event_readings(spark, sf_dir)), build, 6)
 
 
 def _lineitem(build: Callable[[Readings], DataFrame]) -> Query:
-    return lambda spark, sf_dir: records(
-        build(Readings(lineitem_readings(spark, sf_dir))), digits=4
+    return lambda spark, sf_dir: _built(
+        Readings(lineitem_readings(spark, sf_dir), nation_names(spark, sf_dir)), build, 4
     )
 
 
@@ -161,13 +207,8 @@ def upsert_merge(r: Readings) -> DataFrame:
     return r.text(merge_rows(_before(bronze, REVISION_FROM), incoming, schemas.READING_KEY))
 
 
-def silver_range_read(r: Readings) -> DataFrame:
-    demand = r.demand()
-    return r.text(_before(_since(demand, WINDOW_START), REVISION_FROM))
-
-
 def first_day_completion(r: Readings) -> DataFrame:
-    demand = r.write_demand().demand()
+    demand = r.keep(r.demand())
 
     def stored(start: object, end: object) -> DataFrame:
         return demand.filter((F.col("period") >= start) & (F.col("period") < end))
@@ -175,32 +216,8 @@ def first_day_completion(r: Readings) -> DataFrame:
     return r.text(complete_first_day(_since(demand, WINDOW_START), stored))
 
 
-def recent_performance_read(r: Readings) -> DataFrame:
-    """The stored performance is the one before the window; the window's own
-    days are fresh and replace it."""
-    performance = r.write_demand().performance()
-    split = F.lit(WINDOW_START[:10]).cast("date")
-    fresh = performance.filter(F.col("date") >= split)
-
-    def stored(start: object) -> DataFrame:
-        return performance.select(*fresh.columns).filter(F.col("date") >= start).select(
-            "date",
-            "respondent",
-            "respondent_name",
-            "mape_pct",
-            "forecast_bias_mwh",
-            "observation_count",
-        )
-
-    return r.text(recent_performance(fresh, stored))
-
-
-def checkpoint(r: Readings) -> DataFrame:
-    return windows.latest_period(r.raw)
-
-
 def ingestion_window(r: Readings) -> DataFrame:
-    return windows.ingestion_window(checkpoint(r), NOW)
+    return windows.ingestion_window(windows.latest_period(r.raw), NOW)
 
 
 def backfill_windows(r: Readings) -> DataFrame:
@@ -246,7 +263,7 @@ def duplicate_grain(r: Readings) -> DataFrame:
 
 def renamed_regions(r: Readings) -> DataFrame:
     """Generation calls its even hours by another name than demand does."""
-    demand, generation, interchange = r.domains()
+    demand, generation, interchange = r.demand(), r.generation(), r.interchange()
     upper = F.when(F.hour("period") % 2 == 0, F.upper("respondent_name"))
     renamed, new_names = encode_names(
         r.text(generation).withColumn(
@@ -281,39 +298,149 @@ def export_demand_daily(r: Readings) -> DataFrame:
     )
 
 
-def _stored(load: Callable[[TableStore, Source], object], table: schemas.Table) -> Query:
-    """A table as runs over a store leave it.
+class Stored:
+    """A new store in the shared folder, and the readings that go into it."""
 
-    Generation and interchange must be unique to be stored, so the source gives
-    the last reading per key for them; demand keeps its duplicates.
-    """
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.scratch = Staging(spark)
+        self.scratch.close_at_exit()
+        self.store = TableStore(spark, f"{self.scratch.root}/tables")
+        self.events = event_readings(spark, sf_dir)
+        self.rows = _without_repeats(normalize_readings(self.events))
+        bounds = self.rows.agg(
+            format_period(F.min("period")).alias("start"), format_period(F.max("period")).alias("end")
+        ).first()
+        self.start, self.end = bounds["start"], bounds["end"]
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = normalize_readings(event_readings(spark, sf_dir))
-        unique = F.col("type").isin(schemas.GENERATION, schemas.INTERCHANGE)
-        source = frame_source(
-            rows.filter(~unique).unionByName(
-                keep_last(rows.filter(unique), schemas.READING_KEY, "ordinal")
-            )
-        )
-        scratch = Staging(spark)
-        store = TableStore(spark, f"{scratch.root}/tables")
-        load(store, source)
-        scratch.close_at_exit()
-        return records(store.read(table))
+    def backfill(self, chunk_days: int, rows: DataFrame | None = None, end: str | None = None) -> None:
+        source = frame_source(self.rows if rows is None else rows)
+        run_backfill(self.store, source, self.start, end or self.end, chunk_days)
+
+    def land(self) -> tuple[str, int]:
+        """The events as pages: their folder, and how many there are."""
+        folder = f"{self.scratch.root}/pages"
+        land_pages(self.events, folder, ROWS_PER_PAGE)
+        last = self.events.agg(F.max("ordinal").alias("last")).first()["last"]
+        return folder, last // ROWS_PER_PAGE + 1
 
-    return query
 
+def _stored(build: Callable[[Stored], DataFrame]) -> Query:
+    """What a store gives back after runs over it."""
+    return lambda spark, sf_dir: records(build(Stored(spark, sf_dir)))
 
-def load_in_chunks(store: TableStore, source: Source) -> None:
-    """The whole history in two commits, the second beginning mid-day."""
-    run_backfill(store, source, HISTORY_START, HISTORY_END, HISTORY_CHUNK_DAYS)
 
+def stored_forecast_performance(s: Stored) -> DataFrame:
+    """The whole history, the second window beginning mid-day."""
+    s.backfill(HISTORY_CHUNK_DAYS)
+    return s.store.read(schemas.GOLD_FORECAST_PERFORMANCE)
 
-def load_then_catch_up(store: TableStore, source: Source) -> None:
+
+def stored_regional_summary(s: Stored) -> DataFrame:
     """History up to the revision date, then one run to the present."""
-    run_backfill(store, source, HISTORY_START, REVISION_FROM)
-    run_pipeline(store, source, max_window_hours=31 * 24, now=NOW)
+    s.backfill(HISTORY_CHUNK_DAYS, end=REVISION_FROM)
+    run_pipeline(s.store, frame_source(s.rows), max_window_hours=31 * 24, now=NOW)
+    return s.store.read(schemas.GOLD_REGIONAL_SUMMARY)
+
+
+def stored_ragged_backfill(s: Stored) -> DataFrame:
+    """A region that stops early is on no later window's grid."""
+    stops = (F.col("respondent") != RAGGED_REGION) | (
+        F.col("period") < windows.as_timestamp(RAGGED_UNTIL)
+    )
+    s.backfill(RAGGED_CHUNK_DAYS, s.rows.filter(stops))
+    return s.store.read(schemas.SILVER_DEMAND)
+
+
+def silver_range_read(s: Stored) -> DataFrame:
+    s.backfill(HISTORY_CHUNK_DAYS)
+    return s.store.read_periods(schemas.SILVER_DEMAND, WINDOW_START, REVISION_FROM)
+
+
+def recent_performance_read(s: Stored) -> DataFrame:
+    """The stored performance is the one before the window; the window's own
+    days are fresh and replace it."""
+    s.backfill(HISTORY_CHUNK_DAYS)
+    performance = s.store.read(schemas.GOLD_FORECAST_PERFORMANCE)
+    fresh = performance.filter(F.col("date") >= F.lit(WINDOW_START[:10]).cast("date"))
+    return recent_performance(fresh, s.store.read_recent_performance)
+
+
+def checkpoint(s: Stored) -> DataFrame:
+    s.store.upsert(schemas.BRONZE_READINGS, _full_rows(normalize_readings(s.events)), "ordinal")
+    return s.store.latest_bronze()
+
+
+def _full_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: F.lit(None).cast("string") for name in ("type_name", "value_units")})
+
+
+def landed_pages(s: Stored) -> DataFrame:
+    """Pages of two folders, reduced to the last reading per key in page order."""
+    folder, _ = s.land()
+    rows = normalize_readings(read_pages(s.store.spark, folder, PAGE_NUMBER))
+    return keep_last(rows, schemas.READING_KEY, "ordinal").select(
+        "period", "respondent", "respondent_name", "type", "value"
+    )
+
+
+def streamed_summary(s: Stored) -> DataFrame:
+    """The feed in about four pieces, cut anywhere in its hours."""
+    folder, pages = s.land()
+    query = ingest_stream(s.store, folder, max_files=max(1, pages // 4), number=PAGE_NUMBER)
+    query.awaitTermination()
+    return s.store.read(schemas.GOLD_REGIONAL_SUMMARY)
+
+
+def export_json(s: Stored) -> DataFrame:
+    """The daily demand as exported and read back, in whole files of JSON lines."""
+    s.backfill(HISTORY_CHUNK_DAYS)
+    folder = f"{s.scratch.root}/export"
+    export(s.store, folder, EXPORT_DAYS, EXPORT_NOW)
+    kinds = schemas.GOLD_DEMAND_DAILY.schema
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "date" else f.dataType) for f in kinds])
+    return s.store.spark.read.schema(text).json(f"{folder}/demand_daily/rows")
+
+
+def contract_breaks(r: Readings) -> DataFrame:
+    """Raw readings held against the Bronze contract, and without their type."""
+    names = schemas.BRONZE_READINGS.columns
+    whole = quality.contract_report(r.raw, "readings", names)
+    untyped = r.raw.drop("type").filter("value is not null")
+    return whole.unionByName(
+        quality.contract_report(untyped, "untyped_readings", REQUIRED_READING_COLUMNS)
+    )
+
+
+def unnamed_demand(r: Readings) -> DataFrame:
+    """Readings without a name column get a null name throughout."""
+    unnamed = normalize_readings(r.raw.drop("respondent_name"))
+    return silver.transform_demand(
+        unnamed.withColumn("respondent_name", F.col("respondent_name").cast("long")), keep=r.keep
+    ).withColumn("respondent_name", F.col("respondent_name").cast("string"))
+
+
+def empty_input(r: Readings) -> DataFrame:
+    """Rows of every table built from readings of which none qualifies."""
+    none = Readings(r.raw.filter("value > 1e300").withColumn("respondent_name", F.lit(None).cast("string")))
+    none.kept = r.kept
+    tables = {
+        "silver_demand": none.demand(),
+        "silver_generation": none.generation(),
+        "silver_interchange": none.interchange(),
+        "gold_demand_daily": none.daily(),
+        "gold_forecast_performance_daily": none.performance(),
+        "gold_grid_balance_hourly": none.balance(),
+        "gold_regional_summary": none.summary(),
+    }
+    counts = [
+        frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def demand_in_order(r: Readings) -> DataFrame:
+    return order_by_key(r.text(r.demand()), schemas.HOURLY_KEY)
 
 
 def _meta(name: str, build: Callable[[Readings], DataFrame]):
@@ -325,7 +452,6 @@ def _meta(name: str, build: Callable[[Readings], DataFrame]):
 
 
 def export_metadata(r: Readings) -> DataFrame:
-    r.write_demand()
     parts = [
         _meta("regional_summary", Readings.summary)(r),
         _meta("demand_daily", Readings.daily)(r),
@@ -348,27 +474,31 @@ def queries() -> dict[str, Query]:
         "silver_demand_sparse": _events(lambda r: r.text(r.demand(densify=False))),
         "silver_generation": _events(lambda r: r.text(r.generation())),
         "silver_interchange": _events(lambda r: r.text(r.interchange())),
-        "silver_range_read": _events(silver_range_read),
+        "silver_range_read": _stored(silver_range_read),
         "gold_demand_daily": _events(lambda r: r.text(r.daily())),
         "gold_forecast_performance": _events(lambda r: r.text(r.performance())),
         "gold_grid_balance": _events(lambda r: r.text(r.balance())),
         "gold_regional_summary": _events(lambda r: r.text(r.summary())),
         "recent_forecast_kpis": _events(
-            lambda r: gold.recent_forecast_kpis(r.write_demand().performance())
+            lambda r: gold.recent_forecast_kpis(r.keep(r.performance()))
         ),
         "latest_row_per_region": _events(latest_row_per_region),
-        "checkpoint": _events(checkpoint),
+        "checkpoint": _stored(checkpoint),
         "ingestion_window": _events(ingestion_window),
         "backfill_windows": _events(backfill_windows),
         "backfill_window_counts": _events(backfill_window_counts),
         "first_day_completion": _events(first_day_completion),
-        "recent_performance_read": _events(recent_performance_read),
-        "stored_forecast_performance": _stored(
-            load_in_chunks, schemas.GOLD_FORECAST_PERFORMANCE
-        ),
-        "stored_regional_summary": _stored(
-            load_then_catch_up, schemas.GOLD_REGIONAL_SUMMARY
-        ),
+        "recent_performance_read": _stored(recent_performance_read),
+        "stored_forecast_performance": _stored(stored_forecast_performance),
+        "stored_regional_summary": _stored(stored_regional_summary),
+        "stored_ragged_backfill": _stored(stored_ragged_backfill),
+        "landed_pages": _stored(landed_pages),
+        "streamed_summary": _stored(streamed_summary),
+        "export_json": _stored(export_json),
+        "contract_breaks": _events(contract_breaks),
+        "unnamed_demand": _events(unnamed_demand),
+        "empty_input": _events(empty_input),
+        "demand_in_order": _events(demand_in_order),
         "dq_demand": _events(_report(Readings.demand, "silver_demand")),
         "dq_generation": _events(raw_generation_quality),
         "dq_gold_daily": _events(_report(Readings.daily, "gold_demand_daily")),

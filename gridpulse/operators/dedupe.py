@@ -38,11 +38,6 @@ def duplicated_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.join(duplicate_keys(df, key).select(*key), list(key), "left_semi")
 
 
-def distinct_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The distinct keys of a frame."""
-    return df.select(*key).distinct()
-
-
 def overlay(base: DataFrame, newer: DataFrame, key: Sequence[str]) -> DataFrame:
     """``newer`` plus the rows of ``base`` it does not replace."""
     return base.join(newer.select(*key), list(key), "left_anti").unionByName(newer)
@@ -53,23 +48,30 @@ def merge_rows(
     incoming: DataFrame,
     key: Sequence[str],
     keep: Sequence[str] = (),
+    order: str | None = None,
 ) -> DataFrame:
     """Keyed upsert of ``incoming`` into ``stored``, whole rows replaced.
 
     Both sides are unique by key. A null in an incoming row replaces the
     stored value, because the row is replaced and not patched; only the
-    ``keep`` columns retain what is stored.
+    ``keep`` columns retain what is stored. With ``order``, a column of both, a
+    stored row that is later in it stays.
     """
     rest = [name for name in incoming.columns if name not in key]
     old = stored.select(*key, F.struct(*rest).alias("old"))
     new = incoming.select(*key, F.struct(*rest).alias("new"))
 
+    replaces = F.col("new").isNotNull()
+    if order:
+        later = F.col(f"old.{order}") > F.col(f"new.{order}")
+        replaces &= F.col("old").isNull() | ~F.coalesce(later, F.lit(False))
+
     def merged(name: str) -> Column:
         if name in key:
             return F.col(name)
         if name in keep:
             return F.coalesce(f"old.{name}", f"new.{name}").alias(name)
-        return F.when(F.col("new").isNotNull(), F.col(f"new.{name}")).otherwise(
+        return F.when(replaces, F.col(f"new.{name}")).otherwise(
             F.col(f"old.{name}")
         ).alias(name)
 

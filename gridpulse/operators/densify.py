@@ -4,60 +4,65 @@ from __future__ import annotations
 
 from math import ceil, sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.schemas import HOURLY_KEY
 
+# Grid cells for each shuffle partition, so that hashing deals them out evenly.
+_CELLS_PER_PARTITION = 4
+
 
 def _cells_per_side(df: DataFrame) -> int:
-    """Grid cells per side: about one cell per shuffle partition in all."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ceil(sqrt(partitions))
+    return ceil(sqrt(_CELLS_PER_PARTITION * partitions))
 
 
-def hour_grid(rows: DataFrame) -> DataFrame:
+def hour_grid(keys: DataFrame, window: Column | None = None) -> DataFrame:
     """Every observed hour paired with every observed region.
 
+    With ``window``, an expression over ``period``, hours meet the regions that
+    are observed in the same window only.
+
     The output is a product by definition, so the work is to build it evenly.
     Hours and regions are hashed to ``n`` cells each, every hour is copied to
     the ``n`` region cells and every region to the ``n`` hour cells, and the
-    two meet in an equi-join on (hour cell, region cell). Each of the ``n * n``
-    cells builds its own part of the grid; the copies cost ``n`` times the
-    distinct hours and regions, never the readings. Both inputs are distinct
-    values, so no cell is hot. The fixed partition count keeps Spark from
-    merging small inputs whose output is large.
+    two meet in an equi-join on (window, hour cell, region cell). The copies cost
+    ``n`` times the distinct hours and regions, never the readings. Both inputs
+    are distinct values, so no cell is hot. The fixed partition count keeps
+    Spark from merging small inputs whose output is large.
     """
-    side = _cells_per_side(rows)
+    side = _cells_per_side(keys)
     every_cell = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    whole = keys.filter(F.col("period").isNotNull() & F.col("respondent").isNotNull())
+    whole = whole.withColumn("window", F.lit(0) if window is None else window)
 
-    def cell(name: str):
+    def cell(name: str) -> Column:
         return F.pmod(F.xxhash64(name), F.lit(side)).cast("int")
 
-    cells = ["hour_cell", "region_cell"]
+    cells = ["window", "hour_cell", "region_cell"]
     periods = (
-        rows.select("period")
+        whole.select("window", "period")
         .distinct()
-        .select("period", cell("period").alias("hour_cell"), every_cell.alias("region_cell"))
+        .select("window", "period", cell("period").alias("hour_cell"), every_cell.alias("region_cell"))
         .repartition(side * side, *cells)
     )
     respondents = (
-        rows.select("respondent")
+        whole.select("window", "respondent")
         .distinct()
-        .select(
-            "respondent",
-            every_cell.alias("hour_cell"),
-            cell("respondent").alias("region_cell"),
-        )
+        .select("window", "respondent", every_cell.alias("hour_cell"), cell("respondent").alias("region_cell"))
         .repartition(side * side, *cells)
     )
     return periods.join(respondents, cells).select(*HOURLY_KEY)
 
 
-def densify_hours(sparse: DataFrame, rows: DataFrame) -> DataFrame:
-    """``sparse`` on the full grid of ``rows``; added rows are null throughout.
+def densify_hours(sparse: DataFrame, keys: DataFrame, flag: str, window: Column | None = None) -> DataFrame:
+    """``sparse`` with every row of the grid of ``keys``; added rows are null throughout.
 
-    Rows with a null key are kept by the grid too, so that the key check, and
-    not this join, rejects them.
+    ``flag`` tells which rows lie on the grid. Rows with a null key are kept, so
+    that the key check, and not this join, rejects them.
     """
-    return hour_grid(rows).join(sparse, list(HOURLY_KEY), "left")
+    grid = hour_grid(keys, window).withColumn(flag, F.lit(True))
+    return sparse.join(grid, list(HOURLY_KEY), "full").withColumn(
+        flag, F.coalesce(F.col(flag), F.lit(False))
+    )

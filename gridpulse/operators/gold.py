@@ -214,20 +214,26 @@ def latest_rows(balance: DataFrame, *values: str) -> DataFrame:
 
 
 def recent_forecast_kpis(
-    performance: DataFrame, recent_days: int = RECENT_DAYS
+    performance: DataFrame,
+    recent_days: int = RECENT_DAYS,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
     """A5: observation-weighted MAPE and bias per region, recent days only.
 
     The window is calendar days back from the newest date of any region. That
     date is a scalar subquery, so it also prunes a table partitioned by date.
+    ``newest`` (respondent, newest) gives each region a date of its own instead.
     """
     dated = numeric(
         performance, "mape_pct", "forecast_bias_mwh", "observation_count"
     ).withColumn("date", parse_date(F.col("date"), performance.schema["date"].dataType))
-    newest = dated.agg(F.max("date")).scalar()
+    if newest is None:
+        last = dated.agg(F.max("date")).scalar()
+    else:
+        dated, last = dated.join(newest, "respondent"), F.col("newest")
     weight = F.col("observation_count")
     return (
-        dated.filter(F.col("date") >= F.date_sub(newest, recent_days - 1))
+        dated.filter(F.col("date") >= F.date_sub(last, recent_days - 1))
         .filter(F.col("respondent").isNotNull())
         .groupBy("respondent")
         .agg(
@@ -243,8 +249,9 @@ def summary_of(
     sides: DataFrame,
     performance: DataFrame | None = None,
     recent_days: int = RECENT_DAYS,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
-    """A7 of ``hourly_sides``: latest state and recent forecast quality."""
+    """A7 of hourly sides: latest state and recent forecast quality."""
     latest = latest_rows(
         sides.withColumn("respondent_name", _side_name()),
         *_SIDES.values(),
@@ -258,7 +265,7 @@ def summary_of(
             }
         )
     else:
-        kpis = recent_forecast_kpis(performance, recent_days)
+        kpis = recent_forecast_kpis(performance, recent_days, newest)
         summary = latest.join(kpis, list(REGION_KEY), "left")
     return summary.select(*GOLD_REGIONAL_SUMMARY.columns)
 

@@ -98,5 +98,5 @@ def null_non_finite(df: DataFrame) -> DataFrame:
 
 
 def order_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """O1: presentation order, nulls last; stored tables carry none."""
+    """O1: presentation order, nulls last, as exports have it; stored tables carry none."""
     return df.orderBy(*[F.asc_nulls_last(name) for name in key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,37 +21,88 @@ from gridpulse.schemas import (
     SILVER_INTERCHANGE,
 )
 
+# Writes or caches a frame that is read more than once.
+Keep = Callable[[DataFrame], DataFrame]
 
-def transform_demand(readings: DataFrame, densify: bool = True) -> DataFrame:
-    """Actual and forecast demand side by side, one row per hour and region.
+# Column of hourly sides that tells whether the demand table has the row.
+IN_DEMAND = "in_demand"
 
-    One conditional aggregate does the pivot and picks the name: the first
-    non-null value per metric in ``ordinal`` order, so duplicates collapse
-    silently. ``ordinal`` is optional when the key is already unique.
 
-    ``densify`` adds every missing pair of observed hour and observed region
-    as an all-null row. Those rows reach Gold: a region with no reading on a
-    day gets a row with ``observation_count = 0``, the newest hour of the batch
-    becomes every region's latest hour, and a stored value is overwritten by
-    null if the source drops a reading. ``densify=False`` keeps only the pairs
-    that were reported.
+def cached(df: DataFrame) -> DataFrame:
+    """Keep a frame in the executors' memory and disks, from its first use on."""
+    return df.persist()
+
+
+def sides_of_readings(
+    readings: DataFrame,
+    densify: bool = True,
+    window: Column | None = None,
+    keep: Keep = cached,
+) -> DataFrame:
+    """Demand, generation and interchange side by side, from one scan.
+
+    One conditional aggregate by hour and region picks every metric and name:
+    the first non-null value in ``ordinal`` order, so repeated demand readings
+    collapse silently. Repeated keys without an ``ordinal`` are refused, since
+    nothing says which comes first. ``copies`` is the largest number of rows a
+    table that must not repeat its key (generation, interchange) has.
+
+    ``densify`` adds every missing pair of observed demand hour and observed
+    demand region, by ``window`` if given. The grid comes from the aggregated
+    rows, which ``keep`` holds because three branches read them.
     """
-    rows = normalize_readings(readings).filter(F.col("type").isin(DEMAND, FORECAST))
+    rows = normalize_readings(readings)
     order = F.col("ordinal") if "ordinal" in rows.columns else None
+    kind = F.col("type")
+    tables = {
+        "demand": kind.isin(DEMAND, FORECAST),
+        "generation": kind == GENERATION,
+        "interchange": kind == INTERCHANGE,
+    }
+    values = {
+        "demand_mwh": DEMAND,
+        "forecast_demand_mwh": FORECAST,
+        "net_generation_mwh": GENERATION,
+        "total_interchange_mwh": INTERCHANGE,
+    }
 
     def metric(code: str) -> Column:
-        return first_non_null(F.when(F.col("type") == code, F.col("value")), order)
+        picked = first_non_null(F.when(kind == code, F.col("value")), order)
+        if order is not None:
+            return picked
+        problem = F.raise_error(F.lit(f"Repeated {code} readings need an ordinal"))
+        return F.when(F.count_if(kind == code) > 1, problem.cast("double")).otherwise(picked)
 
-    hourly = rows.groupBy(*HOURLY_KEY).agg(
-        first_non_null(F.col("respondent_name"), order).alias("respondent_name"),
-        metric(DEMAND).alias("demand_mwh"),
-        metric(FORECAST).alias("forecast_demand_mwh"),
+    sides = (
+        rows.filter(kind.isin(*values.values()))
+        .groupBy(*HOURLY_KEY)
+        .agg(
+            *[first_non_null(F.when(own, F.col("respondent_name")), order).alias(f"{name}_name") for name, own in tables.items()],
+            *[metric(code).alias(name) for name, code in values.items()],
+            *[F.count_if(own).alias(f"{name}_rows") for name, own in tables.items()],
+        )
+        .withColumn("copies", F.greatest("generation_rows", "interchange_rows", F.lit(1)))
     )
-    if densify:
-        hourly = densify_hours(hourly, rows)
+    if not densify:
+        return sides.withColumn(IN_DEMAND, F.col("demand_rows") > 0)
+    sides = keep(sides)
+    dense = densify_hours(sides, sides.filter("demand_rows > 0"), IN_DEMAND, window)
+    # A null key is on no grid but must reach the key check.
+    return dense.withColumns(
+        {
+            IN_DEMAND: F.col(IN_DEMAND) | F.coalesce(F.col("demand_rows") > 0, F.lit(False)),
+            "copies": F.coalesce("copies", F.lit(1)),
+        }
+    )
+
+
+def demand_of(sides: DataFrame) -> DataFrame:
+    """The hourly demand table of ``sides_of_readings``, with error columns."""
     error = difference("demand_mwh", "forecast_demand_mwh")
     return (
-        hourly.withColumn("forecast_error_mwh", error)
+        sides.filter(IN_DEMAND)
+        .withColumnRenamed("demand_name", "respondent_name")
+        .withColumn("forecast_error_mwh", error)
         .withColumn(
             "forecast_error_pct",
             positive_base_pct(F.col("forecast_error_mwh"), F.col("demand_mwh")),
@@ -58,6 +111,22 @@ def transform_demand(readings: DataFrame, densify: bool = True) -> DataFrame:
     )
 
 
+def transform_demand(
+    readings: DataFrame, densify: bool = True, window: Column | None = None, keep: Keep = cached
+) -> DataFrame:
+    """Actual and forecast demand side by side.
+
+    ``densify`` adds every missing pair of observed hour and observed region
+    as an all-null row. Those rows reach Gold: a region with no reading on a
+    day gets a row with ``observation_count = 0``, the newest hour of the batch
+    becomes every region's latest hour, and a stored value is overwritten by
+    null if the source drops a reading. ``densify=False`` keeps only the pairs
+    that were reported.
+    """
+    rows = normalize_readings(readings).filter(F.col("type").isin(DEMAND, FORECAST))
+    return demand_of(sides_of_readings(rows, densify, window, keep))
+
+
 def transform_generation(readings: DataFrame) -> DataFrame:
     """Net generation as reported; duplicates are kept for the key check."""
     return select_metric(
@@ -70,3 +139,20 @@ def transform_interchange(readings: DataFrame) -> DataFrame:
     return select_metric(
         normalize_readings(readings), INTERCHANGE, "total_interchange_mwh"
     ).select(*SILVER_INTERCHANGE.columns)
+
+
+def generation_of(sides: DataFrame) -> DataFrame:
+    """The generation table of ``sides_of_readings``; a repeated key repeats."""
+    return _side_table(sides, "generation", "net_generation_mwh", SILVER_GENERATION.columns)
+
+
+def interchange_of(sides: DataFrame) -> DataFrame:
+    """The interchange table of ``sides_of_readings``; a repeated key repeats."""
+    return _side_table(sides, "interchange", "total_interchange_mwh", SILVER_INTERCHANGE.columns)
+
+
+def _side_table(sides: DataFrame, side: str, value: str, columns: list[str]) -> DataFrame:
+    rows = sides.filter(F.col(f"{side}_rows") > 0).withColumnRenamed(f"{side}_name", "respondent_name")
+    # Copies stand for the repeated rows, so that the key check finds them.
+    repeated = F.explode(F.sequence(F.lit(1), F.col(f"{side}_rows").cast("int")))
+    return rows.withColumn("copy", repeated).select(*columns)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.columns import format_period, hours, parse_timestamp
 
-# Trailing re-read, largest window of one run, backfill chunk.
+# Trailing re-read, largest window of one run, backfill chunk and
+# the start of a backfill that names none.
 LOOKBACK_HOURS = 48
 MAX_CATCHUP_HOURS = 168
 BACKFILL_CHUNK_DAYS = 30
@@ -79,6 +80,12 @@ def backfill_windows(
     )
 
 
+def backfill_window_of(period: Column, start: Column, chunk_days: int = BACKFILL_CHUNK_DAYS) -> Column:
+    """T4: number of the backfill window that a period lies in, by arithmetic."""
+    seconds = (24 * chunk_days + 1) * 3600
+    return F.floor((F.unix_timestamp(period) - F.unix_timestamp(start)) / seconds).cast("int")
+
+
 def backfill_window_counts(
     readings: DataFrame, bounds: DataFrame, chunk_days: int = BACKFILL_CHUNK_DAYS
 ) -> DataFrame:

@@ -5,22 +5,20 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import partial, reduce
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse import schemas
 from gridpulse.errors import DataQualityError
-from gridpulse.functions.columns import format_period
 from gridpulse.operators.dedupe import overlay
 from gridpulse.operators.gold import (
     RECENT_DAYS,
     balance_of,
     conflicts_of,
-    hourly_sides,
+    recent_forecast_kpis,
     summary_of,
     transform_demand_daily,
     transform_forecast_performance,
@@ -36,24 +34,34 @@ from gridpulse.operators.quality import (
     check_columns,
     enforce_observed,
     row_metrics,
-    validate,
     warn_name_conflicts,
 )
 from gridpulse.operators.silver import (
-    transform_demand,
-    transform_generation,
-    transform_interchange,
+    IN_DEMAND,
+    demand_of,
+    generation_of,
+    interchange_of,
+    sides_of_readings,
 )
 from gridpulse.operators.windows import (
+    BACKFILL_CHUNK_DAYS,
+    BACKFILL_START,
     LOOKBACK_HOURS,
     MAX_CATCHUP_HOURS,
+    as_timestamp,
+    backfill_window_of,
     backfill_windows,
     ingestion_window,
     within,
 )
-from gridpulse.schemas import DAILY_KEY, Table
+from gridpulse.schemas import DAILY_KEY, REGION_KEY, Table
 from gridpulse.session import prepare_session
-from gridpulse.sources.store import RECENT_PERFORMANCE_COLUMNS, Staging, TableStore
+from gridpulse.sources.store import (
+    RECENT_PERFORMANCE_COLUMNS,
+    Staging,
+    TableStore,
+    Version,
+)
 
 logger = logging.getLogger("gridpulse.pipeline")
 
@@ -61,9 +69,6 @@ EMPTY_BRONZE = (
     "Bronze is empty: load history with run_backfill before incremental runs"
 )
 
-# A chunk longer than any history: the whole range in one job.
-WHOLE_RANGE_DAYS = 100_000
-
 # A source maps (start, end), either side None, to raw readings in that range.
 Source = Callable[[object, object], DataFrame]
 
@@ -78,8 +83,6 @@ _COUNT_NAMES = {
     schemas.GOLD_REGIONAL_SUMMARY.name: "gold_regional_summary_rows",
 }
 
-_FILTERED_TABLES = (schemas.SILVER_GENERATION, schemas.SILVER_INTERCHANGE)
-
 _SILVER_RESULTS = ("demand_rows", "generation_rows", "interchange_rows")
 
 
@@ -113,13 +116,83 @@ def recent_performance(
     return overlay(read(start), rows, DAILY_KEY).filter(F.col("date") >= start)
 
 
-def build_silver(readings: DataFrame, densify: bool = True) -> dict[Table, DataFrame]:
-    """The three hourly tables of a batch of normalised readings."""
-    return {
-        schemas.SILVER_DEMAND: transform_demand(readings, densify),
-        schemas.SILVER_GENERATION: transform_generation(readings),
-        schemas.SILVER_INTERCHANGE: transform_interchange(readings),
-    }
+def _together(jobs: dict) -> dict:
+    """Run independent Spark jobs from as many threads, so that the cluster
+    works on the next one while the last tasks of another finish. The first
+    failure, in the given order, is raised after all have ended."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
+def _stage(store: TableStore, table: Table, frame: DataFrame) -> Version:
+    """Write and check a table of a run (V7, A9); nobody sees it yet.
+
+    The row checks are observed while it is written, the grain is counted over
+    the written keys.
+    """
+    rules = RULES[table.name]
+    check_columns(frame, table.name, table.columns)
+    version = store.stage(table, frame, metrics=row_metrics(rules))
+    try:
+        enforce_observed(version.metrics, rules, version.frame)
+    except DataQualityError:
+        store.discard(version)
+        raise
+    return version
+
+
+def _publish(store: TableStore, versions: list[Version]) -> None:
+    """Merge all versions, then make them visible one after the other.
+
+    A failure before the first commit changes nothing. Bronze comes last: it
+    holds the checkpoint, so a run that dies between two commits is repeated.
+    """
+    written = [v for v in versions if v.row_count]
+    merged = _together({v.table: partial(store.merge, v) for v in written})
+    for table, (number, writes) in merged.items():
+        store.commit(table, number, writes)
+
+
+class _Run:
+    """The frames of one run, each computed once."""
+
+    def __init__(self, store: TableStore, staging: Staging, readings: DataFrame, densify: bool, window: Column | None):
+        self.store, self.staging = store, staging
+        coded, names = encode_names(readings)
+        staged = staging.write("names", names)[0]
+        self.names = require_distinct_codes(staged)
+        kept = iter(range(9))
+        keep = lambda df: staging.write(f"pivot-{next(kept)}", df)[0]
+        self.sides = staging.write("sides", sides_of_readings(coded, densify, window, keep))[0]
+
+    def stage(self, table: Table, frame: DataFrame) -> Callable[[], Version]:
+        return partial(_stage, self.store, table, decode_names(frame, self.names))
+
+    def hourly(self) -> dict[Table, Callable[[], Version]]:
+        """The Silver tables and the balance, straight from the sides."""
+        return {
+            schemas.SILVER_DEMAND: self.stage(schemas.SILVER_DEMAND, demand_of(self.sides)),
+            schemas.SILVER_GENERATION: self.stage(schemas.SILVER_GENERATION, generation_of(self.sides)),
+            schemas.SILVER_INTERCHANGE: self.stage(schemas.SILVER_INTERCHANGE, interchange_of(self.sides)),
+            schemas.GOLD_GRID_BALANCE: self.stage(schemas.GOLD_GRID_BALANCE, balance_of(self.sides)),
+        }
+
+    def daily(self, by_day: DataFrame) -> dict[Table, Callable[[], Version]]:
+        """The daily tables of demand rows, whose names are text."""
+        coded, names = encode_names(by_day)
+        names = require_distinct_codes(self.staging.write("day-names", names)[0])
+        return {
+            table: partial(_stage, self.store, table, decode_names(frame, names))
+            for table, frame in (
+                (schemas.GOLD_DEMAND_DAILY, transform_demand_daily(coded)),
+                (schemas.GOLD_FORECAST_PERFORMANCE, transform_forecast_performance(coded)),
+            )
+        }
+
+    def warn_conflicts(self) -> None:
+        conflicts = decode_names(conflicts_of(self.sides), self.names, "demand_name")
+        warn_name_conflicts(decode_names(conflicts, self.names, "other_name"))
 
 
 def ingest_window(
@@ -128,15 +201,21 @@ def ingest_window(
     start: object = None,
     end: object = None,
     densify: bool = True,
+    chunk_days: int | None = None,
 ) -> dict[str, int]:
-    """L1: one window from source to Gold; replaying it changes nothing.
+    """L1, L2: one window from source to Gold; replaying it changes nothing.
+
+    The raw batch is staged once and aggregated once to hourly rows with all
+    metrics, from which every table comes. Daily tables see the first day
+    completed from the store; the trailing day stays partial until the next run.
+    All outputs are written and checked before the first is made visible.
 
-    The raw batch is staged once and read by every table. All outputs are
-    staged and validated before the first one is written, so a structural
-    failure leaves the store as it was. Bronze is written last: it holds the
-    checkpoint, so a run that dies while writing is repeated over its window.
+    ``chunk_days`` treats the range as windows of so many days, as a backfill
+    does: each has a grid of its own, and a region's summary is the one of the
+    last window it occurs in.
     """
     prepare_session(store.spark)
+    versions: dict[Table, Version] = {}
     with Staging(store.spark) as staging:
         null_key = F.col("period").isNull() | F.col("respondent").isNull()
         readings, found = staging.write(
@@ -149,68 +228,54 @@ def ingest_window(
             return {"rows_extracted": 0, **dict.fromkeys(_SILVER_RESULTS, 0)}
         if found["null_keys"]:
             raise DataQualityError(
-                f"{schemas.BRONZE_READINGS.name}: {found['null_keys']} row(s) have a "
-                "null 'period' or 'respondent'"
+                f"{schemas.BRONZE_READINGS.name}: null key part in {found['null_keys']} row(s)"
             )
-        coded, names = encode_names(readings)
-        names = _lookup(staging, "names", names)
-        silver = _together(
-            {
-                table: partial(_output, staging, table, decode_names(frame, names))
-                for table, frame in build_silver(coded, densify).items()
-            }
-        )
-        gold = run_gold(store, staging, *[output.frame for output in silver.values()])
-        outputs = {**silver, **gold}
-        _together(
-            {
-                table: partial(store.upsert_staged, table, output.frame, output.row_count)
-                for table, output in outputs.items()
-            }
-        )
-        order = ["ordinal"] if "ordinal" in readings.columns else ["value"]
-        store.upsert(schemas.BRONZE_READINGS, _bronze_rows(readings), *order)
+        window = None
+        if chunk_days:
+            window = backfill_window_of(F.col("period"), as_timestamp(start), chunk_days)
+        try:
+            run = _Run(store, staging, readings, densify, window)
+            versions |= _together({**run.hourly(), "conflicts": run.warn_conflicts})
+            versions.pop("conflicts")
+            demand = versions[schemas.SILVER_DEMAND].frame.select(*schemas.SILVER_DEMAND.columns)
+            by_day = complete_first_day(demand, partial(store.read_periods, schemas.SILVER_DEMAND))
+            versions |= _together(run.daily(by_day))
+            fresh = versions[schemas.GOLD_FORECAST_PERFORMANCE].frame
+            if window is None:
+                history = recent_performance(fresh, store.read_recent_performance)
+                newest = None
+            else:
+                history, newest = _chunked_history(store, run.sides, fresh, window)
+            summary = run.stage(schemas.GOLD_REGIONAL_SUMMARY, summary_of(run.sides, history, newest=newest))
+            versions[schemas.GOLD_REGIONAL_SUMMARY] = summary()
+            order = ["ordinal"] if "ordinal" in readings.columns else []
+            bronze = store.stage(schemas.BRONZE_READINGS, _bronze_rows(readings), *order)
+            _publish(store, [*versions.values(), bronze])
+        except Exception:
+            for version in versions.values():
+                if isinstance(version, Version):
+                    store.discard(version)
+            raise
         return {
             "rows_extracted": found["row_count"],
-            **{_COUNT_NAMES[t.name]: output.row_count for t, output in outputs.items()},
+            **{_COUNT_NAMES[t.name]: version.row_count for t, version in versions.items()},
         }
 
 
-def _together(jobs: dict) -> dict:
-    """Run independent Spark jobs from as many threads, so that the cluster
-    works on the next one while the last tasks of another finish. The first
-    failure, in the given order, is raised after all have ended."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
-        return {name: job.result() for name, job in running.items()}
+def _chunked_history(
+    store: TableStore, sides: DataFrame, fresh: DataFrame, window: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Daily performance, and each region's newest date: that of its last window.
 
-
-@dataclass(frozen=True)
-class Output:
-    """A staged, validated and counted table of a run."""
-
-    frame: DataFrame
-    row_count: int
-
-
-def _output(staging: Staging, table: Table, frame: DataFrame) -> Output:
-    """Stage and check a table (V7).
-
-    Generation and interchange are filtered from the readings and may repeat a
-    key, so their grain is counted. Every other table comes out of an aggregate
-    by its key and is checked while it is written.
+    Both lists are small: a date for each window, a window for each region.
     """
-    rules = RULES[table.name]
-    check_columns(frame, table.name, table.columns)
-    staged, found = staging.write(table.name, frame, *row_metrics(rules))
-    enforce_observed(found, rules)
-    if table in _FILTERED_TABLES:
-        validate(staged, table)
-    return Output(staged, found["row_count"])
-
-
-def _lookup(staging: Staging, name: str, names: DataFrame) -> DataFrame:
-    return require_distinct_codes(staging.write(name, names)[0])
+    numbered = sides.withColumn("window", window)
+    dates = numbered.filter(IN_DEMAND).groupBy("window").agg(F.max(F.to_date("period")).alias("newest"))
+    regions = numbered.groupBy("respondent").agg(F.max("window").alias("window"))
+    newest = regions.join(dates, "window").select("respondent", "newest")
+    first = F.date_sub(dates.agg(F.min("newest")).scalar(), RECENT_DAYS - 1)
+    rows = fresh.select(*RECENT_PERFORMANCE_COLUMNS)
+    return overlay(store.read_recent_performance(first), rows, DAILY_KEY), newest
 
 
 def _bronze_rows(readings: DataFrame) -> DataFrame:
@@ -219,66 +284,65 @@ def _bronze_rows(readings: DataFrame) -> DataFrame:
     return readings.withColumns({c: F.lit(None).cast("string") for c in absent})
 
 
-def run_gold(
-    store: TableStore,
-    staging: Staging,
-    demand: DataFrame,
-    generation: DataFrame,
-    interchange: DataFrame,
-) -> dict[Table, Output]:
-    """L2: the Gold rows the Silver window touches, staged and validated.
-
-    Daily tables see the completed first day; the hourly balance and the
-    summary see the window only. The trailing day stays partial, the next run
-    recomputes it. The three-way join is staged once for the balance, the
-    summary and the name check.
+def ingest_pages(store: TableStore, readings: DataFrame, densify: bool = True) -> int:
+    """Any piece of the feed, in any order of arrival; returns the rows taken.
+
+    A piece may hold some metrics of an hour only, so nothing is derived from it
+    directly. Bronze takes its readings first, keeping for each key the reading
+    with the latest ordinal; then all tables are rebuilt from Bronze for the dates
+    it touches, with a grid for each date. The summary never moves back: a region
+    keeps its stored hours unless the rebuilt ones are as new. So the stored
+    tables do not depend on how the feed was cut, and a replay changes nothing.
     """
+    prepare_session(store.spark)
+    rows = _bronze_rows(normalize_readings(readings))
+    null_keys = F.count_if(F.col("period").isNull() | F.col("respondent").isNull())
+    order = ["ordinal"] if "ordinal" in rows.columns else []
+    bronze = store.stage(schemas.BRONZE_READINGS, rows, *order, metrics=[null_keys.alias("null_keys")])
+    if bronze.metrics.get("null_keys"):
+        store.discard(bronze)
+        raise DataQualityError(
+            f"{schemas.BRONZE_READINGS.name}: null key part in {bronze.metrics['null_keys']} row(s)"
+        )
+    store.publish(bronze, by_order=True)
+    if bronze.row_count:
+        rebuild_dates(store, bronze.folders, densify)
+    return bronze.row_count
 
-    def stored_demand(start: object, end: object) -> DataFrame:
-        return store.read_periods(schemas.SILVER_DEMAND, start, end)
 
-    by_day, day_lookup = encode_names(complete_first_day(demand, stored_demand))
-    coded, lookups = zip(
-        *[encode_names(frame) for frame in (demand, generation, interchange)]
-    )
-    hour_lookup = reduce(DataFrame.union, lookups).distinct()
-    staged = _together(
-        {
-            "day_names": partial(_lookup, staging, "day_names", day_lookup),
-            "hour_names": partial(_lookup, staging, "hour_names", hour_lookup),
-            "sides": lambda: staging.write("sides", hourly_sides(*coded))[0],
-        }
-    )
-    day_names, names, sides = staged.values()
-
-    def output(table: Table, frame: DataFrame, lookup: DataFrame) -> Callable:
-        return partial(_output, staging, table, decode_names(frame, lookup))
-
-    conflicts = decode_names(conflicts_of(sides), names, "demand_name")
-    conflicts = decode_names(conflicts, names, "other_name")
-    gold = _together(
-        {
-            schemas.GOLD_DEMAND_DAILY: output(
-                schemas.GOLD_DEMAND_DAILY, transform_demand_daily(by_day), day_names
-            ),
-            schemas.GOLD_FORECAST_PERFORMANCE: output(
-                schemas.GOLD_FORECAST_PERFORMANCE,
-                transform_forecast_performance(by_day),
-                day_names,
-            ),
-            schemas.GOLD_GRID_BALANCE: output(
-                schemas.GOLD_GRID_BALANCE, balance_of(sides), names
-            ),
-            "conflicts": lambda: warn_name_conflicts(conflicts),
-        }
-    )
-    del gold["conflicts"]
-    performance = gold[schemas.GOLD_FORECAST_PERFORMANCE].frame
-    history = recent_performance(performance, store.read_recent_performance)
-    gold[schemas.GOLD_REGIONAL_SUMMARY] = output(
-        schemas.GOLD_REGIONAL_SUMMARY, summary_of(sides, history), names
-    )()
-    return gold
+def rebuild_dates(store: TableStore, folders: list[str], densify: bool = True) -> None:
+    """Silver and Gold of whole dates from Bronze, and the summary that follows."""
+    with Staging(store.spark) as staging:
+        readings = store.scan(schemas.BRONZE_READINGS, folders).select(*schemas.BRONZE_READINGS.columns)
+        run = _Run(store, staging, readings, densify, F.to_date("period"))
+        versions = _together({**run.hourly(), "conflicts": run.warn_conflicts})
+        versions.pop("conflicts")
+        demand = versions[schemas.SILVER_DEMAND].frame.select(*schemas.SILVER_DEMAND.columns)
+        versions |= _together(run.daily(demand))
+        fresh = versions[schemas.GOLD_FORECAST_PERFORMANCE].frame
+        summary = _advanced_summary(store, run, fresh)
+        versions[schemas.GOLD_REGIONAL_SUMMARY] = _stage(store, schemas.GOLD_REGIONAL_SUMMARY, summary)
+        _publish(store, list(versions.values()))
+
+
+def _advanced_summary(store: TableStore, run: _Run, fresh: DataFrame) -> DataFrame:
+    """The newer of the stored and the rebuilt hours of every region, with the
+    forecast quality of the newest days of all."""
+    table = schemas.GOLD_REGIONAL_SUMMARY
+    kpis = ["recent_forecast_mape_pct", "recent_forecast_bias_mwh"]
+    latest = decode_names(summary_of(run.sides), run.names).drop(*kpis)
+    stored = store.read(table).drop(*kpis)
+    newer = latest.join(
+        stored.select("respondent", F.col("latest_period").alias("stored_period")), list(REGION_KEY), "left"
+    ).filter("stored_period is null or latest_period >= stored_period")
+    states = overlay(stored, newer.drop("stored_period"), REGION_KEY)
+    rows = fresh.select(*RECENT_PERFORMANCE_COLUMNS)
+    day = store.newest_day(schemas.GOLD_FORECAST_PERFORMANCE)
+    newest = F.greatest(F.lit(day).cast("date"), fresh.agg(F.max("date")).scalar())
+    first = F.date_sub(newest, RECENT_DAYS - 1)
+    history = overlay(store.read_recent_performance(first), rows, DAILY_KEY)
+    recent = recent_forecast_kpis(history.filter(F.col("date") >= first))
+    return states.join(recent, list(REGION_KEY), "left").select(*table.columns)
 
 
 def run_pipeline(
@@ -290,14 +354,13 @@ def run_pipeline(
     densify: bool = True,
 ) -> dict[str, int]:
     """Incremental run over the trailing window of what is stored."""
-    spark = prepare_session(store.spark)
-    newest = store.latest_bronze_period()
-    if newest is None:
+    prepare_session(store.spark)
+    newest = store.latest_bronze()
+    if newest.first()["latest_period"] is None:
         raise RuntimeError(EMPTY_BRONZE)
     now = now or datetime.now(timezone.utc)
-    checkpoint = spark.range(1).select(F.lit(newest).alias("latest_period"))
     window = ingestion_window(
-        checkpoint, now.isoformat(), lookback_hours, max_window_hours
+        newest, now.isoformat(), lookback_hours, max_window_hours
     ).first()
     if window["window_end"]:
         logger.warning(
@@ -313,28 +376,22 @@ def run_pipeline(
 def run_backfill(
     store: TableStore,
     source: Source,
-    start: str,
-    end: str,
-    chunk_days: int | None = None,
+    start: str = BACKFILL_START,
+    end: str | None = None,
+    chunk_days: int = BACKFILL_CHUNK_DAYS,
     densify: bool = True,
 ) -> int:
     """Historical load of the closed range; returns the readings found.
 
-    By default the range is one job. ``chunk_days`` commits it in pieces, each
-    completing its first day from the piece before.
+    One job gives what windows of ``chunk_days``, ingested one after the other,
+    leave behind: a grid for each window, and each region's summary as of the last
+    window it occurs in.
     """
     spark = prepare_session(store.spark)
+    end = end or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H")
     bounds = spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
-    windows = backfill_windows(bounds, chunk_days or WHOLE_RANGE_DAYS).select(
-        "chunk",
-        format_period(F.col("start")).alias("start"),
-        format_period(F.col("end")).alias("end"),
-    )
-    total = 0
-    for window in windows.orderBy("chunk").collect():
-        counts = ingest_window(store, source, window["start"], window["end"], densify)
-        total += counts["rows_extracted"]
-    return total
+    backfill_windows(bounds, chunk_days).limit(1).collect()  # refuses a start after the end
+    return ingest_window(store, source, start, end, densify, chunk_days)["rows_extracted"]
 
 
 def frame_source(readings: DataFrame) -> Source:

@@ -45,7 +45,8 @@ class Table:
     """A stored table.
 
     ``partition_column`` splits the files; ``partition_by`` derives it from the
-    key, so a row's partition never changes between writes.
+    key, so a row's partition never changes between writes. ``hidden`` columns
+    are stored beside the contract's and not read back with them.
     """
 
     name: str
@@ -54,6 +55,7 @@ class Table:
     partition_column: str
     partition_type: T.DataType
     audited: bool = True
+    hidden: tuple[tuple[str, T.DataType], ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -68,7 +70,8 @@ class Table:
 
 
 # The summary has one row per region and no time column, so it is split by a
-# hash of the region; an upsert then rewrites only the buckets it touches.
+# hash of the region; an upsert then rewrites only the buckets it touches. The
+# number is fixed, because a region must stay in its bucket.
 SUMMARY_BUCKETS = 16
 
 BRONZE_READINGS = Table(
@@ -81,6 +84,7 @@ BRONZE_READINGS = Table(
     "period_date",
     T.DateType(),
     audited=False,
+    hidden=(("ordinal", T.DecimalType(38, 0)),),
 )
 
 SILVER_DEMAND = Table(

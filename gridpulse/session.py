@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Calendar dates are UTC dates, so the session must compute in UTC.
@@ -40,18 +38,12 @@ def build_session(
 
 
 def shared_scratch(spark: SparkSession) -> str:
-    """The folder every executor can reach, where lineage is cut.
+    """The folder every executor can reach, where intermediate results lie.
 
-    The cluster names it in ``spark.checkpoint.dir``. A local session may run
-    without one and gets a temporary folder; a cluster session may not.
+    It is what ``spark.checkpoint.dir`` names; there is no other choice, since a
+    folder of one machine would be lost to the others.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            f"Set {CHECKPOINT_DIR} to a folder shared by all executors"
-        )
-    local = tempfile.mkdtemp(prefix="gridpulse-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    if not configured:
+        raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder shared by all executors")
+    return configured.rstrip("/")

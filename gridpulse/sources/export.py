@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from gridpulse import schemas
 from gridpulse.functions.columns import DATE_FORMAT, TIMESTAMP_FORMAT
-from gridpulse.operators.normalize import null_non_finite
+from gridpulse.operators.normalize import null_non_finite, order_by_key
 from gridpulse.operators.windows import as_timestamp
 from gridpulse.schemas import Table
-from gridpulse.sources.store import TableStore
+from gridpulse.sources.store import TableStore, observed
 
 # Days of history in an export, and its source label.
 EXPORT_DAYS = 90
@@ -120,8 +120,8 @@ def export(
     """JSON lines per dataset under ``out_dir/<dataset>/rows``, and
     its description under ``out_dir/<dataset>/meta``.
 
-    The rows are counted while they are written. Missing values are written
-    as null and not left out.
+    The rows are counted while they are written, in the order of their key (O1).
+    Missing values are written as null and not left out.
     """
     now = now or datetime.now(timezone.utc)
     now = now.astimezone(timezone.utc) if now.tzinfo else now.replace(tzinfo=timezone.utc)
@@ -129,9 +129,13 @@ def export(
     for name, dataset in DATASETS.items():
         rows = export_rows(store.scan(dataset.table), dataset, now, days)
         observation = Observation()
-        counted = rows.observe(observation, F.count(F.lit(1)).alias("row_count"))
+        key = [name for name in dataset.table.key if name in dataset.columns]
+        # Counted behind the sort, which reads its input twice.
+        counted = order_by_key(rows, key).observe(
+            observation, F.count(F.lit(1)).alias("row_count")
+        )
         _write_json(counted, f"{out_dir}/{name}/rows")
-        counts[name] = observation.get["row_count"]
+        counts[name] = observed(observation).get("row_count", 0)
         meta = store.spark.range(1).select(
             *_meta_columns(name, dataset, now, days),
             F.lit(counts[name]).alias("row_count"),

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections import Counter
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridpulse.operators.normalize import normalize_readings
+from gridpulse.operators.windows import as_timestamp, within
+from gridpulse.sources.files import Files
+
 # Fields of one source row. ``value`` arrives as text or number
 # and is read as text.
 ROW_FIELDS = (
@@ -18,9 +26,11 @@ ROW_FIELDS = (
     "value-units",
 )
 
-# Digits that hold a row's position in its page, so that the page number and
-# the position add up to one sortable number.
-_POSITION_DIGITS = 10
+# An ordinal is a number: the file's sequence number, the page in the file and
+# the row in the page, the latter two at fixed widths.
+_SEQUENCE_DIGITS = 22
+_PAGE_DIGITS = 6
+_ROW_DIGITS = 9
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -42,51 +52,110 @@ PAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Folder level of pages by the date of their readings, for pruned reads.
+DATE_FOLDER = "date"
+
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, number: str | None = None) -> DataFrame:
     """One row per reading, with ``ordinal``, over a folder of pages.
 
-    A file is one page (or one page per line). The digits of its name are its
-    sequence number, so names are zero-padded or carry the window and page:
-    ``2024010100-00003.json``. A page without ``response.data``, or a file
-    name without digits, fails the query that reads it; no second pass over
-    the files is needed to find one.
+    A file holds one page or several, one per line or one after the other. The
+    files' order is their sequence number: all digits of the path below ``path``,
+    or the first group of the pattern ``number``. Numbers must differ from file
+    to file and be padded to one width, otherwise there is no telling which
+    reading comes first; the file listing is checked for that at once. A page
+    without ``response.data`` fails the query that reads it.
     """
-    pages = spark.read.schema(PAGE_SCHEMA).option("multiLine", True).json(path)
-    return explode_pages(pages)
+    files = _files(spark.read, path)
+    _check_numbers(files.inputFiles(), Files(spark).raw_path(path), number)
+    return explode_pages(files, Files(spark).raw_path(path), number)
 
 
-def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """S1 as a stream: each page is read once, when it has landed."""
-    pages = (
-        spark.readStream.schema(PAGE_SCHEMA)
-        .option("multiLine", True)
-        .option("maxFilesPerTrigger", max_files)
-        .json(path)
-    )
-    return explode_pages(pages)
+def stream_pages(spark: SparkSession, path: str, max_files: int = 1000, number: str | None = None) -> DataFrame:
+    """S1 as a stream: each page is read once, when it has landed.
+
+    ``max_files`` sizes the batches and has no influence on the stored result.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return explode_pages(_files(reader, path), Files(spark).raw_path(path), number)
+
+
+def page_source(spark: SparkSession, path: str, number: str | None = None) -> Callable[[object, object], DataFrame]:
+    """A source over pages in folders ``date=YYYY-MM-DD`` of their readings' date.
+
+    A window reads only the folders of its dates: the files of the others are
+    not opened.
+    """
+
+    def read(start: object, end: object) -> DataFrame:
+        files = _files(spark.read, path)
+        _check_numbers(files.inputFiles(), Files(spark).raw_path(path), number)
+        if start is not None:
+            files = files.filter(F.col(DATE_FOLDER) >= F.to_date(as_timestamp(start)))
+        if end is not None:
+            files = files.filter(F.col(DATE_FOLDER) <= F.to_date(as_timestamp(end)))
+        rows = explode_pages(files, Files(spark).raw_path(path), number)
+        return within(normalize_readings(rows), start, end)
+
+    return read
 
 
-def explode_pages(pages: DataFrame) -> DataFrame:
-    """Pages to rows. The ordinal is a decimal, which, unlike a string or a
+def _files(reader, path: str) -> DataFrame:
+    """Whole files as text; folders ``name=value`` below ``path`` are columns."""
+    return reader.format("text").option("wholetext", True).load(path)
+
+
+def _check_numbers(files: list[str], root: str, number: str | None) -> None:
+    """Refuse file names that leave the order of readings open."""
+
+    def sequence(file: str) -> str:
+        below = file.partition(root.rstrip("/") + "/")[2] or file
+        if number is None:
+            return re.sub(r"\D", "", below)
+        found = re.search(number, below)
+        return found.group(1) if found else ""
+
+    numbers = Counter(map(sequence, files))
+    if "" in numbers:
+        raise ValueError(f"Page files without number below {root}")
+    ties = sorted(n for n, count in numbers.items() if count > 1)
+    if ties:
+        raise ValueError(f"Page files below {root} share the numbers {ties[:3]}")
+    if len({len(n) for n in numbers}) > 1:
+        raise ValueError(f"Numbers of page files below {root} have different widths: pad them with zeros")
+
+
+def _failed(problem: Column, kind: T.DataType) -> Column:
+    return F.raise_error(problem).cast(kind)
+
+
+def explode_pages(files: DataFrame, root: str, number: str | None = None) -> DataFrame:
+    """Files to rows. The ordinal is a decimal, which, unlike a string or a
     struct, keeps the aggregates that order by it hash aggregates."""
-    file_name = F.col("_metadata.file_name")
-    sequence = F.regexp_replace(file_name, r"\D", "")
+    path = F.col("_metadata.file_path")
+    folder = root.rstrip("/") + "/"
+    below = F.substr(path, F.locate(folder, path) + len(folder))
+    digits = F.regexp_replace(below, r"\D", "") if number is None else F.regexp_extract(below, number, 1)
+    sequence = F.when(
+        (digits == "") | (F.length(digits) > _SEQUENCE_DIGITS),
+        _failed(F.concat(F.lit("Page file without number, or one too long: "), path), T.StringType()),
+    ).otherwise(digits)
+    # Pages in one file: between two of them a brace closes and the next opens.
+    pages = files.select(
+        sequence.alias("sequence"),
+        path.alias("path"),
+        F.posexplode(F.split("value", r"(?<=\})\s*(?=\{)")).alias("page", "text"),
+    )
+    rows = F.from_json("text", PAGE_SCHEMA)["response"]["data"]
+    kind = PAGE_SCHEMA["response"].dataType["data"].dataType
     data = F.when(
-        F.col("response.data").isNull(),
-        F.raise_error(F.concat(F.lit("Page without response.data: "), file_name)).cast(
-            pages.schema["response"].dataType["data"].dataType
-        ),
-    ).otherwise(F.col("response.data"))
-    number = F.when(
-        sequence == "",
-        F.raise_error(F.concat(F.lit("Page name without number: "), file_name)).cast(
-            "string"
-        ),
-    ).otherwise(sequence)
-    ordinal = F.concat(
-        "page_number", F.lpad(F.col("position").cast("string"), _POSITION_DIGITS, "0")
-    ).cast("decimal(38,0)")
-    return pages.select(
-        number.alias("page_number"), F.posexplode(data).alias("position", "row")
-    ).select("row.*", ordinal.alias("ordinal"))
+        rows.isNull(), _failed(F.concat(F.lit("Page without response.data: "), "path"), kind)
+    ).otherwise(rows)
+    place = F.concat(
+        "sequence",
+        F.lpad(F.col("page").cast("string"), _PAGE_DIGITS, "0"),
+        F.lpad(F.col("position").cast("string"), _ROW_DIGITS, "0"),
+    )
+    return pages.select("sequence", "page", F.posexplode(data).alias("position", "row")).select(
+        "row.*", place.cast("decimal(38,0)").alias("ordinal")
+    )

@@ -1,11 +1,20 @@
-"""Stored tables: Parquet split by date, changed by keyed upsert."""
+"""Stored tables: Parquet split by date, changed by keyed upsert.
+
+A write never touches files that readers see. It adds a folder of its own, split
+by partition, and then one small version file that says which folder holds each
+partition. That file is the commit: a write that dies before it leaves the table
+as it was, and two writers cannot both create the next version.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
-from datetime import date
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,15 +23,16 @@ from gridpulse import schemas
 from gridpulse.functions.columns import TIMESTAMP_FORMAT
 from gridpulse.operators.dedupe import keep_last, merge_rows
 from gridpulse.operators.normalize import null_non_finite
+from gridpulse.operators.quality import require_unique
 from gridpulse.operators.windows import as_timestamp
 from gridpulse.schemas import Table
 from gridpulse.session import shared_scratch
+from gridpulse.sources.files import Files
 
 AUDIT_COLUMN = "transformed_at"
-
-# An upsert that touches up to this many partitions names them to the reader,
-# which then lists only those; beyond it a semi join picks them out.
-LISTED_PARTITIONS = 1000
+# Partition column of the files that names the write they come from.
+_WRITE = "write"
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 # Columns of the recent-performance read.
 RECENT_PERFORMANCE_COLUMNS = (
@@ -35,6 +45,15 @@ RECENT_PERFORMANCE_COLUMNS = (
 )
 
 
+def observed(observation: Observation) -> dict:
+    """Metrics of a finished write; none where Spark saw beforehand that there
+    are no rows, and left the observation out with them."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 class Staging:
     """Written intermediate results in the shared folder.
 
@@ -53,20 +72,14 @@ class Staging:
         path = f"{self.root}/{name}"
         counted.write.parquet(path)
         staged = self.spark.read.schema(df.schema).parquet(path)
-        return staged, {"row_count": 0, **observation.get}
-
-    def _file_system(self) -> tuple:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return staged, {"row_count": 0, **observed(observation)}
 
     def close(self) -> None:
-        path, file_system = self._file_system()
-        file_system.delete(path, True)
+        Files(self.spark).delete(self.root)
 
     def close_at_exit(self) -> None:
         """Leave the files to frames that are read later in this session."""
-        path, file_system = self._file_system()
-        file_system.deleteOnExit(path)
+        Files(self.spark).delete_at_exit(self.root)
 
     def __enter__(self) -> Staging:
         return self
@@ -75,33 +88,77 @@ class Staging:
         self.close()
 
 
+@dataclass
+class Version:
+    """Rows written beside a table, before ``publish`` makes them part of it."""
+
+    table: Table
+    write: str
+    frame: DataFrame
+    row_count: int
+    metrics: dict
+    folders: list[str] = field(default_factory=list)
+
+
 class TableStore:
     """The eight tables of :mod:`gridpulse.schemas` under one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
 
+    def _data(self, table: Table) -> str:
+        return f"{self.path(table)}/data"
+
+    def _versions(self, table: Table) -> str:
+        return f"{self.path(table)}/versions"
+
     def _stored_schema(self, table: Table) -> T.StructType:
         fields = list(table.schema.fields)
+        fields += [T.StructField(name, kind) for name, kind in table.hidden]
         if table.audited:
             fields.append(T.StructField(AUDIT_COLUMN, T.TimestampType()))
         if table.partition_column not in table.columns:
             fields.append(T.StructField(table.partition_column, table.partition_type))
         return T.StructType(fields)
 
-    def scan(self, table: Table) -> DataFrame:
-        """All stored columns; an empty frame before the first write."""
+    def _current(self, table: Table) -> tuple[int, dict[str, str]]:
+        """Number of the newest whole version, and the write that holds each
+        partition folder. A version file that does not parse was not finished."""
+        folder = self._versions(table)
+        names = [name for name in self.files.names(folder) if name.endswith(".json")]
+        for name in reversed(names):
+            try:
+                return int(name[:-5]), json.loads(self.files.read(f"{folder}/{name}"))
+            except ValueError:
+                continue
+        return 0, {}
+
+    def partitions(self, table: Table) -> list[str]:
+        """Values of the stored partitions, as text, ascending."""
+        folders = self._current(table)[1]
+        return sorted(folder.partition("=")[2] for folder in folders)
+
+    def _read(self, table: Table, writes: dict[str, str]) -> DataFrame:
         schema = self._stored_schema(table)
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not writes:
             return self.spark.createDataFrame([], schema)
+        data = self._data(table)
+        paths = [f"{data}/{_WRITE}={write}/{folder}" for folder, write in writes.items()]
+        full = T.StructType([*schema.fields, T.StructField(_WRITE, T.StringType())])
+        return self.spark.read.schema(full).option("basePath", data).parquet(*paths).drop(_WRITE)
+
+    def scan(self, table: Table, folders: Iterable[str] | None = None) -> DataFrame:
+        """All stored columns, of some partition folders if given; an empty frame
+        before the first write."""
+        writes = self._current(table)[1]
+        if folders is not None:
+            writes = {f: writes[f] for f in folders if f in writes}
+        return self._read(table, writes)
 
     def read(self, table: Table) -> DataFrame:
         """The table's contract columns, without storage columns."""
@@ -113,10 +170,12 @@ class TableStore:
         """Rows of an hourly table in [start, end).
 
         The bounds are repeated on the partition column, so only the dates in
-        between are listed and read; columns may be scalar subqueries.
+        between are read; bounds that are no columns also keep the others out of
+        the listing. Columns may be scalar subqueries.
         """
         first = as_timestamp(start)
-        rows = self.scan(table).filter(
+        days = self._days_between(table, start, end)
+        rows = self.scan(table, days).filter(
             (F.col("period_date") >= F.to_date(first)) & (F.col("period") >= first)
         )
         if end is not None:
@@ -126,6 +185,19 @@ class TableStore:
             )
         return rows.select(*table.columns)
 
+    def _days_between(self, table: Table, start: object, end: object) -> list[str]:
+        def day(bound: object, otherwise: str) -> str:
+            if bound is None or isinstance(bound, Column):
+                return otherwise
+            return (bound.isoformat() if isinstance(bound, datetime) else str(bound))[:10]
+
+        low, high = day(start, ""), day(end, "~")
+        return [
+            f"{table.partition_column}={value}"
+            for value in self.partitions(table)
+            if low <= value <= high
+        ]
+
     def read_recent_performance(self, start_date: date | str | Column) -> DataFrame:
         """Daily forecast performance from ``start_date`` onwards."""
         if not isinstance(start_date, Column):
@@ -136,67 +208,130 @@ class TableStore:
             .select(*RECENT_PERFORMANCE_COLUMNS)
         )
 
-    def latest_bronze_period(self) -> str | None:
-        """S3: newest stored reading as UTC text, or None.
+    def newest_day(self, table: Table) -> str | None:
+        """The newest stored date of a table split by date; reads no data."""
+        days = [value for value in self.partitions(table) if value != _NO_DATE]
+        return days[-1] if days else None
 
-        Files are split by date, so only the newest date that holds rows is
-        read for its hour.
+    def latest_bronze(self) -> DataFrame:
+        """S3: one row with ``latest_period``, the newest stored reading or null.
+
+        Only the newest date's files are read for its hour.
         """
-        bronze = self.scan(schemas.BRONZE_READINGS)
-        newest_date = bronze.agg(F.max("period_date")).scalar()
-        newest = bronze.filter(F.col("period_date") == newest_date)
-        text = F.date_format(F.max("period"), TIMESTAMP_FORMAT)
-        return newest.agg(text.alias("period")).first()["period"]
+        table = schemas.BRONZE_READINGS
+        day = self.newest_day(table)
+        newest = self.scan(table, [f"{table.partition_column}={day}"] if day else [])
+        return newest.agg(F.max("period").alias("latest_period"))
 
-    def upsert(self, table: Table, incoming: DataFrame, *order: str | Column) -> int:
-        """Insert or replace by key; returns the rows sent.
+    def latest_bronze_period(self) -> str | None:
+        """S3 as UTC text."""
+        text = F.date_format("latest_period", TIMESTAMP_FORMAT)
+        return self.latest_bronze().select(text.alias("period")).first()["period"]
+
+    def _write(self, table: Table, rows: DataFrame) -> tuple[str, list[str]]:
+        """Write rows into a new folder, split by partition.
 
-        With ``order`` the incoming rows are first reduced to the last per
-        key; without it they must be unique already. An empty frame writes
-        nothing. The rows are staged first, so they are computed once.
+        Rebalancing by the split column gives each date its own files and lets
+        Spark divide a date that is too large for one task.
+        """
+        write, split = f"w{uuid.uuid4().hex}", table.partition_column
+        path = f"{self._data(table)}/{_WRITE}={write}"
+        rows.hint("rebalance", split).sortWithinPartitions(*table.key).write.partitionBy(
+            split
+        ).parquet(path)
+        return write, [n for n in self.files.names(path) if n.startswith(f"{split}=")]
+
+    def stage(
+        self, table: Table, incoming: DataFrame, *order: str | Column, metrics: Iterable[Column] = ()
+    ) -> Version:
+        """Write the rows of an upsert once, where no reader sees them yet.
+
+        With ``order`` they are first reduced to the last per key; without it a
+        repeated key is refused. ``metrics`` are observed while writing.
         """
         if order:
             incoming = keep_last(incoming, table.key, *order)
-        with Staging(self.spark) as staging:
-            staged, found = staging.write(table.name, incoming.select(*table.columns))
-            return self.upsert_staged(table, staged, found["row_count"])
+        hidden = [
+            (F.col(name) if name in incoming.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in table.hidden
+        ]
+        rows = null_non_finite(incoming.select(*table.columns, *hidden))
+        if table.audited:
+            rows = rows.withColumn(AUDIT_COLUMN, F.current_timestamp())
+        rows = rows.withColumn(table.partition_column, table.partition_by())
+        observation = Observation()
+        count = F.count(F.lit(1)).alias("row_count")
+        write, folders = self._write(table, rows.observe(observation, count, *metrics))
+        found = {"row_count": 0, **observed(observation)}
+        frame = self._read(table, dict.fromkeys(folders, write))
+        version = Version(table, write, frame, found["row_count"], found, folders)
+        if not order:
+            try:
+                require_unique(frame, table)
+            except Exception:
+                self.discard(version)
+                raise
+        return version
 
-    def upsert_staged(self, table: Table, incoming: DataFrame, row_count: int) -> int:
-        """``upsert`` of a staged frame that is unique by key and counted.
+    def discard(self, version: Version) -> None:
+        """Delete a version that will not be published."""
+        self.files.delete(f"{self._data(version.table)}/{_WRITE}={version.write}")
 
-        Only the partitions the incoming rows touch are read and rewritten.
-        ``transformed_at`` is set at insert and kept at update.
+    def merge(self, version: Version, by_order: bool = False) -> tuple[int, dict[str, str]]:
+        """The next version's number and partitions; readers see no change yet.
+
+        Partitions that are not stored yet are taken as they were staged. The
+        others are merged with their stored rows, by key: ``transformed_at`` is
+        set at insert and kept at update. ``by_order`` keeps the stored row where
+        its hidden order is the later one.
         """
-        if not row_count:
-            return 0
-        split = table.partition_column
-        incoming = null_non_finite(incoming.select(*table.columns)).withColumn(
-            split, table.partition_by()
-        )
-        key = list(dict.fromkeys([split, *table.key]))
-        stored = self._touched(table, incoming.select(split).distinct())
-        if table.audited:
-            incoming = incoming.withColumn(AUDIT_COLUMN, F.current_timestamp())
-            merged = merge_rows(stored, incoming, key, keep=[AUDIT_COLUMN])
+        table = version.table
+        number, current = self._current(table)
+        writes = dict.fromkeys(version.folders, version.write)
+        both = [folder for folder in version.folders if folder in current]
+        if both:
+            stored = self._read(table, {f: current[f] for f in both})
+            incoming = self._read(table, {f: writes[f] for f in both})
+            key = list(dict.fromkeys([table.partition_column, *table.key]))
+            keep = [AUDIT_COLUMN] if table.audited else []
+            order = table.hidden[0][0] if by_order else None
+            write, folders = self._write(table, merge_rows(stored, incoming, key, keep, order))
+            writes |= dict.fromkeys(folders, write)
+        return number + 1, current | writes
+
+    def commit(self, table: Table, number: int, writes: dict[str, str]) -> None:
+        """Make a merged version the table; fails if another writer was first."""
+        self.files.create(f"{self._versions(table)}/{number:010d}.json", json.dumps(writes))
+
+    def publish(self, version: Version, by_order: bool = False) -> int:
+        """Insert or replace by key; returns the rows sent."""
+        if version.row_count:
+            self.commit(version.table, *self.merge(version, by_order))
         else:
-            merged = merge_rows(stored, incoming, key)
-        # Rebalancing by the split column gives each date its own files and
-        # lets Spark divide a date that is too large for one task.
-        (
-            merged.hint("rebalance", split)
-            .sortWithinPartitions(*key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(split)
-            .parquet(self.path(table))
-        )
-        return row_count
-
-    def _touched(self, table: Table, partitions: DataFrame) -> DataFrame:
-        """Stored rows of the given partitions."""
-        split = table.partition_column
-        listed = partitions.limit(LISTED_PARTITIONS + 1).collect()
-        if len(listed) <= LISTED_PARTITIONS:
-            values = [row[split] for row in listed]
-            return self.scan(table).filter(F.col(split).isin(values))
-        return self.scan(table).join(partitions, [split], "left_semi")
+            self.discard(version)
+        return version.row_count
+
+    def upsert(self, table: Table, incoming: DataFrame, *order: str | Column) -> int:
+        """S6-S9 in one step; an empty frame writes nothing."""
+        return self.publish(self.stage(table, incoming, *order))
+
+    def vacuum(self, table: Table) -> None:
+        """Delete files and versions that the newest version does not need.
+
+        For times when nobody reads an older version or writes a new one.
+        """
+        number, writes = self._current(table)
+        kept = {(write, folder) for folder, write in writes.items()}
+        data = self._data(table)
+        for name in self.files.names(data):
+            write = name.removeprefix(f"{_WRITE}=")
+            folders = [f for f in self.files.names(f"{data}/{name}") if "=" in f]
+            unused = [f for f in folders if (write, f) not in kept]
+            if len(unused) == len(folders):
+                self.files.delete(f"{data}/{name}")
+                continue
+            for folder in unused:
+                self.files.delete(f"{data}/{name}/{folder}")
+        for name in self.files.names(self._versions(table)):
+            if name.endswith(".json") and int(name[:-5]) < number:
+                self.files.delete(f"{self._versions(table)}/{name}")

@@ -6,6 +6,8 @@ import pytest
 from check import compare, connect
 
 import __spark_entry__ as spark_entry
+from catalog.oracle import oracle_sql
+from catalog.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,7 +22,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert spark_entry.queries().keys() == spark_entry.oracle_sql().keys()
+    assert queries().keys() == oracle_sql().keys()
+    assert queries().keys() <= spark_entry.queries().keys()
 
 
 @needs_data
@@ -29,7 +32,7 @@ def test_entry(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", queries())
 def test_query_matches_sql(spark, duck, name):
     # The smallest tables have no region-day with more than 24 readings.
     empty = name == "coverage_check"

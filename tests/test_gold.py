@@ -140,17 +140,17 @@ def test_balance_demand_name_wins_and_conflicts_warn(spark, caplog):
     hour = f"{DAY}T00"
     domains = (
         demand(spark, (hour, "CAL", 1.0, None), (hour, "NY", 1.0, None, None)),
-        generation(spark, (hour, "CAL", 1.0, "A Different Name"), (hour, "NY", 1.0)),
+        generation(spark, (hour, "CAL", 1.0, "Pacific"), (hour, "NY", 1.0)),
         interchange(spark, (hour, "CAL", 1.0)),
     )
     names = table(transform_grid_balance(*domains), "respondent", "respondent_name")
     assert names == [("CAL", "CAL Region"), ("NY", "NY Region")]
     conflicts = name_conflicts(*domains)
-    assert table(conflicts) == [("generation", "CAL", "CAL Region", "A Different Name")]
+    assert table(conflicts) == [("generation", "CAL", "CAL Region", "Pacific")]
     assert table(conflict_report(conflicts)) == [("generation", 1)]
     with caplog.at_level("WARNING"):
         assert warn_name_conflicts(conflicts) == {"generation": 1}
-    assert "A Different Name" in caplog.text
+    assert "Pacific" in caplog.text
 
 
 def test_balance_still_shows_a_repeated_key(spark):
@@ -214,8 +214,8 @@ def test_kpi_window_is_calendar_days_from_the_newest_date_of_all(spark):
 
 
 def test_kpis_are_weighted_and_skip_unusable_days(spark):
-    rows = [("2024-01-01", "CAL", 10.0, 1.0, 1), ("2024-01-02", "CAL", 20.0, 1.0, 3)]
-    assert kpis(spark, *rows) == [("CAL", 17.5, 1.0)]
+    rows = [("2024-01-01", "CAL", 6.0, 1.0, 4), ("2024-01-02", "CAL", 16.0, 1.0, 6)]
+    assert kpis(spark, *rows) == [("CAL", 12.0, 1.0)]
     rows = [("2024-01-01", "CAL", None, None, 0), ("2024-01-02", "CAL", 8.0, 4.0, 24)]
     assert kpis(spark, *rows) == [("CAL", 8.0, 4.0)]
     rows = [("2024-01-01", "CAL", None, 2.0, 3), ("2024-01-02", "CAL", 8.0, 4.0, None)]
@@ -271,11 +271,11 @@ def test_reports_order_nulls_as_stated(spark):
     assert len(analytics.top_peak_days(daily_frame, 2).collect()) == 2
     perf = performance(
         spark,
-        (DAY, "A", 10.0, 1.0, 1),
-        ("2024-01-02", "A", 20.0, 3.0, 3),
+        (DAY, "A", 4.0, 1.0, 5),
+        ("2024-01-02", "A", 9.0, 3.0, 20),
         (DAY, "B", None, None, 0),
     )
-    assert table(analytics.forecast_accuracy(perf)) == [("A", 17.5, 4)]
+    assert table(analytics.forecast_accuracy(perf)) == [("A", 8.0, 25)]
     assert [tuple(r) for r in analytics.forecast_bias(perf).collect()] == [
         ("B", None), ("A", 2.0)
     ]

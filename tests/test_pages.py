@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from frames import table
 
 from gridpulse.operators.silver import transform_demand
-from gridpulse.plans.pipeline import ingest_window
-from gridpulse.sources.pages import read_pages
+from gridpulse.plans.pipeline import ingest_pages
+from gridpulse.sources.pages import page_source, read_pages
 from gridpulse.sources.store import TableStore
 from gridpulse.streaming.ingest import ingest_stream
 from gridpulse import schemas
@@ -41,6 +42,51 @@ def test_pages_keep_row_order_over_files(spark, tmp_path):
     assert table(transform_demand(pages), "demand_mwh") == [(2.0,)]
 
 
+def test_files_of_several_pages_are_read_whole(spark, tmp_path):
+    pages = [
+        {"response": {"data": [row(f"2024-01-01T0{n}", "D", n)]}} for n in range(3)
+    ]
+    (tmp_path / "lines-1.json").write_text("\n".join(json.dumps(p) for p in pages) + "\n")
+    (tmp_path / "pretty-2.json").write_text("\n".join(json.dumps(p, indent=2) for p in pages))
+    (tmp_path / "joined-3.json").write_text("".join(json.dumps(p) for p in pages))
+    found = table(read_pages(spark, str(tmp_path)).selectExpr("cast(ordinal as string) o", "value"))
+    assert [value for _, value in found] == ["0", "1", "2"] * 3 and len({o for o, _ in found}) == 9
+
+
+def test_order_over_folders(spark, tmp_path):
+    for day, value in (("2024-01-10", 5), ("2024-01-02", 7), ("2024-01-11", 6)):
+        folder = tmp_path / f"date={day}"
+        folder.mkdir()
+        page(folder, "0001.json", [row("2024-01-01T00", "D", value)])
+    rows = read_pages(spark, str(tmp_path)).orderBy("ordinal")
+    assert [r["value"] for r in rows.collect()] == ["7", "5", "6"]
+    by_name = r"/(\d+)\.json"
+    with pytest.raises(ValueError, match="share the numbers"):
+        read_pages(spark, str(tmp_path), by_name)
+    wide = tmp_path / "date=2024-1-10"
+    wide.mkdir()
+    page(wide, "0002.json", [])
+    with pytest.raises(ValueError, match="widths"):
+        read_pages(spark, str(tmp_path))
+
+
+def test_source_reads_the_folders_of_its_window_only(spark, tmp_path):
+    for day in range(1, 6):
+        folder = tmp_path / f"date=2024-01-{day:02d}"
+        folder.mkdir()
+        body = [row(f"2024-01-{day:02d}T{h:02d}", "D", h) for h in (3, 20)]
+        page(folder, "0001.json", body, {"broken": 1} if day == 5 else None)
+    read = page_source(spark, str(tmp_path))
+    rows = read("2024-01-02T12", "2024-01-04T03")
+    assert [p for (p,) in table(rows, "period")] == [
+        "2024-01-02T20", "2024-01-03T03", "2024-01-03T20", "2024-01-04T03"
+    ]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    with pytest.raises(Exception, match="response.data"):  # the broken page is read now
+        read("2024-01-02T12", None).collect()
+
+
 def test_page_without_data_or_number_fails(spark, tmp_path):
     page(tmp_path, "page-1.json", None, {"error": "over the limit"})
     with pytest.raises(Exception, match="response.data"):
@@ -52,28 +98,57 @@ def test_page_without_data_or_number_fails(spark, tmp_path):
         read_pages(spark, str(other)).collect()
 
 
-def test_streamed_pages_end_as_the_batch_does(spark, tmp_path):
+def feed():
+    """Pages that split hours, bring late hours and revise earlier ones."""
+    hours = [f"2024-01-0{d}T{h:02d}" for d in (1, 2) for h in range(0, 24, 3)]
+    first = [row(hour, "D", n + 1) for n, hour in enumerate(hours)]
+    second = [row(hour, "DF", n + 2) for n, hour in enumerate(hours)]
+    third = [row("2024-01-01T05", "D", 50), row("2024-01-02T21", "D", 7, "NY")]
+    fourth = [row(hours[3], "D", 99), row(hours[3], "NG", 4), row(hours[0], "TI", -2, "NY")]
+    return [first, second, third, fourth]
+
+
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    """The tables of one batch with all pages."""
+    root = tmp_path_factory.mktemp("whole")
+    (root / "landed").mkdir()
+    for n, rows in enumerate(feed(), 1):
+        page(root / "landed", f"page-0000{n}.json", rows)
+    store = TableStore(spark, str(root / "db"))
+    ingest_pages(store, read_pages(spark, str(root / "landed")))
+    return {spec.name: table(store.read(spec)) for spec in schemas.TABLES.values()}
+
+
+@pytest.mark.parametrize(("order", "max_files"), [((1, 2, 3, 4), 1), ((4, 2, 1, 3), 1), ((3, 1, 4, 2), 1000)])
+def test_tables_do_not_depend_on_how_pages_land(spark, tmp_path, whole, order, max_files):
     landed = tmp_path / "landed"
     landed.mkdir()
-    first = [row(f"2024-01-01T{h:02d}", k, h + 1) for h in range(6) for k in ("D", "DF")]
-    page(landed, "page-00001.json", first + [row("2024-01-01T00", "NG", 5)])
-    streamed = TableStore(spark, str(tmp_path / "streamed"))
+    store = TableStore(spark, str(tmp_path / "db"))
+    pages = feed()
+    for step, n in enumerate(order):
+        name = f"page-0000{n}.json"
+        page(landed, name, pages[n - 1])
+        os.utime(landed / name, (1e9 + step, 1e9 + step))
+    query = ingest_stream(store, str(landed), max_files=max_files)
+    query.awaitTermination()
+    assert query.exception() is None
+    for spec in schemas.TABLES.values():
+        assert table(store.read(spec)) == whole[spec.name], spec.name
+    assert store.latest_bronze_period() == "2024-01-02T21:00:00Z"
 
-    def drain():
-        query = ingest_stream(streamed, str(landed), str(tmp_path / "progress"))
-        query.awaitTermination()
-        assert query.exception() is None
 
-    drain()
-    page(
-        landed,
-        "page-00002.json",
-        [row("2024-01-01T05", "D", 50), row("2024-01-01T06", "D", 7, "NY")],
-    )
-    drain()
-    batch = TableStore(spark, str(tmp_path / "batch"))
-    for name in ("page-00001.json", "page-00002.json"):
-        ingest_window(batch, lambda s, e: read_pages(spark, str(landed / name)))
-    for spec in schemas.TABLES.values():
-        assert table(streamed.read(spec)) == table(batch.read(spec)), spec.name
-    assert streamed.latest_bronze_period() == "2024-01-01T06:00:00Z"
+def test_half_seen_hours_lose_nothing_and_the_summary_stays_ahead(spark, whole):
+    demand = {r[0]: r[3:5] for r in whole["silver_demand"] if r[1] == "CAL"}
+    assert demand["2024-01-02T00"] == (9.0, 10.0) and demand["2024-01-01T05"] == (50.0, None)
+    assert demand["2024-01-01T09"] == (99.0, 5.0)
+    summary = {r[0]: r[2] for r in whole["gold_regional_summary"]}
+    assert summary == {"CAL": "2024-01-02T21", "NY": "2024-01-02T21"}
+
+
+def test_each_store_has_its_own_progress(spark, tmp_path):
+    page(tmp_path, "page-00001.json", [row("2024-01-01T00", "D", 1)])
+    for name in ("a", "b"):
+        store = TableStore(spark, str(tmp_path.parent / f"{tmp_path.name}-{name}"))
+        ingest_stream(store, str(tmp_path)).awaitTermination()
+        assert store.read(schemas.SILVER_DEMAND).count() == 1

@@ -90,6 +90,7 @@ def test_replay_changes_nothing_and_leaves_no_files(
     monkeypatch.setattr(
         "gridpulse.sources.store.shared_scratch", lambda spark: str(tmp_path / "scratch")
     )
+    (tmp_path / "scratch").mkdir()
     assert ingest_window(copy, frame_source(month(spark))) == loaded[1]
     assert contents(copy) == loaded[2]
     assert list((tmp_path / "scratch").iterdir()) == []
@@ -159,11 +160,9 @@ def test_revision_and_absent_region(spark, copy):
     ]
 
 
-@pytest.mark.parametrize("chunk_days", [None, 2])
-def test_backfill_gives_the_same_tables_in_one_job_or_in_chunks(
-    spark, loaded, store, chunk_days
-):
-    """The second chunk begins mid-day and needs the KPIs of the first."""
+@pytest.mark.parametrize("chunk_days", [30, 2])
+def test_backfill_gives_what_windows_in_turn_give(spark, loaded, store, chunk_days):
+    """The second window begins mid-day and needs the KPIs of the first."""
     found = run_backfill(
         store, frame_source(month(spark)), "2024-01-01T00", "2024-01-03T23", chunk_days
     )
@@ -171,6 +170,28 @@ def test_backfill_gives_the_same_tables_in_one_job_or_in_chunks(
     assert contents(store) == loaded[2]
 
 
+def test_backfill_of_regions_that_stop_equals_windows_in_turn(spark, store, tmp_path):
+    """One job with a grid for each window against one ingest for each."""
+    rows = [
+        (f"2024-02-{d:02d}T{h:02d}", r, code, (10 * d + h) * factor)
+        for d in range(1, 8)
+        for h in (0, 1, 2, 13)
+        for r, last in (("CAL", 7), ("NY", 3), ("TEX", 1))
+        if d <= last
+        for code, factor in CODES
+    ]
+    source = frame_source(readings(spark, *rows))
+    run_backfill(store, source, "2024-02-01T00", "2024-02-07T23", chunk_days=2)
+    in_turn = TableStore(spark, str(tmp_path / "turns"))
+    starts = ["2024-02-01T00", "2024-02-03T01", "2024-02-05T02", "2024-02-07T03"]
+    ends = ["2024-02-03T00", "2024-02-05T01", "2024-02-07T02", "2024-02-07T23"]
+    for start, end in zip(starts, ends):
+        ingest_window(in_turn, source, start, end)
+    assert contents(store) == contents(in_turn)
+    summary = table(store.read(schemas.GOLD_REGIONAL_SUMMARY), "respondent", "latest_period")
+    assert summary == [("CAL", "2024-02-07T13"), ("NY", "2024-02-05T01"), ("TEX", "2024-02-03T00")]
+
+
 def test_backfill_bounds_are_checked(spark, store):
     with pytest.raises(Exception, match="start is after its end"):
         run_backfill(store, frame_source(month(spark)), "2024-02-01T00", "2024-01-01T00")
@@ -208,19 +229,19 @@ def silver(spark, *rows):
 def test_head_is_stored_hours_of_the_first_day_before_the_window(spark):
     stored = silver(
         spark,
-        ("2026-08-26T23", "CAL", 1.0, None),
-        ("2026-08-27T03", "CAL", 80.0, None),
-        ("2026-08-27T12", "CAL", 2.0, None),
+        ("2023-11-04T22", "CAL", 1.0, None),
+        ("2023-11-05T06", "CAL", 61.0, None),
+        ("2023-11-05T17", "CAL", 2.0, None),
     )
 
     def read(start, end):
         return stored.filter((F.col("period") >= start) & (F.col("period") < end))
 
-    window = silver(spark, ("2026-08-27T12", "CAL", 100.0, None))
+    window = silver(spark, ("2023-11-05T17", "CAL", 44.0, None))
     got = table(complete_first_day(window, read), "period", "demand_mwh")
-    assert got == [("2026-08-27T03", 80.0), ("2026-08-27T12", 100.0)]
-    midnight = silver(spark, ("2026-08-27T00", "CAL", 100.0, None))
-    assert table(complete_first_day(midnight, read), "demand_mwh") == [(100.0,)]
+    assert got == [("2023-11-05T06", 61.0), ("2023-11-05T17", 44.0)]
+    midnight = silver(spark, ("2023-11-05T00", "CAL", 44.0, None))
+    assert table(complete_first_day(midnight, read), "demand_mwh") == [(44.0,)]
     assert complete_first_day(midnight.limit(0), read).count() == 0
 
 
@@ -229,10 +250,10 @@ def test_recent_performance_prefers_fresh_rows(spark):
         return performance(spark, *rows).withColumn("date", F.col("date").cast("date"))
 
     stored = dated(
-        ("2026-08-22", "CAL", 1.0, 0.0, 24),
-        ("2026-08-23", "CAL", 2.0, 0.0, 24),
-        ("2026-08-29", "CAL", 3.0, 0.0, 5),
+        ("2023-06-10", "CAL", 1.0, 0.0, 24),
+        ("2023-06-11", "CAL", 2.0, 0.0, 24),
+        ("2023-06-17", "CAL", 3.0, 0.0, 5),
     )
-    fresh = dated(("2026-08-29", "CAL", 4.0, 0.0, 6), ("2026-08-20", "NY", 9.0, 0.0, 1))
+    fresh = dated(("2023-06-17", "CAL", 4.0, 0.0, 6), ("2023-06-08", "NY", 9.0, 0.0, 1))
     got = recent_performance(fresh, lambda start: stored.filter(F.col("date") >= start))
     assert table(got, "respondent", "mape_pct") == [("CAL", 2.0), ("CAL", 4.0)]

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from frames import readings, table
+from pyspark.sql import functions as F
 
 from gridpulse import DataQualityError, schemas
 from gridpulse.operators.names import (
@@ -12,6 +13,7 @@ from gridpulse.operators.names import (
 from gridpulse.operators.normalize import normalize_readings
 from gridpulse.operators.quality import RULES, enforce, enforce_observed, validate
 from gridpulse.operators.silver import (
+    sides_of_readings,
     transform_demand,
     transform_generation,
     transform_interchange,
@@ -23,27 +25,27 @@ HOUR = "2024-01-01T00"
 def test_pivot_puts_actual_and_forecast_side_by_side(spark):
     raw = readings(
         spark,
-        (HOUR, "CAL", "D", 1000),
-        (HOUR, "CAL", "DF", 900),
-        (HOUR, "CAL", "NG", 5000),
-        (HOUR, "CAL", "TI", -50),
+        (HOUR, "CAL", "D", 640),
+        (HOUR, "CAL", "DF", 608),
+        (HOUR, "CAL", "NG", 777),
+        (HOUR, "CAL", "TI", -3),
     )
     result = transform_demand(raw)
     assert result.columns == schemas.SILVER_DEMAND.columns
-    assert table(result) == [(HOUR, "CAL", "CAL Region", 1000.0, 900.0, 100.0, 10.0)]
+    assert table(result) == [(HOUR, "CAL", "CAL Region", 640.0, 608.0, 32.0, 5.0)]
 
 
 @pytest.mark.parametrize(
     ("actual", "forecast", "error", "pct"),
     [
-        (800, 1000, -200.0, -25.0),
-        (0, 100, -100.0, None),
-        (-81, 145, -226.0, None),
-        (None, 900, None, None),
-        ("n/a", 900, None, None),
-        ("inf", 900, None, None),
-        ("NaN", 900, None, None),
-        ("12d", 900, None, None),
+        (400, 450, -50.0, -12.5),
+        (0, 70, -70.0, None),
+        (-20, 33, -53.0, None),
+        (None, 410, None, None),
+        ("n/a", 410, None, None),
+        ("inf", 410, None, None),
+        ("NaN", 410, None, None),
+        ("12d", 410, None, None),
     ],
 )
 def test_error_is_signed_and_percentage_needs_positive_demand(
@@ -179,11 +181,60 @@ def test_a_third_of_all_rows_on_one_key_against_plain_python(spark):
 
 def test_observed_checks_raise_in_order():
     rules = RULES["gold_demand_daily"]
-    enforce_observed({}, rules)
-    with pytest.raises(DataQualityError, match="2 row.*null 'respondent'"):
-        enforce_observed({"failures_1": 2, "failures_2": 1}, rules)
-    with pytest.raises(DataQualityError, match="negative 'demand_stddev_mwh'.*-1.5"):
-        enforce_observed({"failures_2": 1, "min_2": -1.5}, rules)
+    assert enforce_observed({}, rules, None) == {}
+    with pytest.raises(DataQualityError, match="respondent: null key part, rows: 2"):
+        enforce_observed({"failures_1": 2, "failures_2": 1}, rules, None)
+    with pytest.raises(DataQualityError, match="demand_stddev_mwh: below zero.*-2.25"):
+        enforce_observed({"failures_2": 1, "min_2": -2.25}, rules, None)
+
+
+def test_observed_warning_shows_rows_and_counts_them(spark, caplog):
+    raw = readings(spark, *[(f"2024-05-01T{h:02d}", "TEX", "D", -h) for h in range(1, 6)])
+    frame = transform_demand(raw)
+    with caplog.at_level("WARNING"):
+        warned = enforce_observed({"failures_2": 5, "min_2": -5.0}, RULES["silver_demand"], frame)
+    assert warned == {"demand_mwh": 5}
+    assert caplog.text.count("'respondent': 'TEX'") == 3 and "least -5.0" in caplog.text
+
+
+def test_repeated_keys_without_an_order_are_refused(spark):
+    raw = readings(spark, (HOUR, "CAL", "D", 4), (HOUR, "CAL", "D", 11)).drop("ordinal")
+    with pytest.raises(Exception, match="need an ordinal"):
+        transform_demand(raw).collect()
+
+
+def test_grid_by_window(spark):
+    hours = ("2024-03-01T00", "2024-03-01T01", "2024-03-02T00", "2024-03-02T01")
+    rows = [(hour, "NY", "D", 1) for hour in hours] + [(hours[0], "TEX", "D", 2)]
+    whole = transform_demand(readings(spark, *rows))
+    by_day = transform_demand(readings(spark, *rows), window=F.to_date("period"))
+    assert whole.count() == 8 and by_day.count() == 6
+    late = by_day.filter("respondent = 'TEX'")
+    assert table(late, "period", "demand_mwh") == [(hours[0], 2.0), (hours[1], None)]
+
+
+def test_one_scan_and_one_exchange_of_the_readings(spark, tmp_path):
+    rows = [(f"2024-03-01T{h:02d}", r, k, h) for h in range(9) for r in "AB" for k in ("D", "DF", "NG", "TI")]
+    readings(spark, *rows).write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    pivots = []
+
+    def keep(df):
+        pivots.append(df.persist())
+        return pivots[-1]
+
+    dense = transform_demand(feed, keep=keep)
+    assert dense.count() == 18
+    pivot = pivots[0]._jdf.queryExecution().withCachedData().toString()
+    assert "InMemoryRelation" in pivot
+    assert "FileScan" not in str(dense._jdf.queryExecution().withCachedData().toString()).split("InMemoryRelation")[0]
+    sides = sides_of_readings(encode_names(normalize_readings(feed))[0], densify=False)
+    plan = sides._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+    executed = sides._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange") == 1 and "SortAggregate" not in executed
+    for frame in pivots:
+        frame.unpersist()
 
 
 def test_generation_and_interchange_keep_sign_null_and_duplicates(spark):
@@ -216,26 +267,26 @@ def test_duplicate_metric_breaks_the_grain(spark, transform, code, name):
 
 def test_unparsable_key_is_fatal(spark):
     raw = readings(spark, ("not an hour", "CAL", "D", 1), (HOUR, "NY", "D", 1))
-    with pytest.raises(DataQualityError, match="null 'period'"):
+    with pytest.raises(DataQualityError, match="period: null key part"):
         validate(transform_demand(raw), schemas.SILVER_DEMAND)
     raw = readings(spark, (HOUR, None, "D", 1, "x"))
-    with pytest.raises(DataQualityError, match="null 'respondent'"):
+    with pytest.raises(DataQualityError, match="respondent: null key part"):
         validate(transform_demand(raw), schemas.SILVER_DEMAND)
 
 
 def test_negative_demand_warns_and_loads(spark, caplog):
-    raw = readings(spark, (HOUR, "SEC", "D", -81), (HOUR, "SEC", "DF", 145))
+    raw = readings(spark, (HOUR, "MIDW", "D", -12.5), (HOUR, "MIDW", "DF", 40))
     with caplog.at_level("WARNING"):
         report = enforce(transform_demand(raw), RULES["silver_demand"])
-    assert "negative 'demand_mwh'" in caplog.text
+    assert "demand_mwh: below zero" in caplog.text and "MIDW" in caplog.text
     assert [r["failures"] for r in report if r["check_name"] == "warn_negative"] == [1]
 
 
 def test_contract_names_missing_then_unexpected_columns(spark):
     silver = transform_demand(readings(spark, (HOUR, "CAL", "D", 1)))
-    with pytest.raises(DataQualityError, match="missing.*demand_mwh"):
+    with pytest.raises(DataQualityError, match="'demand_mwh' lacking"):
         validate(silver.drop("demand_mwh"), schemas.SILVER_DEMAND)
-    with pytest.raises(DataQualityError, match="unexpected.*extra"):
+    with pytest.raises(DataQualityError, match="'extra' not agreed"):
         validate(silver.selectExpr("*", "1 AS extra"), schemas.SILVER_DEMAND)
 
 

@@ -1,12 +1,12 @@
+import pytest
 from frames import readings, table
 from pyspark.sql import functions as F
 
-from gridpulse import schemas
+from gridpulse import DataQualityError, schemas
 from gridpulse.operators.normalize import normalize_readings
 from gridpulse.operators.silver import transform_demand, transform_generation
 from gridpulse.schemas import BRONZE_READINGS, GOLD_REGIONAL_SUMMARY, SILVER_DEMAND
 from gridpulse.schemas import SILVER_GENERATION
-from gridpulse.sources import store as store_module
 from gridpulse.sources.store import TableStore
 
 
@@ -80,13 +80,77 @@ def test_upsert_replaces_inserts_and_leaves_other_dates_alone(spark, tmp_path):
     assert after["2024-01-03"] != before["2024-01-03"]
 
 
-def test_more_partitions_than_are_listed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "LISTED_PARTITIONS", 1)
+def test_repeated_key_without_an_order_is_refused(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "db"))
-    rows = [(f"2024-01-{d:02d}T00", "CAL", d) for d in range(1, 5)]
-    for _ in range(2):
+    twice = generation_of(spark, ("2024-01-01T00", "CAL", 1), ("2024-01-01T00", "CAL", 2))
+    with pytest.raises(DataQualityError, match="grain.*2"):
+        store.upsert(SILVER_GENERATION, twice)
+    assert store.read(SILVER_GENERATION).count() == 0
+    assert store.files.names(f"{store.path(SILVER_GENERATION)}/data") == []
+
+
+def test_write_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "db"))
+    store.upsert(SILVER_GENERATION, generation_of(spark, ("2024-01-01T00", "CAL", 1)))
+    before = store.read(SILVER_GENERATION)
+
+    def dies(*args):
+        raise OSError("disk gone")
+
+    for step in ("_write", "commit"):
+        with monkeypatch.context() as patched:
+            patched.setattr(TableStore, step, dies)
+            with pytest.raises(OSError):
+                store.upsert(SILVER_GENERATION, generation_of(spark, ("2024-01-01T05", "NY", 9)))
+        assert table(store.read(SILVER_GENERATION), "respondent") == [("CAL",)]
+    # An unfinished version file counts for nothing.
+    store.files.create(f"{store.path(SILVER_GENERATION)}/versions/0000000002.json", '{"period')
+    assert table(store.read(SILVER_GENERATION), "respondent") == [("CAL",)]
+    assert table(before, "respondent") == [("CAL",)]
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "db"))
+    a = store.stage(SILVER_GENERATION, generation_of(spark, ("2024-01-01T00", "CAL", 1)))
+    b = store.stage(SILVER_GENERATION, generation_of(spark, ("2024-01-01T00", "NY", 2)))
+    first, second = store.merge(a), store.merge(b)
+    store.commit(SILVER_GENERATION, *first)
+    with pytest.raises(Exception, match="exist"):
+        store.commit(SILVER_GENERATION, *second)
+    store.publish(b)
+    assert table(store.read(SILVER_GENERATION), "respondent") == [("CAL",), ("NY",)]
+
+
+def test_vacuum_keeps_the_newest_version_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "db"))
+    for value in (1, 2, 3):
+        rows = [(f"2024-01-0{d}T00", "CAL", value) for d in range(value, 4)]
         store.upsert(SILVER_GENERATION, generation_of(spark, *rows))
-    assert store.read(SILVER_GENERATION).count() == 4
+    want = table(store.read(SILVER_GENERATION))
+    assert len(store.files.names(f"{store.path(SILVER_GENERATION)}/versions")) == 3
+    store.vacuum(SILVER_GENERATION)
+    assert table(store.read(SILVER_GENERATION)) == want
+    assert len(store.files.names(f"{store.path(SILVER_GENERATION)}/versions")) == 1
+    writes = store.files.names(f"{store.path(SILVER_GENERATION)}/data")
+    assert len(writes) == 3  # one date each comes from each write
+
+
+def test_later_order_stays(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "db"))
+    rows = bronze_rows(spark, *[("2024-01-01T00", "CAL", "D", v) for v in (1, 2, 3)])
+    for ordinal in (1, 2, 0):
+        piece = rows.filter(f"ordinal = {ordinal}")
+        store.publish(store.stage(BRONZE_READINGS, piece, "ordinal"), by_order=True)
+    assert table(store.read(BRONZE_READINGS), "value") == [(3.0,)]
+
+
+def test_checkpoint_reads_one_date(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "db"))
+    rows = [(f"2024-02-{d:02d}T07", "CAL", "D", d) for d in range(1, 9)]
+    store.upsert(BRONZE_READINGS, bronze_rows(spark, *rows), "ordinal")
+    newest = store.latest_bronze()
+    assert all("period_date=2024-02-08" in file for file in newest.inputFiles())
+    assert store.latest_bronze_period() == "2024-02-08T07:00:00Z"
 
 
 def test_replay_changes_nothing_and_empty_writes_nothing(spark, tmp_path):

@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta
+
 import pytest
 from frames import readings, table
 
@@ -30,33 +32,32 @@ def chunks(spark, start, end, days):
 @pytest.mark.parametrize(
     ("newest", "start"),
     [
-        ("2026-08-29T12:00:00Z", "2026-08-27T12"),
-        ("2026-08-29T12:45:10+00:00", "2026-08-27T12"),
-        ("2026-08-29T12", "2026-08-27T12"),
+        ("2024-03-01T07:00:00Z", "2024-02-28T07"),  # over a leap day
+        ("2023-03-01T07:21:43+00:00", "2023-02-27T07"),
+        ("2022-01-01T09", "2021-12-30T09"),  # over a year's end
+        ("2021-05-02T03:00:00+03:00", "2021-04-30T00"),
     ],
 )
 def test_start_is_the_lookback_before_the_checkpoint(spark, newest, start):
-    assert window(spark, newest, "2026-08-29 13:00:00") == (start, None)
+    soon = newest[:10] + " 23:00:00"
+    assert window(spark, newest, soon) == (start, None)
 
 
 def test_no_checkpoint_gives_no_window_and_a_bad_one_fails(spark):
-    assert window(spark, None, "2026-08-29 13:00:00") == (None, None)
+    assert window(spark, None, "2022-07-14 05:00:00") == (None, None)
     with pytest.raises(Exception, match="Could not parse latest_period"):
-        window(spark, "yesterday", "2026-08-29 13:00:00")
-
-
-def test_end_caps_a_stale_window_only(spark):
-    now = "2026-01-01 00:00:00"
-    assert window(spark, "2019-01-01T17", now, max_window_hours=24) == (
-        "2018-12-30T17",
-        "2018-12-31T17",
-    )
-    assert window(spark, "2019-01-01T00", now, lookback_hours=0, max_window_hours=24) == (
-        "2019-01-01T00",
-        "2019-01-02T00",
-    )
-    # The limit falls on the present hour exactly: not cut.
-    assert window(spark, "2025-12-27T00", now)[1] is None
+        window(spark, "yesterday", "2022-07-14 05:00:00")
+
+
+@pytest.mark.parametrize("lookback", [0, 48, 100])
+def test_end_caps_a_stale_window_only(spark, lookback):
+    newest = datetime(2020, 2, 28, 5)
+    start = newest - timedelta(hours=lookback)
+    for age, cut in ((60, False), (61, True), (9000, True)):
+        now = start + timedelta(hours=age)
+        got = window(spark, newest.isoformat(), str(now), lookback_hours=lookback, max_window_hours=60)
+        end = (start + timedelta(hours=60)).strftime("%Y-%m-%dT%H") if cut else None
+        assert got == (start.strftime("%Y-%m-%dT%H"), end)
 
 
 def test_chunks_are_closed_and_contiguous(spark):
