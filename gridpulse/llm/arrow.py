@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse.llm.stages import column_name
 
+# Rows of an Arrow batch. A task holds several batches at a time, and texts may
+# be long; blocks of a megabyte are large enough for numpy.
+BATCH_ROWS = 1_000
+_BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_ROWS``, unless they are smaller."""
+    if not 0 < int(spark.conf.get(_BATCH_ROWS_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS_CONF, str(BATCH_ROWS))
+
+
 # kernel(text column) -> one Arrow array for each new column
 Kernel = Callable[[pa.Array], Sequence[pa.Array]]
 
@@ -21,6 +33,7 @@ def with_kernel(df: DataFrame, text: str, fields: T.StructType, kernel: Kernel)
     A new column whose name an input column has already gets leading
     underscores. Rows are not dropped, whatever they hold.
     """
+    small_batches(df.sparkSession)
     at = df.columns.index(text)
     names = [column_name(df, field.name) for field in fields]
     schema = T.StructType(

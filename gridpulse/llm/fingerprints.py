@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridpulse.llm.arrow import with_kernel
+from gridpulse.llm.arrow import small_batches, with_kernel
 from gridpulse.llm.ranges import count_below
 from gridpulse.llm.tokens import SpanHasher, mix
 
@@ -162,6 +162,7 @@ def compare_with_successor(docs: DataFrame, key: str = "doc_id", text: str = "te
     The successor is the next row by descending ``key`` (rows with equal keys by
     text, null keys last), and after the last row the first.
     """
+    small_batches(docs.sparkSession)
     columns = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
 
     def row_result(key, text: str, chunks: np.ndarray, following: str, next_chunks: np.ndarray) -> tuple:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridpulse.llm.arrow import in_fold, with_kernel
+from gridpulse.llm.arrow import in_fold, small_batches, with_kernel
 
 PROFILE = 300
 UNDETERMINED = "und"
@@ -105,6 +105,7 @@ def learn_profiles(
     are read, chosen by a hash of the id. n-grams are counted where the
     documents are; the driver gets ``PROFILE`` rows for each language.
     """
+    small_batches(docs.sparkSession)
     usable = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
