@@ -18,7 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.stages import column_name
+from gridpulse.llm.stages import Shared, column_name
 
 SEED = 3
 # Target weights are sizes to this power: below 1 small sources gain.
@@ -86,10 +86,15 @@ def mix_sources(
     """Every document as often as drawn, in a new order, plus ``copy`` (from 1) and ``shuffle_key``."""
     copy, order = column_name(docs, "copy"), column_name(docs, "shuffle_key")
     parts = F.greatest(F.ceil(F.col("rate") / LARGEST_PART).cast("int"), F.lit(1))
-    tables = rates.select(
-        F.col("source").alias("_of_source"),
-        parts.alias("_parts"),
-        poisson_table(F.col("rate") / parts).alias("_sums"),
+    # Written, so that Spark knows its size: a small table is broadcast, and the
+    # documents are not shuffled by a source that may hold a third of them.
+    tables = Shared(docs.sparkSession, "mixing").write(
+        rates.select(
+            F.col("source").alias("_of_source"),
+            parts.alias("_parts"),
+            poisson_table(F.col("rate") / parts).alias("_sums"),
+        ),
+        "tables",
     )
     # One number for each part, then the inverse of the distribution at each.
     draws = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda part: hashed_uniform(F.lit(seed), F.col(key), part))
