@@ -56,17 +56,12 @@ _SKETCH = (
     .add("n_shingles", "long")
     .add("set_a", "long")
     .add("set_b", "long")
-    .add("signature", "binary")
     .add("bands", T.ArrayType(T.LongType()))
 )
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    return pa.array([row.tobytes() for row in rows], pa.binary())
-
-
 def _sketch(column: pa.Array) -> list[pa.Array]:
-    size, a, b, signature, bands = [], [], [], [], []
+    size, a, b, bands = [], [], [], []
     for _, _, data, at in blocks(column):
         values, offsets = shingle_sets(data, at)
         full = superminhash(values, offsets, BANDS * ROWS)
@@ -74,28 +69,29 @@ def _sketch(column: pa.Array) -> list[pa.Array]:
         size.append(np.diff(offsets))
         a.append(digest[0])
         b.append(digest[1])
-        signature.append(short_signatures(full))
         bands.append(band_keys(full, BANDS))
     if not size:
-        return [pa.array([], f.type) for f in pa.schema([("", pa.int64())] * 3 + [("", pa.binary()), ("", pa.list_(pa.int64()))])]
+        return [*(pa.array([], pa.int64()) for _ in range(3)), pa.array([], pa.list_(pa.int64()))]
     keys = np.concatenate(bands)
     starts = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
     return [
         pa.array(np.concatenate(size)),
         as_long(np.concatenate(a)),
         as_long(np.concatenate(b)),
-        _binary(np.concatenate(signature)),
         pa.ListArray.from_arrays(pa.array(starts), as_long(keys.ravel())),
     ]
 
 
 def _sets(column: pa.Array) -> list[pa.Array]:
-    """Each document's shingle set as bytes."""
+    """Each document's shingle set as bytes, and its short signature again."""
     sets: list[bytes] = []
+    signatures: list[bytes] = []
     for _, _, data, at in blocks(column):
         values, offsets = shingle_sets(data, at)
         sets += [values[offsets[d] : offsets[d + 1]].tobytes() for d in range(len(at) - 1)]
-    return [pa.array(sets, pa.binary())]
+        short = short_signatures(superminhash(values, offsets, BANDS * ROWS))
+        signatures += [row.tobytes() for row in short]
+    return [pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())]
 
 
 def similar_sets(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -285,8 +281,6 @@ def near_duplicates(
         .groupBy("set_a", "set_b")
         .agg(
             F.min("node").alias("node"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
         ),
         "classes",
@@ -294,19 +288,26 @@ def near_duplicates(
     rows = shared.write(sketched.select("node", "n_shingles", "set_a", "set_b"), "rows")
     shared.drop(sketched)
 
-    # Band groups of more than one class, and of equal groups the first band's.
+    # Band groups of more than one class; of equal larger groups the first band's.
     banded = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    members_of = [F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x")]
     groups = shared.write(
         banded.groupBy("bucket")
-        .agg(*members_of, F.min("band").alias("band"))
-        .filter("n > 1")
-        .groupBy("n", "a", "b", "x")
-        .agg(F.min_by("bucket", "band").alias("bucket")),
+        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
+        .filter("n > 1"),
         "groups",
     )
     couples = shared.write(groups.filter("n = 2 and a <> b").select("a", "b").distinct(), "couples")
-    members = shared.write(banded.join(groups.filter("n > 2").select("bucket", "n"), "bucket"), "members")
+    grouped = shared.write(banded.join(groups.filter("n > 2"), "bucket"), "grouped")
+    chosen = (
+        grouped.groupBy("bucket", "n", "a", "b")
+        .agg(F.bit_xor(F.xxhash64("node")).alias("members"), F.min("band").alias("band"))
+        .groupBy("n", "a", "b", "members")
+        .agg(F.min_by("bucket", "band").alias("bucket"))
+        .select("bucket")
+    )
+    members = shared.write(
+        grouped.select("bucket", "n", "band", "node").join(chosen, "bucket", "left_semi"), "members"
+    )
 
     # The sets of all classes that any candidate pair can name, made once.
     named = shared.write(
@@ -314,10 +315,9 @@ def near_duplicates(
         "named",
     )
     maybe, _ = split_by_ids(texts, "node", named)
+    fields = T.StructType().add("set", "binary").add("signature", "binary")
     sets = shared.write(
-        with_kernel(maybe.join(named, "node", "left_semi"), "text", T.StructType().add("set", "binary"), _sets)
-        .select("node", "set")
-        .join(classes.select("node", "signature"), "node"),
+        with_kernel(maybe.join(named, "node", "left_semi"), "text", fields, _sets).select("node", "set", "signature"),
         "sets",
     )
 
@@ -332,6 +332,8 @@ def near_duplicates(
         links = links.unionByName(shared.write(_compare(across, percent, across=True), "links-across"))
         roots = components(links, shared)
 
+    for table in (groups, couples, grouped, members, named, sets, links):
+        shared.drop(table)  # the roots are written
     answer = (
         rows.join(classes.select("set_a", "set_b", F.col("node").alias("of_class")), ["set_a", "set_b"], "left")
         .join(roots.withColumnRenamed("node", "of_class"), "of_class", "left")

@@ -36,8 +36,8 @@ class Shared:
 
     def drop(self, df: DataFrame) -> None:
         """Free what ``write`` wrote; no later read may need it."""
-        for file in df.inputFiles()[:1]:
-            path, files = self._files(file.rsplit("/", 1)[0])
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path, files = self._files(folder)
             files.delete(path, True)
 
 
