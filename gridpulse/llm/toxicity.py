@@ -1,28 +1,32 @@
 """Operator 5, toxicity: votes of the nearest labelled examples.
 
-Texts are compared by exact TF-IDF cosine over the terms that make label 1
-likelier. Training reads a bounded sample of labelled documents; document
-frequencies are counted over all documents. The examples lie in an inverted
-index of blocks with each term's largest weight in each block: a query scores the
-blocks with the highest bounds, and then only those whose bound reaches the k-th
-cosine found, so the neighbours are exact.
+Texts are compared by exact TF-IDF cosine over all terms of a bounded sample of
+labelled documents. Document frequencies are counted over all documents; a term's
+weight also grows with the odds of label 1 that it is sure to raise, so that one
+insult counts among hundreds of other words. The idf is Robertson's: a term that
+half of all documents hold, or more, weighs nothing.
+
+The examples lie in an inverted index whose most frequent terms are a dense
+matrix; every example is scored and the nearest ones are compared again in double
+precision, so the neighbours are exact and do not depend on the other texts.
 
 The ``NEIGHBOURS`` nearest vote with their cosine as weight, against a prior of
 the base rate; leave-one-out votes of the examples calibrate the score. A text
-without any such term (null and empty ones among them) has no neighbours and
-gets the rate of the examples without one. Without examples of both labels all
+without any term that weighs (null and empty ones among them) has no neighbours
+and gets the rate of the examples without one. Without examples of both labels all
 scores are the share of label 1, or 0 without any example.
 """
 
 from __future__ import annotations
 
-import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,16 +36,17 @@ from gridpulse.llm.stages import Shared
 from gridpulse.llm.tokens import SpanHasher, blocks, mix, shingle_sets
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4_096
-MIN_DOCUMENTS = 3
-# Log-likelihood ratio that a term's dependence on the label must reach, and the
-# factor by which the term must raise the odds of label 1. Terms that speak for
-# label 0 would let harmless boilerplate outvote an insult.
-MIN_G2 = 15.0
-MIN_ODDS_RATIO = 8.0
+# What each term weighs besides the log odds of label 1 it raises, and how many
+# standard errors these odds are lowered by. Terms that speak for label 0 weigh the
+# least: harmless boilerplate must not outvote an insult.
+LEAST_WEIGHT = 0.05
+STANDARD_ERRORS = 2.0
 NEIGHBOURS = 16
+# Queries that are scored at a time, and how many terms are kept dense for that.
 BLOCK = 64
-FIRST_BLOCKS = 4
+HEAD = 512
+# More than single precision can put two equal cosines apart.
+TOLERANCE = 1e-4
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
 CALIBRATION_EXAMPLES = 4_000
@@ -95,94 +100,142 @@ def _distinct(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Vocabulary:
-    """Selected terms by hash, and their inverse document frequencies."""
+    """The sample's terms by hash, and what they weigh."""
 
     terms: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(row, term numbers, unit-length weights) of the rows with a term."""
+        """(row, term numbers, unit-length weights) of the rows with a term that weighs."""
         if not len(self.terms):
             return
         for first, doc, term in document_terms(column):
             at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
-            hit = self.terms[at] == term
+            hit = (self.terms[at] == term) & (self.weight[at] > 0)
             doc, at, count = _distinct(doc[hit], at[hit])
-            weight = (1 + np.log(count)) * self.idf[at]
+            weight = (1 + np.log(count)) * self.weight[at]
             rows, starts = np.unique(doc, return_index=True)
             for row, a, b in zip(rows.tolist(), starts.tolist(), [*starts[1:].tolist(), len(doc)]):
                 w = weight[a:b]
                 yield first + row, at[a:b], w / np.sqrt((w * w).sum())
 
 
-@dataclass
-class BlockMaxIndex:
-    """Examples in blocks; ``best`` holds each term's largest weight by block."""
-
-    ids: np.ndarray
-    label: np.ndarray
-    best: np.ndarray  # terms x blocks
-    postings: list[tuple[np.ndarray, np.ndarray]]  # of each term: places of examples, weights
-
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        """Cosines with the examples of the chosen blocks; 0 for the others."""
-        scores = np.zeros(len(self.ids))
-        for term, weight in zip(terms.tolist(), weights.tolist()):
-            places, own = self.postings[term]
-            hit = chosen[places // BLOCK]
-            scores[places[hit]] += weight * own[hit]
+class ExampleIndex:
+    """Examples by term: the most frequent terms dense, the others as postings.
+
+    Pickled are the examples' own terms and weights, compressed; the rest is made of them.
+    """
+
+    def __init__(self, ids: np.ndarray, label: np.ndarray, offsets: np.ndarray, terms: np.ndarray, weights: np.ndarray, size: int):
+        self.ids, self.label, self.size = ids, label, size
+        # Of each example its own terms and weights.
+        self.offsets, self.terms, self.weights = offsets, terms, weights
+        self.dense: np.ndarray | None = None
+
+    def _open(self) -> None:
+        """Make what searches read; the driver, which does not search, never holds it."""
+        ids, offsets, terms, weights, size = self.ids, self.offsets, self.terms, self.weights, self.size
+        place = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(offsets))
+        found = np.bincount(terms, minlength=size)
+        head = np.argsort(-found, kind="stable")[:HEAD]
+        self.row = np.full(size, -1)  # of each term in ``dense``, or -1
+        self.row[head] = np.arange(len(head))
+        self.dense = np.zeros((len(head), len(ids)), np.float32)
+        in_head = self.row[terms] >= 0
+        self.dense[self.row[terms[in_head]], place[in_head]] = weights[in_head]
+        rest = np.flatnonzero(~in_head)
+        rest = rest[np.argsort(terms[rest], kind="stable")]
+        # Of each term its postings; none for head terms.
+        self.starts = np.r_[0, np.cumsum(np.where(self.row >= 0, 0, found))]
+        self.places, self.own = place[rest], weights[rest]
+
+    def __getstate__(self) -> tuple:
+        packed = [zlib.compress(x.tobytes(), 1) for x in (np.diff(self.terms, prepend=np.int32(0)), self.weights)]
+        return self.ids, self.label, self.offsets, *packed, self.size
+
+    def __setstate__(self, state: tuple) -> None:
+        ids, label, offsets, terms, weights, size = state
+        steps = np.frombuffer(zlib.decompress(terms), np.int32)
+        self.__init__(ids, label, offsets, np.cumsum(steps, dtype=np.int32), np.frombuffer(zlib.decompress(weights), np.float32), size)
+
+    def vector(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """An example's own terms and weights."""
+        own = slice(self.offsets[place], self.offsets[place + 1])
+        return self.terms[own], self.weights[own]
+
+    def _scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines (queries x examples) in single precision."""
+        if self.dense is None:
+            self._open()
+        heads = np.zeros((len(queries), len(self.dense)), np.float32)
+        for q, (terms, weights) in enumerate(queries):
+            row = self.row[terms]
+            heads[q, row[row >= 0]] = weights[row >= 0]
+        scores = heads @ self.dense
+        for q, (terms, weights) in enumerate(queries):
+            size = self.starts[terms + 1] - self.starts[terms]
+            some = size > 0
+            if some.any():
+                spans = [slice(a, a + n) for a, n in zip(self.starts[terms[some]].tolist(), size[some].tolist())]
+                places = np.concatenate([self.places[s] for s in spans])
+                shares = np.concatenate([self.own[s] for s in spans]) * np.repeat(weights[some], size[some])
+                scores[q] += np.bincount(places, shares, len(self.ids))
         return scores
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the ``k`` nearest examples, ties by place.
-
-        The blocks with the highest bounds come first; of the others only those
-        whose bound reaches the k-th cosine found can hold a nearer example.
-        """
-        if not len(self.ids):
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.best[terms]
-        first = np.zeros(len(bound), bool)
-        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
-        scores = self._scores(terms, weights, first)
-
-        def least_of_nearest() -> float:
-            if without >= 0:
-                scores[without] = 0.0
-            return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
-
-        rest = ~first & (bound > 0) & (bound >= least_of_nearest() - 1e-9)
-        if rest.any():
-            scores += self._scores(terms, weights, rest)
-        places = np.flatnonzero((scores > 0) & (scores >= least_of_nearest()))
-        places = places[np.lexsort((places, -scores[places]))[:k]]
-        return places, scores[places]
-
-
-def build_index(ids: list[int], label: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
-    """Blocks of examples that share their heaviest term, for tight bounds."""
-    heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
-    order = sorted(range(len(ids)), key=lambda i: (label[i], heaviest[i], ids[i]))
-    best = np.zeros((terms, -(-len(order) // BLOCK)))
-    gathered: list[tuple[list, list]] = [([], []) for _ in range(terms)]
-    for place, i in enumerate(order):
-        own, weights = vectors[i]
-        np.maximum.at(best, (own, place // BLOCK), weights)
-        for term, weight in zip(own.tolist(), weights.tolist()):
-            gathered[term][0].append(place)
-            gathered[term][1].append(weight)
-    postings = [(np.array(places, np.int64), np.array(weights)) for places, weights in gathered]
-    return BlockMaxIndex(np.array([ids[i] for i in order]), np.array([label[i] for i in order], float), best, postings)
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The same for some examples, in double precision."""
+        spans = [slice(a, b) for a, b in zip(self.offsets[places].tolist(), self.offsets[places + 1].tolist())]
+        theirs = np.concatenate([self.terms[s] for s in spans])
+        at = np.minimum(np.searchsorted(terms, theirs), len(terms) - 1)
+        shares = np.where(terms[at] == theirs, weights[at], 0.0) * np.concatenate([self.weights[s] for s in spans])
+        size = self.offsets[places + 1] - self.offsets[places]
+        return np.add.reduceat(shares, np.r_[0, np.cumsum(size)[:-1]])
+
+    def nearest_of_block(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query places and cosines of the ``k`` nearest examples, ties by place."""
+        groups = np.arange(0, len(self.ids), BLOCK)
+        for first in range(0, len(queries), BLOCK):
+            block = queries[first : first + BLOCK]
+            for q, scores in enumerate(self._scores(block)) if len(self.ids) else ():
+                if without is not None:
+                    scores[without[first + q]] = 0.0
+                # k groups have a score this high, so the k-th score is not lower.
+                best = np.maximum.reduceat(scores, groups)
+                least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
+                places = np.flatnonzero((scores > 0) & (scores >= least - TOLERANCE))
+                if len(places) > k:
+                    kth = np.partition(scores[places], -k)[-k]
+                    places = places[scores[places] >= kth - TOLERANCE]
+                if not len(places):
+                    yield places, np.zeros(0)
+                    continue
+                cosines = self._cosines(*block[q], places)
+                order = np.lexsort((places, -cosines))[:k]
+                yield places[order], cosines[order]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return next(self.nearest_of_block([(terms, weights)], k), (np.zeros(0, np.int64), np.zeros(0)))
+
+
+def build_index(ids: list[int], label: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> ExampleIndex:
+    """The examples by term; ``terms`` is how many the vocabulary has."""
+    offsets = np.r_[0, np.cumsum([len(own) for own, _ in vectors], dtype=np.int64)]
+    term = np.concatenate([np.zeros(0, np.int32), *(own for own, _ in vectors)], dtype=np.int32, casting="unsafe")
+    weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in vectors)], dtype=np.float32, casting="unsafe")
+    return ExampleIndex(np.array(ids), np.array(label, float), offsets, term, weight, terms)
 
 
 @dataclass
 class ToxicityModel:
     vocabulary: Vocabulary
-    index: BlockMaxIndex
+    index: ExampleIndex
     base_rate: float
     rate_without_terms: float
     slope: float
     offset: float
+    sent: Broadcast | None = None  # the model without its calibration
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         agreeing = float((cosines * self.index.label[places]).sum())
@@ -233,8 +286,8 @@ def one_of_each_family(sample: DataFrame) -> DataFrame:
     )
 
 
-def select_terms(sample: DataFrame, label: str, totals: dict[int, int]) -> np.ndarray:
-    """Hashes of the terms whose use depends most on the label."""
+def count_terms(sample: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all terms in order, how many examples have each, how many of label 1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,25 +307,19 @@ def select_terms(sample: DataFrame, label: str, totals: dict[int, int]) -> np.nd
         .mapInArrow(count, "term long, n long, n1 long")
         .groupBy("term")
         .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
-        .filter(F.col("n") >= MIN_DOCUMENTS)
+        .toArrow()
     )
-    whole, ones = float(sum(totals.values())), float(totals.get(1, 0))
-
-    def cell(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    n, n1 = F.col("n").cast("double"), F.col("n1").cast("double")
-    share = n / whole
-    g2 = 2 * (
-        cell(n1, share * ones)
-        + cell(n - n1, share * (whole - ones))
-        + cell(ones - n1, (1 - share) * ones)
-        + cell(whole - ones - n + n1, (1 - share) * (whole - ones))
-    )
-    odds = F.log(((n1 + 0.5) * (whole - ones - n + n1 + 0.5)) / ((n - n1 + 0.5) * (ones - n1 + 0.5)))
-    strong = (F.col("g2") >= MIN_G2) & (odds >= math.log(MIN_ODDS_RATIO))
-    rows = counted.withColumn("g2", g2).filter(strong).orderBy(F.col("g2").desc(), "term").limit(MAX_TERMS).collect()
-    return np.sort(np.array([row["term"] for row in rows], np.int64).view(np.uint64))
+    term = counted["term"].to_numpy().view(np.uint64)
+    order = np.argsort(term)
+    return term[order], counted["n"].to_numpy()[order], counted["n1"].to_numpy()[order]
+
+
+def label_weights(n: np.ndarray, n1: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+    """By how much each term surely raises the log odds of label 1, and ``LEAST_WEIGHT``."""
+    ones, zeros = totals.get(1, 0), totals.get(0, 0)
+    cells = [n1 + 0.5, zeros - (n - n1) + 0.5, n - n1 + 0.5, ones - n1 + 0.5]
+    odds = np.log(cells[0] * cells[1] / (cells[2] * cells[3]))
+    return LEAST_WEIGHT + np.maximum(odds - STANDARD_ERRORS * np.sqrt(sum(1 / c for c in cells)), 0.0)
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray, text: str = "text") -> tuple[np.ndarray, int]:
@@ -285,16 +332,16 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray, text: str = "text")
             for _, doc, term in document_terms(batch.column(0)) if len(terms) else ():
                 at = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
                 hit = terms[at] == term
-                total += np.bincount(_distinct(doc[hit], at[hit])[1], minlength=len(terms))
+                used, n = np.unique(_distinct(doc[hit], at[hit])[1], return_counts=True)
+                total[used] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[used, -1]), pa.array(np.r_[total[used], rows])], names=["place", "n"]
         )
 
-    found = docs.select(text).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    found = docs.select(text).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(terms) + 1, np.int64)  # the last place, -1, counts documents
-    for row in found:
-        counts[row["place"]] = row["n"]
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
     return counts[:-1], int(counts[-1])
 
 
@@ -308,7 +355,7 @@ def train_toxicity(
 ) -> ToxicityModel:
     """Terms, index and calibration from at most ``max_examples`` documents.
 
-    Only documents whose crc32(doc_id as text) mod ``folds`` is not ``held_out``
+    All terms of these documents are used. Only documents whose crc32(doc_id as text) mod ``folds`` is not ``held_out``
     teach; the driver gets their term weights, never texts.
     """
     shared = Shared(docs.sparkSession, "toxicity")
@@ -316,46 +363,64 @@ def train_toxicity(
     sample = shared.write(one_of_each_family(sample), "examples")
     totals = {row[label]: row["count"] for row in sample.groupBy(label).count().collect()}
     both = len(totals) > 1
-    terms = select_terms(sample, label, totals) if both else np.zeros(0, np.uint64)
+    terms, seen, ones = count_terms(sample, label) if both else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
     frequency, n = document_frequencies(docs, terms) if len(terms) else (np.zeros(0), 0)
-    vocabulary = Vocabulary(terms, np.log((1 + n) / (1 + frequency)) + 1)
+    idf = np.maximum(np.log((n - frequency + 0.5) / (frequency + 0.5)), 0.0)
+    vocabulary = Vocabulary(terms, idf * label_weights(seen, ones, totals))
 
-    fields = T.StructType().add("terms", T.ArrayType(T.IntegerType())).add("weights", T.ArrayType(T.DoubleType()))
+    fields = T.StructType().add("terms", "binary").add("weights", "binary")
 
     def kernel(column: pa.Array) -> list[pa.Array]:
         terms, weights = [None] * len(column), [None] * len(column)
         for row, t, w in vocabulary.vectors(column):
-            terms[row], weights[row] = t.astype(np.int32), w
-        return [pa.array(terms, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float64()))]
-
-    rows = with_kernel(sample, "text", fields, kernel).filter("terms is not null").select("doc_id", label, "terms", "weights").collect()
-    rows.sort(key=lambda row: row["doc_id"])
-    vectors = [(np.array(row["terms"]), np.array(row["weights"])) for row in rows]
-    index = build_index([row["doc_id"] for row in rows], [row[label] for row in rows], vectors, len(terms))
+            terms[row], weights[row] = t.astype(np.int32).tobytes(), w.astype(np.float32).tobytes()
+        return [pa.array(terms, pa.binary()), pa.array(weights, pa.binary())]
+
+    rows = with_kernel(sample, "text", fields, kernel).filter("terms is not null").select("doc_id", label, "terms", "weights").toArrow()
+    rows = rows.sort_by("doc_id").combine_chunks()
+    vectors = [
+        (np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.float32)) for t, w in zip(rows["terms"], rows["weights"])
+    ]
+    index = build_index(rows["doc_id"].to_pylist(), rows[label].to_pylist(), vectors, len(terms))
+    del rows, vectors  # the index holds them
     whole, ones = sum(totals.values()), totals.get(1, 0)
     base = ones / whole if whole else 0.0
-    without = whole - len(rows)
-    rate = (ones - sum(row[label] for row in rows)) / without if without else 0.0
+    without = whole - len(index.ids)
+    rate = (ones - float(index.label.sum())) / without if without else 0.0
     model = ToxicityModel(vocabulary, index, base, rate if both else base, 1.0, 0.0)
-    if both and rows:
-        place = {int(i): p for p, i in enumerate(index.ids)}
-        chosen = np.linspace(0, len(rows) - 1, min(len(rows), CALIBRATION_EXAMPLES)).astype(int)
-        votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, without=place[rows[i]["doc_id"]])) for i in chosen]
-        model.slope, model.offset = _fit_logistic(np.array(votes), np.array([rows[i][label] for i in chosen], float))
+    if both and len(index.ids):
+        spark = docs.sparkSession
+        model.sent = sent = spark.sparkContext.broadcast(model)  # bounded by the examples' terms
+        chosen = np.linspace(0, len(index.ids) - 1, min(len(index.ids), CALIBRATION_EXAMPLES)).astype(int)
+
+        def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = sent.value
+            for batch in batches:
+                places = batch.column(0).to_numpy()
+                found = own.index.nearest_of_block([own.index.vector(i) for i in places], NEIGHBOURS, without=places.tolist())
+                vote = [own.vote(near, cosines) for near, cosines in found]
+                yield pa.RecordBatch.from_arrays([pa.array(own.index.label[places]), pa.array(vote, pa.float64())], names=["label", "vote"])
+
+        asked = spark.createDataFrame([(int(i),) for i in chosen], "place long").repartition(spark.sparkContext.defaultParallelism)
+        voted = asked.mapInArrow(votes, "label double, vote double").toArrow().sort_by([("vote", "ascending"), ("label", "ascending")])
+        model.slope, model.offset = _fit_logistic(voted["vote"].to_numpy(), voted["label"].to_numpy())
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The frame plus ``score``, ``predicted`` and ``evidence``, the nearest examples' ids."""
 
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by examples and terms
+    sent = model.sent or docs.sparkSession.sparkContext.broadcast(model)
+    slope, offset = model.slope, model.offset
 
     def kernel(column: pa.Array) -> list[pa.Array]:
         own = sent.value
+        own.slope, own.offset = slope, offset
         scores = np.full(len(column), own.rate_without_terms)
         evidence: list[list[int]] = [[] for _ in range(len(column))]
-        for row, terms, weights in own.vocabulary.vectors(column):
-            places, cosines = own.index.nearest(terms, weights, NEIGHBOURS)
+        found = list(own.vocabulary.vectors(column))
+        nearest = own.index.nearest_of_block([(terms, weights) for _, terms, weights in found], NEIGHBOURS)
+        for (row, _, _), (places, cosines) in zip(found, nearest):
             if len(places):
                 scores[row] = own.calibrated(own.vote(places, cosines))
                 evidence[row] = own.index.ids[places[:EVIDENCE]].tolist()

@@ -72,6 +72,25 @@ def test_toxicity(spark, docs, with_extra):
     assert score_toxicity(docs.limit(0), train_toxicity(docs, labels.limit(0))).count() == 0
 
 
+def test_rare_toxic_words_and_plain_texts_have_neighbours(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        words = [f"w{rng.randrange(400)}" for _ in range(30)]
+        toxic = int(i % 8 == 0)
+        if toxic:  # each insult is in two documents
+            words[rng.randrange(30)] = f"insult{i // 16}"
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train_toxicity(docs, docs.select("doc_id", "toxic"))
+    new = [(1000 + k, " ".join([f"w{rng.randrange(400)}" for _ in range(29)] + ["insult3"] * (k % 2))) for k in range(40)]
+    got = score_toxicity(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    assert all(len(r["evidence"]) == 3 for r in got)
+    assert all(set(r["evidence"][:2]) == {48, 56} for r in got if r["doc_id"] % 2)
+    score = [np.mean([r["score"] for r in got if r["doc_id"] % 2 == k]) for k in (0, 1)]
+    assert score[1] > 2 * score[0]
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(4)
     vectors = []
