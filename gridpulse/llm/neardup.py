@@ -83,15 +83,17 @@ def _sketch(column: pa.Array) -> list[pa.Array]:
 
 
 def _sets(column: pa.Array) -> list[pa.Array]:
-    """Each document's shingle set as bytes, and its short signature again."""
+    """Each document's shingle set as bytes, and its short signature and band keys again."""
     sets: list[bytes] = []
     signatures: list[bytes] = []
+    keys: list[bytes] = []
     for _, _, data, at in blocks(column):
         values, offsets = shingle_sets(data, at)
         sets += [values[offsets[d] : offsets[d + 1]].tobytes() for d in range(len(at) - 1)]
-        short = short_signatures(superminhash(values, offsets, BANDS * ROWS))
-        signatures += [row.tobytes() for row in short]
-    return [pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())]
+        full = superminhash(values, offsets, BANDS * ROWS)
+        signatures += [row.tobytes() for row in short_signatures(full)]
+        keys += [row.tobytes() for row in band_keys(full, BANDS)]
+    return [pa.array(sets, pa.binary()), pa.array(signatures, pa.binary()), pa.array(keys, pa.binary())]
 
 
 def similar_sets(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -118,6 +120,7 @@ def block_links(
     root: np.ndarray,
     sets: list[np.ndarray],
     signature: np.ndarray,
+    keys: np.ndarray,
     split: int,
     percent: int,
 ) -> list[tuple[int, int]]:
@@ -125,6 +128,7 @@ def block_links(
 
     ``split`` is 0 for a block of its own, else the first ``split`` members are
     paired with the others. Members with equal ``root`` are joined already.
+    ``keys`` are the members' band keys, by which they came to share buckets.
     """
     rows = np.arange(split or len(node))
     columns = np.arange(split, len(node))
@@ -135,8 +139,8 @@ def block_links(
         equal = signature[rows[s : s + step], None, :] == signature[None, columns, :]
         share = equal.mean(2, dtype=np.float32)
         if band:
-            earlier = equal[:, :, : band * ROWS].reshape(*equal.shape[:2], band, ROWS).all(3).any(2)
-            share[earlier] = -1
+            earlier = keys[rows[s : s + step], None, :band] == keys[None, columns, :band]
+            share[earlier.any(2)] = -1
         similar[s : s + step] = share
     x, y = size[rows][:, None], size[columns][None, :]
     similar[(percent * np.maximum(x, y) > 100 * np.minimum(x, y)) | (similar < _thinkable(percent))] = -1
@@ -165,7 +169,7 @@ def block_links(
 def _compare(members: DataFrame, percent: int, across: bool) -> DataFrame:
     """Links (a, b) inside the blocks of band groups, or ``across`` their blocks.
 
-    ``members`` has bucket, n, band, node, root, set and signature.
+    ``members`` has bucket, n, band, node, root, set, signature and keys.
     """
     count = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), count).cast("int")
@@ -185,6 +189,7 @@ def _compare(members: DataFrame, percent: int, across: bool) -> DataFrame:
         "root",
         "set",
         "signature",
+        "keys",
     )
     keys = ["bucket", "low", "high"]
     dealt = placed.repartition(*keys).sortWithinPartitions(*keys, "own", "node")
@@ -201,6 +206,7 @@ def _compare(members: DataFrame, percent: int, across: bool) -> DataFrame:
             group["root"].to_numpy(),
             [np.frombuffer(s, np.uint64) for s in group["set"].to_pylist()],
             signature.reshape(len(own), -1),
+            np.frombuffer(b"".join(group["keys"].to_pylist()), np.uint64).reshape(len(own), -1),
             split,
             percent,
         )
@@ -315,9 +321,9 @@ def near_duplicates(
         "named",
     )
     maybe, _ = split_by_ids(texts, "node", named)
-    fields = T.StructType().add("set", "binary").add("signature", "binary")
+    fields = T.StructType().add("set", "binary").add("signature", "binary").add("keys", "binary")
     sets = shared.write(
-        with_kernel(maybe.join(named, "node", "left_semi"), "text", fields, _sets).select("node", "set", "signature"),
+        with_kernel(maybe.join(named, "node", "left_semi"), "text", fields, _sets).select("node", "set", "signature", "keys"),
         "sets",
     )
 

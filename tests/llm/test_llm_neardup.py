@@ -5,7 +5,7 @@ import pytest
 from brute import components, shingles
 
 from gridpulse.llm import neardup
-from gridpulse.llm.minhash import superminhash
+from gridpulse.llm.minhash import band_keys, superminhash
 from gridpulse.llm.neardup import near_duplicates
 
 
@@ -72,3 +72,26 @@ def test_signatures_estimate_similarity():
     assert abs(error.mean()) < 0.01 and error.std() < 0.035
     alone = superminhash(np.array([7], np.uint64), np.array([0, 1, 1]), 16)
     assert len(set(alone[0].tolist())) == 16 and (alone[1] == alone[1][0]).all()
+
+
+def test_pairs_alike_in_an_earlier_band_only_by_bytes_are_compared():
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(100):  # a hub and spokes near 0.85
+        hub = rng.integers(0, 2**63, 240, dtype=np.uint64)
+        sets += [np.unique(hub), *(np.unique(np.r_[hub[19 * k + 19 :], hub[: 19 * k], rng.integers(0, 2**63, 16, dtype=np.uint64)]) for k in range(2))]
+    full = superminhash(np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])], neardup.BANDS * neardup.ROWS)
+    keys = band_keys(full, neardup.BANDS)
+    same = np.zeros((3, neardup.BANDS * neardup.ROWS), np.uint8)  # all bytes agree
+    compared = 0
+    for g in range(0, len(sets), 3):
+        for a, b in ((g, g + 1), (g, g + 2)):
+            bands = np.flatnonzero(keys[a] == keys[b])
+            if not len(bands) or not neardup.similar_sets(sets[a], sets[b], 85):
+                continue
+            pair = [a, b]
+            for band in bands[:2].tolist():
+                links = neardup.block_links(band, np.array(pair), np.array(pair), [sets[a], sets[b]], same[:2], keys[pair], 0, 85)
+                assert links == ([(a, b)] if band == bands[0] else [])  # in the first band they share
+            compared += bands[0] > 0
+    assert compared > 50
