@@ -70,7 +70,11 @@ class ByteNetwork:
         np.cumsum(segments, out=first[1:])
         padded = np.zeros(first[-1] * SEGMENT + WIDTH - STRIDE, np.uint8)
         padded[np.arange(len(data)) + np.repeat(first[:-1] * SEGMENT - at[:-1], size)] = data
-        pooled = self.responses(padded).reshape(-1, _PER_SEGMENT, self.bias.size).max(1)
+        seen = self.responses(padded).reshape(-1, _PER_SEGMENT, self.bias.size)
+        # The last windows of a text's area reach into the next text; a response is
+        # never below 0, so that 0 keeps them out of the maximum.
+        seen[first[1:] - 1, 1 - _STEPS :] = 0
+        pooled = seen.max(1)
         chunks = chunk_counts(size)
         owner = np.repeat(np.arange(docs), chunks)
         start = np.zeros(docs, np.int64)

@@ -142,3 +142,23 @@ def test_every_byte_of_a_long_text_counts(docs):
     texts = [clean, clean[: len(clean) // 2] + " " + " ".join(bad[:8]) + " " + clean[len(clean) // 2 :], clean + " " + " ".join(bad[:8])]
     scores = np.concatenate([network.block_scores(data, at) for _, _, data, at in blocks(pa.array(texts))])
     assert scores[1] < scores[0] and scores[2] < scores[0]
+
+
+def test_a_score_does_not_depend_on_the_texts_around(docs):
+    from gridpulse.llm.quality import ByteNetwork
+
+    rng = np.random.default_rng(3)
+    network = ByteNetwork(*(rng.normal(0, 1, shape).astype(np.float32) for shape in ((256, 4), (4, 16, 24), 24, 24)), 0.0)
+    texts = [rng.integers(33, 127, n, dtype=np.uint8) for n in [0, 1, 44, 52, 64, 108, 500, 512, 700] * 4]
+    at = np.r_[0, np.cumsum([len(t) for t in texts])]
+    together = network.block_scores(np.concatenate(texts), at)
+    alone = [network.block_scores(t, np.array([0, len(t)]))[0] for t in texts]
+    assert np.allclose(together, alone, rtol=1e-5)
+    # The zeros behind a text count as they do in training, its neighbours do not.
+    for k, own in enumerate(alone):
+        row = np.zeros(1024 + 12, np.uint8)
+        row[: len(texts[k])] = texts[k]
+        if len(texts[k]) <= 500:
+            chunk = network.responses(row[: len(texts[k]) // 64 * 64 + 192])
+            z = chunk[: 128].max(0) @ network.weights
+            assert np.isclose(own, 1 / (1 + np.exp(-np.clip(float(z), -30, 30))), rtol=1e-4)
