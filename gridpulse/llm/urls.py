@@ -7,8 +7,9 @@ block: smoothed Markov models whose order varies from position to position, up t
 enough. The mean over all positions of the log-likelihood difference is the
 score, and a threshold calibrated on held-out ruled URLs turns it into a verdict.
 
-Every n-gram model has at most ``MAX_GRAMS`` rows, since an n-gram enters it with
-that part of all positions at least; so broadcasting them is bounded.
+An n-gram seen ``MIN_GRAMS`` times enters a model, at every size. So the models grow
+with the input: they are joined with the distinct n-grams of the URLs, and these with
+the positions; Spark's size test and AQE choose how.
 
 Null and empty URLs without a rule are blocked. A URL without ``://`` has empty
 host and path, fits no rule, and is judged by its characters. Without ruled URLs
@@ -28,6 +29,7 @@ from gridpulse.llm.stages import Shared
 
 ORDER = 5
 MIN_GRAMS = 2
+# Only the SQL reads this bound of a model's rows; it acts beyond 400,000 positions.
 MAX_GRAMS = 200_000
 # Weight of the next lower order, in observations.
 SMOOTHING = 2.0
@@ -103,8 +105,6 @@ def train_models(ruled: DataFrame, shared: Shared) -> list[DataFrame]:
         _positions(ruled).groupBy("gram").agg(F.sum(allowed).alias("a"), F.sum(1 - allowed).alias("b")),
         "grams",
     )
-    total = counts.agg(F.sum(F.col("a") + F.col("b"))).first()[0] or 0
-    least = max(MIN_GRAMS, -(-total // MAX_GRAMS))
     models: list[DataFrame] = []
     lower = None
     for order in range(1, ORDER + 1):
@@ -113,7 +113,7 @@ def train_models(ruled: DataFrame, shared: Shared) -> list[DataFrame]:
             F.left(F.right("gram", F.lit(order)), F.lit(order - 1)).alias("context")
         ).agg(F.sum("a").alias("all_a"), F.sum("b").alias("all_b"))
         known = (
-            grams.filter(F.col("a") + F.col("b") >= least)
+            grams.filter(F.col("a") + F.col("b") >= MIN_GRAMS)
             .withColumn("context", F.left("gram", F.lit(order - 1)))
             .join(contexts, "context")
         )
@@ -136,14 +136,16 @@ def train_models(ruled: DataFrame, shared: Shared) -> list[DataFrame]:
     return models
 
 
-def score_urls(urls: DataFrame, models: list[DataFrame]) -> DataFrame:
+def score_urls(urls: DataFrame, models: list[DataFrame], shared: Shared) -> DataFrame:
     """(url, bin) of distinct URLs: the mean difference by position, in bins."""
     rows = _positions(urls.select("url"))
+    grams = rows.select("gram").distinct()
     for order, model in enumerate(models, 1):
         own = model.select(F.col("gram").alias(f"gram_{order}"), F.col("llr").alias(f"llr_{order}"))
-        rows = rows.withColumn(f"gram_{order}", F.right("gram", F.lit(order))).join(F.broadcast(own), f"gram_{order}", "left")
+        grams = grams.withColumn(f"gram_{order}", F.right("gram", F.lit(order))).join(own, f"gram_{order}", "left")
     longest = F.coalesce(*(F.col(f"llr_{order}") for order in range(len(models), 0, -1)), F.lit(0))
-    summed = rows.groupBy("url").agg(F.sum(longest).alias("total"), F.count(F.lit(1)).alias("n"))
+    judged = shared.write(grams.select("gram", longest.alias("llr")), "judged")
+    summed = rows.join(judged, "gram").groupBy("url").agg(F.sum("llr").alias("total"), F.count(F.lit(1)).alias("n"))
     step = F.floor(F.col("total") / (F.col("n") * float(BIN))).cast("int")
     return summed.select("url", F.greatest(F.lit(-BINS), F.least(F.lit(BINS), step)).alias("bin"))
 
@@ -186,7 +188,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, key: str = "pag
     )
     held_out = F.left(F.md5("url"), F.lit(1)).isin(*HELD_OUT)
     models = train_models(urls.filter(F.col("verdict").isNotNull() & ~held_out), shared)
-    scored = shared.write(score_urls(urls, models), "scores")
+    scored = shared.write(score_urls(urls, models, shared), "scores")
     least = calibrate(urls.filter(F.col("verdict").isNotNull() & held_out).join(scored, "url"))
     judged = F.when(F.col("bin") >= least, "allow").otherwise("block")
     return ruled.join(scored, "url", "left").select(

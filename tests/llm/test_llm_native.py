@@ -2,8 +2,9 @@
 
 import itertools
 import random
+from collections import Counter
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -182,6 +183,18 @@ def test_url_models_tell_kinds_of_hosts_apart(spark):
     assert len(right) == 300 and np.mean(right) > 0.98
 
 
+def test_url_models_keep_what_is_seen_twice_at_every_size(spark, monkeypatch):
+    from gridpulse.llm import urls
+    from gridpulse.llm.stages import Shared
+
+    rows = [(f"http://h{i % 50}.org/{i}", "allow" if i % 2 else "block") for i in range(200)]
+    ruled = spark.createDataFrame(rows, "url string, verdict string")
+    seen = Counter(f"{urls._START * 4}{url}{urls._END}"[k : k + 5] for url, _ in rows for k in range(len(url) + 1))
+    monkeypatch.setattr(urls, "MAX_GRAMS", 20)  # as if the table were much larger
+    longest = urls.train_models(ruled, Shared(spark, "urls"))[-1]
+    assert {r["gram"] for r in longest.collect()} == {gram for gram, n in seen.items() if n > 1}
+
+
 @pytest.mark.parametrize("name", ["op3_mixing", "op9_url_filters"])
 def test_query_matches_sql(spark, name):
     assert not compare(spark, connect(SF_DIR), name, SF_DIR)
