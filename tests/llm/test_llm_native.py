@@ -2,7 +2,6 @@
 
 import itertools
 import random
-from collections import Counter
 import zlib
 from collections import Counter, defaultdict
 
