@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridpulse.llm import mixing, urls
+from gridpulse.llm import manifest, mixing, urls
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,7 +52,7 @@ def _model(order: int) -> str:
   JOIN (SELECT {context} AS context, sum(a) AS a, sum(b) AS b FROM counts GROUP BY 1) c
     ON c.context = left(g.gram, {order - 1})
   {join}
-  WHERE g.a + g.b >= (SELECT m FROM least_count)
+  WHERE g.a + g.b >= {urls.MIN_GRAMS}
 )"""
 
 
@@ -91,8 +91,6 @@ WITH rest AS (
 ), counts AS (
   SELECT gram, sum((verdict = 'allow')::INTEGER) AS a, sum((verdict = 'block')::INTEGER) AS b
   FROM positions WHERE verdict IS NOT NULL AND NOT held_out GROUP BY gram
-), least_count AS (
-  SELECT greatest({urls.MIN_GRAMS}, ceil(sum(a + b) / {urls.MAX_GRAMS}::DOUBLE)) AS m FROM counts
 )
 {"".join(_model(k) for k in _ORDERS)}
 , totals AS (
@@ -118,5 +116,120 @@ FROM ruled LEFT JOIN scores s USING (url)
 """
 
 
+def _framed(*fields: str) -> str:
+    texts = [f"CAST({f} AS VARCHAR)" for f in fields]
+    return " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts)
+
+
+def _manifest(text: str) -> str:
+    return f"sha256({_framed('doc_id', 'source', 'lang', 'n_chars', text)})"
+
+
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+# Trees grow by ARITY until a group has one node; ``nodes`` has every node of every level.
+MANIFEST = f"""
+WITH RECURSIVE bits(byte, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT byte, k + 1, {_STEP} FROM bits WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY byte) AS crcs FROM bits WHERE k = 8
+), digits(doc_id, place, c) AS (
+  SELECT DISTINCT doc_id, 0, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, place + 1, xor(c >> 8, (SELECT crcs FROM crc_table)[(xor(c, ascii(substr(doc_id::VARCHAR, place + 1, 1))) & 255) + 1])
+  FROM digits WHERE place < length(doc_id::VARCHAR)
+), altered AS (
+  SELECT doc_id FROM digits WHERE place = length(doc_id::VARCHAR) AND xor(c, 4294967295) % 2 = 0
+), leaves AS (
+  SELECT coalesce('=' || source, '-') AS grp, doc_id, {_manifest("text")} AS leaf,
+    CASE WHEN doc_id IN (SELECT doc_id FROM altered) THEN {_manifest("replace(text, chr(10), '')")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot FROM leaves
+), nodes(grp, level, slot, node, n) AS (
+  SELECT grp, 0, slot, leaf, count(*) OVER (PARTITION BY grp) FROM placed
+  UNION ALL
+  SELECT grp, level + 1, slot // {manifest.ARITY}, sha256(string_agg(node, '' ORDER BY slot)), max((n + {manifest.ARITY - 1}) // {manifest.ARITY})
+  FROM nodes WHERE n > 1 GROUP BY grp, level + 1, slot // {manifest.ARITY}
+), subroots AS (
+  SELECT grp, node AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS rank FROM nodes WHERE n = 1
+), tops(level, slot, node, n) AS (
+  SELECT 0, rank, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT level + 1, slot // {manifest.ARITY}, sha256(string_agg(node, '' ORDER BY slot)), max((n + {manifest.ARITY - 1}) // {manifest.ARITY})
+  FROM tops WHERE n > 1 GROUP BY level + 1, slot // {manifest.ARITY}
+), steps AS (
+  SELECT p.grp, p.slot, n.level, coalesce(string_agg(n.node, '' ORDER BY n.slot) FILTER (n.slot < p.slot // t.size), '') AS lefts,
+    coalesce(string_agg(n.node, '' ORDER BY n.slot) FILTER (n.slot > p.slot // t.size), '') AS rights
+  FROM placed p JOIN nodes n ON n.grp = p.grp AND n.n > 1
+  JOIN (SELECT range AS level, CAST(pow({manifest.ARITY}, range) AS BIGINT) AS size FROM range(30)) t
+    ON t.level = n.level AND n.slot // {manifest.ARITY} = p.slot // t.size // {manifest.ARITY}
+  GROUP BY p.grp, p.slot, n.level
+  UNION ALL
+  SELECT p.grp, p.slot, 100 + n.level, coalesce(string_agg(n.node, '' ORDER BY n.slot) FILTER (n.slot < s.rank // t.size), ''),
+    coalesce(string_agg(n.node, '' ORDER BY n.slot) FILTER (n.slot > s.rank // t.size), '')
+  FROM placed p JOIN subroots s ON s.grp = p.grp JOIN tops n ON n.n > 1
+  JOIN (SELECT range AS level, CAST(pow({manifest.ARITY}, range) AS BIGINT) AS size FROM range(30)) t
+    ON t.level = n.level AND n.slot // {manifest.ARITY} = s.rank // t.size // {manifest.ARITY}
+  GROUP BY p.grp, p.slot, n.level
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY grp, slot ORDER BY level) AS k FROM steps
+), folds(grp, slot, k, node) AS (
+  SELECT grp, slot, 0, coalesce(changed, leaf) FROM placed
+  UNION ALL
+  SELECT f.grp, f.slot, f.k + 1, sha256(s.lefts || f.node || s.rights) FROM folds f
+  JOIN numbered s ON s.grp = f.grp AND s.slot = f.slot AND s.k = f.k + 1
+), proofs AS (
+  SELECT grp, slot, sha256(string_agg(lefts || rights, '' ORDER BY k)) AS proof, max(k) AS n FROM numbered GROUP BY grp, slot
+), whole AS (
+  SELECT node AS root FROM tops WHERE n = 1
+)
+SELECT p.doc_id, p.leaf, s.subroot, w.root, coalesce(q.proof, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = w.root AS verified
+FROM placed p JOIN subroots s USING (grp) CROSS JOIN whole w LEFT JOIN proofs q USING (grp, slot)
+JOIN folds f ON f.grp = p.grp AND f.slot = p.slot AND f.k = coalesce(q.n, 0)
+"""
+
+_WORDS = "list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+AUDIT = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), counted AS (
+  SELECT *, {_WORDS} AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM texts
+), judged AS (
+  SELECT part, (len(words) < 100)::INTEGER AS a, (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER AS b,
+    (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INTEGER AS c,
+    regexp_matches(t, '[#$%&*|]')::INTEGER AS d, coalesce(doc_id > first, false)::INTEGER AS e,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM counted
+), sets AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS failed, count(*) AS n,
+    count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged GROUP BY 1, 2
+), orders(filter_order) AS (
+  SELECT '' UNION ALL
+  SELECT filter_order || f FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS t(f) WHERE strpos(filter_order, f) = 0
+), steps AS (
+  SELECT filter_order, step::INTEGER AS step, 1 << (ascii(substr(filter_order, step, 1)) - 65) AS own,
+    list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(substr(filter_order, k, 1)) - 65))) AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE length(filter_order) = 5)
+), results AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (failed & (own | earlier) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (failed & own <> 0 AND failed & earlier = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failed & own <> 0 AND failed & earlier <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failed = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (failed & own <> 0 AND failed & earlier = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (failed & own <> 0 AND failed & earlier = 0), 0)::BIGINT AS toxic_lost
+  FROM sets, (SELECT filter_order, step, own::BIGINT AS own, coalesce(earlier, 0)::BIGINT AS earlier FROM steps)
+  GROUP BY part, filter_order, step, own, earlier
+)
+SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM results
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": MIXING, "op9_url_filters": URLS}
+    return {"op3_mixing": MIXING, "op9_url_filters": URLS, "op11_merkle_manifest": MANIFEST, "op12_filter_audit": AUDIT}

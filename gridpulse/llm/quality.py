@@ -4,24 +4,34 @@ Learned filters of 16 bytes step over a text in strides of 4 bytes. Responses ar
 max-pooled over chunks of 512 bytes, which overlap by 64 and cover the whole
 text; the pooled chunks are averaged and combined into one probability.
 
-Training reads a bounded sample of labelled documents, of each at most
-``TRAIN_CHUNKS`` chunks spread by a hash; scoring reads all chunks of all texts.
-Null and empty texts are scored like a chunk of padding. Without examples of both
-labels every score is the share of label 1, or 0.5 without any.
+A score is exact arithmetic, so equal texts get equal scores in any batch: the
+trained weights are rounded to multiples of a power of two that is fine enough to
+keep them and coarse enough that no sum of a filter's products leaves the 24 bits
+of single precision; what follows is elementwise, in a fixed order.
+
+Training reads a bounded sample of labelled documents, chosen by a hash of the id
+until ``MAX_EXAMPLES`` of them or ``MAX_BYTES`` of text are together, and all chunks
+of each; scoring reads all chunks of all texts. Null and empty texts are scored like
+a chunk of padding, which training counts as label 0. Without examples of both
+labels every score is the share of label 1, or 0.5 without any. Repeated rows get
+equal scores, an empty table gives no rows, and a new column whose name an input
+column has gets leading underscores. A very long text takes about 70 bytes of a
+task's memory for each of its bytes.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse.llm.arrow import labelled_sample, with_kernel
-from gridpulse.llm.tokens import blocks, mix
+from gridpulse.llm.tokens import blocks
 
 STRIDE = 4
 WIDTH = 16
@@ -31,7 +41,7 @@ CHUNK_STEP = CHUNK - SEGMENT
 DIMENSIONS = 4
 FILTERS = 24
 MAX_EXAMPLES = 6_000
-TRAIN_CHUNKS = 4
+MAX_BYTES = 16 << 20
 THRESHOLD = 0.5
 
 FIELDS = T.StructType().add("score", "double").add("predicted", "integer")
@@ -52,6 +62,23 @@ class ByteNetwork:
     weights: np.ndarray
     offset: float
 
+    def exact(self) -> ByteNetwork:
+        """The network with weights rounded so that responses are exact in single precision.
+
+        Embedding and filters become multiples of 2 ** -bits, products and biases
+        of 2 ** (-2 * bits); a response and every part of its sum is below
+        2 ** 24 of these units, whatever the bytes.
+        """
+        for bits in range(10, -1, -1):
+            unit = float(2**bits)
+            embedding, filters = np.round(self.embedding * unit), np.round(self.filters * unit)
+            bias = np.round(self.bias * unit * unit)
+            largest = np.tile(np.abs(embedding).max(0), STRIDE)
+            if (np.abs(bias) + (largest @ np.abs(filters)).sum(0)).max() < 2**24:
+                break
+        small = [(x / scale).astype(np.float32) for x, scale in ((embedding, unit), (filters, unit), (bias, unit * unit))]
+        return ByteNetwork(*small, self.weights, self.offset)
+
     def responses(self, data: np.ndarray) -> np.ndarray:
         """Filter responses at each stride of bytes (..., n) -> (..., n/4 - 3, FILTERS)."""
         x = self.embedding[data].reshape(*data.shape[:-1], -1, STRIDE * DIMENSIONS)
@@ -85,8 +112,12 @@ class ByteNetwork:
         best = pooled[np.minimum(begin, last)]
         for k in range(1, _SEGMENTS):
             np.maximum(best, pooled[np.minimum(begin + k, last)], out=best)
-        mean = np.add.reduceat(best, start) / chunks[:, None]
-        return _logistic(mean @ self.weights + self.offset)
+        # Sums of multiples of one unit, exact in double precision.
+        mean = np.add.reduceat(best.astype(np.float64), start) / chunks[:, None]
+        z = np.full(docs, float(self.offset))
+        for column, weight in zip(mean.T, self.weights.tolist()):
+            z = z + column * weight
+        return np.array([1 / (1 + math.exp(-min(max(x, -30.0), 30.0))) for x in z.tolist()])
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -99,19 +130,16 @@ def chunk_counts(size: np.ndarray) -> np.ndarray:
 
 
 def _training_chunks(column: pa.Array) -> list[pa.Array]:
-    """Of each text, some of its chunks, padded."""
+    """All chunks of each text, padded and put together."""
     out = []
     for _, _, data, at in blocks(column):
-        for d in range(len(at) - 1):
-            text = data[at[d] : at[d + 1]]
-            n = int(chunk_counts(np.array([len(text)]))[0])
-            order = np.argsort(mix(np.arange(n, dtype=np.uint64) + np.uint64(len(text))))[:TRAIN_CHUNKS]
-            rows = np.zeros((len(order), _CHUNK_READ), np.uint8)
-            for row, c in zip(rows, order):
-                piece = text[c * CHUNK_STEP : c * CHUNK_STEP + _CHUNK_READ]
-                row[: len(piece)] = piece
-            out.append([row.tobytes() for row in rows])
-    return [pa.array(out, pa.list_(pa.binary()))]
+        counts = chunk_counts(np.diff(at))
+        for d, n in enumerate(counts.tolist()):
+            text = np.zeros((n - 1) * CHUNK_STEP + _CHUNK_READ, np.uint8)
+            own = data[at[d] : at[d + 1]]
+            text[: len(own)] = own
+            out.append(np.lib.stride_tricks.sliding_window_view(text, _CHUNK_READ)[::CHUNK_STEP].tobytes())
+    return [pa.array(out, pa.binary())]
 
 
 def _adam(state: dict, name: str, value: np.ndarray, grad: np.ndarray, t: int, rate: float) -> np.ndarray:
@@ -137,7 +165,10 @@ def fit_network(
         float(np.log(np.clip(share, 1e-3, 1 - 1e-3) / (1 - np.clip(share, 1e-3, 1 - 1e-3)))),
     )
     if share in (0.0, 1.0) or not len(y):
-        return net
+        return net.exact()
+    # A text without bytes is no good text.
+    blank = max(1, len(y) // 100)
+    chunks, y = [*chunks, *[np.zeros((1, _CHUNK_READ), np.uint8)] * blank], np.r_[y, np.zeros(blank)]
     net.weights = rng.normal(0, 0.3, FILTERS).astype(np.float32)
     state: dict = {}
     t = 0
@@ -176,7 +207,7 @@ def fit_network(
             for name, grad in grads.items():
                 setattr(net, name, _adam(state, name, getattr(net, name), grad, t, speed))
             net.offset = float(_adam(state, "offset", np.array(net.offset), np.array(error.sum()), t, speed))
-    return net
+    return net.exact()
 
 
 def train_quality(
@@ -186,13 +217,20 @@ def train_quality(
     folds: int = 1,
     held_out: int = -1,
     max_examples: int = MAX_EXAMPLES,
+    max_bytes: int = MAX_BYTES,
 ) -> ByteNetwork:
-    """A network from at most ``max_examples`` documents, ``TRAIN_CHUNKS`` chunks each."""
+    """A network from the first documents by a hash of the id: at most ``max_examples``
+    of them and ``max_bytes`` of text, each with all of its chunks."""
     sample = labelled_sample(docs, labels.withColumn(label, (F.col(label) > 0).cast("int")), label, max_examples, folds, held_out)
-    fields = T.StructType().add("chunks", T.ArrayType(T.BinaryType()))
+    # The window ranks the rows of the sample, max_examples ids.
+    sizes = sample.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).groupBy("doc_id").agg(F.sum("size").alias("size"))
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = sizes.withColumn("upto", F.sum("size").over(before)).filter(F.col("upto") <= max_bytes).select("doc_id")
+    sample = sample.join(F.broadcast(within), "doc_id")
+    fields = T.StructType().add("chunks", T.BinaryType())
     rows = with_kernel(sample, "text", fields, _training_chunks).select("doc_id", label, "chunks").collect()
     rows.sort(key=lambda row: (row["doc_id"], row["chunks"]))
-    chunks = [np.frombuffer(b"".join(row["chunks"]), np.uint8).reshape(-1, _CHUNK_READ) for row in rows]
+    chunks = [np.frombuffer(row["chunks"], np.uint8).reshape(-1, _CHUNK_READ) for row in rows]
     return fit_network(chunks, np.array([row[label] for row in rows], np.float64))
 
 

@@ -9,12 +9,16 @@ score, and a threshold calibrated on held-out ruled URLs turns it into a verdict
 
 An n-gram seen ``MIN_GRAMS`` times enters a model, at every size. So the models grow
 with the input: they are joined with the distinct n-grams of the URLs, and these with
-the positions; Spark's size test and AQE choose how.
+the positions. N-grams that a thousandth of all positions have, such as those every
+URL begins with, are under a thousand and are joined by broadcast, the others by
+a shuffle.
 
 Null and empty URLs without a rule are blocked. A URL without ``://`` has empty
 host and path, fits no rule, and is judged by its characters. Without ruled URLs
 of both kinds all others score 0 and are allowed. Repeated URLs get the same
-verdict and count once in the models.
+verdict and count once in the models. An empty table gives no rows, and columns
+other than the key and the URL are not read. A URL makes a row for each of its
+characters, so a very long one is work of its length, dealt out by n-gram.
 """
 
 from __future__ import annotations
@@ -29,8 +33,8 @@ from gridpulse.llm.stages import Shared
 
 ORDER = 5
 MIN_GRAMS = 2
-# Only the SQL reads this bound of a model's rows; it acts beyond 400,000 positions.
-MAX_GRAMS = 200_000
+# n-grams with more than this part of all positions are broadcast: fewer than its inverse.
+HEAVY = 1e-3
 # Weight of the next lower order, in observations.
 SMOOTHING = 2.0
 # Characters that the lowest order gives a share to.
@@ -138,14 +142,20 @@ def train_models(ruled: DataFrame, shared: Shared) -> list[DataFrame]:
 
 def score_urls(urls: DataFrame, models: list[DataFrame], shared: Shared) -> DataFrame:
     """(url, bin) of distinct URLs: the mean difference by position, in bins."""
-    rows = _positions(urls.select("url"))
-    grams = rows.select("gram").distinct()
+    # Dealt out first: the distinct URLs may lie in one small file.
+    rows = _positions(urls.select("url").repartition("url"))
+    grams = shared.write(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n_gram")), "distinct")
+    often = F.col("n_gram") > HEAVY * (grams.agg(F.sum("n_gram")).first()[0] or 0)
     for order, model in enumerate(models, 1):
         own = model.select(F.col("gram").alias(f"gram_{order}"), F.col("llr").alias(f"llr_{order}"))
         grams = grams.withColumn(f"gram_{order}", F.right("gram", F.lit(order))).join(own, f"gram_{order}", "left")
     longest = F.coalesce(*(F.col(f"llr_{order}") for order in range(len(models), 0, -1)), F.lit(0))
-    judged = shared.write(grams.select("gram", longest.alias("llr")), "judged")
-    summed = rows.join(judged, "gram").groupBy("url").agg(F.sum("llr").alias("total"), F.count(F.lit(1)).alias("n"))
+    judged = shared.write(grams.select("gram", longest.alias("llr"), often.alias("often")), "judged")
+    heavy, light = (judged.filter(c).drop("often") for c in ("often", "not often"))
+    of_heavy = rows.join(F.broadcast(heavy), "gram")
+    others = rows.join(F.broadcast(heavy.select("gram")), "gram", "left_anti")
+    found = of_heavy.unionByName(others.join(light, "gram"))
+    summed = found.groupBy("url").agg(F.sum("llr").alias("total"), F.count(F.lit(1)).alias("n"))
     step = F.floor(F.col("total") / (F.col("n") * float(BIN))).cast("int")
     return summed.select("url", F.greatest(F.lit(-BINS), F.least(F.lit(BINS), step)).alias("bin"))
 

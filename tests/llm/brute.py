@@ -1,5 +1,6 @@
 """Plain versions of the operators, one document at a time."""
 
+import math
 import re
 from collections import Counter
 
@@ -50,3 +51,28 @@ def statistics(text):
             dup += line in seen
             seen.add(line)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def network_score(network, text):
+    """The convolution window by window: filters of 16 bytes at each stride of 4, the
+    largest response of each chunk of 512 (in steps of 448), the chunks' mean."""
+    n_filters = len(network.weights)
+    # A text's area ends at a whole segment behind at least 20 bytes of padding.
+    area = (len(text) + 20 + 63) // 64 * 64
+    data = text.ljust(area, b"\0")
+    responses = {}
+    for at in range(0, area - 12, 4):
+        x = [float(v) for byte in data[at : at + 16] for v in network.embedding[byte]]
+        weights = network.filters.reshape(64, n_filters)
+        responses[at] = [
+            max(0.0, math.fsum([float(network.bias[f]), *(a * float(w) for a, w in zip(x, weights[:, f]))])) for f in range(n_filters)
+        ]
+    chunks = 1 + max(0, -(-(len(text) - 512) // 448))
+    pooled = [
+        [max((responses[at][f] for at in responses if 448 * c <= at < 448 * c + 512), default=0.0) for f in range(n_filters)]
+        for c in range(chunks)
+    ]
+    z = float(network.offset)
+    for f in range(n_filters):
+        z = z + sum(p[f] for p in pooled) / chunks * float(network.weights[f])
+    return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
