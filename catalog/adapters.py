@@ -107,23 +107,49 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _page_text(readings: DataFrame, *page: Column) -> DataFrame:
+    """Readings as JSON pages, of consecutive rows by ``ordinal``."""
+    fields = [F.col(f"`{name}`") for name in readings.columns if name != "ordinal"]
+    rows = F.collect_list(F.struct("ordinal", F.struct(*fields).alias("row")))
+    pages = readings.groupBy(*page).agg(F.sort_array(rows).alias("rows"))
+    data = F.transform("rows", lambda item: item["row"])
+    return pages.withColumn("value", F.to_json(F.struct(F.struct(data.alias("data")).alias("response"))))
+
+
 def land_pages(readings: DataFrame, folder: str, rows_per_page: int) -> None:
     """Readings as JSON pages below ``folder``, dealt to two folders in turn.
 
-    A page holds consecutive rows by ``ordinal``; its number is in its path,
-    where ``PAGE_NUMBER`` finds it.
+    The page's number is in its path, where ``PAGE_NUMBER`` finds it.
     """
-    page = F.floor(F.col("ordinal") / rows_per_page)
-    fields = [F.col(f"`{name}`") for name in readings.columns if name != "ordinal"]
-    rows = F.collect_list(F.struct("ordinal", F.struct(*fields).alias("row")))
-    pages = readings.groupBy(page.alias("number")).agg(F.sort_array(rows).alias("rows"))
-    data = F.transform("rows", lambda item: item["row"])
+    pages = _page_text(readings, F.floor(F.col("ordinal") / rows_per_page).alias("number"))
     (
         pages.select(
-            F.to_json(F.struct(F.struct(data.alias("data")).alias("response"))).alias("value"),
+            "value",
             F.pmod("number", F.lit(2)).alias("landed"),
             F.lpad(F.col("number").cast("string"), 12, "0").alias("page"),
         )
         .write.partitionBy("landed", "page")
         .text(folder)
     )
+
+
+def land_dated_pages(readings: DataFrame, folder: str, rows_per_page: int) -> None:
+    """Readings as JSON pages in folders of their date, several pages to a file.
+
+    A file has the pages of one date whose numbers share all but the last digit,
+    one after the other; it is numbered by its first row's ordinal.
+    """
+    number = F.floor(F.col("ordinal") / rows_per_page)
+    pages = _page_text(readings, F.substring("period", 1, 10).alias("date"), number.alias("number"))
+    files = pages.groupBy("date", F.floor(F.col("number") / 10).alias("tens")).agg(
+        F.sort_array(F.collect_list(F.struct("number", "value"))).alias("pages"), F.min(F.col("rows")[0]["ordinal"]).alias("first")
+    )
+    (
+        files.select(
+            F.array_join(F.transform("pages", lambda p: p["value"]), " ").alias("value"),
+            "date",
+            F.lpad(F.col("first").cast("string"), 12, "0").alias("page"),
+        )
+        .write.partitionBy("date", "page")
+        .text(folder)
+    )

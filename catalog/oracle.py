@@ -220,22 +220,12 @@ def _volume(source: str, columns: str) -> str:
     return f"{_LINEITEM} SELECT {_select(columns, 4)} FROM {source}"
 
 
-def _check(
-    table: str,
-    position: int,
-    check: str,
-    column: str,
-    failures: str,
-    minimum: str = "CAST(NULL AS DOUBLE)",
-    severity: str = "error",
-    source: str | None = None,
-) -> str:
-    return (
-        f"SELECT '{table}' AS table_name, {position} AS position, "
-        f"'{check}' AS check_name, '{column}' AS column_name, "
-        f"CAST({failures} AS BIGINT) AS failures, {_rounded(minimum)} AS min_value, "
-        f"'{severity}' AS severity FROM {source or table}"
-    )
+def _sample(keys: str, key: tuple[str, ...], limit: int = 5) -> str:
+    """The first keys of a query, in key order, as text."""
+    formats = {"period": _STAMP, "date": _DATE}
+    parts = " || ' ' || ".join(f"coalesce({formats.get(c, '{0}').format(c)}, 'null')" for c in key)
+    order = ", ".join(f"{c} NULLS FIRST" for c in key)
+    return f"(SELECT string_agg({parts}, ', ' ORDER BY {order}) FROM (SELECT * FROM ({keys}) ORDER BY {order} LIMIT {limit}))"
 
 
 def _report(
@@ -247,37 +237,29 @@ def _report(
     source: str | None = None,
 ) -> str:
     source = source or table
-    rows: list[tuple] = [
-        ("not_null", c, f"count(*) FILTER ({c} IS NULL)") for c in key
-    ]
     grouped = ", ".join(key)
-    duplicates = (
-        f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {source} "
-        f"GROUP BY {grouped} HAVING count(*) > 1))"
-    )
-    rows.append(("unique", grouped, f"max({duplicates})"))
-    for column in non_negative:
-        rows.append(
-            ("non_negative", column, f"count(*) FILTER ({column} < 0)", f"min({column})")
+    # Check, column, failing condition, column of the least value, severity.
+    rows: list[tuple] = [("not_null", c, f"{c} IS NULL", None, "error") for c in key]
+    rows.append(("unique", grouped, None, None, "error"))
+    rows += [("non_negative", c, f"{c} < 0", c, "error") for c in non_negative]
+    rows += [("ordered", f"{high}, {low}", f"{high} < {low}", None, "error") for high, low in ordered]
+    rows += [("warn_negative", c, f"{c} < 0", c, "warning") for c in warn_negative]
+    checks = []
+    for position, (check, column, fails, lowest, severity) in enumerate(rows):
+        repeated = f"SELECT {grouped}, count(*) AS n FROM {source} GROUP BY {grouped} HAVING count(*) > 1"
+        if fails:
+            failures = f"count(*) FILTER ({fails})"
+            keys = f"SELECT DISTINCT {grouped} FROM {source} WHERE {fails}"
+        else:
+            failures = f"max((SELECT coalesce(sum(n), 0) FROM ({repeated})))"
+            keys = f"SELECT {grouped} FROM ({repeated})"
+        minimum = f"min({lowest})" if lowest else "CAST(NULL AS DOUBLE)"
+        checks.append(
+            f"SELECT '{table}' AS table_name, {position} AS position, "
+            f"'{check}' AS check_name, '{column}' AS column_name, "
+            f"CAST({failures} AS BIGINT) AS failures, {_rounded(minimum)} AS min_value, "
+            f"'{severity}' AS severity, any_value({_sample(keys, key)}) AS sample FROM {source}"
         )
-    for high, low in ordered:
-        rows.append(
-            ("ordered", f"{high}, {low}", f"count(*) FILTER ({high} < {low})")
-        )
-    for column in warn_negative:
-        rows.append(
-            (
-                "warn_negative",
-                column,
-                f"count(*) FILTER ({column} < 0)",
-                f"min({column})",
-                "warning",
-            )
-        )
-    checks = [
-        _check(table, position, *row, source=source)
-        for position, row in enumerate(rows)
-    ]
     return f"{_EVENTS} " + " UNION ALL ".join(checks)
 
 
@@ -410,7 +392,26 @@ def oracle_sql() -> dict[str, str]:
         "stored_ragged_backfill": f"{_EVENTS} {_RAGGED} SELECT {_select(_DEMAND)} FROM ragged_demand",
         "landed_pages": _rows("bronze", "ts:period respondent respondent_name type num:value"),
         "streamed_summary": f"{_EVENTS} {_STREAMED} SELECT {_select(_SUMMARY)} FROM streamed",
+        "pruned_window_read": f"""{_EVENTS}
+            SELECT {_select("ts:period respondent")}, respondent_name || ' {{old}} {{new}} "\\" }}{{ ' AS respondent_name,
+                   type, {_rounded("value")} AS value
+            FROM bronze b WHERE b.period BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-01-16 00:00:00'""",
         "export_json": _rows("gold_demand_daily", _DAILY, "WHERE gold_demand_daily.date >= DATE '2024-01-18'"),
+        "export_json_regional_summary": _rows("gold_regional_summary", _SUMMARY),
+        "export_json_demand_hourly": _rows(
+            "silver_demand",
+            "ts:period respondent num:demand_mwh num:forecast_demand_mwh",
+            "WHERE silver_demand.period >= TIMESTAMP '2024-01-18 00:00:00'",
+        ),
+        "export_json_forecast_performance": _rows(
+            "gold_forecast_performance", _PERFORMANCE, "WHERE gold_forecast_performance.date >= DATE '2024-01-18'"
+        ),
+        "export_json_grid_balance": _rows(
+            "gold_grid_balance",
+            "ts:period respondent num:demand_mwh num:net_generation_mwh num:total_interchange_mwh "
+            "num:generation_minus_demand_mwh",
+            "WHERE gold_grid_balance.period >= TIMESTAMP '2024-01-18 00:00:00'",
+        ),
         "contract_breaks": f"""{_EVENTS}
             SELECT 'readings' AS table_name, t.name AS column_name, t.problem,
                    (SELECT count(*) FROM readings) AS row_count
@@ -556,8 +557,13 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY count(*) OVER (PARTITION BY period, respondent) > 1""",
         "name_conflicts": f"{_EVENTS} {_CONFLICTS} SELECT * FROM conflicts",
         "name_conflict_counts": f"""{_EVENTS} {_CONFLICTS}
-            SELECT side, count(DISTINCT respondent) AS conflicting_respondents
-            FROM conflicts GROUP BY side""",
+            SELECT side, count(*) AS conflicting_respondents,
+                   string_agg(respondent || ': ' || names.demand_name || ' / ' || names.other_name, ', '
+                              ORDER BY respondent) FILTER (place <= 3) AS sample
+            FROM (SELECT *, row_number() OVER (PARTITION BY side ORDER BY respondent) AS place
+                  FROM (SELECT side, respondent, min({{demand_name: demand_name, other_name: other_name}}) AS names
+                        FROM conflicts GROUP BY ALL))
+            GROUP BY side""",
         "top_peak_days": f"""{_EVENTS}
             SELECT {_select("day:date respondent respondent_name num:peak_demand_mwh")}
             FROM (SELECT * FROM gold_demand_daily

@@ -7,10 +7,10 @@ rounded, so that both engines print them alike.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from catalog.adapters import (
     PAGE_NUMBER,
     event_readings,
+    land_dated_pages,
     land_pages,
     lineitem_readings,
     nation_names,
@@ -32,6 +33,7 @@ from gridpulse.operators.dedupe import (
     keep_last,
     merge_rows,
 )
+from gridpulse.operators.densify import densify_days
 from gridpulse.operators.names import decode_names, encode_names
 from gridpulse.operators.normalize import (
     REQUIRED_READING_COLUMNS,
@@ -52,8 +54,9 @@ from gridpulse.sources.export import (
     export_rows,
     to_records,
 )
-from gridpulse.sources.pages import read_pages
-from gridpulse.sources.store import Staging, TableStore
+from gridpulse.sources.pages import page_source, read_pages
+from gridpulse.sources.staging import Staging
+from gridpulse.sources.store import TableStore
 from gridpulse.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +73,7 @@ RAGGED_REGION = "R3"
 RAGGED_UNTIL = "2024-01-12T07"
 RAGGED_CHUNK_DAYS = 7
 ROWS_PER_PAGE = 500
+ODD_NAME = ' {old} {new} "\\" }{ '
 
 
 def records(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -90,23 +94,22 @@ def records(df: DataFrame, digits: int = 6) -> DataFrame:
 class Readings:
     """Normalised readings with coded names, and what is built on them.
 
-    Frames that a query reads more than once are cached from their first use;
-    the caches go with the query's result.
+    Frames that a query reads more than once are written to a folder of its own,
+    which goes when the session ends.
     """
 
     def __init__(self, raw: DataFrame, names: DataFrame | None = None):
         self.raw, lookup = encode_names(normalize_readings(raw))
         self.names = lookup if names is None else encode_names(names)[1]
-        self.kept: list[DataFrame] = []
         self._sides: dict[bool, DataFrame] = {}
+        self._staging: Staging | None = None
+        self._kept = count()
 
     def keep(self, df: DataFrame) -> DataFrame:
-        self.kept.append(df.persist())
-        return self.kept[-1]
-
-    def release(self) -> None:
-        while self.kept:
-            self.kept.pop().unpersist()
+        if self._staging is None:
+            self._staging = Staging(df.sparkSession)
+            self._staging.close_at_exit()
+        return self._staging.write(f"kept-{next(self._kept)}", df)[0]
 
     def text(self, df: DataFrame, column: str = "respondent_name") -> DataFrame:
         return decode_names(df, self.names, column)
@@ -136,18 +139,21 @@ class Readings:
         return silver.transform_interchange(self.bronze())
 
     def daily(self) -> DataFrame:
-        return gold.transform_demand_daily(self.demand())
+        return self._by_day(gold.transform_demand_daily)
 
     def performance(self) -> DataFrame:
-        return gold.transform_forecast_performance(self.demand())
+        return self._by_day(gold.transform_forecast_performance)
+
+    def _by_day(self, aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return densify_days(self.keep(aggregate(self.demand(densify=False))))
 
     def balance(self, densify: bool = True) -> DataFrame:
         return gold.balance_of(self.sides(densify))
 
     def summary(self) -> DataFrame:
-        sides = self.keep(self.sides())
+        sides = self.keep(self.sides(densify=False))
         performance = self.keep(gold.transform_forecast_performance(silver.demand_of(sides)))
-        return gold.summary_of(sides, performance)
+        return gold.summary_of_observed(sides, performance, self.keep)
 
 
 def _without_repeats(rows: DataFrame) -> DataFrame:
@@ -156,19 +162,13 @@ def _without_repeats(rows: DataFrame) -> DataFrame:
     return rows.filter(~unique).unionByName(last)
 
 
-def _built(readings: Readings, build: Callable[[Readings], DataFrame], digits: int) -> DataFrame:
-    result = records(build(readings), digits)
-    weakref.finalize(result, readings.release).atexit = False
-    return result
-
-
 def _events(build: Callable[[Readings], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _built(Readings(event_readings(spark, sf_dir)), build, 6)
+    return lambda spark, sf_dir: records(build(Readings(event_readings(spark, sf_dir))))
 
 
 def _lineitem(build: Callable[[Readings], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _built(
-        Readings(lineitem_readings(spark, sf_dir), nation_names(spark, sf_dir)), build, 4
+    return lambda spark, sf_dir: records(
+        build(Readings(lineitem_readings(spark, sf_dir), nation_names(spark, sf_dir))), 4
     )
 
 
@@ -263,7 +263,7 @@ def duplicate_grain(r: Readings) -> DataFrame:
 
 def renamed_regions(r: Readings) -> DataFrame:
     """Generation calls its even hours by another name than demand does."""
-    demand, generation, interchange = r.demand(), r.generation(), r.interchange()
+    demand, generation, interchange = r.demand(densify=False), r.generation(), r.interchange()
     upper = F.when(F.hour("period") % 2 == 0, F.upper("respondent_name"))
     renamed, new_names = encode_names(
         r.text(generation).withColumn(
@@ -383,6 +383,20 @@ def landed_pages(s: Stored) -> DataFrame:
     )
 
 
+def pruned_window_read(s: Stored) -> DataFrame:
+    """A window of pages in folders by date, of which the others are not opened.
+
+    Names hold braces, quotes and backslashes, and a file holds several pages.
+    """
+    folder = f"{s.scratch.root}/dated"
+    odd = F.concat(F.col("respondent-name"), F.lit(ODD_NAME))
+    land_dated_pages(s.events.withColumn("respondent-name", odd), folder, ROWS_PER_PAGE)
+    rows = page_source(s.store.spark, folder, PAGE_NUMBER)(WINDOW_START, REVISION_FROM)
+    return keep_last(rows, schemas.READING_KEY, "ordinal").select(
+        "period", "respondent", "respondent_name", "type", "value"
+    )
+
+
 def streamed_summary(s: Stored) -> DataFrame:
     """The feed in about four pieces, cut anywhere in its hours."""
     folder, pages = s.land()
@@ -391,14 +405,19 @@ def streamed_summary(s: Stored) -> DataFrame:
     return s.store.read(schemas.GOLD_REGIONAL_SUMMARY)
 
 
-def export_json(s: Stored) -> DataFrame:
-    """The daily demand as exported and read back, in whole files of JSON lines."""
-    s.backfill(HISTORY_CHUNK_DAYS)
-    folder = f"{s.scratch.root}/export"
-    export(s.store, folder, EXPORT_DAYS, EXPORT_NOW)
-    kinds = schemas.GOLD_DEMAND_DAILY.schema
-    text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "date" else f.dataType) for f in kinds])
-    return s.store.spark.read.schema(text).json(f"{folder}/demand_daily/rows")
+def _exported(name: str) -> Callable[[Stored], DataFrame]:
+    """A dataset as exported and read back, in whole files of JSON lines."""
+
+    def query(s: Stored) -> DataFrame:
+        s.backfill(HISTORY_CHUNK_DAYS)
+        folder = f"{s.scratch.root}/export"
+        export(s.store, folder, EXPORT_DAYS, EXPORT_NOW)
+        dataset, timed = DATASETS[name], (T.DateType, T.TimestampType)
+        kinds = [dataset.table.schema[c] for c in dataset.columns]
+        text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, timed) else f.dataType) for f in kinds])
+        return s.store.spark.read.schema(text).json(f"{folder}/{name}/rows")
+
+    return query
 
 
 def contract_breaks(r: Readings) -> DataFrame:
@@ -422,7 +441,6 @@ def unnamed_demand(r: Readings) -> DataFrame:
 def empty_input(r: Readings) -> DataFrame:
     """Rows of every table built from readings of which none qualifies."""
     none = Readings(r.raw.filter("value > 1e300").withColumn("respondent_name", F.lit(None).cast("string")))
-    none.kept = r.kept
     tables = {
         "silver_demand": none.demand(),
         "silver_generation": none.generation(),
@@ -493,8 +511,10 @@ def queries() -> dict[str, Query]:
         "stored_regional_summary": _stored(stored_regional_summary),
         "stored_ragged_backfill": _stored(stored_ragged_backfill),
         "landed_pages": _stored(landed_pages),
+        "pruned_window_read": _stored(pruned_window_read),
         "streamed_summary": _stored(streamed_summary),
-        "export_json": _stored(export_json),
+        "export_json": _stored(_exported("demand_daily")),
+        **{f"export_json_{name}": _stored(_exported(name)) for name in DATASETS if name != "demand_daily"},
         "contract_breaks": _events(contract_breaks),
         "unnamed_demand": _events(unnamed_demand),
         "empty_input": _events(empty_input),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,10 @@ _SIDES = {
 }
 
 
+# Hourly values whose latest ones the summary shows.
+_LATEST = (*_SIDES.values(), "forecast_demand_mwh")
+
+
 def _first_name() -> Column:
     return first_non_null(F.col("respondent_name"), F.col("period"))
 
@@ -196,8 +201,8 @@ def name_conflicts(
     return conflicts_of(hourly_sides(demand, generation, interchange))
 
 
-def latest_rows(balance: DataFrame, *values: str) -> DataFrame:
-    """Per region, the row of its newest hour.
+def latest_rows(balance: DataFrame, *values: str, also: Iterable[Column] = ()) -> DataFrame:
+    """Per region, the row of its newest hour, and ``also`` over all its rows.
 
     A value that is null at that hour stays null. The picks are separate
     fixed-width columns and not one struct, which keeps the hash aggregate.
@@ -209,6 +214,7 @@ def latest_rows(balance: DataFrame, *values: str) -> DataFrame:
             F.max("period").alias("latest_period"),
             F.max_by("respondent_name", "period").alias("respondent_name"),
             *[F.max_by(name, "period").alias(f"latest_{name}") for name in values],
+            *also,
         )
     )
 
@@ -252,11 +258,37 @@ def summary_of(
     newest: DataFrame | None = None,
 ) -> DataFrame:
     """A7 of hourly sides: latest state and recent forecast quality."""
-    latest = latest_rows(
-        sides.withColumn("respondent_name", _side_name()),
-        *_SIDES.values(),
-        "forecast_demand_mwh",
+    latest = latest_rows(sides.withColumn("respondent_name", _side_name()), *_LATEST)
+    return _with_quality(latest, performance, recent_days, newest)
+
+
+def summary_of_observed(
+    sides: DataFrame, performance: DataFrame | None, keep: Callable[[DataFrame], DataFrame], recent_days: int = RECENT_DAYS
+) -> DataFrame:
+    """A7 of the sides that were observed, as if their hour grid had been built.
+
+    Of the grid only the newest demand hour matters: it is the latest hour of
+    every demand region, whose values are null there unless it reported. So each
+    region is reduced to its newest row, which ``keep`` holds, and a region that is
+    behind is moved to that hour.
+    """
+    demand_hour = F.max(F.when(F.col("demand_rows") > 0, F.col("period"))).alias("demand_hour")
+    latest = keep(latest_rows(sides.withColumn("respondent_name", _side_name()), *_LATEST, also=[demand_hour]))
+    newest = latest.agg(F.max("demand_hour")).scalar()
+    behind = F.col("demand_hour").isNotNull() & (F.col("latest_period") < newest)
+    # Last comes the hour, which the condition reads.
+    picked = ["respondent_name", *(f"latest_{name}" for name in _LATEST)]
+    moved = latest.select(
+        "respondent",
+        *[F.when(~behind, F.col(name)).alias(name) for name in picked],
+        F.when(behind, newest).otherwise(F.col("latest_period")).alias("latest_period"),
     )
+    return _with_quality(moved, performance, recent_days)
+
+
+def _with_quality(
+    latest: DataFrame, performance: DataFrame | None, recent_days: int, newest: DataFrame | None = None
+) -> DataFrame:
     if performance is None:
         summary = latest.withColumns(
             {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,32 +20,36 @@ from gridpulse.schemas import (
     SILVER_GENERATION,
     SILVER_INTERCHANGE,
 )
+from gridpulse.sources.staging import written
 
-# Writes or caches a frame that is read more than once.
+# Writes a frame that is read more than once.
 Keep = Callable[[DataFrame], DataFrame]
 
 # Column of hourly sides that tells whether the demand table has the row.
 IN_DEMAND = "in_demand"
 
-
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a frame in the executors' memory and disks, from its first use on."""
-    return df.persist()
+# The type codes of each hourly table, and their columns.
+DOMAINS = {
+    "demand": {"demand_mwh": DEMAND, "forecast_demand_mwh": FORECAST},
+    "generation": {"net_generation_mwh": GENERATION},
+    "interchange": {"total_interchange_mwh": INTERCHANGE},
+}
 
 
 def sides_of_readings(
     readings: DataFrame,
     densify: bool = True,
     window: Column | None = None,
-    keep: Keep = cached,
+    keep: Keep = written,
+    domains: Iterable[str] = tuple(DOMAINS),
 ) -> DataFrame:
     """Demand, generation and interchange side by side, from one scan.
 
-    One conditional aggregate by hour and region picks every metric and name:
-    the first non-null value in ``ordinal`` order, so repeated demand readings
-    collapse silently. Repeated keys without an ``ordinal`` are refused, since
-    nothing says which comes first. ``copies`` is the largest number of rows a
-    table that must not repeat its key (generation, interchange) has.
+    One conditional aggregate by hour and region picks the metrics and names of
+    ``domains``: the first non-null value in ``ordinal`` order, so repeated demand
+    readings collapse silently. Repeated keys without an ``ordinal`` are refused,
+    since nothing says which comes first. ``copies`` is the largest number of rows
+    a table that must not repeat its key (generation, interchange) has.
 
     ``densify`` adds every missing pair of observed demand hour and observed
     demand region, by ``window`` if given. The grid comes from the aggregated
@@ -54,17 +58,8 @@ def sides_of_readings(
     rows = normalize_readings(readings)
     order = F.col("ordinal") if "ordinal" in rows.columns else None
     kind = F.col("type")
-    tables = {
-        "demand": kind.isin(DEMAND, FORECAST),
-        "generation": kind == GENERATION,
-        "interchange": kind == INTERCHANGE,
-    }
-    values = {
-        "demand_mwh": DEMAND,
-        "forecast_demand_mwh": FORECAST,
-        "net_generation_mwh": GENERATION,
-        "total_interchange_mwh": INTERCHANGE,
-    }
+    values = {column: code for name in domains for column, code in DOMAINS[name].items()}
+    own = {name: kind.isin(*DOMAINS[name].values()) for name in domains}
 
     def metric(code: str) -> Column:
         picked = first_non_null(F.when(kind == code, F.col("value")), order)
@@ -73,15 +68,16 @@ def sides_of_readings(
         problem = F.raise_error(F.lit(f"Repeated {code} readings need an ordinal"))
         return F.when(F.count_if(kind == code) > 1, problem.cast("double")).otherwise(picked)
 
+    single = [f"{name}_rows" for name in domains if name != "demand"]
     sides = (
         rows.filter(kind.isin(*values.values()))
         .groupBy(*HOURLY_KEY)
         .agg(
-            *[first_non_null(F.when(own, F.col("respondent_name")), order).alias(f"{name}_name") for name, own in tables.items()],
-            *[metric(code).alias(name) for name, code in values.items()],
-            *[F.count_if(own).alias(f"{name}_rows") for name, own in tables.items()],
+            *[first_non_null(F.when(rows_of, F.col("respondent_name")), order).alias(f"{name}_name") for name, rows_of in own.items()],
+            *[metric(code).alias(column) for column, code in values.items()],
+            *[F.count_if(rows_of).alias(f"{name}_rows") for name, rows_of in own.items()],
         )
-        .withColumn("copies", F.greatest("generation_rows", "interchange_rows", F.lit(1)))
+        .withColumn("copies", F.greatest(F.lit(1).cast("long"), F.lit(1), *single))
     )
     if not densify:
         return sides.withColumn(IN_DEMAND, F.col("demand_rows") > 0)
@@ -112,7 +108,7 @@ def demand_of(sides: DataFrame) -> DataFrame:
 
 
 def transform_demand(
-    readings: DataFrame, densify: bool = True, window: Column | None = None, keep: Keep = cached
+    readings: DataFrame, densify: bool = True, window: Column | None = None, keep: Keep = written
 ) -> DataFrame:
     """Actual and forecast demand side by side.
 
@@ -123,8 +119,7 @@ def transform_demand(
     null if the source drops a reading. ``densify=False`` keeps only the pairs
     that were reported.
     """
-    rows = normalize_readings(readings).filter(F.col("type").isin(DEMAND, FORECAST))
-    return demand_of(sides_of_readings(rows, densify, window, keep))
+    return demand_of(sides_of_readings(readings, densify, window, keep, ["demand"]))
 
 
 def transform_generation(readings: DataFrame) -> DataFrame:

@@ -56,9 +56,9 @@ from gridpulse.operators.windows import (
 )
 from gridpulse.schemas import DAILY_KEY, REGION_KEY, Table
 from gridpulse.session import prepare_session
+from gridpulse.sources.staging import Staging
 from gridpulse.sources.store import (
     RECENT_PERFORMANCE_COLUMNS,
-    Staging,
     TableStore,
     Version,
 )
