@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.stages import Shared
+from gridpulse.llm.stages import Shared, numbered
 
 ARITY = 3
 # Levels that one round reduces, and the slots of a block.
@@ -84,7 +84,7 @@ def inclusion_proofs(leaves: DataFrame, shared: Shared) -> DataFrame:
 
     # The groups' tree: the same, with the groups' ranks as slots of one group.
     n_groups = subroots.count()
-    ranked = _numbered(subroots, ["grp"], shared).select(
+    ranked = numbered(subroots, ["grp"], shared).select(
         F.lit("").alias("grp"), F.col("place").alias("slot"), "digest", F.lit(n_groups).cast("long").alias("total"), F.col("grp").alias("of")
     )
     top = _climb(ranked, ["of"], n_groups, shared)
@@ -181,24 +181,10 @@ def _directory(words: DataFrame, low: int | None, high: int | None) -> DataFrame
     return named.unionByName(first)
 
 
-def _numbered(df: DataFrame, order: Sequence[str], shared: Shared) -> DataFrame:
-    """The frame, range-sorted and written, plus ``place``: gapless from 0.
-
-    Rows that tie in ``order`` may be spread over ranges by adding a unique column.
-    """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    written = shared.write(spread.withColumn("seat", F.monotonically_increasing_id()), "sorted")
-    part, inside = F.shiftright("seat", 33), F.col("seat").bitwiseAND((1 << 33) - 1)
-    sizes = written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    # One row for each partition of the sort, so the window and the broadcast are small.
-    starts = sizes.select("part", F.expr("sum(rows) OVER (ORDER BY part) - rows").alias("start"))
-    return written.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("place", F.col("start") + inside).drop("part", "start", "seat")
-
-
 def _ranked_by_sort(rows: DataFrame, words: DataFrame, few: bool, shared: Shared) -> DataFrame:
     """Slots of leaves whose words hold repeated ids, by place among such leaves."""
     unique = shared.write(rows.withColumn("tie", F.monotonically_increasing_id()), "repeated")
-    placed = shared.write(_numbered(unique, ["grp", "id", "digest", "tie"], shared), "repeated-placed")
+    placed = shared.write(numbered(unique, ["grp", "id", "digest", "tie"], shared), "repeated-placed")
     firsts = placed.groupBy("grp", "word").agg(F.min("place").alias("first"))
     spots = _with_word(firsts, words.select("grp", "word", "before", "total"), "inner")
     joined = _with_word(placed, F.broadcast(spots) if few else spots, "inner")

@@ -8,7 +8,9 @@ are then dealt out anew by a hash, which shuffles them globally.
 
 Rates are per source and counts per document, so a source with a third of all
 rows is like any other. A null source is a source of its own. Documents without
-text count one byte. Repeated rows are repeated alike.
+text count one byte. Repeated rows are repeated alike. An empty table gives no
+rows, and new columns whose names input columns have get leading underscores. A
+very long text is moved once for each of its copies and never copied in a task.
 """
 
 from __future__ import annotations
@@ -85,24 +87,21 @@ def mix_sources(
 ) -> DataFrame:
     """Every document as often as drawn, in a new order, plus ``copy`` (from 1) and ``shuffle_key``."""
     copy, order = column_name(docs, "copy"), column_name(docs, "shuffle_key")
+    of_source, n_parts, sums, times = (column_name(docs, name) for name in ("of_source", "rate_parts", "rate_sums", "times"))
     parts = F.greatest(F.ceil(F.col("rate") / LARGEST_PART).cast("int"), F.lit(1))
     # Written, so that Spark knows its size: a small table is broadcast, and the
     # documents are not shuffled by a source that may hold a third of them.
     tables = Shared(docs.sparkSession, "mixing").write(
-        rates.select(
-            F.col("source").alias("_of_source"),
-            parts.alias("_parts"),
-            poisson_table(F.col("rate") / parts).alias("_sums"),
-        ),
+        rates.select(F.col("source").alias(of_source), parts.alias(n_parts), poisson_table(F.col("rate") / parts).alias(sums)),
         "tables",
     )
     # One number for each part, then the inverse of the distribution at each.
-    draws = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda part: hashed_uniform(F.lit(seed), F.col(key), part))
-    drawn = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_sums", lambda s: s < u)))
+    draws = F.transform(F.sequence(F.lit(0), F.col(n_parts) - 1), lambda part: hashed_uniform(F.lit(seed), F.col(key), part))
+    drawn = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter(sums, lambda s: s < u)))
     repeated = (
-        docs.join(tables, F.col(source).eqNullSafe(F.col("_of_source")))
-        .withColumn("_n", drawn)
-        .select(*docs.columns, F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))).alias(copy))
+        docs.join(tables, F.col(source).eqNullSafe(F.col(of_source)))
+        .withColumn(times, drawn)
+        .select(*docs.columns, F.explode(F.when(F.col(times) > 0, F.sequence(F.lit(1), F.col(times)))).alias(copy))
         .withColumn(order, F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(copy).cast("string"))))
     )
     return repeated.repartition(order).sortWithinPartitions(order)

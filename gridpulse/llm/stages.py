@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import itertools
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridpulse.session import shared_scratch
 
@@ -47,3 +49,18 @@ def column_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def numbered(df: DataFrame, order: Sequence[str], shared: Shared) -> DataFrame:
+    """The frame, range-sorted and written, plus ``place``: gapless from 0.
+
+    Equal rows lie in one range; a unique column at the end of ``order`` spreads them.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    written = shared.write(spread.withColumn("seat", F.monotonically_increasing_id()), "sorted")
+    part, inside = F.shiftright("seat", 33), F.col("seat").bitwiseAND((1 << 33) - 1)
+    sizes = written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    # One row for each partition of the sort, so the window and the broadcast are small.
+    starts = sizes.select("part", F.expr("sum(rows) OVER (ORDER BY part) - rows").alias("start"))
+    placed = written.withColumn("part", part).join(F.broadcast(starts), "part")
+    return placed.withColumn("place", F.col("start") + inside).drop("part", "start", "seat")

@@ -127,8 +127,7 @@ def test_buckets_are_optimal():
             return sum(next(b for b in borders if b >= n) - n for n in lengths)
 
         best = min(padding([*c, own[-1]]) for r in range(min(k, len(own))) for c in itertools.combinations(own[:-1], r))
-        counts = [lengths.count(n) for n in own]
-        got = optimal_buckets(np.array(counts), np.array([n * c for n, c in zip(own, counts)]), np.array(own), k)
+        got = optimal_buckets(np.array(own), np.array([lengths.count(n) for n in own]), k)
         assert best == got.padding == padding(got.longest) and len(got.longest) <= k
 
 
@@ -151,6 +150,58 @@ def test_batches_are_full_and_hold_every_row(spark):
     assert pack(docs.limit(0)).count() == 0
 
 
+def test_buckets_of_many_lengths_are_optimal():
+    rng = np.random.default_rng(5)
+    for k in (2, 5):
+        own = np.unique(rng.integers(0, 100_000, 300))
+        count = rng.integers(1, 50, len(own))
+        documents, tokens = np.r_[0, np.cumsum(count)], np.r_[0, np.cumsum(count * own)]
+        best = [0] + [None] * len(own)
+        for _ in range(k):  # every last bucket of every prefix
+            best = [0] + [
+                min(best[j] + (documents[i] - documents[j]) * own[i - 1] - (tokens[i] - tokens[j]) for j in range(i) if best[j] is not None)
+                for i in range(1, len(own) + 1)
+            ]
+        got = optimal_buckets(own, count, k)
+        assert got.padding == best[-1] and len(got.longest) == k
+    assert len(optimal_buckets(np.arange(1, 200_001), np.ones(200_000, int), 16).longest) == 16
+
+
+def test_batches_do_not_depend_on_settings(spark):
+    rng = random.Random(2)
+    rows = [(i if i % 9 else None, "w " * rng.randrange(3000)) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in (2, 5):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(map(repr, pack(docs.repartition(n), batch_tokens=9000, buckets=4).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+HELPERS = [
+    "_n", "_sums", "_parts", "_of_source", "_bucket", "_part", "_rank", "_start", "_b", "_p", "own_bucket", "own_part", "rank_in_part",
+    "part_start", "place", "of_bucket", "of_part", "of_source", "rate_parts", "rate_sums", "times", "part", "rows", "n", "size", "rate",
+    "source_rates", "bucket", "batch", "slot", "padding", "n_tokens", "copy", "shuffle_key",
+]
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(i, f"{'w ' * (i % 50)}", f"s{i % 3}", *[f"{name}{i}" for name in HELPERS]) for i in range(60)]
+    names = ["doc_id long", "text string", "source string", *(f"{name} string" for name in HELPERS)]
+    docs = spark.createDataFrame(rows, ", ".join(names))
+    want = {r[0]: r for r in rows}
+    packed = pack(docs)
+    assert len({c.lower() for c in packed.columns}) == len(packed.columns)
+    got = packed.collect()
+    assert len(got) == 60 and all(tuple(r)[: len(rows[0])] == want[r["doc_id"]] for r in got)
+    mixed = mix_sources(docs, source_rates(docs)).collect()
+    assert mixed and all(tuple(r)[: len(rows[0])] == want[r["doc_id"]] for r in mixed)
+
+
 def test_url_rules_and_edges(spark):
     rows = [(1, None), (2, ""), (3, "nope"), (4, "HTTP://WWW.A.NET/x"), (5, "http://a.net"), (6, "http://a.net?x=/"), (7, "x://b://example.net/en/1"),
             (8, "http://example.net/en/"), (9, "http://org/fr/"), (10, "http://q.example.com/de/é?/fr"), (11, "http://notnet/"), (11, "http://notnet/")]
@@ -182,18 +233,34 @@ def test_url_models_tell_kinds_of_hosts_apart(spark):
     assert len(right) == 300 and np.mean(right) > 0.98
 
 
-def test_url_models_keep_what_is_seen_twice_at_every_size(spark, monkeypatch):
+def test_url_models_keep_what_is_seen_twice(spark):
     from gridpulse.llm import urls
     from gridpulse.llm.stages import Shared
 
     rows = [(f"http://h{i % 50}.org/{i}", "allow" if i % 2 else "block") for i in range(200)]
     ruled = spark.createDataFrame(rows, "url string, verdict string")
     seen = Counter(f"{urls._START * 4}{url}{urls._END}"[k : k + 5] for url, _ in rows for k in range(len(url) + 1))
-    monkeypatch.setattr(urls, "MAX_GRAMS", 20)  # as if the table were much larger
     longest = urls.train_models(ruled, Shared(spark, "urls"))[-1]
     assert {r["gram"] for r in longest.collect()} == {gram for gram, n in seen.items() if n > 1}
 
 
-@pytest.mark.parametrize("name", ["op3_mixing", "op9_url_filters"])
+def test_url_sql_agrees_beyond_400_000_positions(spark):
+    import duckdb
+
+    from gridpulse.llm.oracle import URLS
+
+    # Host and path letters fall unevenly, so that many n-grams are seen once or twice.
+    page = """SELECT {i} AS page_id, concat('http://', substr(md5(concat('h', {i} % 4999)), 1, 5), {host},
+      substr(md5(concat('p', {i})), 1, 12), '/', {i} % 97) AS url FROM {rows}"""
+    host = "CASE {i} % 5 WHEN 0 THEN '.net/' WHEN 1 THEN '.example.net/en/' WHEN 2 THEN '.org/fr/' ELSE '.free.io/a/' END"
+    pages = spark.sql(page.format(i="id", host=host.format(i="id"), rows="range(14000)"))
+    found = filter_urls(pages)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages AS " + page.format(i="range", host=host.format(i="range"), rows="range(14000)"))
+    assert con.execute("SELECT sum(length(url)) FROM pages").fetchone()[0] > 400_000
+    assert sorted(tuple(r) for r in found.collect()) == sorted(con.execute(URLS).fetchall())
+
+
+@pytest.mark.parametrize("name", ["op3_mixing", "op9_url_filters", "op11_merkle_manifest", "op12_filter_audit"])
 def test_query_matches_sql(spark, name):
     assert not compare(spark, connect(SF_DIR), name, SF_DIR)

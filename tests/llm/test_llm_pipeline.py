@@ -1,5 +1,7 @@
 """The corpus pipeline against its parts."""
 
+import random
+
 import pytest
 from brute import components, statistics
 
@@ -41,12 +43,24 @@ def test_rules_reject_what_base_rules_reject_and_keep_clean_documents(spark, sta
     assert sum(i in kept for i in good) >= 0.98 * len(good)
 
 
-def test_language_keeps_texts_with_letters(stages):
+def test_language_keeps_clean_documents(stages):
     before, after = stages["language id"]
     want = sorted(r["doc_id"] for r in before.collect() if any(c.isalpha() for c in r["text"] or ""))
     assert sorted(r["doc_id"] for r in after.collect()) == want
 
 
+def test_language_rejects_letter_junk(spark):
+    rng = random.Random(11)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kinds = ["bcdfghjklmnpqrstvwxz ", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "qxzwk  "]
+    junk = [(-1 - i, "".join(rng.choice(kinds[i % 4]) for _ in range(200 + 40 * i))) for i in range(40)]
+    planted = spark.createDataFrame([(i, t, None, "junk", len(t)) for i, t in junk], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs.unionByName(planted), SF_DIR).collect()}
+    assert not kept & {i for i, _ in junk}
+    letters = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert len(kept) >= 0.99 * len(letters) and kept <= letters
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = stages["near dedup"]
     root = components({r["doc_id"]: r["text"] for r in before.collect()})
@@ -66,6 +80,23 @@ def test_dedup_of_repeated_rows_and_null_ids(spark):
     assert sorted([r["doc_id"] for r in got], key=repr) == [1, 4, None]
 
 
+def test_dedup_keeps_every_text_of_an_id(spark):
+    words = [f"w{k}" for k in range(60)]
+    first, near, other = " ".join(words), " ".join(words[:-1]), " ".join(f"x{k}" for k in range(30))
+    rows = [(1, first), (7, near), (7, other), (7, other), (8, "y " * 9 + "z"), (8, None), (9, other)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    # Id 7's near copy of 1 goes; of its other text and 9's, the one with the plain id stays.
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(1, first), (8, "y " * 9 + "z"), (8, None), (9, other)], key=repr)
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_run_gives_the_last_stages_rows(spark, stages):
     result = corpus_pipeline.run(spark, SF_DIR)
     assert result.count() == stages["packing"][1].count()
@@ -83,9 +114,12 @@ def test_queries_return_their_columns(spark, name):
         "op8_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
         "op9_url_filters": ["page_id", "host", "path", "rule", "verdict"],
         "op10_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+        "op11_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+        "op12_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+        "op13_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     }
     result = queries()[name](spark, SF_DIR)
     assert set(columns.get(name, ["doc_id"])) <= set(result.columns)
     table = "pages" if name.startswith("op9") else "documents"
     rows = result.count()
-    assert rows > 0 and (name == "op3_mixing" or rows == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count())
+    assert rows > 0 and (name in ("op3_mixing", "op12_filter_audit") or rows == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count())
