@@ -18,7 +18,7 @@ _TEXT_COLUMNS = {"respondent", "respondent_name"}
 
 def _missing_columns(label: str, missing: list[str], found: Iterable[str]) -> ValueError:
     return ValueError(
-        f"{label}: missing required column(s) {missing}; found {sorted(found)}"
+        f"{label} cannot be read without {', '.join(missing)}; its columns are {', '.join(sorted(found))}"
     )
 
 

@@ -10,7 +10,7 @@ def readings(spark, *rows):
     """(hour, region, type, value[, name]) in row order."""
     full = []
     for ordinal, (period, respondent, kind, value, *name) in enumerate(rows):
-        label = name[0] if name else f"{respondent} Region"
+        label = name[0] if name else f"{respondent} area"
         text = None if value is None else str(value)
         full.append((period, respondent, label, kind, text, ordinal))
     return spark.createDataFrame(full, READING).coalesce(1)
@@ -18,7 +18,7 @@ def readings(spark, *rows):
 
 def demand(spark, *rows):
     """(hour, region, demand, forecast[, name])."""
-    full = [(p, r, n[0] if n else f"{r} Region", d, f) for p, r, d, f, *n in rows]
+    full = [(p, r, n[0] if n else f"{r} area", d, f) for p, r, d, f, *n in rows]
     return spark.createDataFrame(
         full,
         "period string, respondent string, respondent_name string, "
@@ -28,7 +28,7 @@ def demand(spark, *rows):
 
 def metric(spark, column, *rows):
     """(hour, region, value[, name]) under a domain column."""
-    full = [(p, r, n[0] if n else f"{r} Region", v) for p, r, v, *n in rows]
+    full = [(p, r, n[0] if n else f"{r} area", v) for p, r, v, *n in rows]
     return spark.createDataFrame(
         full,
         f"period string, respondent string, respondent_name string, {column} double",
@@ -46,7 +46,7 @@ def interchange(spark, *rows):
 def performance(spark, *rows):
     """(date, region, mape, bias, count)."""
     return spark.createDataFrame(
-        [(d, r, f"{r} Region", m, b, n) for d, r, m, b, n in rows],
+        [(d, r, f"{r} area", m, b, n) for d, r, m, b, n in rows],
         "date string, respondent string, respondent_name string, mape_pct double, "
         "forecast_bias_mwh double, observation_count bigint",
     )

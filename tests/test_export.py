@@ -19,9 +19,9 @@ def test_export_writes_rows_and_meta(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "db"))
     raw = readings(
         spark,
-        ("2024-01-01T00", "CAL", "D", 5),
-        ("2024-03-01T00", "CAL", "D", 7),
-        ("2024-03-01T01", "CAL", "DF", 8),
+        ("2024-01-01T00", "AVL", "D", 5),
+        ("2024-03-01T00", "AVL", "D", 7),
+        ("2024-03-01T01", "AVL", "DF", 8),
     )
     ingest_window(store, frame_source(raw))
     out = tmp_path / "out"
@@ -47,7 +47,7 @@ def test_export_writes_rows_and_meta(spark, tmp_path):
             "row_count": counts[name],
         }
     hourly = lines(out / "demand_hourly" / "rows")
-    assert {"period": "2024-03-01T01:00:00Z", "respondent": "CAL", "demand_mwh": None,
+    assert {"period": "2024-03-01T01:00:00Z", "respondent": "AVL", "demand_mwh": None,
             "forecast_demand_mwh": 8.0} in hourly
     assert export(store, str(out), days=1, now=datetime(2024, 5, 1))["demand_daily"] == 0
 

@@ -24,13 +24,13 @@ DAY = "2024-01-01"
 
 
 def daily(spark, *values):
-    rows = [(f"{DAY}T{i:02d}", "CAL", v, None) for i, v in enumerate(values)]
+    rows = [(f"{DAY}T{i:02d}", "AVL", v, None) for i, v in enumerate(values)]
     (row,) = transform_demand_daily(demand(spark, *rows)).collect()
     return row.asDict()
 
 
 def accuracy(spark, *pairs):
-    rows = [(f"{DAY}T{i:02d}", "CAL", d, f) for i, (d, f) in enumerate(pairs)]
+    rows = [(f"{DAY}T{i:02d}", "AVL", d, f) for i, (d, f) in enumerate(pairs)]
     (row,) = transform_forecast_performance(demand(spark, *rows)).collect()
     return row.asDict()
 
@@ -40,7 +40,7 @@ def test_daily_shape(spark):
     assert (row["avg_demand_mwh"], row["peak_demand_mwh"]) == (200.0, 300.0)
     assert (row["min_demand_mwh"], row["demand_stddev_mwh"]) == (100.0, 100.0)
     assert row["observation_count"] == 3 and str(row["date"]) == DAY
-    assert row["respondent_name"] == "CAL Region"
+    assert row["respondent_name"] == "AVL area"
 
 
 @pytest.mark.parametrize(
@@ -62,26 +62,26 @@ def test_daily_counts_values_only(spark, values, count, mean, deviation):
 def test_daily_uses_utc_dates_and_keeps_regions_apart(spark):
     frame = demand(
         spark,
-        ("2024-01-01T23", "CAL", 1.0, None),
-        ("2024-01-01T23:30:00-02:00", "CAL", 2.0, None),
-        ("2024-01-01T23", "NY", 3.0, None),
+        ("2024-01-01T23", "AVL", 1.0, None),
+        ("2024-01-01T23:30:00-02:00", "AVL", 2.0, None),
+        ("2024-01-01T23", "BRN", 3.0, None),
     )
     got = transform_demand_daily(frame).selectExpr(
         "cast(date AS string) AS date", "respondent", "avg_demand_mwh"
     )
     assert table(got) == [
-        ("2024-01-01", "CAL", 1.0),
-        ("2024-01-01", "NY", 3.0),
-        ("2024-01-02", "CAL", 2.0),
+        ("2024-01-01", "AVL", 1.0),
+        ("2024-01-01", "BRN", 3.0),
+        ("2024-01-02", "AVL", 2.0),
     ]
 
 
 def test_daily_name_is_the_first_one_by_hour(spark):
     frame = demand(
         spark,
-        (f"{DAY}T02", "CAL", 1.0, None, "Later"),
-        (f"{DAY}T01", "CAL", 1.0, None, "Earlier"),
-        (f"{DAY}T00", "CAL", 1.0, None, None),
+        (f"{DAY}T02", "AVL", 1.0, None, "Later"),
+        (f"{DAY}T01", "AVL", 1.0, None, "Earlier"),
+        (f"{DAY}T00", "AVL", 1.0, None, None),
     )
     assert table(transform_demand_daily(frame), "respondent_name") == [("Earlier",)]
 
@@ -110,28 +110,28 @@ def test_zero_demand_leaves_mape_only_and_negative_demand_counts(spark):
 def test_balance_side_by_side(spark):
     hour = f"{DAY}T00"
     result = transform_grid_balance(
-        demand(spark, (hour, "CAL", 100.0, None)),
-        generation(spark, (hour, "CAL", 150.0)),
-        interchange(spark, (hour, "CAL", -20.0)),
+        demand(spark, (hour, "AVL", 100.0, None)),
+        generation(spark, (hour, "AVL", 150.0)),
+        interchange(spark, (hour, "AVL", -20.0)),
     )
     assert result.columns == schemas.GOLD_GRID_BALANCE.columns
-    assert table(result) == [(hour, "CAL", "CAL Region", 100.0, 150.0, -20.0, 50.0)]
+    assert table(result) == [(hour, "AVL", "AVL area", 100.0, 150.0, -20.0, 50.0)]
 
 
 def test_balance_keeps_one_sided_hours(spark):
     result = transform_grid_balance(
-        demand(spark, (f"{DAY}T00", "CAL", 100.0, None)),
-        generation(spark, (f"{DAY}T01", "NY", 75.0)),
+        demand(spark, (f"{DAY}T00", "AVL", 100.0, None)),
+        generation(spark, (f"{DAY}T01", "BRN", 75.0)),
         spark.createDataFrame([], "period string"),
     )
     assert table(result) == [
-        (f"{DAY}T00", "CAL", "CAL Region", 100.0, None, None, None),
-        (f"{DAY}T01", "NY", "NY Region", None, 75.0, None, None),
+        (f"{DAY}T00", "AVL", "AVL area", 100.0, None, None, None),
+        (f"{DAY}T01", "BRN", "BRN area", None, 75.0, None, None),
     ]
 
 
 def test_balance_rejects_a_frame_with_rows_but_no_metric(spark):
-    frame = demand(spark, (f"{DAY}T00", "CAL", 1.0, None))
+    frame = demand(spark, (f"{DAY}T00", "AVL", 1.0, None))
     with pytest.raises(ValueError, match="net_generation_mwh"):
         transform_grid_balance(frame, frame, interchange(spark))
 
@@ -139,14 +139,14 @@ def test_balance_rejects_a_frame_with_rows_but_no_metric(spark):
 def test_balance_demand_name_wins_and_conflicts_warn(spark, caplog):
     hour = f"{DAY}T00"
     domains = (
-        demand(spark, (hour, "CAL", 1.0, None), (hour, "NY", 1.0, None, None)),
-        generation(spark, (hour, "CAL", 1.0, "Pacific"), (hour, "NY", 1.0)),
-        interchange(spark, (hour, "CAL", 1.0)),
+        demand(spark, (hour, "AVL", 1.0, None), (hour, "BRN", 1.0, None, None)),
+        generation(spark, (hour, "AVL", 1.0, "Pacific"), (hour, "BRN", 1.0)),
+        interchange(spark, (hour, "AVL", 1.0)),
     )
     names = table(transform_grid_balance(*domains), "respondent", "respondent_name")
-    assert names == [("CAL", "CAL Region"), ("NY", "NY Region")]
+    assert names == [("AVL", "AVL area"), ("BRN", "BRN area")]
     conflicts = name_conflicts(*domains)
-    assert table(conflicts) == [("generation", "CAL", "CAL Region", "Pacific")]
+    assert table(conflicts) == [("generation", "AVL", "AVL area", "Pacific")]
     assert table(conflict_report(conflicts)) == [("generation", 1)]
     with caplog.at_level("WARNING"):
         assert warn_name_conflicts(conflicts) == {"generation": 1}
@@ -156,8 +156,8 @@ def test_balance_demand_name_wins_and_conflicts_warn(spark, caplog):
 def test_balance_still_shows_a_repeated_key(spark):
     hour = f"{DAY}T00"
     result = transform_grid_balance(
-        demand(spark, (hour, "CAL", 1.0, None)),
-        generation(spark, (hour, "CAL", 1.0), (hour, "CAL", 2.0)),
+        demand(spark, (hour, "AVL", 1.0, None)),
+        generation(spark, (hour, "AVL", 1.0), (hour, "AVL", 2.0)),
         interchange(spark),
     )
     with pytest.raises(DataQualityError, match="grain"):
@@ -168,24 +168,24 @@ def test_summary_takes_values_of_each_regions_newest_hour(spark):
     result = transform_regional_summary(
         demand(
             spark,
-            (f"{DAY}T00", "CAL", 100.0, 90.0),
-            (f"{DAY}T05", "CAL", 130.0, 120.0),
-            (f"{DAY}T03", "NY", 50.0, 55.0),
+            (f"{DAY}T00", "AVL", 100.0, 90.0),
+            (f"{DAY}T05", "AVL", 130.0, 120.0),
+            (f"{DAY}T03", "BRN", 50.0, 55.0),
         ),
-        generation(spark, (f"{DAY}T05", "CAL", 200.0)),
-        interchange(spark, (f"{DAY}T05", "CAL", -15.0)),
+        generation(spark, (f"{DAY}T05", "AVL", 200.0)),
+        interchange(spark, (f"{DAY}T05", "AVL", -15.0)),
     )
     assert result.columns == schemas.GOLD_REGIONAL_SUMMARY.columns
     assert table(result) == [
-        ("CAL", "CAL Region", f"{DAY}T05", 130.0, 120.0, 200.0, -15.0, None, None),
-        ("NY", "NY Region", f"{DAY}T03", 50.0, 55.0, None, None, None, None),
+        ("AVL", "AVL area", f"{DAY}T05", 130.0, 120.0, 200.0, -15.0, None, None),
+        ("BRN", "BRN area", f"{DAY}T03", 50.0, 55.0, None, None, None, None),
     ]
 
 
 def test_summary_does_not_reach_back(spark):
     result = transform_regional_summary(
-        demand(spark, (f"{DAY}T05", "CAL", 130.0, None)),
-        generation(spark, (f"{DAY}T00", "CAL", 200.0)),
+        demand(spark, (f"{DAY}T05", "AVL", 130.0, None)),
+        generation(spark, (f"{DAY}T00", "AVL", 200.0)),
         interchange(spark),
     )
     got = table(result, "latest_period", "latest_net_generation_mwh")
@@ -193,7 +193,7 @@ def test_summary_does_not_reach_back(spark):
 
 
 def test_summary_without_forecast_column(spark):
-    frame = demand(spark, (f"{DAY}T05", "CAL", 130.0, 1.0)).drop("forecast_demand_mwh")
+    frame = demand(spark, (f"{DAY}T05", "AVL", 130.0, 1.0)).drop("forecast_demand_mwh")
     result = transform_regional_summary(frame, generation(spark), interchange(spark))
     assert table(result, "latest_forecast_demand_mwh") == [(None,)]
 
@@ -204,34 +204,34 @@ def kpis(spark, *rows, days=7):
 
 def test_kpi_window_is_calendar_days_from_the_newest_date_of_all(spark):
     rows = [
-        ("2024-01-10", "CAL", 5.0, 10.0, 24),
-        ("2024-01-04", "CAL", 7.0, -10.0, 24),
-        ("2024-01-01", "CAL", 90.0, 900.0, 24),
-        ("2024-01-03", "NY", 1.0, 1.0, 24),
+        ("2024-01-10", "AVL", 5.0, 10.0, 24),
+        ("2024-01-04", "AVL", 7.0, -10.0, 24),
+        ("2024-01-01", "AVL", 90.0, 900.0, 24),
+        ("2024-01-03", "BRN", 1.0, 1.0, 24),
         ("bad date", "TEX", 1.0, 1.0, 24),
     ]
-    assert kpis(spark, *rows) == [("CAL", 6.0, 0.0)]
+    assert kpis(spark, *rows) == [("AVL", 6.0, 0.0)]
 
 
 def test_kpis_are_weighted_and_skip_unusable_days(spark):
-    rows = [("2024-01-01", "CAL", 6.0, 1.0, 4), ("2024-01-02", "CAL", 16.0, 1.0, 6)]
-    assert kpis(spark, *rows) == [("CAL", 12.0, 1.0)]
-    rows = [("2024-01-01", "CAL", None, None, 0), ("2024-01-02", "CAL", 8.0, 4.0, 24)]
-    assert kpis(spark, *rows) == [("CAL", 8.0, 4.0)]
-    rows = [("2024-01-01", "CAL", None, 2.0, 3), ("2024-01-02", "CAL", 8.0, 4.0, None)]
-    assert kpis(spark, *rows) == [("CAL", None, 2.0)]
+    rows = [("2024-01-01", "AVL", 6.0, 1.0, 4), ("2024-01-02", "AVL", 16.0, 1.0, 6)]
+    assert kpis(spark, *rows) == [("AVL", 12.0, 1.0)]
+    rows = [("2024-01-01", "AVL", None, None, 0), ("2024-01-02", "AVL", 8.0, 4.0, 24)]
+    assert kpis(spark, *rows) == [("AVL", 8.0, 4.0)]
+    rows = [("2024-01-01", "AVL", None, 2.0, 3), ("2024-01-02", "AVL", 8.0, 4.0, None)]
+    assert kpis(spark, *rows) == [("AVL", None, 2.0)]
 
 
 def test_kpi_regions_without_hours_are_dropped(spark):
     result = transform_regional_summary(
-        demand(spark, (f"{DAY}T05", "CAL", 130.0, None)),
+        demand(spark, (f"{DAY}T05", "AVL", 130.0, None)),
         generation(spark),
         interchange(spark),
         performance(
-            spark, (DAY, "CAL", 5.0, 1.0, 24), (DAY, "NY", 5.0, 1.0, 24)
+            spark, (DAY, "AVL", 5.0, 1.0, 24), (DAY, "BRN", 5.0, 1.0, 24)
         ),
     )
-    assert table(result, "respondent", "recent_forecast_mape_pct") == [("CAL", 5.0)]
+    assert table(result, "respondent", "recent_forecast_mape_pct") == [("AVL", 5.0)]
 
 
 @pytest.mark.parametrize(
@@ -244,7 +244,7 @@ def test_kpi_regions_without_hours_are_dropped(spark):
 )
 def test_gold_range_checks(spark, spec, change, match):
     frame = demand(
-        spark, (f"{DAY}T00", "CAL", 100.0, 90.0), (f"{DAY}T01", "CAL", 120.0, 90.0)
+        spark, (f"{DAY}T00", "AVL", 100.0, 90.0), (f"{DAY}T01", "AVL", 120.0, 90.0)
     )
     transforms = {
         schemas.GOLD_DEMAND_DAILY: transform_demand_daily,

@@ -21,7 +21,7 @@ from gridpulse.sources.store import TableStore
 CODES = (("D", 1.0), ("DF", 0.9), ("NG", 1.5), ("TI", -0.1))
 
 
-def month(spark, days=(1, 2, 3), regions=("CAL", "NY"), scale=1.0):
+def month(spark, days=(1, 2, 3), regions=("AVL", "BRN"), scale=1.0):
     """Four metrics for every hour of the days and every region."""
     return readings(
         spark,
@@ -80,7 +80,7 @@ def test_window_fills_every_table(loaded):
     }
     assert len(tables["bronze_readings"]) == 576
     assert tables["gold_regional_summary"][0][:5] == (
-        "CAL", "CAL Region", "2024-01-03T23", 323.0, 290.7
+        "AVL", "AVL area", "2024-01-03T23", 323.0, 290.7
     )
 
 
@@ -108,12 +108,12 @@ def test_empty_window_writes_nothing(spark, store):
 
 
 def test_late_failure_leaves_the_store_as_it_was(spark, store):
-    bad = month(spark).union(readings(spark, ("2024-01-01T00", "CAL", "TI", 1)))
+    bad = month(spark).union(readings(spark, ("2024-01-01T00", "AVL", "TI", 1)))
     with pytest.raises(DataQualityError, match="silver_interchange.*grain"):
         ingest_window(store, lambda start, end: bad)
     assert not any(contents(store).values())
     with pytest.raises(DataQualityError, match="bronze_readings.*null"):
-        ingest_window(store, lambda s, e: readings(spark, ("bad", "CAL", "D", 1)))
+        ingest_window(store, lambda s, e: readings(spark, ("bad", "AVL", "D", 1)))
 
 
 def test_incremental_run_needs_bronze(spark, store):
@@ -144,10 +144,10 @@ def test_incremental_run_completes_the_partial_first_day(spark, loaded, copy):
 
 def test_revision_and_absent_region(spark, copy):
     """Gold follows a revised half day; a region the window lacks keeps its row."""
-    revised = month(spark, regions=("CAL",), scale=2.0)
+    revised = month(spark, regions=("AVL",), scale=2.0)
     ingest_window(copy, frame_source(revised), "2024-01-03T12", "2024-01-03T22")
     (row,) = copy.read(schemas.GOLD_DEMAND_DAILY).filter(
-        "date = '2024-01-03' AND respondent = 'CAL'"
+        "date = '2024-01-03' AND respondent = 'AVL'"
     ).collect()
     values = [300.0 + h for h in range(12)] + [2 * (300.0 + h) for h in range(12, 23)]
     assert row.observation_count == 23
@@ -155,8 +155,8 @@ def test_revision_and_absent_region(spark, copy):
     assert (row.peak_demand_mwh, row.min_demand_mwh) == (644.0, 300.0)
     summary = copy.read(schemas.GOLD_REGIONAL_SUMMARY)
     assert table(summary, "respondent", "latest_period", "latest_demand_mwh") == [
-        ("CAL", "2024-01-03T22", 644.0),
-        ("NY", "2024-01-03T23", 323.0),
+        ("AVL", "2024-01-03T22", 644.0),
+        ("BRN", "2024-01-03T23", 323.0),
     ]
 
 
@@ -176,7 +176,7 @@ def test_backfill_of_regions_that_stop_equals_windows_in_turn(spark, store, tmp_
         (f"2024-02-{d:02d}T{h:02d}", r, code, (10 * d + h) * factor)
         for d in range(1, 8)
         for h in (0, 1, 2, 13)
-        for r, last in (("CAL", 7), ("NY", 3), ("TEX", 1))
+        for r, last in (("AVL", 7), ("BRN", 3), ("TEX", 1))
         if d <= last
         for code, factor in CODES
     ]
@@ -189,7 +189,7 @@ def test_backfill_of_regions_that_stop_equals_windows_in_turn(spark, store, tmp_
         ingest_window(in_turn, source, start, end)
     assert contents(store) == contents(in_turn)
     summary = table(store.read(schemas.GOLD_REGIONAL_SUMMARY), "respondent", "latest_period")
-    assert summary == [("CAL", "2024-02-07T13"), ("NY", "2024-02-05T01"), ("TEX", "2024-02-03T00")]
+    assert summary == [("AVL", "2024-02-07T13"), ("BRN", "2024-02-05T01"), ("TEX", "2024-02-03T00")]
 
 
 def test_backfill_bounds_are_checked(spark, store):
@@ -200,25 +200,25 @@ def test_backfill_bounds_are_checked(spark, store):
 def test_ragged_batch_follows_the_grid_or_the_reports(spark, store, caplog):
     raw = readings(
         spark,
-        ("2024-01-01T00", "CAL", "D", 1),
-        ("2024-01-01T00", "CAL", "NG", 1, "Other Name"),
-        ("2024-01-01T00", "NY", "D", 2),
-        ("2024-01-01T05", "CAL", "D", 3),
+        ("2024-01-01T00", "AVL", "D", 1),
+        ("2024-01-01T00", "AVL", "NG", 1, "Other Name"),
+        ("2024-01-01T00", "BRN", "D", 2),
+        ("2024-01-01T05", "AVL", "D", 3),
     )
     with caplog.at_level(logging.WARNING):
         ingest_window(store, frame_source(raw))
-    assert "CAL Region" in caplog.text and "Other Name" in caplog.text
+    assert "AVL area" in caplog.text and "Other Name" in caplog.text
     summary = store.read(schemas.GOLD_REGIONAL_SUMMARY)
     assert table(summary, "respondent", "latest_period", "latest_demand_mwh") == [
-        ("CAL", "2024-01-01T05", 3.0),
-        ("NY", "2024-01-01T05", None),
+        ("AVL", "2024-01-01T05", 3.0),
+        ("BRN", "2024-01-01T05", None),
     ]
     sparse = TableStore(spark, store.root + "-sparse")
     ingest_window(sparse, frame_source(raw), densify=False)
     summary = sparse.read(schemas.GOLD_REGIONAL_SUMMARY)
     assert table(summary, "respondent", "latest_period", "latest_demand_mwh") == [
-        ("CAL", "2024-01-01T05", 3.0),
-        ("NY", "2024-01-01T00", 2.0),
+        ("AVL", "2024-01-01T05", 3.0),
+        ("BRN", "2024-01-01T00", 2.0),
     ]
 
 
@@ -229,18 +229,18 @@ def silver(spark, *rows):
 def test_head_is_stored_hours_of_the_first_day_before_the_window(spark):
     stored = silver(
         spark,
-        ("2023-11-04T22", "CAL", 1.0, None),
-        ("2023-11-05T06", "CAL", 61.0, None),
-        ("2023-11-05T17", "CAL", 2.0, None),
+        ("2023-11-04T22", "AVL", 1.0, None),
+        ("2023-11-05T06", "AVL", 61.0, None),
+        ("2023-11-05T17", "AVL", 2.0, None),
     )
 
     def read(start, end):
         return stored.filter((F.col("period") >= start) & (F.col("period") < end))
 
-    window = silver(spark, ("2023-11-05T17", "CAL", 44.0, None))
+    window = silver(spark, ("2023-11-05T17", "AVL", 44.0, None))
     got = table(complete_first_day(window, read), "period", "demand_mwh")
     assert got == [("2023-11-05T06", 61.0), ("2023-11-05T17", 44.0)]
-    midnight = silver(spark, ("2023-11-05T00", "CAL", 44.0, None))
+    midnight = silver(spark, ("2023-11-05T00", "AVL", 44.0, None))
     assert table(complete_first_day(midnight, read), "demand_mwh") == [(44.0,)]
     assert complete_first_day(midnight.limit(0), read).count() == 0
 
@@ -250,10 +250,10 @@ def test_recent_performance_prefers_fresh_rows(spark):
         return performance(spark, *rows).withColumn("date", F.col("date").cast("date"))
 
     stored = dated(
-        ("2023-06-10", "CAL", 1.0, 0.0, 24),
-        ("2023-06-11", "CAL", 2.0, 0.0, 24),
-        ("2023-06-17", "CAL", 3.0, 0.0, 5),
+        ("2023-06-10", "AVL", 1.0, 0.0, 24),
+        ("2023-06-11", "AVL", 2.0, 0.0, 24),
+        ("2023-06-17", "AVL", 3.0, 0.0, 5),
     )
-    fresh = dated(("2023-06-17", "CAL", 4.0, 0.0, 6), ("2023-06-08", "NY", 9.0, 0.0, 1))
+    fresh = dated(("2023-06-17", "AVL", 4.0, 0.0, 6), ("2023-06-08", "BRN", 9.0, 0.0, 1))
     got = recent_performance(fresh, lambda start: stored.filter(F.col("date") >= start))
-    assert table(got, "respondent", "mape_pct") == [("CAL", 2.0), ("CAL", 4.0)]
+    assert table(got, "respondent", "mape_pct") == [("AVL", 2.0), ("AVL", 4.0)]
