@@ -147,7 +147,7 @@ def test_balance_demand_name_wins_and_conflicts_warn(spark, caplog):
     assert names == [("AVL", "AVL area"), ("BRN", "BRN area")]
     conflicts = name_conflicts(*domains)
     assert table(conflicts) == [("generation", "AVL", "AVL area", "Pacific")]
-    assert table(conflict_report(conflicts)) == [("generation", 1)]
+    assert table(conflict_report(conflicts)) == [("generation", 1, "AVL: AVL area / Pacific")]
     with caplog.at_level("WARNING"):
         assert warn_name_conflicts(conflicts) == {"generation": 1}
     assert "Pacific" in caplog.text
