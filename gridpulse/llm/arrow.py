@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,13 +57,15 @@ def labelled_sample(
     max_examples: int,
     folds: int = 1,
     held_out: int = -1,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """A bounded sample of labelled documents: doc_id, text, ``label``.
 
     Only documents whose crc32(doc_id as text) mod ``folds`` is not ``held_out``
     are used. The sample is the ``max_examples`` of them that come first by a
-    hash of the id, the same at each run. A document that is labelled more than
-    once counts once, with its larger label; rows without id or label are left out.
+    hash of the id, the same at each run, as far as their texts are ``max_bytes``
+    together. A document that is labelled more than once counts once, with its
+    larger label; rows without id or label are left out.
     """
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -74,7 +76,14 @@ def labelled_sample(
         .limit(max_examples)
     )
     # At most ``max_examples`` ids, so the broadcast is bounded.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    if max_bytes is None:
+        return sample
+    sizes = sample.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size"))
+    # The window ranks the ids of the sample, max_examples at most.
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = sizes.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= max_bytes)
+    return sample.join(F.broadcast(within.select("doc_id")), "doc_id")
 
 
 def in_fold(doc_id: str, folds: int):

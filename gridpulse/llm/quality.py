@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,12 +221,7 @@ def train_quality(
 ) -> ByteNetwork:
     """A network from the first documents by a hash of the id: at most ``max_examples``
     of them and ``max_bytes`` of text, each with all of its chunks."""
-    sample = labelled_sample(docs, labels.withColumn(label, (F.col(label) > 0).cast("int")), label, max_examples, folds, held_out)
-    # The window ranks the rows of the sample, max_examples ids.
-    sizes = sample.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).groupBy("doc_id").agg(F.sum("size").alias("size"))
-    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = sizes.withColumn("upto", F.sum("size").over(before)).filter(F.col("upto") <= max_bytes).select("doc_id")
-    sample = sample.join(F.broadcast(within), "doc_id")
+    sample = labelled_sample(docs, labels.withColumn(label, (F.col(label) > 0).cast("int")), label, max_examples, folds, held_out, max_bytes)
     fields = T.StructType().add("chunks", T.BinaryType())
     rows = with_kernel(sample, "text", fields, _training_chunks).select("doc_id", label, "chunks").collect()
     rows.sort(key=lambda row: (row["doc_id"], row["chunks"]))

@@ -1,25 +1,32 @@
 """Operator 5, toxicity: votes of the nearest labelled examples.
 
-Texts are compared by exact TF-IDF cosine over all terms of a bounded sample of
-labelled documents. Document frequencies are counted over all documents; a term's
-weight also grows with the odds of label 1 that it is sure to raise, so that one
-insult counts among hundreds of other words. The idf is Robertson's: a term that
-half of all documents hold, or more, weighs nothing.
-
-The examples lie in an inverted index whose most frequent terms are a dense
-matrix; every example is scored and the nearest ones are compared again in double
-precision, so the neighbours are exact and do not depend on the other texts.
-
-The ``NEIGHBOURS`` nearest vote with their cosine as weight, against a prior of
-the base rate; leave-one-out votes of the examples calibrate the score. A text
-without any term that weighs (null and empty ones among them) has no neighbours
-and gets the rate of the examples without one. Without examples of both labels all
-scores are the share of label 1, or 0 without any example.
+Texts are TF-IDF vectors over all terms of a bounded sample of labelled documents,
+with document frequencies over all documents. The examples of each label lie in a
+block-max inverted index. Rare terms have postings, whose part of all cosines is
+summed. Frequent terms, whose postings would be long, have their largest weight in
+each block of examples: an example whose part and block's bound together cannot
+reach the ``NEIGHBOURS``-th best is skipped, and blocks without other examples are
+never opened. So the neighbours are exact, ties go to the smaller id, and they do not
+depend on the other texts of a batch.
+
+The labels speak in the votes. A near example of label 1 votes with its cosine, each
+shared term's part of it weighted by the log odds of label 1 that the term is sure
+to raise; so an insult among hundreds of words counts, and shared boilerplate does
+not. The nearest of label 0 vote by their cosines. Leave-one-out votes of the
+examples calibrate the score. No example is left out: for the odds, a family of near
+copies of one label (texts of one least shingle hash) counts as one document.
+
+A text without any of the terms (null and empty ones among them) has no
+neighbours and gets the rate of the examples without one. Without examples of both
+labels all scores are the share of label 1, or 0 without any example. Repeated rows
+get equal scores, an empty table gives no rows, and new columns whose names input
+columns have get leading underscores. A very long text takes about 47 bytes of a
+task's memory for each of its bytes.
 """
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,21 +43,24 @@ from gridpulse.llm.stages import Shared
 from gridpulse.llm.tokens import SpanHasher, blocks, mix, shingle_sets
 
 MAX_EXAMPLES = 20_000
-# What each term weighs besides the log odds of label 1 it raises, and how many
-# standard errors these odds are lowered by. Terms that speak for label 0 weigh the
-# least: harmless boilerplate must not outvote an insult.
-LEAST_WEIGHT = 0.05
-STANDARD_ERRORS = 2.0
+MAX_BYTES = 48 << 20
 NEIGHBOURS = 16
-# Queries that are scored at a time, and how many terms are kept dense for that.
-BLOCK = 64
+# Examples of a block, the terms that have block maxima instead of postings, and texts
+# that open blocks together.
+BLOCK = 32
 HEAD = 512
-# More than single precision can put two equal cosines apart.
-TOLERANCE = 1e-4
-PRIOR_WEIGHT = 0.25
+TOGETHER = 64
+# How many standard errors a term's log odds are lowered by.
+STANDARD_ERRORS = 2.0
+# More than single precision can put a bound or a first score off.
+TOLERANCE = 1e-5
+# Votes below it are told apart no further.
+LEAST_VOTE = 1e-3
 THRESHOLD = 0.3
 CALIBRATION_EXAMPLES = 4_000
 EVIDENCE = 3
+# Parts of one document that a member of a family of copies counts.
+_WHOLE = 1_000_000
 
 FIELDS = T.StructType().add("score", "double").add("predicted", "integer").add("evidence", T.ArrayType(T.LongType()))
 
@@ -100,170 +110,226 @@ def _distinct(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Vocabulary:
-    """The sample's terms by hash, and what they weigh."""
+    """The sample's terms by hash, and their idf."""
 
     terms: np.ndarray
-    weight: np.ndarray
+    idf: np.ndarray
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(row, term numbers, unit-length weights) of the rows with a term that weighs."""
+        """(row, term numbers, unit-length weights) of the rows with a known term."""
         if not len(self.terms):
             return
         for first, doc, term in document_terms(column):
             at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
-            hit = (self.terms[at] == term) & (self.weight[at] > 0)
+            hit = self.terms[at] == term
             doc, at, count = _distinct(doc[hit], at[hit])
-            weight = (1 + np.log(count)) * self.weight[at]
+            weight = (1 + np.log(count)) * self.idf[at]
             rows, starts = np.unique(doc, return_index=True)
             for row, a, b in zip(rows.tolist(), starts.tolist(), [*starts[1:].tolist(), len(doc)]):
                 w = weight[a:b]
-                yield first + row, at[a:b], w / np.sqrt((w * w).sum())
+                yield first + row, at[a:b], w / math.sqrt(math.fsum((w * w).tolist()))
 
 
-class ExampleIndex:
-    """Examples by term: the most frequent terms dense, the others as postings.
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all spans, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
-    Pickled are the examples' own terms and weights, compressed; the rest is made of them.
-    """
 
-    def __init__(self, ids: np.ndarray, label: np.ndarray, offsets: np.ndarray, terms: np.ndarray, weights: np.ndarray, size: int):
-        self.ids, self.label, self.size = ids, label, size
-        # Of each example its own terms and weights.
-        self.offsets, self.terms, self.weights = offsets, terms, weights
-        self.dense: np.ndarray | None = None
+class BlockMaxIndex:
+    """The vectors of some examples by term, in blocks of ``BLOCK`` examples.
 
-    def _open(self) -> None:
-        """Make what searches read; the driver, which does not search, never holds it."""
-        ids, offsets, terms, weights, size = self.ids, self.offsets, self.terms, self.weights, self.size
-        place = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(offsets))
-        found = np.bincount(terms, minlength=size)
-        head = np.argsort(-found, kind="stable")[:HEAD]
-        self.row = np.full(size, -1)  # of each term in ``dense``, or -1
-        self.row[head] = np.arange(len(head))
-        self.dense = np.zeros((len(head), len(ids)), np.float32)
-        in_head = self.row[terms] >= 0
-        self.dense[self.row[terms[in_head]], place[in_head]] = weights[in_head]
-        rest = np.flatnonzero(~in_head)
-        rest = rest[np.argsort(terms[rest], kind="stable")]
-        # Of each term its postings; none for head terms.
-        self.starts = np.r_[0, np.cumsum(np.where(self.row >= 0, 0, found))]
-        self.places, self.own = place[rest], weights[rest]
+    Examples are put in order of the frequent term that weighs most in them, then of
+    their number of terms, so that those of a block are alike and its bounds tight.
+    """
+
+    def __init__(self, ids: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, heads: int = HEAD):
+        sizes = np.array([len(t) for t, _ in vectors], np.int64)
+        term = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
+        weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in vectors)]).astype(np.float32)
+        common = self._frequent(term, terms, heads)
+        kind = np.zeros(len(ids), np.int64)
+        for i, (t, w) in enumerate(vectors):
+            shared = np.isin(t, common)
+            kind[i] = t[shared][np.argmax(w[shared])] if shared.any() else -1
+        order = np.lexsort((np.array(ids, np.int64), sizes, kind))
+        offsets = np.r_[0, np.cumsum(sizes)]
+        own = _spans(offsets[:-1][order], sizes[order])
+        self.ids = np.array(ids, np.int64)[order]
+        self.offsets, self.terms, self.weights = np.r_[0, np.cumsum(sizes[order])], term[own], weight[own]
+        self.size, self.heads, self.ready = terms, heads, False
+
+    @staticmethod
+    def _frequent(term: np.ndarray, terms: int, heads: int) -> np.ndarray:
+        return np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:heads]
 
     def __getstate__(self) -> tuple:
-        packed = [zlib.compress(x.tobytes(), 1) for x in (np.diff(self.terms, prepend=np.int32(0)), self.weights)]
-        return self.ids, self.label, self.offsets, *packed, self.size
+        """Only the vectors are sent; what is searched is made where it is used."""
+        return self.ids, self.offsets, self.terms, self.weights, self.size, self.heads
 
     def __setstate__(self, state: tuple) -> None:
-        ids, label, offsets, terms, weights, size = state
-        steps = np.frombuffer(zlib.decompress(terms), np.int32)
-        self.__init__(ids, label, offsets, np.cumsum(steps, dtype=np.int32), np.frombuffer(zlib.decompress(weights), np.float32), size)
+        self.ids, self.offsets, self.terms, self.weights, self.size, self.heads = state
+        self.ready = False
+
+    def _open(self) -> None:
+        place = np.repeat(np.arange(len(self.ids)), np.diff(self.offsets))
+        head = self._frequent(self.terms, self.size, self.heads)
+        self.row = np.full(self.size, -1)  # of each term among the frequent ones, or -1
+        self.row[head] = np.arange(len(head))
+        frequent = self.row[self.terms] >= 0
+        blocks_here = -(-len(self.ids) // BLOCK)
+        full = np.zeros((blocks_here * BLOCK, len(head)), np.float32)
+        full[place[frequent], self.row[self.terms[frequent]]] = self.weights[frequent]
+        self.full = full
+        self.most = full.reshape(blocks_here, BLOCK, len(head)).max(1)  # of each block and frequent term
+        rest = np.flatnonzero(~frequent)
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        self.places, self.values = place[rest], self.weights[rest].astype(np.float64)
+        self.starts = np.r_[0, np.cumsum(np.bincount(self.terms[rest], minlength=self.size))]
+        self.ready = True
 
     def vector(self, place: int) -> tuple[np.ndarray, np.ndarray]:
         """An example's own terms and weights."""
         own = slice(self.offsets[place], self.offsets[place + 1])
-        return self.terms[own], self.weights[own]
-
-    def _scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines (queries x examples) in single precision."""
-        if self.dense is None:
+        return self.terms[own], self.weights[own].astype(np.float64)
+
+    def nearest(
+        self,
+        queries: list[tuple[np.ndarray, np.ndarray]],
+        k: int = NEIGHBOURS,
+        without: list[int] | None = None,
+        value: np.ndarray | None = None,
+    ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """For each query places and cosines of the ``k`` nearest examples that share a
+        term, the cosines with each term's part times its ``value``, and how many blocks
+        it had opened. ``without`` are examples that do not count. Alike queries open
+        their blocks together."""
+        if not len(self.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0)] * len(queries)
+        if not self.ready:
             self._open()
-        heads = np.zeros((len(queries), len(self.dense)), np.float32)
+        if value is None:
+            value = np.ones(self.size)
+        head = np.zeros((len(queries), self.full.shape[1]))
         for q, (terms, weights) in enumerate(queries):
             row = self.row[terms]
-            heads[q, row[row >= 0]] = weights[row >= 0]
-        scores = heads @ self.dense
-        for q, (terms, weights) in enumerate(queries):
-            size = self.starts[terms + 1] - self.starts[terms]
-            some = size > 0
-            if some.any():
-                spans = [slice(a, a + n) for a, n in zip(self.starts[terms[some]].tolist(), size[some].tolist())]
-                places = np.concatenate([self.places[s] for s in spans])
-                shares = np.concatenate([self.own[s] for s in spans]) * np.repeat(weights[some], size[some])
-                scores[q] += np.bincount(places, shares, len(self.ids))
-        return scores
-
-    def _cosines(self, terms: np.ndarray, weights: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """The same for some examples, in double precision."""
-        spans = [slice(a, b) for a, b in zip(self.offsets[places].tolist(), self.offsets[places + 1].tolist())]
-        theirs = np.concatenate([self.terms[s] for s in spans])
-        at = np.minimum(np.searchsorted(terms, theirs), len(terms) - 1)
-        shares = np.where(terms[at] == theirs, weights[at], 0.0) * np.concatenate([self.weights[s] for s in spans])
-        size = self.offsets[places + 1] - self.offsets[places]
-        return np.add.reduceat(shares, np.r_[0, np.cumsum(size)[:-1]])
-
-    def nearest_of_block(
-        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
-    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query places and cosines of the ``k`` nearest examples, ties by place."""
-        groups = np.arange(0, len(self.ids), BLOCK)
-        for first in range(0, len(queries), BLOCK):
-            block = queries[first : first + BLOCK]
-            for q, scores in enumerate(self._scores(block)) if len(self.ids) else ():
-                if without is not None:
-                    scores[without[first + q]] = 0.0
-                # k groups have a score this high, so the k-th score is not lower.
-                best = np.maximum.reduceat(scores, groups)
-                least = np.partition(best, -k)[-k] if len(best) >= k else 0.0
-                places = np.flatnonzero((scores > 0) & (scores >= least - TOLERANCE))
-                if len(places) > k:
-                    kth = np.partition(scores[places], -k)[-k]
-                    places = places[scores[places] >= kth - TOLERANCE]
-                if not len(places):
-                    yield places, np.zeros(0)
-                    continue
-                cosines = self._cosines(*block[q], places)
-                order = np.lexsort((places, -cosines))[:k]
-                yield places[order], cosines[order]
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return next(self.nearest_of_block([(terms, weights)], k), (np.zeros(0, np.int64), np.zeros(0)))
-
-
-def build_index(ids: list[int], label: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> ExampleIndex:
-    """The examples by term; ``terms`` is how many the vocabulary has."""
-    offsets = np.r_[0, np.cumsum([len(own) for own, _ in vectors], dtype=np.int64)]
-    term = np.concatenate([np.zeros(0, np.int32), *(own for own, _ in vectors)], dtype=np.int32, casting="unsafe")
-    weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in vectors)], dtype=np.float32, casting="unsafe")
-    return ExampleIndex(np.array(ids), np.array(label, float), offsets, term, weight, terms)
+            head[q, row[row >= 0]] = weights[row >= 0]
+        alike = np.argsort(head.argmax(1), kind="stable") if head.shape[1] else np.arange(len(queries))
+        found: list = [None] * len(queries)
+        for first in range(0, len(queries), TOGETHER):
+            some = alike[first : first + TOGETHER]
+            own = [queries[q] for q in some]
+            left_out = [-1 if without is None else without[q] for q in some]
+            for q, result in zip(some, self._nearest_together(own, head[some], left_out, k, value)):
+                found[q] = result
+        return found
+
+    def _rare_parts(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the terms with postings add to each example's cosine, in the order of the terms."""
+        size = self.starts[terms + 1] - self.starts[terms]
+        entries = _spans(self.starts[terms], size)
+        return np.bincount(self.places[entries], self.values[entries] * np.repeat(weights, size), len(self.full))
+
+    def _nearest_together(
+        self, queries: list, head: np.ndarray, without: list[int], k: int, value: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        n, rows = len(self.ids), len(self.full)
+        blocks_here = len(self.most)
+        single = head.astype(np.float32)
+        of_value = np.zeros(head.shape[1])
+        of_value[self.row[self.row >= 0]] = value[self.row >= 0]
+        rare = [(terms[own], weights[own]) for terms, weights in queries for own in [self.row[terms] < 0]]
+        summed = np.empty((len(queries), rows))
+        for q, (terms, weights) in enumerate(rare):
+            summed[q] = self._rare_parts(terms, weights)
+        bounds = (summed.reshape(-1, blocks_here, BLOCK) + (single @ self.most.T)[:, :, None]).reshape(-1, rows)
+        bounds[:, n:] = 0.0
+        for q, place in enumerate(without):
+            if place >= 0:
+                bounds[q, place] = 0.0
+        k, some = min(k, n), min(8 * k, n)
+        least = np.empty((len(queries), 1))
+        for q in range(len(queries)):
+            likely = np.argpartition(bounds[q], rows - some)[rows - some :]
+            least[q] = np.partition(summed[q, likely] + self.full[likely] @ single[q], some - k)[some - k]
+        wanted = (bounds > 0) & (bounds >= least - TOLERANCE)
+        of_block = wanted.reshape(-1, blocks_here, BLOCK).any(2)
+        opened = np.flatnonzero(of_block.any(0))
+        all_opened = len(opened) == blocks_here
+        examples = np.arange(rows) if all_opened else (opened[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        heads = single @ (self.full if all_opened else self.full[examples]).T
+        for q, (terms, weights) in enumerate(rare):
+            at = np.flatnonzero(wanted[q] if all_opened else wanted[q, examples])
+            scores = summed[q, examples[at]] + heads[q, at]
+            if len(at) > k:
+                at = at[scores >= np.partition(scores, -k)[-k] - TOLERANCE]
+            places = examples[at]
+            # Again in double precision, row by row, whatever other examples are compared.
+            frequent = self.full[places] * head[q]
+            cosines = summed[q, places] + frequent.sum(1)
+            best = np.lexsort((self.ids[places], -cosines))[:k]
+            best = best[cosines[best] > 0]
+            valued = self._rare_parts(terms, weights * value[terms])[places[best]] + (frequent[best] * of_value).sum(1)
+            yield places[best], cosines[best], valued, int(of_block[q].sum())
 
 
 @dataclass
 class ToxicityModel:
     vocabulary: Vocabulary
-    index: ExampleIndex
+    odds: np.ndarray  # of each term, the log odds of label 1 that it is sure to raise
+    toxic: BlockMaxIndex
+    clean: BlockMaxIndex
     base_rate: float
     rate_without_terms: float
-    slope: float
-    offset: float
+    slopes: tuple[float, ...] = (0.0, 0.0)
+    offset: float = 0.0
     sent: Broadcast | None = None  # the model without its calibration
 
-    def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
-        agreeing = float((cosines * self.index.label[places]).sum())
-        return (agreeing + PRIOR_WEIGHT * self.base_rate) / (float(cosines.sum()) + PRIOR_WEIGHT)
-
-    def calibrated(self, vote: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.offset, -30, 30))))
-
-
-def _fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, lightly regularised; Newton's method."""
-    a, b = 1.0, 0.0
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        h = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((p - y) * x).sum() + 0.05 * a, (p - y).sum() + 0.05 * b])
-        m = np.array([[(h * x * x).sum() + 0.05, (h * x).sum()], [(h * x).sum(), h.sum() + 0.05]])
-        da, db = np.linalg.solve(m, g)
-        a, b = a - np.clip(da, -5, 5), b - np.clip(db, -5, 5)
-    return max(float(a), 0.0), float(b)
-
-
-def one_of_each_family(sample: DataFrame) -> DataFrame:
-    """The sample with one document of each group of near copies.
-
-    Copies of one toxic text would make all its words look toxic. Documents with
-    the same least shingle hash form a family, as similar ones mostly do; the one
-    with the least id stays, and texts without words stay all.
+    def votes(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], toxic: list[int] | None = None, clean: list[int] | None = None
+    ) -> Iterator[tuple[list[float], list[int]]]:
+        """For each text the features of its score, and the evidence. ``toxic`` and
+        ``clean`` are the texts' own places, which do not vote."""
+        near_ones = self.toxic.nearest(queries, without=toxic, value=self.odds)
+        near_zeros = self.clean.nearest(queries, without=clean)
+        for (near, cosines, parts, _), (far, others, _, _) in zip(near_ones, near_zeros):
+            ones, zeros = cosines.sum(), others.sum()
+            features = [math.log(parts.sum() + LEAST_VOTE), float(ones / (ones + zeros)) if ones + zeros else 0.0]
+            ids = np.r_[self.toxic.ids[near], self.clean.ids[far]]
+            strength = np.r_[parts, np.zeros(len(others))]
+            order = np.lexsort((ids, -np.r_[cosines, others], -strength))
+            yield features, ids[order[:EVIDENCE]].tolist()
+
+    def calibrated(self, features: list[float]) -> float:
+        z = sum(a * x for a, x in zip(self.slopes, features)) + self.offset
+        return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
+
+
+def _fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[tuple[float, ...], float]:
+    """Slopes and offset of a logistic curve, lightly regularised; Newton's method.
+    A feature whose slope would be negative gets none."""
+    used = list(range(x.shape[1]))
+    while True:
+        full = np.c_[x[:, used], np.ones(len(x))]
+        b = np.zeros(full.shape[1])
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(full @ b, -30, 30)))
+            h = np.maximum(p * (1 - p), 1e-9)
+            step = np.linalg.solve((full.T * h) @ full + 0.05 * np.eye(len(b)), full.T @ (p - y) + 0.05 * b)
+            b -= np.clip(step, -5, 5)
+        against = [feature for feature, slope in zip(used, b) if slope < 0]
+        if not against:
+            slopes = dict(zip(used, b.tolist()))
+            return tuple(slopes.get(k, 0.0) for k in range(x.shape[1])), float(b[-1])
+        used = [k for k in used if k not in against]
+
+
+def with_family_share(sample: DataFrame, label: str) -> DataFrame:
+    """The sample plus ``share``, what each document counts in the odds of terms.
+
+    Copies of one toxic text would make all its words look toxic. Documents of one
+    label with the same least shingle hash, as similar ones mostly have, form a
+    family whose members share one document's count, in millionths. All stay.
     """
 
     def kernel(column: pa.Array) -> list[pa.Array]:
@@ -278,32 +344,35 @@ def one_of_each_family(sample: DataFrame) -> DataFrame:
         return [pa.concat_arrays(keys) if keys else pa.array([], pa.int64())]
 
     marked = with_kernel(sample, "text", T.StructType().add("family", "long"), kernel)
-    rank = Window.partitionBy("family").orderBy("doc_id")
-    return (
-        marked.withColumn("place", F.row_number().over(rank))
-        .filter("family is null or place = 1")
-        .select(*sample.columns)
-    )
+    # At most as many families as the sample has rows; texts without words have none.
+    families = marked.filter("family is not null").groupBy(label, "family").agg(F.count(F.lit(1)).alias("members"))
+    share = F.floor(F.lit(_WHOLE) / F.coalesce("members", F.lit(1))).alias("share")
+    return marked.join(F.broadcast(families), [label, "family"], "left").select(*sample.columns, share)
 
 
 def count_terms(sample: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all terms in order, how many examples have each, how many of label 1."""
+    """Hashes of all terms in order, the examples' shares that have each, and those of label 1.
+
+    The driver gets a row for each different term of the sample, which is bounded
+    by its bytes. Shares are whole numbers, so sums have no order.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            positive = np.array(batch.column(label).to_pylist(), bool)
+            share = batch.column("share").to_numpy()
+            ones = share * batch.column(label).to_numpy()
             for first, doc, term in document_terms(batch.column("text")):
                 doc, term, _ = _distinct(doc, term)
-                terms, where = np.unique(term, return_inverse=True)
-                size = len(terms)
-                n = np.bincount(where, minlength=size)
-                n1 = np.bincount(where, positive[first + doc], size).astype(np.int64)
+                order = np.argsort(term, kind="stable")
+                doc, term = first + doc[order], term[order]
+                starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
+                sums = [np.add.reduceat(x[doc], starts) if len(starts) else np.zeros(0, np.int64) for x in (share, ones)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms.view(np.int64)), pa.array(n), pa.array(n1)], names=["term", "n", "n1"]
+                    [pa.array(term[starts].view(np.int64)), *(pa.array(x, pa.int64()) for x in sums)], names=["term", "n", "n1"]
                 )
 
     counted = (
-        sample.select("text", F.col(label).cast("int").alias(label))
+        sample.select("text", F.col(label).cast("long").alias(label), "share")
         .mapInArrow(count, "term long, n long, n1 long")
         .groupBy("term")
         .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
@@ -311,15 +380,14 @@ def count_terms(sample: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray,
     )
     term = counted["term"].to_numpy().view(np.uint64)
     order = np.argsort(term)
-    return term[order], counted["n"].to_numpy()[order], counted["n1"].to_numpy()[order]
+    return term[order], counted["n"].to_numpy()[order] / _WHOLE, counted["n1"].to_numpy()[order] / _WHOLE
 
 
-def label_weights(n: np.ndarray, n1: np.ndarray, totals: dict[int, int]) -> np.ndarray:
-    """By how much each term surely raises the log odds of label 1, and ``LEAST_WEIGHT``."""
-    ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    cells = [n1 + 0.5, zeros - (n - n1) + 0.5, n - n1 + 0.5, ones - n1 + 0.5]
+def sure_odds(n: np.ndarray, n1: np.ndarray, zeros: float, ones: float) -> np.ndarray:
+    """By how much each term surely raises the log odds of label 1; 0 if it may not."""
+    cells = [np.maximum(c, 0) + 0.5 for c in (n1, zeros - (n - n1), n - n1, ones - n1)]
     odds = np.log(cells[0] * cells[1] / (cells[2] * cells[3]))
-    return LEAST_WEIGHT + np.maximum(odds - STANDARD_ERRORS * np.sqrt(sum(1 / c for c in cells)), 0.0)
+    return np.maximum(odds - STANDARD_ERRORS * np.sqrt(sum(1 / c for c in cells)), 0.0)
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray, text: str = "text") -> tuple[np.ndarray, int]:
@@ -352,78 +420,93 @@ def train_toxicity(
     folds: int = 1,
     held_out: int = -1,
     max_examples: int = MAX_EXAMPLES,
+    max_bytes: int = MAX_BYTES,
 ) -> ToxicityModel:
-    """Terms, index and calibration from at most ``max_examples`` documents.
+    """Terms, indexes and calibration from the first documents by a hash of the id: at
+    most ``max_examples`` of them and ``max_bytes`` of text.
 
-    All terms of these documents are used. Only documents whose crc32(doc_id as text) mod ``folds`` is not ``held_out``
-    teach; the driver gets their term weights, never texts.
+    All of these are examples, with all their terms. Only documents whose
+    crc32(doc_id as text) mod ``folds`` is not ``held_out`` teach; the driver gets
+    their term weights, never texts.
     """
     shared = Shared(docs.sparkSession, "toxicity")
-    sample = labelled_sample(docs, labels.withColumn(label, (F.col(label) > 0).cast("int")), label, max_examples, folds, held_out)
-    sample = shared.write(one_of_each_family(sample), "examples")
-    totals = {row[label]: row["count"] for row in sample.groupBy(label).count().collect()}
-    both = len(totals) > 1
-    terms, seen, ones = count_terms(sample, label) if both else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    frequency, n = document_frequencies(docs, terms) if len(terms) else (np.zeros(0), 0)
-    idf = np.maximum(np.log((n - frequency + 0.5) / (frequency + 0.5)), 0.0)
-    vocabulary = Vocabulary(terms, idf * label_weights(seen, ones, totals))
+    marked = labels.withColumn(label, (F.col(label) > 0).cast("int"))
+    sample = labelled_sample(docs, marked, label, max_examples, folds, held_out, max_bytes)
+    sample = shared.write(with_family_share(sample, label), "examples")
+    totals = {r[label]: (r["n"], r["share"] / _WHOLE) for r in sample.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum("share").alias("share")).collect()}
+    (zeros, zero_share), (ones, one_share) = totals.get(0, (0, 0.0)), totals.get(1, (0, 0.0))
+    base = ones / (ones + zeros) if totals else 0.0
+    nothing = np.zeros(0)
+    if not zeros or not ones:
+        none = BlockMaxIndex([], [], 0)
+        return ToxicityModel(Vocabulary(np.zeros(0, np.uint64), nothing), nothing, none, none, base, base)
+    terms, seen, seen_ones = count_terms(sample, label)
+    frequency, n = document_frequencies(docs, terms) if len(terms) else (nothing, 0)
+    vocabulary = Vocabulary(terms, np.log1p((n - frequency + 0.5) / (frequency + 0.5)))
+    odds = sure_odds(seen, seen_ones, zero_share, one_share)
 
     fields = T.StructType().add("terms", "binary").add("weights", "binary")
 
     def kernel(column: pa.Array) -> list[pa.Array]:
-        terms, weights = [None] * len(column), [None] * len(column)
+        own_terms, own_weights = [None] * len(column), [None] * len(column)
         for row, t, w in vocabulary.vectors(column):
-            terms[row], weights[row] = t.astype(np.int32).tobytes(), w.astype(np.float32).tobytes()
-        return [pa.array(terms, pa.binary()), pa.array(weights, pa.binary())]
+            own_terms[row], own_weights[row] = t.astype(np.int32).tobytes(), w.astype(np.float32).tobytes()
+        return [pa.array(own_terms, pa.binary()), pa.array(own_weights, pa.binary())]
 
     rows = with_kernel(sample, "text", fields, kernel).filter("terms is not null").select("doc_id", label, "terms", "weights").toArrow()
-    rows = rows.sort_by("doc_id").combine_chunks()
-    vectors = [
-        (np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.float32)) for t, w in zip(rows["terms"], rows["weights"])
-    ]
-    index = build_index(rows["doc_id"].to_pylist(), rows[label].to_pylist(), vectors, len(terms))
-    del rows, vectors  # the index holds them
-    whole, ones = sum(totals.values()), totals.get(1, 0)
-    base = ones / whole if whole else 0.0
-    without = whole - len(index.ids)
-    rate = (ones - float(index.label.sum())) / without if without else 0.0
-    model = ToxicityModel(vocabulary, index, base, rate if both else base, 1.0, 0.0)
-    if both and len(index.ids):
-        spark = docs.sparkSession
-        model.sent = sent = spark.sparkContext.broadcast(model)  # bounded by the examples' terms
-        chosen = np.linspace(0, len(index.ids) - 1, min(len(index.ids), CALIBRATION_EXAMPLES)).astype(int)
-
-        def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = sent.value
-            for batch in batches:
-                places = batch.column(0).to_numpy()
-                found = own.index.nearest_of_block([own.index.vector(i) for i in places], NEIGHBOURS, without=places.tolist())
-                vote = [own.vote(near, cosines) for near, cosines in found]
-                yield pa.RecordBatch.from_arrays([pa.array(own.index.label[places]), pa.array(vote, pa.float64())], names=["label", "vote"])
-
-        asked = spark.createDataFrame([(int(i),) for i in chosen], "place long").repartition(spark.sparkContext.defaultParallelism)
-        voted = asked.mapInArrow(votes, "label double, vote double").toArrow().sort_by([("vote", "ascending"), ("label", "ascending")])
-        model.slope, model.offset = _fit_logistic(voted["vote"].to_numpy(), voted["label"].to_numpy())
+    rows = rows.sort_by([("doc_id", "ascending"), ("terms", "ascending")]).combine_chunks()
+    of_label = rows[label].to_numpy()
+
+    def index(value: int) -> BlockMaxIndex:
+        some = rows.filter(pa.array(of_label == value))
+        vectors = [(np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.float32)) for t, w in zip(some["terms"], some["weights"])]
+        return BlockMaxIndex(some["doc_id"].to_pylist(), vectors, len(terms))
+
+    with_terms, with_terms_one = len(of_label), int(of_label.sum())
+    without = ones + zeros - with_terms
+    rate = (ones - with_terms_one) / without if without else 0.0
+    model = ToxicityModel(vocabulary, odds, index(1), index(0), base, rate)
+    del rows  # the indexes hold them
+    spark = docs.sparkSession
+    model.sent = sent = spark.sparkContext.broadcast(model)  # bounded by the examples' bytes
+    places = [(value, i) for value, part in ((1, model.toxic), (0, model.clean)) for i in range(len(part.ids))]
+    if not places:
+        return model
+    chosen = [places[i] for i in np.linspace(0, len(places) - 1, min(len(places), CALIBRATION_EXAMPLES)).astype(int)]
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            asked = list(zip(*(c.to_pylist() for c in batch.columns)))
+            vectors = [(own.toxic if value else own.clean).vector(place) for value, place in asked]
+            left_out = [[place if value == of else -1 for value, place in asked] for of in (1, 0)]
+            found = [features for features, _ in own.votes(vectors, *left_out)]
+            columns = [pa.array([f[k] for f in found], pa.float64()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["label", "evidence", "share"])
+
+    asked = spark.createDataFrame(chosen, "label int, place int").repartition(spark.sparkContext.defaultParallelism)
+    voted = asked.mapInArrow(votes, "label int, evidence double, share double").toArrow()
+    voted = voted.sort_by([(c, "ascending") for c in ("evidence", "share", "label")])
+    features = np.c_[voted["evidence"].to_numpy(), voted["share"].to_numpy()]
+    model.slopes, model.offset = _fit_logistic(features, voted["label"].to_numpy().astype(float))
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The frame plus ``score``, ``predicted`` and ``evidence``, the nearest examples' ids."""
+    """The frame plus ``score``, ``predicted`` and ``evidence``, the nearest examples' ids
+    (those whose votes count most come first)."""
 
     sent = model.sent or docs.sparkSession.sparkContext.broadcast(model)
-    slope, offset = model.slope, model.offset
+    slopes, offset = model.slopes, model.offset
 
     def kernel(column: pa.Array) -> list[pa.Array]:
         own = sent.value
-        own.slope, own.offset = slope, offset
+        own.slopes, own.offset = slopes, offset
         scores = np.full(len(column), own.rate_without_terms)
         evidence: list[list[int]] = [[] for _ in range(len(column))]
         found = list(own.vocabulary.vectors(column))
-        nearest = own.index.nearest_of_block([(terms, weights) for _, terms, weights in found], NEIGHBOURS)
-        for (row, _, _), (places, cosines) in zip(found, nearest):
-            if len(places):
-                scores[row] = own.calibrated(own.vote(places, cosines))
-                evidence[row] = own.index.ids[places[:EVIDENCE]].tolist()
+        for (row, _, _), (features, ids) in zip(found, own.votes([(terms, weights) for _, terms, weights in found])):
+            scores[row], evidence[row] = own.calibrated(features), ids
         predicted = (scores >= threshold).astype(np.int32)
         return [pa.array(scores), pa.array(predicted), pa.array(evidence, pa.list_(pa.int64()))]
 

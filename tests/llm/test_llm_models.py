@@ -8,7 +8,7 @@ import pytest
 
 from gridpulse.llm.langid import identify_language, learn_profiles
 from gridpulse.llm.quality import score_quality, train_quality
-from gridpulse.llm.toxicity import BLOCK, build_index, score_toxicity, train_toxicity
+from gridpulse.llm.toxicity import BLOCK, BlockMaxIndex, score_toxicity, train_toxicity
 
 WORDS = {
     "en": "the and that with have this from they will would there their what about which when make like time just know people into year your good some could them other than then".split(),
@@ -65,7 +65,8 @@ def test_toxicity(spark, docs, with_extra):
     judged = [(r, truth[r["doc_id"]]) for r in rows if r["doc_id"] in truth and held(r, 4, 2)]
     assert len(judged) > 50 and all(r["predicted"] == t for r, t in judged)
     assert len(rows) == 406 and all(0 <= r["score"] <= 1 for r in rows)
-    assert all(r["evidence"] == [] and r["predicted"] == 0 for r in rows if r["doc_id"] not in truth)
+    other = [r for r in rows if r["doc_id"] not in truth]
+    assert all(r["predicted"] == 0 and (r["evidence"] == []) == (not r["text"] or "the" not in r["text"]) for r in other)
     assert all(r["evidence"] for r, t in judged if t)
     one_label = train_toxicity(docs, labels.filter("toxic = 0"))
     assert {r["score"] for r in score_toxicity(with_extra, one_label).collect()} == {0.0}
@@ -91,24 +92,94 @@ def test_rare_toxic_words_and_plain_texts_have_neighbours(spark):
     assert score[1] > 2 * score[0]
 
 
+def random_vectors(rng, n, terms, low=1, high=9):
+    vectors = []
+    for _ in range(n):
+        own = np.sort(rng.choice(terms, rng.integers(low, high), replace=False)).astype(np.int32)
+        weights = (rng.integers(1, 4, len(own)) / 4).astype(np.float32)  # so that cosines tie
+        vectors.append((own, weights))
+    return vectors
+
+
+def plain_nearest(ids, vectors, query, k, without=None):
+    terms, weights = query
+    own = dict(zip(terms.tolist(), weights.tolist()))
+    found = []
+    for i, (theirs, values) in zip(ids, vectors):
+        score = 0.0
+        for t, v in zip(theirs.tolist(), values.tolist()):
+            score += own.get(t, 0.0) * v
+        if score and i != without:
+            found.append((-score, i))
+    return [(i, -score) for score, i in sorted(found)[:k]]
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(4)
+    vectors = random_vectors(rng, 5 * BLOCK + 7, 40)
+    ids = rng.permutation(1000)[: len(vectors)].tolist()
+    queries = [(t, w.astype(float)) for t, w in random_vectors(rng, 70, 40) + vectors[:20]]
+    for heads in (0, 7, 40):
+        index = BlockMaxIndex(ids, vectors, 40, heads)
+        for k in (1, 16, 400):
+            for query, (places, cosines, _, _) in zip(queries, index.nearest(queries, k)):
+                assert list(zip(index.ids[places].tolist(), cosines.tolist())) == plain_nearest(ids, vectors, query, k)
+        value = rng.integers(0, 3, 40).astype(float)
+        for (terms, weights), (places, _, valued, _) in zip(queries, index.nearest(queries, 16, value=value)):
+            own = dict(zip(terms.tolist(), (weights * value[terms]).tolist()))
+            assert valued.tolist() == [sum(own.get(t, 0.0) * w for t, w in zip(*(x.tolist() for x in index.vector(p)))) for p in places]
+    own = [index.vector(place) for place in (11, 12)]
+    for place, query, (near, *_) in zip((11, 12), own, index.nearest(own, 16, without=[11, 12])):
+        assert [i for i, _ in plain_nearest(ids, vectors, query, 16, index.ids[place])] == index.ids[near].tolist()
+    assert len(BlockMaxIndex([], [], 40).nearest(queries[:1])[0][0]) == 0
+
+
+def test_blocks_that_cannot_hold_a_neighbour_are_skipped():
+    rng = np.random.default_rng(6)
     vectors = []
-    for _ in range(5 * BLOCK + 7):
-        terms = np.sort(rng.choice(40, rng.integers(1, 8), replace=False))
-        weights = rng.random(len(terms)) + 0.01
-        vectors.append((terms, weights / np.sqrt((weights**2).sum())))
-    label = rng.integers(0, 2, len(vectors)).tolist()
-    index = build_index(list(range(len(vectors))), label, vectors, 40)
-    dense = np.zeros((len(vectors), 40))
-    for place, i in enumerate(index.ids):
-        dense[place, vectors[i][0]] = vectors[i][1]
-    for terms, weights in vectors[:60]:
-        query = np.zeros(40)
-        query[terms] = weights
-        exact = np.sort(dense @ query)[::-1][:16]
-        places, cosines = index.nearest(terms, weights, 16)
-        assert np.allclose(cosines, exact) and np.allclose(dense[places] @ query, cosines)
+    for kind in range(20):  # twenty languages with a word in common
+        for own, weights in random_vectors(rng, 3 * BLOCK, 30, 4, 12):
+            vectors.append((np.r_[0, own + 1 + 30 * kind].astype(np.int32), np.r_[0.125, weights].astype(np.float32)))
+    for heads in (30, 601):
+        index = BlockMaxIndex(list(range(len(vectors))), vectors, 601, heads)
+        queries = [(own, weights.astype(float)) for own, weights in vectors[::37]]
+        found = index.nearest(queries, 16)
+        for query, (places, cosines, _, _) in zip(queries, found):
+            assert list(zip(index.ids[places].tolist(), cosines.tolist())) == plain_nearest(range(len(vectors)), vectors, query, 16)
+        assert np.mean([n for *_, n in found]) < len(vectors) / BLOCK / 2
+
+
+def test_toxic_near_copies_of_clean_texts_teach(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(80)]
+        rows.append((2 * i, " ".join(words), 0))
+        words[rng.randrange(80)] = "insult"
+        rows.append((2 * i + 1, " ".join(words), 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train_toxicity(docs, docs.select("doc_id", "toxic"))
+    assert len(model.toxic.ids) == len(model.clean.ids) == 60  # none is left out
+    new = [(1000 + k, " ".join([f"w{rng.randrange(3000)}" for _ in range(79)] + ["insult"] * (k % 2))) for k in range(40)]
+    again = score_toxicity(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    assert all((r["score"] >= 0.3) == (r["doc_id"] % 2 == 1) for r in again)
+    # Equal texts get the same bits in any batch.
+    mixed = spark.createDataFrame(new * 2 + [(r[0], r[1]) for r in rows[:50]], "doc_id long, text string").repartition(3)
+    scores = {r["text"]: r["score"] for r in again}
+    assert all(r["score"] == scores[r["text"]] for r in score_toxicity(mixed, model).collect() if r["text"] in scores)
+
+
+def test_copies_of_one_toxic_text_do_not_make_its_words_toxic(spark):
+    rng = random.Random(18)
+    story = [f"s{k}" for k in range(60)]
+    rows = [(i, " ".join(story[:-1] + [f"end{i}"]), 1) for i in range(30)]
+    rows += [(100 + i, " ".join(f"w{rng.randrange(500)}" for _ in range(60)), 0) for i in range(300)]
+    rows += [(500 + i, " ".join([f"w{rng.randrange(500)}" for _ in range(59)] + ["insult"]), 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train_toxicity(docs, docs.select("doc_id", "toxic"))
+    told = spark.createDataFrame([(1, " ".join(rng.choices(story, k=6) + [f"w{rng.randrange(500)}" for _ in range(50)])), (2, "w1 w2 w3 insult " + " ".join(f"w{k}" for k in range(50)))], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in score_toxicity(told, model).collect()}
+    assert score[2] >= 0.3 and score[1] < score[2]
 
 
 def test_quality(spark, docs, with_extra):
