@@ -14,7 +14,10 @@ equal texts on a border goes to one side whole, unless it holds more than
 
 A record's size is its text's UTF-8 bytes plus one. Null texts count as groups
 of their own kind and null ids come first; repeated rows get a slot each. An
-empty table gives an empty result.
+empty table gives an empty result; columns other than the id and the text are not
+read, whatever their names. A very long text is measured where it is scanned and is
+not moved. Rows equal in id and text cannot be told apart by a splitter, so they
+lie in one range.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ from gridpulse.llm.ranges import count_below
 from gridpulse.llm.stages import Shared
 
 SHARDS = 16
+# Ranges the order is cut into: with the samples they bound what the driver holds,
+# and they are the parallelism of the sort, whatever the cluster's settings.
+RANGES = 1_024
 # Samples for each range; the error of a range's size is about a sixth then.
 SAMPLES = 32
 # A range beyond so many times its due is subdivided.
@@ -79,17 +85,17 @@ def _with_range(records: DataFrame, boundaries: list) -> DataFrame:
     return records.withColumn("range", count_below([_literal(b) for b in boundaries], F.col("key"), also_equal=True))
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", ranges: int = RANGES) -> DataFrame:
     """For each row: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
     ``law`` is ``bytes``: the shards' sizes are as equal as whole records allow.
     ``slot`` counts a shard's records from 0; ``grown_shard`` is null, since that
     law says nothing of another number of shards. ``ranges`` is the parallelism
-    of the sort, four for each shuffle partition unless given.
+    of the sort.
     """
     spark = docs.sparkSession
     shared = Shared(spark, "sharding")
-    ranges = ranges or max(4 * shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(ranges, 4 * shards)
     raw = F.col(text).cast("string")
     records = shared.write(
         docs.select(

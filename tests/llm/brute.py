@@ -2,6 +2,7 @@
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -76,3 +77,59 @@ def network_score(network, text):
     for f in range(n_filters):
         z = z + sum(p[f] for p in pooled) / chunks * float(network.weights[f])
     return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
+
+
+def gear_chunks(data, gear, least=8, normal=24, most=96, hard=5, easy=3):
+    """Chunk lengths, byte by byte: the 16-bit gear hash of the last 16 bytes cuts where
+    its top bits are zero, more of them before a chunk's normal size than after."""
+    lengths, size = [], 0
+    for i, _ in enumerate(data):
+        size += 1
+        h = 0
+        for byte in data[max(0, i - 15) : i + 1]:
+            h = (h * 2 + gear[byte]) % 65536
+        bits = hard if size < normal else easy
+        if size == most or size >= least and h < 2 ** (16 - bits):
+            lengths.append(size)
+            size = 0
+    return lengths + [size] * (size > 0)
+
+
+def letter_grams(text):
+    """Letter n-grams of 1 to 3 with word ends (a blank), and their counts."""
+    words = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split()
+    if not words:
+        return Counter()
+    line = " " + " ".join(words) + " "
+    grams = [line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1)]
+    return Counter(g for g in grams if g != " " and not (len(g) == 3 and g[1] == " "))
+
+
+def ranked(counts, size=300):
+    """The most frequent first, ties in the order of their packed code points."""
+    packed = {g: sum((1 if c == " " else ord(c)) << 21 * (len(g) - 1 - i) for i, c in enumerate(g)) for g in counts}
+    return sorted(counts, key=lambda g: (-counts[g], packed[g]))[:size]
+
+
+def out_of_place(text, profiles, size=300):
+    """Language and mean distance of the nearest profile, first by name; None without letters."""
+    own = ranked(letter_grams(text), size)
+    if not own:
+        return None
+    found = []
+    for name in sorted(profiles):
+        rank = {g: i for i, g in enumerate(profiles[name])}
+        found.append((sum(abs(rank[g] - i) if g in rank else size for i, g in enumerate(own)) / len(own), name))
+    return min(found)
+
+
+def byte_shards(rows, shards, order):
+    """Shard of each (id, text) row: the shards' bytes are equal parts of all rows put in
+    ``order``; a row belongs where its middle byte lies."""
+    rows = sorted(rows, key=order)
+    sizes = [len((text or "").encode()) + 1 for _, text in rows]
+    total, begin, found = sum(sizes), 0, []
+    for row, size in zip(rows, sizes):
+        found.append((row, min((2 * begin + size) * shards // (2 * total), shards - 1)))
+        begin += size
+    return found

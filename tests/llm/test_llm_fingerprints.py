@@ -60,6 +60,20 @@ def test_chunks_cover_the_text_and_survive_shifts():
     assert likeness(chunk_set(""), chunk_set("")) == 1.0 and likeness(a, chunk_set("")) == 0.0
 
 
+def test_chunks_are_those_of_a_byte_by_byte_gear_hash():
+    from brute import gear_chunks
+
+    from gridpulse.llm.fingerprints import _GEAR
+
+    rng = random.Random(7)
+    gear = _GEAR.tolist()
+    texts = [bytes(rng.choices(range(256), k=n)) for n in (0, 1, 7, 8, 15, 16, 17, 95, 96, 97, 500, 4000)]
+    texts += [b"a" * 300, b"ab" * 400, ("wörter und " * 90).encode()]
+    for text in texts:
+        ends = chunk_ends(np.frombuffer(text, np.uint8))
+        assert [b - a for a, b in zip([0, *ends], ends)] == gear_chunks(text, gear)
+
+
 def test_clashing_column_is_kept(spark):
     docs = spark.createDataFrame([(1, "a", "own"), (2, None, "own")], "doc_id long, text string, Fingerprint string")
     rows = with_fingerprint(docs).orderBy("doc_id").collect()

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,6 +93,25 @@ def test_rare_toxic_words_and_plain_texts_have_neighbours(spark):
     assert score[1] > 2 * score[0]
 
 
+def test_language_is_that_of_plain_profiles(spark, docs):
+    from brute import letter_grams, out_of_place, ranked
+
+    rng = random.Random(5)
+    counts = {}
+    for r in docs.collect():
+        counts.setdefault(r["lang"], Counter()).update(letter_grams(r["text"]))
+    profiles = {lang: ranked(c) for lang, c in counts.items()}
+    kinds = [WORDS["en"], WORDS["de"], WORDS["en"] + WORDS["de"], ["zq", "xx7x", "Ünd", "漢字"], ["the", "der"]]
+    texts = [" ".join(rng.choice(rng.choice(kinds)) for _ in range(rng.choice([1, 2, 5, 300]))) for _ in range(80)] + ["", "77", "a", "the der"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in identify_language(frame, learn_profiles(docs), distance=True).collect():
+        want = out_of_place(r["text"], profiles)
+        if want is None:
+            assert (r["lang_pred"], r["score"], r["lang_distance"]) == ("und", 0.0, 300.0)
+        else:
+            assert r["lang_distance"] == pytest.approx(want[0]) and r["lang_pred"] == want[1]
+
+
 def random_vectors(rng, n, terms, low=1, high=9):
     vectors = []
     for _ in range(n):

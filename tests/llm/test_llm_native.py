@@ -57,6 +57,21 @@ def test_shards_hold_all_rows_and_equal_bytes(spark, rows):
         assert all(abs(sum(r["size"] for r in m) - due) <= slack for m in shards.values())
 
 
+def test_shards_are_those_of_the_whole_order(spark):
+    """Against a plain walk over all rows, where no group of equal texts is cut."""
+    from brute import byte_shards
+
+    rng = random.Random(21)
+    texts = {i: "x" * rng.choice([0, 3, 50, 400, 2500]) + str(i) for i in range(700)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    hashes = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    want = {row[0]: shard for row, shard in byte_shards(texts.items(), 16, lambda row: hashes[row[0]])}
+    # Neither settings nor the number of ranges change the result.
+    for ranges in (64, 300):
+        got = {r["doc_id"]: r["shard"] for r in shard_by_bytes(docs, ranges=ranges).collect()}
+        assert got == want
+
+
 def test_small_groups_are_not_cut(spark):
     rng = random.Random(0)
     rows = [(i, f"t{rng.randrange(1200)} " * 9) for i in range(3000)]
