@@ -390,6 +390,13 @@ _TABLE_NAMES = (
 def oracle_sql() -> dict[str, str]:
     return {
         "stored_ragged_backfill": f"{_EVENTS} {_RAGGED} SELECT {_select(_DEMAND)} FROM ragged_demand",
+        "refused_run": f"{_EVENTS} "
+        + " UNION ALL ".join(
+            f"""SELECT '{name}' AS table_name, CAST(0 AS BIGINT) AS stored, true AS refused,
+                   (SELECT count(*) FROM readings WHERE type NOT IN ('NG', 'TI'))
+                   + (SELECT count(*) FROM bronze WHERE type IN ('NG', 'TI')) AS offered"""
+            for name in ("bronze_readings", *_TABLE_NAMES)
+        ),
         "landed_pages": _rows("bronze", "ts:period respondent respondent_name type num:value"),
         "streamed_summary": f"{_EVENTS} {_STREAMED} SELECT {_select(_SUMMARY)} FROM streamed",
         "pruned_window_read": f"""{_EVENTS}

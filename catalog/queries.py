@@ -351,6 +351,24 @@ def stored_ragged_backfill(s: Stored) -> DataFrame:
     return s.store.read(schemas.SILVER_DEMAND)
 
 
+def refused_run(s: Stored) -> DataFrame:
+    """An incremental run before any backfill is refused and stores nothing of what
+    the source offers."""
+    refused = False
+    try:
+        run_pipeline(s.store, frame_source(s.rows), now=NOW)
+    except RuntimeError:
+        refused = True
+    offered = s.rows.agg(F.count(F.lit(1)).alias("offered"))
+    stored = [
+        s.store.read(table).agg(F.count(F.lit(1)).alias("stored")).withColumn("table_name", F.lit(name))
+        for name, table in schemas.TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, stored).select(
+        "table_name", "stored", F.lit(refused).alias("refused"), offered.scalar().alias("offered")
+    )
+
+
 def silver_range_read(s: Stored) -> DataFrame:
     s.backfill(HISTORY_CHUNK_DAYS)
     return s.store.read_periods(schemas.SILVER_DEMAND, WINDOW_START, REVISION_FROM)
@@ -510,6 +528,7 @@ def queries() -> dict[str, Query]:
         "stored_forecast_performance": _stored(stored_forecast_performance),
         "stored_regional_summary": _stored(stored_regional_summary),
         "stored_ragged_backfill": _stored(stored_ragged_backfill),
+        "refused_run": _stored(refused_run),
         "landed_pages": _stored(landed_pages),
         "pruned_window_read": _stored(pruned_window_read),
         "streamed_summary": _stored(streamed_summary),
