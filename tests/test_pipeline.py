@@ -88,7 +88,7 @@ def test_replay_changes_nothing_and_leaves_no_files(
     spark, loaded, copy, tmp_path, monkeypatch
 ):
     monkeypatch.setattr(
-        "gridpulse.sources.store.shared_scratch", lambda spark: str(tmp_path / "scratch")
+        "gridpulse.sources.staging.shared_scratch", lambda spark: str(tmp_path / "scratch")
     )
     (tmp_path / "scratch").mkdir()
     assert ingest_window(copy, frame_source(month(spark))) == loaded[1]
