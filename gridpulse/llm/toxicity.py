@@ -208,8 +208,6 @@ class BlockMaxIndex:
             return [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0)] * len(queries)
         if not self.ready:
             self._open()
-        if value is None:
-            value = np.ones(self.size)
         head = np.zeros((len(queries), self.full.shape[1]))
         for q, (terms, weights) in enumerate(queries):
             row = self.row[terms]
@@ -224,30 +222,38 @@ class BlockMaxIndex:
                 found[q] = result
         return found
 
-    def _rare_parts(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What the terms with postings add to each example's cosine, in the order of the terms."""
+    def _rare_parts(self, terms: np.ndarray, weights: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+        """What the terms with postings add to each example's cosine, in the order of the
+        terms; then the same with each term's part times its value."""
         size = self.starts[terms + 1] - self.starts[terms]
         entries = _spans(self.starts[terms], size)
-        return np.bincount(self.places[entries], self.values[entries] * np.repeat(weights, size), len(self.full))
+        places, own = self.places.take(entries), self.values.take(entries) * np.repeat(weights, size)
+        return [np.bincount(places, own * np.repeat(v[terms], size) if v is not None else own, len(self.full)) for v in (None, *values)]
 
     def _nearest_together(
-        self, queries: list, head: np.ndarray, without: list[int], k: int, value: np.ndarray
+        self, queries: list, head: np.ndarray, without: list[int], k: int, value: np.ndarray | None
     ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
         n, rows = len(self.ids), len(self.full)
         blocks_here = len(self.most)
         single = head.astype(np.float32)
-        of_value = np.zeros(head.shape[1])
-        of_value[self.row[self.row >= 0]] = value[self.row >= 0]
-        rare = [(terms[own], weights[own]) for terms, weights in queries for own in [self.row[terms] < 0]]
         summed = np.empty((len(queries), rows))
-        for q, (terms, weights) in enumerate(rare):
-            summed[q] = self._rare_parts(terms, weights)
+        valued = None
+        if value is not None:
+            of_head = np.zeros(head.shape[1])
+            of_head[self.row[self.row >= 0]] = value[self.row >= 0]
+            valued = np.empty((len(queries), rows))
+        for q, (terms, weights) in enumerate(queries):
+            own = self.row[terms] < 0
+            if valued is None:
+                (summed[q],) = self._rare_parts(terms[own], weights[own])
+            else:
+                summed[q], valued[q] = self._rare_parts(terms[own], weights[own], value)
         bounds = (summed.reshape(-1, blocks_here, BLOCK) + (single @ self.most.T)[:, :, None]).reshape(-1, rows)
         bounds[:, n:] = 0.0
         for q, place in enumerate(without):
             if place >= 0:
                 bounds[q, place] = 0.0
-        k, some = min(k, n), min(8 * k, n)
+        k, some = min(k, n), min(4 * k, n)
         least = np.empty((len(queries), 1))
         for q in range(len(queries)):
             likely = np.argpartition(bounds[q], rows - some)[rows - some :]
@@ -258,7 +264,7 @@ class BlockMaxIndex:
         all_opened = len(opened) == blocks_here
         examples = np.arange(rows) if all_opened else (opened[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         heads = single @ (self.full if all_opened else self.full[examples]).T
-        for q, (terms, weights) in enumerate(rare):
+        for q in range(len(queries)):
             at = np.flatnonzero(wanted[q] if all_opened else wanted[q, examples])
             scores = summed[q, examples[at]] + heads[q, at]
             if len(at) > k:
@@ -269,8 +275,8 @@ class BlockMaxIndex:
             cosines = summed[q, places] + frequent.sum(1)
             best = np.lexsort((self.ids[places], -cosines))[:k]
             best = best[cosines[best] > 0]
-            valued = self._rare_parts(terms, weights * value[terms])[places[best]] + (frequent[best] * of_value).sum(1)
-            yield places[best], cosines[best], valued, int(of_block[q].sum())
+            worth = cosines[best] if valued is None else valued[q, places[best]] + (frequent[best] * of_head).sum(1)
+            yield places[best], cosines[best], worth, int(of_block[q].sum())
 
 
 @dataclass
