@@ -109,24 +109,29 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _page_text(readings: DataFrame, *page: Column) -> DataFrame:
     """Readings as JSON pages, of consecutive rows by ``ordinal``."""
-    fields = [F.col(f"`{name}`") for name in readings.columns if name != "ordinal"]
+    fields = [F.col(f"`{name}`") for name in readings.columns if name not in ("ordinal", "_file", "_page")]
     rows = F.collect_list(F.struct("ordinal", F.struct(*fields).alias("row")))
     pages = readings.groupBy(*page).agg(F.sort_array(rows).alias("rows"))
     data = F.transform("rows", lambda item: item["row"])
     return pages.withColumn("value", F.to_json(F.struct(F.struct(data.alias("data")).alias("response"))))
 
 
-def land_pages(readings: DataFrame, folder: str, rows_per_page: int) -> None:
+def land_pages(readings: DataFrame, folder: str, rows_per_page: int, pages_per_file: int = 1) -> None:
     """Readings as JSON pages below ``folder``, dealt to two folders in turn.
 
-    The page's number is in its path, where ``PAGE_NUMBER`` finds it.
+    A file has ``pages_per_file`` consecutive pages, one after the other; its number
+    is in its path, where ``PAGE_NUMBER`` finds it. Rows are shuffled once, by file.
     """
-    pages = _page_text(readings, F.floor(F.col("ordinal") / rows_per_page).alias("number"))
+    page = F.floor(F.col("ordinal") / rows_per_page)
+    file = F.floor(F.col("ordinal") / (rows_per_page * pages_per_file))
+    together = readings.withColumns({"_file": file, "_page": page}).repartition("_file")
+    pages = _page_text(together, F.col("_file"), F.col("_page"))
+    files = pages.groupBy("_file").agg(F.sort_array(F.collect_list(F.struct("_page", "value"))).alias("pages"))
     (
-        pages.select(
-            "value",
-            F.pmod("number", F.lit(2)).alias("landed"),
-            F.lpad(F.col("number").cast("string"), 12, "0").alias("page"),
+        files.select(
+            F.array_join(F.transform("pages", lambda p: p["value"]), " ").alias("value"),
+            F.pmod("_file", F.lit(2)).alias("landed"),
+            F.lpad(F.col("_file").cast("string"), 12, "0").alias("page"),
         )
         .write.partitionBy("landed", "page")
         .text(folder)

@@ -73,6 +73,9 @@ RAGGED_REGION = "R3"
 RAGGED_UNTIL = "2024-01-12T07"
 RAGGED_CHUNK_DAYS = 7
 ROWS_PER_PAGE = 500
+# Landed files hold about 2 MB; a small feed has at least so many files.
+PAGES_PER_FILE = 32
+LEAST_FILES = 16
 ODD_NAME = ' {old} {new} "\\" }{ '
 
 
@@ -317,11 +320,16 @@ class Stored:
         run_backfill(self.store, source, self.start, end or self.end, chunk_days)
 
     def land(self) -> tuple[str, int]:
-        """The events as pages: their folder, and how many there are."""
+        """The events as pages: their folder, and how many files there are.
+
+        A file has several pages, because listing and opening files costs the driver
+        time for each of them.
+        """
         folder = f"{self.scratch.root}/pages"
-        land_pages(self.events, folder, ROWS_PER_PAGE)
-        last = self.events.agg(F.max("ordinal").alias("last")).first()["last"]
-        return folder, last // ROWS_PER_PAGE + 1
+        pages = self.events.agg(F.max("ordinal").alias("last")).first()["last"] // ROWS_PER_PAGE + 1
+        together = max(1, min(PAGES_PER_FILE, pages // LEAST_FILES))
+        land_pages(self.events, folder, ROWS_PER_PAGE, together)
+        return folder, -(-pages // together)
 
 
 def _stored(build: Callable[[Stored], DataFrame]) -> Query:
@@ -417,8 +425,8 @@ def pruned_window_read(s: Stored) -> DataFrame:
 
 def streamed_summary(s: Stored) -> DataFrame:
     """The feed in about four pieces, cut anywhere in its hours."""
-    folder, pages = s.land()
-    query = ingest_stream(s.store, folder, max_files=max(1, pages // 4), number=PAGE_NUMBER)
+    folder, files = s.land()
+    query = ingest_stream(s.store, folder, max_files=-(-files // 4), number=PAGE_NUMBER)
     query.awaitTermination()
     return s.store.read(schemas.GOLD_REGIONAL_SUMMARY)
 
