@@ -34,12 +34,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that are far from every language's profile go.
 
     The limit lies beyond the distances of the labelled documents; texts without a
-    letter are as far as can be.
+    letter are as far as can be. Profiles and limit come from all labelled documents;
+    the distances are written once, for the limit and for the result.
     """
     profiles = learn_profiles(docs)
-    found = identify_language(docs, profiles, distance=True)
+    found = Shared(spark, "language-id").write(identify_language(docs, profiles, distance=True), "distances")
     *_, predicted, _, distance = found.columns
-    near = found[distance] <= farthest_distance(docs, profiles)
+    near = found[distance] <= farthest_distance(found, predicted, distance)
     return found.filter((found[predicted] != UNDETERMINED) & near).select(*docs.columns)
 
 

@@ -29,10 +29,9 @@ from gridpulse.llm.arrow import in_fold, small_batches, with_kernel
 
 PROFILE = 300
 UNDETERMINED = "und"
-# Learning reads about so many documents of each language, chosen by hash.
-MAX_DOCUMENTS = 5_000
+# n-grams of several texts that learning adds up in a task before it passes them on.
+_PENDING_GRAMS = 1 << 19
 _WORD_END = 1
-_SAMPLE_STEPS = 1 << 30
 
 FIELDS = T.StructType().add("lang_pred", "string").add("score", "double")
 
@@ -94,21 +93,10 @@ class Profiles:
         return self.languages[order[0]], float((second - best) / second) if second else 0.0, float(best)
 
 
-def _labelled(
-    docs: DataFrame, text: str, lang: str, key: str, max_documents: int, folds: int = 1, held_out: int = -1
-) -> DataFrame | None:
-    """About ``max_documents`` documents (key, text, lang) of each language; None without any."""
-    usable = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
-    if held_out >= 0:
-        usable = usable.filter(F.coalesce(in_fold("key", folds) != held_out, F.lit(False)))
-    sizes = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
-    if not sizes:
-        return None
-    limits = [F.lit(v) for k, n in sorted(sizes.items()) for v in (k, min(1.0, max_documents / n) * _SAMPLE_STEPS)]
-    place = F.pmod(F.xxhash64("key", F.lit(6)), F.lit(_SAMPLE_STEPS))
-    return usable.filter(place < F.element_at(F.create_map(*limits), F.col("lang")))
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of several texts, and the sums of their counts."""
+    grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return grams, np.bincount(where, np.concatenate([c for _, c in parts]), len(grams)).astype(np.int64)
 
 
 def learn_profiles(
@@ -118,40 +106,48 @@ def learn_profiles(
     key: str = "doc_id",
     folds: int = 1,
     held_out: int = -1,
-    max_documents: int = MAX_DOCUMENTS,
 ) -> Profiles:
-    """Profiles of all languages that ``docs`` names.
+    """Profiles of all languages that ``docs`` names, from every document that names one.
 
-    Of a language with more than ``max_documents`` documents, about that many
-    are read, chosen by a hash of the id. n-grams are counted where the
-    documents are; the driver gets ``PROFILE`` rows for each language.
+    n-grams are counted where the documents are; the driver gets ``PROFILE`` rows
+    for each language.
     """
     small_batches(docs.sparkSession)
-    sample = _labelled(docs, text, lang, key, max_documents, folds, held_out)
-    if sample is None:
-        return Profiles([], np.zeros(0, np.uint64), np.zeros((0, 0), np.int64))
+    usable = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
+    if held_out >= 0:
+        usable = usable.filter(F.coalesce(in_fold("key", folds) != held_out, F.lit(False)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts: dict[str, list] = {}
-            for name, value in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                parts.setdefault(name, []).append(gram_counts(value))
+        parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        pending = 0
+
+        def sums() -> Iterator[pa.RecordBatch]:
             for name, found in parts.items():
-                grams, where = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
-                counts = np.bincount(where, np.concatenate([c for _, c in found]), len(grams))
+                grams, counts = _added_up(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))],
+                    [pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
                     names=["lang", "gram", "n"],
                 )
 
-    counted = sample.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+        for batch in batches:
+            for name, value in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                parts.setdefault(name, []).append(gram_counts(value))
+                pending += len(parts[name][-1][0])
+                if pending >= _PENDING_GRAMS:
+                    yield from sums()
+                    parts, pending = {}, 0
+        yield from sums()
+
+    counted = usable.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     ranked = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     rows = (
         counted.groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .withColumn("rank", F.row_number().over(ranked) - 1)
-        .filter(F.col("rank") < PROFILE)
-        .select("lang", "gram", "rank")
+        .withColumn("place", F.row_number().over(ranked))
+        .filter(F.col("place") <= PROFILE)
+        .select("lang", "gram", (F.col("place") - 1).alias("rank"))
         .collect()
     )
     languages = sorted({row["lang"] for row in rows})
@@ -173,20 +169,18 @@ def identify_language(docs: DataFrame, profiles: Profiles, text: str = "text", d
     return with_kernel(docs, text, fields, kernel)
 
 
-def farthest_distance(
-    docs: DataFrame, profiles: Profiles, text: str = "text", lang: str = "lang", key: str = "doc_id", max_documents: int = MAX_DOCUMENTS
-) -> float:
+def farthest_distance(found: DataFrame, predicted: str = "lang_pred", distance: str = "lang_distance", lang: str = "lang") -> float:
     """The distance up to which a text counts as written in one of the languages.
 
-    All but a thousandth of each language's labelled documents lie nearer to a
-    profile than some distance; the limit is a quarter of the way from the largest
-    of these to ``PROFILE``, where a text shares nothing with any language.
-    ``PROFILE`` without labelled documents. The sample is that of ``learn_profiles``.
+    ``found`` has the distances of ``identify_language``. All but a thousandth of
+    each language's labelled documents lie nearer to a profile than some distance,
+    counted over all of them; the limit is a quarter of the way from the largest of
+    these to ``PROFILE``, where a text shares nothing with any language. ``PROFILE``
+    without labelled documents.
     """
-    sample = _labelled(docs, text, lang, key, max_documents)
-    if sample is None:
-        return float(PROFILE)
-    found = identify_language(sample, profiles, distance=True).filter(F.col("lang_pred") != UNDETERMINED)
-    far = found.groupBy("lang").agg(F.percentile_approx("lang_distance", 0.999, 10_000).alias("far"))
+    labelled = found.filter(F.col(lang).isNotNull() & (F.col(predicted) != UNDETERMINED))
+    # Means of at most PROFILE whole numbers up to PROFILE: equal ones are many.
+    counted = labelled.groupBy(F.col(lang).alias("lang"), F.col(distance).alias("distance")).agg(F.count(F.lit(1)).alias("n"))
+    far = counted.groupBy("lang").agg(F.percentile("distance", 0.999, F.col("n")).alias("far"))
     most = far.agg(F.max("far")).first()[0]
     return float(PROFILE) if most is None else most + (PROFILE - most) / 4

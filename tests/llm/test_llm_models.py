@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from gridpulse.llm.langid import identify_language, learn_profiles
+from gridpulse.llm.langid import farthest_distance, identify_language, learn_profiles
 from gridpulse.llm.quality import score_quality, train_quality
 from gridpulse.llm.toxicity import BLOCK, BlockMaxIndex, score_toxicity, train_toxicity
 
@@ -112,6 +112,25 @@ def test_language_is_that_of_plain_profiles(spark, docs):
             assert r["lang_distance"] == pytest.approx(want[0]) and r["lang_pred"] == want[1]
 
 
+def test_every_labelled_document_shapes_profiles_and_limit(spark):
+    """12,000 documents of a language, more than any sample of 5,000: counts are those of all."""
+    from brute import letter_grams, ranked
+
+    rng = random.Random(9)
+    words = ["ab", "bcd", "cade", "da"]
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) if i % 4 else " ".join(rng.choices(words, k=6)) for i in range(12_000)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    counts = Counter()
+    for t in texts:
+        counts.update(letter_grams(t))
+    want = [sum((1 if c == " " else ord(c)) << 21 * (len(g) - 1 - i) for i, c in enumerate(g)) for g in ranked(counts)]
+    profiles = learn_profiles(docs)
+    assert profiles.grams[np.argsort(profiles.ranks[:, 0])].tolist() == want
+    found = identify_language(docs, profiles, distance=True)
+    far = np.percentile([r["lang_distance"] for r in found.collect()], 99.9)
+    assert farthest_distance(found) == pytest.approx(far + (300 - far) / 4)
+
+
 def random_vectors(rng, n, terms, low=1, high=9):
     vectors = []
     for _ in range(n):
